@@ -231,7 +231,7 @@ def to_quantitative(c, mapping: dict[str, float]) -> Column:
     """SCL-17: label → number through a literal map (case-insensitive,
     trimmed); unknown ⇒ NULL.  ``mapping`` is driver-side config."""
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k.lower().strip()), F.lit(float(v)))])
-    return F.element_at(m, F.lower(strip_ws(_c(c)))) if mapping else F.lit(None).cast("double")
+    return F.try_element_at(m, F.lower(strip_ws(_c(c)))) if mapping else F.lit(None).cast("double")
 
 
 def parse_python_list(c) -> Column:
