@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, charts, quality, recommend, warehouse  # noqa: F401
+from . import aggregates, charts, quality, recommend, stats, warehouse  # noqa: F401
 from .registry import REGISTRY
 
 
