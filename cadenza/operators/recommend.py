@@ -79,18 +79,17 @@ def text_postings(items: DataFrame, key: str, components: dict[str, str], *,
 
 def numeric_block(items: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """REC-04: (item, vec) with null → 0, then z-score with the population std
-    (zero variance ⇒ scale 1).  The column statistics are scalar sub-queries
-    merged into one aggregate job."""
+    (zero variance ⇒ scale 1).  The 2p column statistics come from ONE
+    aggregate and are inlined as literals."""
     filled = items.select(F.col(key).alias("item"),
                           *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    stats = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                       *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    row = filled.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+                     *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).collect()[0]
     scaled = []
-    for c in cols:
-        mean = stats.select(f"m_{c}").scalar()
-        sd = stats.select(f"s_{c}").scalar()
-        scale = F.when((sd.isNull()) | (sd == 0), F.lit(1.0)).otherwise(sd)
-        scaled.append((F.col(c) - mean) / scale)
+    for i, c in enumerate(cols):
+        mean, sd = row[f"m_{i}"] or 0.0, row[f"s_{i}"]
+        scale = 1.0 if sd is None or sd == 0 else sd
+        scaled.append((F.col(c) - F.lit(mean)) / F.lit(scale))
     return filled.select("item", F.array(*scaled).alias("vec"))
 
 

@@ -20,30 +20,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .aggregates import top_labels
+from .quantiles import exact_quantiles, literal
 
 
 # ------------------------------------------------------------ Spark side
 
 def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Exact medians of several columns in one job (p numbers to the driver)."""
-    row = df.agg(*[F.median(F.col(c)).alias(c) for c in cols]).collect()[0]
-    return {c: row[c] for c in cols}
+    """Exact medians of several columns (histogram refinement, bounded memory)."""
+    return exact_quantiles(df, cols, 0.5)
 
 
-def impute_standardise(df: DataFrame, cols: Sequence[str], ddof: int = 0, keep: Sequence[str] = ()) -> DataFrame:
-    """STAT-01 / REG-02: median imputation then z-score (ddof 0 or 1) as
-    expressions; medians, means and stds are scalar sub-queries (merged into
-    one aggregate job per statistic kind)."""
-    med = df.agg(*[F.median(c).alias(c) for c in cols])
-    filled = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), med.select(c).scalar()).alias(c) for c in cols])
+def moments(df: DataFrame, cols: Sequence[str], ddof: int = 0) -> tuple[dict, dict]:
+    """Means and standard deviations of several columns in ONE job."""
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
-    st = filled.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[sd(c).alias(f"s_{c}") for c in cols])
-    out = []
-    for c in cols:
-        s = st.select(f"s_{c}").scalar()
-        out.append(((F.col(c) - st.select(f"m_{c}").scalar())
-                    / F.when(s.isNull() | (s == 0), F.lit(1.0)).otherwise(s)).alias(c))
-    return filled.select(*keep, *out)
+    row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+                 *[sd(c).alias(f"s_{i}") for i, c in enumerate(cols)]).collect()[0]
+    return ({c: row[f"m_{i}"] for i, c in enumerate(cols)}, {c: row[f"s_{i}"] for i, c in enumerate(cols)})
+
+
+def _scale(s) -> float:
+    return 1.0 if s is None or s == 0 or (isinstance(s, float) and math.isnan(s)) else float(s)
+
+
+def impute_standardise(df: DataFrame, cols: Sequence[str], ddof: int = 0, keep: Sequence[str] = (),
+                       medians: dict | None = None) -> DataFrame:
+    """STAT-01 / REG-02: median imputation then z-score (ddof 0 or 1).
+
+    Two small jobs bring 3p numbers to the driver (medians; means and stds
+    of the imputed columns); the per-row work is one projection with them
+    as literals."""
+    med = medians if medians is not None else column_medians(df, cols)
+    filled = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), literal(med[c])).alias(c) for c in cols])
+    mean, sd = moments(filled, cols, ddof)
+    return filled.select(*keep, *[((F.col(c) - literal(mean[c])) / F.lit(_scale(sd[c]))).alias(c) for c in cols])
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, int]:
@@ -263,9 +272,8 @@ def factor_analysis(C: np.ndarray, n_factors: int, rotation: str | None = None,
 
 def standardise_columns(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """STAT-07: column z-score with ddof 1 (pandas ``(x − mean)/std``)."""
-    st = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"s_{c}") for c in cols])
-    return df.select(*keep, *[((F.col(c) - st.select(f"m_{c}").scalar()) / st.select(f"s_{c}").scalar()).alias(c)
-                              for c in cols])
+    mean, sd = moments(df, cols, ddof=1)
+    return df.select(*keep, *[((F.col(c) - literal(mean[c])) / literal(sd[c])).alias(c) for c in cols])
 
 
 def small_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
