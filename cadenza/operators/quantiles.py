@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: in
     stacked = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
                                              for i, c in enumerate(cols)])).alias("s"))
                .select("s.i", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v")))
+    # Every pass re-reads the same narrow (column, value) frame: keep it
+    # (memory, spilling to disk) instead of re-running the input's lineage.
+    stacked = stacked.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _refine(stacked, cols, q, bins, collect_limit, max_passes)
+    finally:
+        stacked.unpersist()
+
+
+def _refine(stacked: DataFrame, cols: Sequence[str], q: float, bins: int, collect_limit: int,
+            max_passes: int) -> dict[str, float | None]:
     first = {r["i"]: r for r in stacked.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
                                                          F.max("v").alias("hi")).collect()}
     state = {}

@@ -28,7 +28,11 @@ EVENT_RULES = TableRules(
 
 def dirty_events(spark, sf_dir):
     """Events as raw text with injected defects (all driven by event_id)."""
-    e = T(spark, sf_dir, "events")
+    return inject_event_defects(T(spark, sf_dir, "events"))
+
+
+def inject_event_defects(e):
+    """Works on a batch or a streaming frame of events."""
     eid = F.col("event_id")
     raw_id = (F.when(eid % 97 == 5, F.concat(F.lit("x"), eid.cast("string")))
               .when(eid % 113 == 7, (eid - 1).cast("string"))
