@@ -61,10 +61,20 @@ def to_string(c) -> Column:
     return strip_ws(_c(c).cast("string"))
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it many times in ``body`` (a lambda).
+
+    Column expressions are trees: reusing a Python variable copies the
+    sub-tree, and chained parsers grow exponentially.  A one-element
+    ``transform`` evaluates ``value`` once per row instead.
+    """
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def _int_text(d: Column) -> Column:
     """Integer text of an integral finite double, else NULL."""
-    ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18)) & (d == F.floor(d))
-    return F.when(ok, d.cast("long").cast("string"))
+    return _let(d, lambda x: F.when(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(9.2e18)) & (x == F.floor(x)),
+                                    x.cast("long").cast("string")))
 
 
 def to_int(c) -> Column:
@@ -73,38 +83,40 @@ def to_int(c) -> Column:
     Returns the canonical integer as text, or the input unchanged.
     """
     raw = _c(c)
-    t = strip_ws(raw)
-    has_sign = t.rlike(r"^[+-]")
-    sign = F.when(has_sign, F.substring(t, 1, 1)).otherwise(F.lit(""))
-    body = F.regexp_replace(F.when(has_sign, F.substring(t, 2, 1 << 30)).otherwise(t),
-                            r"[\x{202F} _]", "")
+
+    def with_t(t):
+        sign = F.when(t.rlike(r"^[+-]"), F.substring(t, 1, 1)).otherwise(F.lit(""))
+        body = F.regexp_replace(F.regexp_replace(t, r"^[+-]", ""), r"[\x{202F} _]", "")
+        return _let(F.struct(sign.alias("s"), body.alias("b")), lambda sb: _int_case(raw, t, sb["s"], sb["b"]))
+    return F.when(raw.isNull(), raw).otherwise(_let(strip_ws(raw), with_t))
+
+
+def _int_case(raw: Column, t: Column, sign: Column, body: Column) -> Column:
     signed = F.concat(sign, body)
-    dotted = _int_text(signed.try_cast("double"))
-    thousands = F.regexp_replace(signed, ",", "").try_cast("long").cast("string")
-    decimal_comma = _int_text(F.concat(sign, F.regexp_replace(body, ",", ".")).try_cast("double"))
-    plain = signed.try_cast("long").cast("string")
-    out = (F.when(raw.isNull(), raw)
-           .when((t == "") | (body == ""), raw)
-           .when(F.instr(body, ".") > 0, F.coalesce(dotted, raw))
-           .when(F.instr(body, ",") > 0,
-                 F.when(body.rlike(r"^[0-9]+(,[0-9]{3})+$"), F.coalesce(thousands, raw))
-                 .when(body.rlike(r"^[0-9]+,[0-9]+$"), F.coalesce(decimal_comma, raw))
-                 .otherwise(raw))
-           .when(body.rlike(r"^[0-9]+$"), F.coalesce(plain, raw))
-           .otherwise(raw))
-    return out
+    return (F.when((t == "") | (body == ""), raw)
+            .when(F.instr(body, ".") > 0, F.coalesce(_int_text(signed.try_cast("double")), raw))
+            .when(F.instr(body, ",") > 0,
+                  F.when(body.rlike(r"^[0-9]+(,[0-9]{3})+$"),
+                         F.coalesce(F.regexp_replace(signed, ",", "").try_cast("long").cast("string"), raw))
+                  .when(body.rlike(r"^[0-9]+,[0-9]+$"),
+                        F.coalesce(_int_text(F.concat(sign, F.regexp_replace(body, ",", ".")).try_cast("double")), raw))
+                  .otherwise(raw))
+            .when(body.rlike(r"^[0-9]+$"), F.coalesce(signed.try_cast("long").cast("string"), raw))
+            .otherwise(raw))
 
 
 def to_float(c) -> Column:
     """SCL-05: decimal text; both ``,`` and ``.`` ⇒ comma is thousands, only ``,`` ⇒ decimal."""
     raw = _c(c)
-    t = F.regexp_replace(strip_ws(raw), r"[\x{202F} _]", "")
-    norm = (F.when(F.instr(t, ",") > 0,
-                   F.when(F.instr(t, ".") > 0, F.regexp_replace(t, ",", ""))
-                   .otherwise(F.regexp_replace(t, ",", ".")))
-            .otherwise(t))
-    d = norm.try_cast("double")
-    return F.when(raw.isNull() | (strip_ws(raw) == ""), raw).otherwise(F.coalesce(d.cast("string"), raw))
+
+    def with_t(t):
+        norm = (F.when(F.instr(t, ",") > 0,
+                       F.when(F.instr(t, ".") > 0, F.regexp_replace(t, ",", ""))
+                       .otherwise(F.regexp_replace(t, ",", ".")))
+                .otherwise(t))
+        return F.when(t == "", raw).otherwise(F.coalesce(norm.try_cast("double").cast("string"), raw))
+    stripped = F.regexp_replace(strip_ws(raw), r"[\x{202F} _]", "")
+    return F.when(raw.isNull(), raw).otherwise(_let(stripped, with_t))
 
 
 to_double = to_float
@@ -125,10 +137,33 @@ def survey_to_boolean(c) -> Column:
             .when(first.isin(SURVEY_FALSE_WORDS), F.lit("false")).otherwise(raw))
 
 
+# Cheap shape test per date format: a format is only tried on text of its
+# shape, so a row never pays for the parse failures of the other formats.
+_FORMAT_SHAPES = {
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$",
+    "yyyy-MM-dd": r"^\d{4}-\d{1,2}-\d{1,2}$",
+    "yyyy/MM/dd": r"^\d{4}/\d{1,2}/\d{1,2}$",
+    "M/d/yyyy hh:mm:ss a": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AaPp][Mm]$",
+    "M/d/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "M-d-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "d/M/yyyy": r"^\d{1,2}/\d{1,2}/\d{4}$",
+    "d-M-yyyy": r"^\d{1,2}-\d{1,2}-\d{4}$",
+    "yyyyMMdd": r"^\d{8}$",
+    "yyyy": r"^\d{4}$",
+    "dd/MM/yyyy HH:mm:ss": r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$",
+}
+
+
+def _parse_with(t: Column, fmt: str) -> Column:
+    shape = _FORMAT_SHAPES.get(fmt)
+    parsed = F.try_to_timestamp(t, F.lit(fmt))
+    return F.when(t.rlike(shape), parsed) if shape else parsed
+
+
 def parse_date_col(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """SCL-08 (typed): first matching format → DATE, else NULL."""
-    t = strip_ws(_c(c))
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats]).cast("date")
+    return _let(strip_ws(_c(c)), lambda t: F.coalesce(*[_parse_with(t, f) for f in formats]).cast("date"))
 
 
 def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -138,25 +173,28 @@ def parse_date(c, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 def survey_parse_date(c) -> Column:
     """SCL-09: ``dd/MM/yyyy HH:mm:ss`` only, time dropped."""
-    return F.coalesce(F.date_format(F.try_to_timestamp(strip_ws(_c(c)), F.lit(SURVEY_DATE_FORMAT)), "yyyy-MM-dd"),
-                      _c(c))
+    return F.coalesce(F.date_format(_parse_with(strip_ws(_c(c)), SURVEY_DATE_FORMAT), "yyyy-MM-dd"), _c(c))
 
 
 def normalize_duration(c) -> Column:
     """SCL-10: ``H:M:S`` / ``M:S`` (minutes, seconds < 60) → seconds; else
     ``int(float(x))``; else unchanged."""
     raw = _c(c)
-    t = strip_ws(raw)
-    parts = F.split(t, ":")
-    n = F.size(parts)
-    p = [parts.getItem(i).try_cast("long") for i in range(3)]
-    all3 = p[0].isNotNull() & p[1].isNotNull() & p[2].isNotNull()
-    hms = F.when(all3 & (p[1] < 60) & (p[2] < 60), p[0] * 3600 + p[1] * 60 + p[2])
-    ms = F.when(p[0].isNotNull() & p[1].isNotNull() & (p[1] < 60), p[0] * 60 + p[1])
-    d = t.try_cast("double")
+
+    def with_t(t):
+        parts = F.split(t, ":")
+        return _let(F.struct(F.size(parts).alias("n"), F.get(parts, 0).try_cast("long").alias("a"),
+                             F.get(parts, 1).try_cast("long").alias("b"), F.get(parts, 2).try_cast("long").alias("c"),
+                             t.try_cast("double").alias("d")), lambda p: _duration_case(p))
+    return F.when(raw.isNull(), raw).otherwise(F.coalesce(_let(strip_ws(raw), with_t), raw))
+
+
+def _duration_case(p: Column) -> Column:
+    a, b, c, d = p["a"], p["b"], p["c"], p["d"]
+    hms = F.when(a.isNotNull() & b.isNotNull() & c.isNotNull() & (b < 60) & (c < 60), a * 3600 + b * 60 + c)
+    ms = F.when(a.isNotNull() & b.isNotNull() & (b < 60), a * 60 + b)
     num = F.when(d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18)), d.cast("long"))
-    val = F.when(n == 3, hms).when(n == 2, ms).otherwise(num)
-    return F.when(raw.isNull(), raw).otherwise(F.coalesce(val.cast("string"), raw))
+    return F.when(p["n"] == 3, hms).when(p["n"] == 2, ms).otherwise(num).cast("string")
 
 
 def _py_literal_to_json(c: Column) -> Column:
