@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, charts, quality, recommend, regress, stats, streaming, warehouse  # noqa: F401
+from . import aggregates, charts, quality, recommend, regress, sources, stats, streaming, warehouse  # noqa: F401
 from .registry import REGISTRY
 
 
