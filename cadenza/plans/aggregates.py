@@ -297,3 +297,21 @@ def conversation_roles_ordered(spark, sf_dir):
     agg = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("s"),
                                    F.count(F.lit(1)).alias("n_turns"))
     return agg.select("conv_id", F.array_join(F.transform("s", lambda x: x["role"]), ">").alias("roles"), "n_turns")
+
+
+# Seeded listener titles (matched case-insensitively).
+SEED_TITLES = ["SMALL RING", "Red Widget", "blue bolt", "Hot Gear", "small gizmo"]
+
+
+@query("title_lookup_first", ("FIL-08", "FIL-09"), """
+SELECT t.title, p.p_partkey FROM (SELECT unnest(['SMALL RING', 'Red Widget', 'blue bolt', 'Hot Gear', 'small gizmo']) AS title) t
+JOIN (
+  SELECT p_partkey, p_name, row_number() OVER (PARTITION BY lower(p_name) ORDER BY p_partkey) AS rn FROM part
+) p ON lower(p.p_name) = lower(t.title) AND p.rn = 1
+""")
+def title_lookup_first(spark, sf_dir):
+    """First catalogue row whose title matches each seed title, case-insensitively."""
+    part = T(spark, sf_dir, "part").select("p_partkey", "p_name")
+    titles = spark.createDataFrame([(t,) for t in SEED_TITLES], "title string")
+    hits = J.ci_equi_join(titles, part, "title", "p_name")
+    return A.first_n_per_group(hits, "title", [F.col("p_partkey")], 1).select("title", "p_partkey")

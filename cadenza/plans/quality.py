@@ -68,7 +68,7 @@ WITH p AS (
 """
 
 
-@query("clean_events", ("JOB-01", "JOB-02", "FIL-07", "SCL-04", "SCL-05", "SCL-08", "SCL-01", "SCL-02",
+@query("clean_events", ("JOB-01", "JOB-02", "FIL-07", "VAL-12", "SCL-04", "SCL-05", "SCL-08", "SCL-01", "SCL-02",
                         "SCL-20", "VAL-01", "VAL-02", "VAL-04", "VAL-05", "VAL-06", "VAL-07", "VAL-08",
                         "VAL-10", "PRJ-01", "UDF-01", "UDF-02"),
        _EXPECTED + """

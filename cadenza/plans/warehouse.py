@@ -328,3 +328,36 @@ def listen_history_view(spark, sf_dir):
     users = ev.select("user_id").distinct()
     v = J.nested_lookup(users, ev, "user_id", "h", ["item"], order_by=["ts", "event_id"])
     return v.select("user_id", F.array_join(F.transform("h", lambda x: x["item"]), ",").alias("items"))
+
+
+@query("artist_accounts", ("DRV-12", "LOAD-02", "PRJ-06"), f"""
+WITH owners AS (SELECT DISTINCT l_suppkey AS s_suppkey FROM lineitem WHERE l_returnflag = 'R')
+SELECT s.s_suppkey, CASE WHEN o.s_suppkey IS NOT NULL THEN 'existing' ELSE 'created' END AS origin,
+       'artist_' || s.s_suppkey AS login
+FROM supplier s LEFT JOIN owners o ON o.s_suppkey = s.s_suppkey
+""")
+def artist_accounts(spark, sf_dir):
+    """Accounts exist for suppliers with a returned line; every other artist gets one."""
+    sup = T(spark, sf_dir, "supplier").select("s_suppkey")
+    existing = (T(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+                .select(F.col("l_suppkey").alias("s_suppkey")).distinct().withColumn("origin", F.lit("existing")))
+    out = D.default_rows(sup, existing, "s_suppkey", {"origin": "created"})
+    return out.select("s_suppkey", "origin", F.concat(F.lit("artist_"), F.col("s_suppkey").cast("string")).alias("login"))
+
+
+@query("track_audio_view", ("VIEW-12", "SCL-24", "JOIN-05"), """
+SELECT p.p_partkey, p.p_size, round(p.p_retailprice, 6) AS p_retailprice, t.n_lines, round(t.avg_qty, 6) AS avg_qty
+FROM part p LEFT JOIN (SELECT l_partkey, count(*) AS n_lines, avg(l_quantity) AS avg_qty FROM lineitem GROUP BY 1) t
+  ON t.l_partkey = p.p_partkey
+""")
+def track_audio_view(spark, sf_dir):
+    """Audio columns + the temporal features as one JSON object (nulls kept), read back field by field."""
+    from ..functions.standardise import row_json
+    part = T(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    temporal = (T(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
+                .agg(F.count(F.lit(1)).alias("n_lines"), F.avg("l_quantity").alias("avg_qty"))
+                .select("p_partkey", row_json(["n_lines", "avg_qty"]).alias("temporal_features")))
+    v = part.join(temporal, "p_partkey", "left")
+    return v.select("p_partkey", "p_size", rnd("p_retailprice").alias("p_retailprice"),
+                    F.get_json_object("temporal_features", "$.n_lines").cast("long").alias("n_lines"),
+                    rnd(F.get_json_object("temporal_features", "$.avg_qty").cast("double")).alias("avg_qty"))
