@@ -191,3 +191,25 @@ def parse_list_variants(spark, sf_dir):
     return p.select("p_partkey", S.json_list_text(S.extract_genre_ids(genre_raw)).alias("genre_ids"),
                     F.to_json(S.normalize_tags(tag_raw)).alias("tags"),
                     F.size(S.parse_python_list(list_raw)).alias("n_items"))
+
+
+WIDE_RULES = TableRules(standardisation={"l_orderkey": ["toInt"], "__all__": ["toFloat"]},
+                        validation={"l_orderkey": ["notNull", "int"], "__all__": ["notNull", "float"]})
+
+
+@query("clean_all_default", ("PRJ-02", "PRJ-01", "JOB-04"), """
+SELECT l_orderkey, CAST(l_linenumber AS DOUBLE) AS l_linenumber, round(l_quantity, 6) AS l_quantity,
+       round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax
+FROM lineitem WHERE l_orderkey % 13 <> 0
+""")
+def clean_all_default(spark, sf_dir):
+    """A wide numeric table cleaned by one ``__all__`` rule (the features preset's shape)."""
+    li = T(spark, sf_dir, "lineitem")
+    raw = li.select(F.col("l_orderkey").cast("string").alias("l_orderkey"),
+                    F.col("l_linenumber").cast("string").alias("l_linenumber"),
+                    F.col("l_quantity").cast("string").alias("l_quantity"),
+                    F.regexp_replace(F.col("l_discount").cast("string"), r"\.", ",").alias("l_discount"),
+                    F.when(F.col("l_orderkey") % 13 == 0, F.lit("n/a")).otherwise(F.col("l_tax").cast("string"))
+                    .alias("l_tax"))
+    res = clean_table(raw, WIDE_RULES)
+    return res.clean.select("l_orderkey", "l_linenumber", *[rnd(c).alias(c) for c in ("l_quantity", "l_discount", "l_tax")])
