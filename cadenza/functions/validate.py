@@ -142,6 +142,12 @@ SURVEY_VALIDATORS = dict(VALIDATORS, isTrue=is_true)
 TYPE_PRECEDENCE = ["int", "double", "float", "date", "boolean", "string"]
 
 
+def _text_double(text: Column) -> Column:
+    """Text → double; the Unicode-whitespace strip runs only when the plain
+    cast fails (standardised text is already canonical)."""
+    return F.coalesce(text.try_cast("double"), strip_ws(text).try_cast("double"))
+
+
 def convert(c: Column, rules, dtype=T.StringType(), strict_int: bool = False) -> tuple[Column, T.DataType]:
     """SCL-20: typed conversion by the first type rule in precedence order.
 
@@ -151,13 +157,13 @@ def convert(c: Column, rules, dtype=T.StringType(), strict_int: bool = False) ->
     kind = next((k for k in TYPE_PRECEDENCE if k in rules), None)
     text = c.cast("string")
     if kind == "int":
-        d = c.cast("double") if isinstance(dtype, T.NumericType) else strip_ws(text).try_cast("double")
+        d = c.cast("double") if isinstance(dtype, T.NumericType) else _text_double(text)
         ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18))
         if strict_int:
             ok = ok & (d == F.floor(d))
         return F.when(ok, d.cast("long")), T.LongType()
     if kind in ("double", "float"):
-        d = c.cast("double") if isinstance(dtype, T.NumericType) else strip_ws(text).try_cast("double")
+        d = c.cast("double") if isinstance(dtype, T.NumericType) else _text_double(text)
         return d, T.DoubleType()
     if kind == "date":
         if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):

@@ -129,8 +129,14 @@ def clean_table(df: DataFrame, rules: TableRules, *, as_of=None, strict_int: boo
             ok = val_reg[r](F.col(f"`{c}`"), ctx)
             checks.append(F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"{c}:{r}")))
     first = F.coalesce(*checks) if checks else F.lit(None).cast("string")
-    flagged = work.withColumn("first_failure", first).drop(*dup_cols.values())
-    clean = flagged.filter(F.col("first_failure").isNull()).drop("first_failure")
+    # ``__task`` (spark_partition_id, non-deterministic) pins first_failure to
+    # the projection over the converted columns: without it the optimizer
+    # pushes the filter below the standardise / convert projections and
+    # inlines every parser once per rule that reads its column.
+    flagged = (work.withColumn("first_failure", first).withColumn("__task", F.spark_partition_id())
+               .drop(*dup_cols.values()))
+    clean = flagged.filter(F.col("first_failure").isNull() & (F.col("__task") >= 0)).drop("first_failure", "__task")
+    flagged = flagged.drop("__task")
     if null_bool_as_true:
         for c in selected:
             if isinstance(types[c], T.BooleanType):

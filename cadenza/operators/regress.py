@@ -14,6 +14,7 @@ import math
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,7 +97,13 @@ def fit(train_df: DataFrame, features: Sequence[str], *, epsilon: float = 1.35,
     assembled = VectorAssembler(inputCols=list(features), outputCol="features").transform(train_df)
     lr = LinearRegression(featuresCol="features", labelCol="label", loss="huber", epsilon=epsilon,
                           regParam=reg, maxIter=max_iter)
-    return lr.fit(assembled)
+    # The optimiser makes one pass per iteration: keep the assembled rows
+    # (spilling to disk) rather than re-running their lineage every pass.
+    assembled = assembled.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return lr.fit(assembled)
+    finally:
+        assembled.unpersist()
 
 
 def predict(model, df: DataFrame, features: Sequence[str], meta: PrepMeta, keep: Sequence[str] = ()) -> DataFrame:
@@ -125,10 +132,14 @@ def evaluate(pred: DataFrame) -> DataFrame:
 
 def listens_model(frame: DataFrame, key: str, features: Sequence[str], target: str, seed: int = 1234):
     """End to end: split, fit stats on train, prepare, fit, predict the test split."""
-    parts = split(frame, key, seed)
-    train_raw = parts.filter(F.col("split") == "train")
-    meta = fit_prep(train_raw, features, target)
-    prepared = apply_prep(parts, meta, keep=[key, "split"], target=target)
-    model = fit(prepared.filter(F.col("split") == "train"), features)
-    pred = predict(model, prepared, features, meta, keep=[key, "split"])
+    parts = split(frame, key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train_raw = parts.filter(F.col("split") == "train")
+        meta = fit_prep(train_raw, features, target)
+        prepared = apply_prep(parts, meta, keep=[key, "split"], target=target)
+        model = fit(prepared.filter(F.col("split") == "train"), features)
+    finally:
+        parts.unpersist()
+    pred = predict(model, apply_prep(split(frame, key, seed), meta, keep=[key, "split"], target=target),
+                   features, meta, keep=[key, "split"])
     return meta, model, pred

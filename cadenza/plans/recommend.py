@@ -218,8 +218,14 @@ def preference_vector(spark, sf_dir):
     cust = T(spark, sf_dir, "customer")
     nat = T(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     o = T(spark, sf_dir, "orders")
-    pri = (o.groupBy(F.col("o_custkey").alias("c_custkey"))
-           .agg(F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "o_orderpriority"))).alias("s"))
+    # Each customer's distinct priorities ordered by their latest use: the
+    # last mapped one is the priority of the latest mapped order, and the
+    # array holds at most one entry per priority level (bounded), however
+    # many orders a customer has.
+    last_use = (o.groupBy(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+                .agg(F.max(F.struct("o_orderdate", "o_orderkey")).alias("last")))
+    pri = (last_use.groupBy("c_custkey")
+           .agg(F.array_sort(F.collect_list(F.struct("last", "o_orderpriority"))).alias("s"))
            .select("c_custkey", F.transform("s", lambda x: x["o_orderpriority"]).alias("priorities")))
     base = cust.join(nat, "c_nationkey", "left").join(pri, "c_custkey", "left")
     vec = R.preference_vector(base, "c_custkey", _pref_slots())

@@ -44,9 +44,14 @@ def _corr_sql():
     return _IMPUTED_SQL + "\nUNION ALL ".join(rows)
 
 
-def _corr(spark, sf_dir):
-    z = S.impute_standardise(_block(spark, sf_dir), PCA_VARS, ddof=0)
-    return S.correlation_matrix(z, PCA_VARS)
+def _corr(spark, sf_dir, with_medians: bool = False):
+    """Medians (histogram refinement), moments, then all pairwise
+    correlations in one aggregate; the medians are returned for reuse."""
+    block = _block(spark, sf_dir).select(*PCA_VARS)
+    med = S.column_medians(block, PCA_VARS)
+    z = S.impute_standardise(block, PCA_VARS, ddof=0, medians=med)
+    R, n = S.correlation_matrix(z, PCA_VARS)
+    return (R, n, med) if with_medians else (R, n)
 
 
 @query("pca_correlation", ("STAT-01", "AGG-19", "PRJ-07"), _corr_sql())
@@ -71,9 +76,10 @@ def mean_abs_corr(spark, sf_dir):
         .select("variable", rnd("mean_abs_r").alias("mean_abs_r"))
 
 
-def _pca(spark, sf_dir):
-    R, n = _corr(spark, sf_dir)
-    return S.subset_search(R, n, PCA_VARS, min_cols=4, target=0.5)
+def _pca(spark, sf_dir, with_medians: bool = False):
+    R, n, med = _corr(spark, sf_dir, with_medians=True)
+    names, res = S.subset_search(R, n, PCA_VARS, min_cols=4, target=0.5)
+    return (names, res, med) if with_medians else (names, res)
 
 
 @query("pca_variance", ("STAT-02", "STAT-03", "STAT-04", "WIN-05", "SRC-16"))
@@ -92,8 +98,9 @@ def pca_loadings(spark, sf_dir):
 
 @query("pca_coordinates", ("STAT-06", "TOP-08"))
 def pca_coordinates(spark, sf_dir):
-    names, res = _pca(spark, sf_dir)
-    z = S.impute_standardise(_block(spark, sf_dir), PCA_VARS, ddof=0, keep=["l_orderkey", "l_linenumber", "l_returnflag"])
+    names, res, med = _pca(spark, sf_dir, with_medians=True)
+    z = S.impute_standardise(_block(spark, sf_dir), PCA_VARS, ddof=0, keep=["l_orderkey", "l_linenumber", "l_returnflag"],
+                             medians=med)
     z = z.withColumn("row_key", F.concat_ws(":", "l_orderkey", "l_linenumber"))
     return S.coordinates(z, res, "row_key", label="l_returnflag", top_labels_n=2)
 
