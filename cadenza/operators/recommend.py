@@ -341,6 +341,8 @@ def fallback_recommend(listens: DataFrame, similar: DataFrame, item_genres: Data
           .agg(F.max(F.coalesce(F.col("pc"), F.lit(0))).cast("double").alias("score"))
           .orderBy(F.desc("score"), F.xxhash64(F.col("item"), F.lit(seed))).limit(top_n)
           .select(F.col("item").alias(item), "score", F.lit(3).alias("tier")))
+    # At most 3·top_n rows after the per-tier limits: a global window over
+    # them is tiny, and each tier is computed once.
     tiers = t1.unionByName(t2).unionByName(t3)
-    best = tiers.agg(F.min("tier")).scalar()
-    return tiers.filter(F.col("tier") == best)
+    return (tiers.withColumn("__best", F.min("tier").over(Window.partitionBy()))
+            .filter(F.col("tier") == F.col("__best")).drop("__best"))

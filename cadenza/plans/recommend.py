@@ -32,14 +32,21 @@ def _history(spark, sf_dir):
     return li.join(o, "l_orderkey").groupBy("o_custkey", "l_partkey").agg(F.count(F.lit(1)).alias("c"))
 
 
+def _one_key(df):
+    """The request key derived from the data: one value fetched, then used as
+    a literal so the scans can push ``key = value`` down."""
+    rows = df.limit(1).collect()
+    return rows[0][0] if rows else None
+
+
 def _target_user(hist):
-    return (hist.groupBy("o_custkey").agg(F.sum("c").alias("n")).orderBy(F.desc("n"), "o_custkey")
-            .limit(1).select("o_custkey").scalar())
+    return _one_key(hist.groupBy("o_custkey").agg(F.sum("c").alias("n")).orderBy(F.desc("n"), "o_custkey")
+                    .select("o_custkey"))
 
 
 def _seed_item(spark, sf_dir):
-    return (T(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "l_partkey").limit(1).select("l_partkey").scalar())
+    return _one_key(T(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
+                    .orderBy(F.desc("n"), "l_partkey").select("l_partkey"))
 
 
 _FEATURES_SQL = """
@@ -160,8 +167,7 @@ FROM d ORDER BY distance, vec_id LIMIT 5
 """)
 def user_knn_cosine(spark, sf_dir):
     emb = T(spark, sf_dir, "embeddings")
-    target = emb.agg(F.min("vec_id")).scalar()
-    out = R.knn_cosine(emb, "vec_id", "embedding", target, k=5)
+    out = R.knn_cosine(emb, "vec_id", "embedding", _one_key(emb.agg(F.min("vec_id"))), k=5)
     return out.select("vec_id", rnd("distance").alias("distance"), F.col("neighbour_rank").cast("long"))
 
 
@@ -176,7 +182,7 @@ SELECT nb.neighbour_rank, d.doc_id FROM nb JOIN documents d ON d.doc_id % 500 =
 def knn_neighbour_history(spark, sf_dir):
     """Neighbours' 'histories': documents whose id maps onto the vector id."""
     emb = T(spark, sf_dir, "embeddings")
-    nb = R.knn_cosine(emb, "vec_id", "embedding", emb.agg(F.min("vec_id")).scalar(), k=5)
+    nb = R.knn_cosine(emb, "vec_id", "embedding", _one_key(emb.agg(F.min("vec_id"))), k=5)
     docs = T(spark, sf_dir, "documents").select((F.col("doc_id") % 500).alias("vec_id"), "doc_id")
     return R.neighbour_history(nb, "vec_id", docs, "vec_id").select(F.col("neighbour_rank").cast("long"), "doc_id")
 
