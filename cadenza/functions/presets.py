@@ -87,9 +87,10 @@ SURVEY_RULES = TableRules(
     },
 )
 
-# Music presets: the two most used tables of the catalogue (tracks, genres) and
-# the 518-column features table, whose every column shares the ``__all__`` rule.
+# Music presets, one per catalogue file (the 518-column features table shares
+# one ``__all__`` rule across its columns).
 TRACKS_RULES = TableRules(
+    header_rows=2,
     rename={"level_0_level_1": "track_id"},
     subheader_key="track_id", subheader_values=("track_id",),
     standardisation={
@@ -132,13 +133,161 @@ GENRES_RULES = TableRules(
 )
 
 FEATURES_RULES = TableRules(
+    header_rows=2,
+    subheader_key="track_id", subheader_values=("number", "track_id"),
     rename={"feature_statistics": "track_id"},
     standardisation={"track_id": ["toInt"], "__all__": ["toFloat"]},
     validation={"track_id": ["notNull", "int"], "__all__": ["notNull", "float"]},
 )
 
-PRESETS = {"tracks.csv": TRACKS_RULES, "genres.csv": GENRES_RULES, "features.csv": FEATURES_RULES,
-           "answers.csv": SURVEY_RULES}
+RAW_TRACKS_RULES = TableRules(
+    standardisation={
+        "track_id": ["toInt"], "album_id": ["toInt"], "artist_id": ["toInt"], "track_number": ["toInt"],
+        "track_disc_number": ["toInt"], "track_favorites": ["toInt"], "track_listens": ["toInt"],
+        "track_interest": ["toDouble"], "track_comments": ["toInt"], "track_title": ["trimSpaces", "toString"],
+        "track_duration": ["normalizeDuration", "toInt"], "track_bit_rate": ["toInt"],
+        "track_genres": ["extractGenreIds", "toArray"], "tags": ["normalizeTags", "toArray"],
+        "track_composer": ["trimSpaces", "toString"], "track_lyricist": ["trimSpaces", "toString"],
+        "track_publisher": ["trimSpaces", "toString"], "track_explicit": ["toBoolean"],
+        "track_instrumental": ["toBoolean"], "track_date_created": ["parseDate"],
+        "album_title": ["trimSpaces", "toString"], "artist_name": ["trimSpaces", "toString"],
+    },
+    validation={
+        "track_id": ["notNull", "unique", "notNegative", "int"],
+        "album_id": ["notNull", "notNegative", "int"],
+        "artist_id": ["notNull", "notNegative", "int"],
+        "track_number": ["notNegative", "int"],
+        "track_disc_number": ["notNegative", "int"],
+        "track_favorites": ["notNull", "notNegative", "int"],
+        "track_listens": ["notNull", "notNegative", "int"],
+        "track_interest": ["notNull", "notNegative", "double"],
+        "track_comments": ["notNull", "notNegative", "int"],
+        "track_title": ["notNull", "string"],
+        "track_duration": ["notNull", "notNegative", "int"],
+        "track_bit_rate": ["notNegative", "int"],
+        "track_genres": ["string"],
+        "tags": ["string"],
+        "track_composer": ["string"],
+        "track_lyricist": ["string"],
+        "track_publisher": ["string"],
+        "track_explicit": ["boolean"],
+        "track_instrumental": ["boolean"],
+        "track_date_created": ["notNull", "beforeNow", "date"],
+        "album_title": ["string"],
+        "artist_name": ["string"],
+    },
+)
+
+RAW_ALBUMS_RULES = TableRules(
+    standardisation={
+        "album_id": ["toInt"], "album_title": ["trimSpaces", "toString"], "album_type": ["trimSpaces", "toString"],
+        "album_tracks": ["toInt"], "album_date_released": ["parseDate"], "album_listens": ["toInt"],
+        "album_favorites": ["toInt"], "album_comments": ["toInt"], "album_producer": ["trimSpaces", "toString"],
+        "tags": ["normalizeTags", "toArray"],
+    },
+    validation={
+        "album_id": ["notNull", "unique", "int", "notNegative"],
+        "album_title": ["notNull", "string"],
+        "album_type": ["notNull", "string"],
+        "album_tracks": ["notNull", "int", "positiveNumber"],
+        "album_date_released": ["date", "beforeNow"],
+        "album_listens": ["notNull", "int", "notNegative"],
+        "album_favorites": ["notNull", "int", "notNegative"],
+        "album_comments": ["notNull", "int", "notNegative"],
+        "album_producer": ["string"],
+        "tags": ["array", "string"],
+    },
+)
+
+RAW_ARTISTS_RULES = TableRules(
+    standardisation={
+        "artist_id": ["toInt"], "artist_name": ["trimSpaces", "toString"], "artist_bio": ["toString"],
+        "artist_location": ["trimSpaces", "toString"], "artist_latitude": ["toFloat"],
+        "artist_longitude": ["toFloat"], "artist_members": ["toString"], "artist_associated_labels": ["toString"],
+        "artist_related_projects": ["toString"], "tags": ["normalizeTags", "toArray"],
+        "artist_active_year_begin": ["toInt"], "artist_active_year_end": ["toInt"],
+        "artist_favorites": ["toInt"], "artist_comments": ["toInt"],
+    },
+    validation={
+        "artist_id": ["int", "notNull", "unique", "positiveNumber"],
+        "artist_name": ["string", "notNull"],
+        "artist_bio": ["string"],
+        "artist_location": ["string"],
+        "artist_latitude": ["float"],
+        "artist_longitude": ["float"],
+        "artist_members": ["string"],
+        "artist_associated_labels": ["string"],
+        "artist_related_projects": ["string"],
+        "tags": ["array"],
+        "artist_active_year_begin": ["int", "positiveNumber"],
+        "artist_active_year_end": ["int", "positiveNumber"],
+        "artist_favorites": ["int", "notNull", "notNegative"],
+        "artist_comments": ["int", "notNull", "notNegative"],
+    },
+)
+
+# The echonest file exists raw and pre-cleaned with the same three-row header
+# and the same rules.
+ECHONEST_RULES = TableRules(
+    header_rows=3,
+    subheader_key="track_id", subheader_values=("track_id",),
+    rename={
+        "level_0_level_1_level_2": "track_id",
+        "echonest_audio_features_acousticness": "acousticness",
+        "echonest_audio_features_danceability": "danceability",
+        "echonest_audio_features_energy": "energy",
+        "echonest_audio_features_instrumentalness": "instrumentalness",
+        "echonest_audio_features_liveness": "liveness",
+        "echonest_audio_features_speechiness": "speechiness",
+        "echonest_audio_features_tempo": "tempo",
+        "echonest_audio_features_valence": "valence",
+        "echonest_ranks_artist_discovery_rank": "artist_discovery_rank",
+        "echonest_ranks_artist_familiarity_rank": "artist_familiarity_rank",
+        "echonest_ranks_artist_hotttnesss_rank": "artist_hotttnesss_rank",
+        "echonest_ranks_song_currency_rank": "song_currency_rank",
+        "echonest_ranks_song_hotttnesss_rank": "song_hotttnesss_rank",
+        "echonest_social_features_artist_discovery": "artist_discovery",
+        "echonest_social_features_artist_familiarity": "artist_familiarity",
+        "echonest_social_features_artist_hotttnesss": "artist_hotttnesss",
+        "echonest_social_features_song_currency": "song_currency",
+        "echonest_social_features_song_hotttnesss": "song_hotttnesss",
+    },
+    standardisation={
+        "track_id": ["toInt"],
+        "acousticness": ["toFloat"], "danceability": ["toFloat"], "energy": ["toFloat"],
+        "instrumentalness": ["toFloat"], "liveness": ["toFloat"], "speechiness": ["toFloat"],
+        "tempo": ["toFloat"], "valence": ["toFloat"],
+        "artist_discovery_rank": ["toFloat"], "artist_familiarity_rank": ["toFloat"],
+        "artist_hotttnesss_rank": ["toFloat"], "song_currency_rank": ["toFloat"], "song_hotttnesss_rank": ["toFloat"],
+        "artist_discovery": ["toFloat"], "artist_familiarity": ["toFloat"], "artist_hotttnesss": ["toFloat"],
+        "song_currency": ["toFloat"], "song_hotttnesss": ["toFloat"],
+    },
+    validation={
+        "track_id": ["notNull", "unique", "int", "notNegative"],
+        "acousticness": ["notNull", "float", "notNegative"],
+        "danceability": ["notNull", "float", "notNegative"],
+        "energy": ["notNull", "float", "notNegative"],
+        "instrumentalness": ["notNull", "float", "notNegative"],
+        "liveness": ["notNull", "float", "notNegative"],
+        "speechiness": ["notNull", "float", "notNegative"],
+        "tempo": ["notNull", "float", "notNegative"],
+        "valence": ["notNull", "float", "notNegative"],
+        "artist_discovery_rank": ["float", "notNegative"],
+        "artist_familiarity_rank": ["float", "notNegative"],
+        "artist_hotttnesss_rank": ["float", "notNegative"],
+        "song_currency_rank": ["float", "notNegative"],
+        "song_hotttnesss_rank": ["float", "notNegative"],
+        "artist_discovery": ["notNull", "float", "notNegative"],
+        "artist_familiarity": ["notNull", "float", "notNegative"],
+        "artist_hotttnesss": ["notNull", "float", "notNegative"],
+        "song_currency": ["notNull", "float", "notNegative"],
+        "song_hotttnesss": ["notNull", "float", "notNegative"],
+    },
+)
+
+PRESETS = {"tracks.csv": TRACKS_RULES, "raw_tracks.csv": RAW_TRACKS_RULES, "raw_albums.csv": RAW_ALBUMS_RULES,
+           "features.csv": FEATURES_RULES, "genres.csv": GENRES_RULES, "raw_echonest.csv": ECHONEST_RULES,
+           "raw_artists.csv": RAW_ARTISTS_RULES, "echonest.csv": ECHONEST_RULES, "answers.csv": SURVEY_RULES}
 
 
 def rules_for(file_name: str) -> TableRules | None:

@@ -311,6 +311,16 @@ def json_list_text(c) -> Column:
     return F.concat(F.lit("["), F.array_join(_c(c).cast("array<string>"), ", "), F.lit("]"))
 
 
+def json_dumps_list(c) -> Column:
+    """SCL-13 sink form: Python ``json.dumps`` of a list -- numbers bare,
+    strings quoted, ``", "`` between items."""
+    def item(x):
+        quoted = F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(x, r"\\", r"\\\\"), '"', '\\\\"'),
+                          F.lit('"'))
+        return F.when(x.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), x).otherwise(quoted)
+    return F.concat(F.lit("["), F.array_join(F.transform(_c(c).cast("array<string>"), item), ", "), F.lit("]"))
+
+
 def row_json(cols: Sequence[str], keep_nulls: bool = True) -> Column:
     """SCL-24: ``json_build_object`` / ``to_jsonb(row) - key``."""
     return F.to_json(F.struct(*[F.col(x) for x in cols]),
@@ -362,7 +372,7 @@ STANDARDISERS: dict[str, Callable[[Column], Column]] = {
     "normalizeDuration": normalize_duration,
     "extractGenreIds": lambda c: json_list_text(extract_genre_ids(c)),
     "normalizeTags": lambda c: F.to_json(normalize_tags(c)),
-    "toArray": lambda c: F.to_json(to_array(c)),
+    "toArray": lambda c: json_dumps_list(to_array(c)),
 }
 
 # Survey tree variants.
@@ -371,6 +381,6 @@ SURVEY_STANDARDISERS.update({
     "toBoolean": survey_to_boolean,
     "normalizeBoolean": survey_to_boolean,
     "parseDate": survey_parse_date,
-    "toArray": lambda c: F.to_json(survey_to_array(c)),
+    "toArray": lambda c: json_dumps_list(survey_to_array(c)),
     "trimEmoji": trim_emoji,
 })

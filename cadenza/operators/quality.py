@@ -33,6 +33,7 @@ class TableRules:
     rename: Mapping[str, str] = field(default_factory=dict)
     subheader_key: str | None = None            # SRC-03: key column of sub-header rows
     subheader_values: Sequence[str] = ()        # ... and the values that mark them
+    header_rows: int = 1                        # SRC-02: header lines of the raw file
     standardisers: Mapping | None = None
     validators: Mapping | None = None
 
@@ -56,6 +57,13 @@ class CleanResult:
     selected: list[str]
     missing: list[str]
     rules: dict[str, list[str]]
+    standardised: dict[str, list[str]] = field(default_factory=dict)
+
+    def applied(self) -> DataFrame:
+        """SRC-18: standardisers applied per column (a small frame)."""
+        spark = self.flagged.sparkSession
+        rows = [(c, ", ".join(r)) for c, r in self.standardised.items() if r]
+        return spark.createDataFrame(rows, "column string, standardisers string")
 
     def failures(self) -> DataFrame:
         """AGG-31: ``column:rule`` → count, descending."""
@@ -141,4 +149,27 @@ def clean_table(df: DataFrame, rules: TableRules, *, as_of=None, strict_int: boo
         for c in selected:
             if isinstance(types[c], T.BooleanType):
                 clean = clean.withColumn(c, F.coalesce(F.col(c), F.lit(True)))
-    return CleanResult(clean, flagged, selected, missing, eff_val)
+    return CleanResult(clean, flagged, selected, missing, eff_val, eff_std)
+
+
+def clean_file(spark, path: str, rules: TableRules, **kw) -> CleanResult:
+    """JOB-01 from a raw file: k-row header scan (SRC-01…04), then ``clean_table``."""
+    from ..sources.csv import read_raw_csv
+    raw = read_raw_csv(spark, path, header_rows=rules.header_rows)
+    return clean_table(raw, rules, **kw)
+
+
+def clean_folder(spark, folder: str, presets: dict, names=None, **kw) -> dict:
+    """SRC-06: every ``*.csv`` of a folder (or the named ones) with a preset;
+    files without one are reported and skipped."""
+    import warnings
+    from ..sources.csv import list_csv
+    out = {}
+    for path in list_csv(spark, folder, names):
+        name = path.rsplit("/", 1)[-1]
+        rules = presets.get(name)
+        if rules is None:
+            warnings.warn(f"no rule set for {name}; skipped")
+            continue
+        out[name] = clean_file(spark, path, rules, **kw)
+    return out

@@ -90,3 +90,8 @@ def test_tokenize(spark):
 def test_json_list_text(spark):
     df = spark.createDataFrame([([21, 103],)], "a array<bigint>")
     assert df.select(S.json_list_text(F.col("a"))).collect()[0][0] == "[21, 103]"
+
+
+def test_json_dumps_list(spark):
+    df = spark.createDataFrame([(["21", "a b", 'q"t', "1.5"],)], "a array<string>")
+    assert df.select(S.json_dumps_list(F.col("a"))).collect()[0][0] == '[21, "a b", "q\\"t", 1.5]'
