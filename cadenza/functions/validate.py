@@ -52,11 +52,12 @@ def positive_number(c, ctx):
 
 
 def is_lower(c, ctx):
-    return F.lit(True) if not isinstance(ctx.dtype, T.StringType) else _passes_if_null(c, c == F.lower(c))
+    """Text equal to its lower-case form; a non-text value fails (null passes)."""
+    return c.isNull() if not isinstance(ctx.dtype, T.StringType) else _passes_if_null(c, c == F.lower(c))
 
 
 def is_upper(c, ctx):
-    return F.lit(True) if not isinstance(ctx.dtype, T.StringType) else _passes_if_null(c, c == F.upper(c))
+    return c.isNull() if not isinstance(ctx.dtype, T.StringType) else _passes_if_null(c, c == F.upper(c))
 
 
 def _as_ts(c, ctx) -> Column:
@@ -87,7 +88,8 @@ def is_float(c, ctx):
 
 
 def is_string(c, ctx):
-    return F.lit(True)
+    """A text value (after conversion every ``string``-typed column is text)."""
+    return F.lit(True) if isinstance(ctx.dtype, T.StringType) else c.isNull()
 
 
 def is_date(c, ctx):
@@ -97,8 +99,8 @@ def is_date(c, ctx):
 
 
 def is_boolean(c, ctx):
-    return F.lit(True) if isinstance(ctx.dtype, T.BooleanType) else _passes_if_null(
-        c, F.lower(c.cast("string")).isin("true", "false"))
+    """A real boolean (the typed conversion makes one); other values fail."""
+    return F.lit(True) if isinstance(ctx.dtype, T.BooleanType) else c.isNull()
 
 
 def is_array(c, ctx):
