@@ -21,9 +21,11 @@ NUMS = ["p_size", "p_retailprice"]
 TOP = 20
 
 
-def _features(spark, sf_dir):
+def _features(spark, sf_dir, binary: bool = False):
+    """Catalogue features: TF-IDF postings (user-profile recommenders) or
+    binary presence postings (the item-to-item recommender)."""
     part = T(spark, sf_dir, "part")
-    return part, R.text_postings(part, "p_partkey", TEXT), R.numeric_block(part, "p_partkey", NUMS)
+    return part, R.text_postings(part, "p_partkey", TEXT, binary=binary), R.numeric_block(part, "p_partkey", NUMS)
 
 
 def _history(spark, sf_dir):
@@ -77,8 +79,14 @@ scaled AS (
 """
 
 
-@query("item_similarity_text", ("REC-01", "REC-02", "REC-03", "REC-04", "REC-05", "TOP-04", "SCL-27"),
-       _FEATURES_SQL + """
+_BINARY_SQL = _FEATURES_SQL.replace(
+    "wt AS (\n  SELECT tf.item, tf.comp, tf.term, tf.tf * (ln((1.0 + nn.n) / (1.0 + dfreq.df)) + 1.0) AS w\n"
+    "  FROM tf JOIN dfreq USING (comp, term) CROSS JOIN nn\n)",
+    "wt AS (SELECT item, comp, term, 1.0 AS w FROM tf)")
+
+
+@query("item_similarity_text", ("REC-01", "REC-02", "REC-04", "REC-05", "TOP-04", "SCL-27"),
+       _BINARY_SQL + """
 , seed AS (SELECT l_partkey AS item FROM lineitem GROUP BY l_partkey ORDER BY count(*) DESC, l_partkey LIMIT 1),
 qp AS (SELECT comp, term, w AS qw FROM postings WHERE item = (SELECT item FROM seed)),
 qn AS (SELECT comp, sqrt(sum(qw * qw)) AS qn FROM qp GROUP BY comp),
@@ -97,7 +105,7 @@ aud AS (
 SELECT item AS p_partkey, round(score, 6) AS score FROM sc ORDER BY round(score, 9) DESC, item LIMIT 20
 """)
 def item_similarity_text(spark, sf_dir):
-    part, postings, numeric = _features(spark, sf_dir)
+    part, postings, numeric = _features(spark, sf_dir, binary=True)
     out = R.item_similarity(postings, numeric, part, "p_partkey", _seed_item(spark, sf_dir), len(TEXT),
                             audio_weight=0.5, top_n=TOP)
     return out.select("p_partkey", rnd("score").alias("score"))
@@ -134,7 +142,7 @@ def _hybrid(spark, sf_dir, mode, noise=0.0):
     return out.select("p_partkey", rnd("score").alias("score"))
 
 
-@query("hybrid_user_recs", ("REC-08", "REC-12", "REC-16", "JOIN-17", "JOIN-11"),
+@query("hybrid_user_recs", ("REC-03", "REC-08", "REC-12", "REC-16", "JOIN-17", "JOIN-11"),
        _user_sql("coalesce(t.text_sum, 0.0) / 3.0"))
 def hybrid_user_recs(spark, sf_dir):
     return _hybrid(spark, sf_dir, "mk1")
