@@ -42,6 +42,13 @@ def _scale(s) -> float:
     return 1.0 if s is None or s == 0 or (isinstance(s, float) and math.isnan(s)) else float(s)
 
 
+def impute_median(df: DataFrame, cols: Sequence[str], medians: dict | None = None,
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Median imputation only (enough for correlations: they ignore scale)."""
+    med = medians if medians is not None else column_medians(df, cols)
+    return df.select(*keep, *[F.coalesce(F.col(c).cast("double"), literal(med[c])).alias(c) for c in cols])
+
+
 def impute_standardise(df: DataFrame, cols: Sequence[str], ddof: int = 0, keep: Sequence[str] = (),
                        medians: dict | None = None) -> DataFrame:
     """STAT-01 / REG-02: median imputation then z-score (ddof 0 or 1).

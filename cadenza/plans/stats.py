@@ -49,8 +49,7 @@ def _corr(spark, sf_dir, with_medians: bool = False):
     correlations in one aggregate; the medians are returned for reuse."""
     block = _block(spark, sf_dir).select(*PCA_VARS)
     med = S.column_medians(block, PCA_VARS)
-    z = S.impute_standardise(block, PCA_VARS, ddof=0, medians=med)
-    R, n = S.correlation_matrix(z, PCA_VARS)
+    R, n = S.correlation_matrix(S.impute_median(block, PCA_VARS, med), PCA_VARS)   # r ignores scaling
     return (R, n, med) if with_medians else (R, n)
 
 
