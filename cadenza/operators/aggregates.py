@@ -135,7 +135,7 @@ def group_means(df: DataFrame, key: str, values: Sequence[str], count_col: str |
     return df.groupBy(key).agg(*aggs)
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
+def frequency_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
     """AGG-09: exact, linearly interpolated quantiles of a column (one row).
 
     Values are first reduced to (value, frequency) so the percentile buffer

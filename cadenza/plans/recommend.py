@@ -28,6 +28,21 @@ def _features(spark, sf_dir, binary: bool = False):
     return part, R.text_postings(part, "p_partkey", TEXT, binary=binary), R.numeric_block(part, "p_partkey", NUMS)
 
 
+ITEM_TEXT = {"titles": "p_name", "artists": "artists", "genres": "p_type"}
+
+
+def _item_features(spark, sf_dir):
+    """REC-01: the item-to-item catalogue frame -- title, genre, and the
+    distinct names of the suppliers (artists) of each part's line items."""
+    part = T(spark, sf_dir, "part")
+    lines = T(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").join(
+        T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
+    cat = R.catalogue_features(part.select("p_partkey", "p_name", "p_type", *NUMS), "p_partkey",
+                               [(lines, "l_partkey", "s_name", "artists")])
+    return (cat, R.text_postings(cat, "p_partkey", ITEM_TEXT, binary=True),
+            R.numeric_block(cat, "p_partkey", NUMS))
+
+
 def _history(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = T(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
@@ -82,10 +97,15 @@ scaled AS (
 _BINARY_SQL = _FEATURES_SQL.replace(
     "wt AS (\n  SELECT tf.item, tf.comp, tf.term, tf.tf * (ln((1.0 + nn.n) / (1.0 + dfreq.df)) + 1.0) AS w\n"
     "  FROM tf JOIN dfreq USING (comp, term) CROSS JOIN nn\n)",
-    "wt AS (SELECT item, comp, term, 1.0 AS w FROM tf)")
+    "wt AS (SELECT item, comp, term, 1.0 AS w FROM tf)").replace(
+    "  UNION ALL SELECT p_partkey, 'artists', p_brand FROM part\n",
+    "  UNION ALL SELECT p.p_partkey, 'artists', a.names FROM part p LEFT JOIN (\n"
+    "    SELECT l.l_partkey, string_agg(DISTINCT s.s_name, ' ') AS names\n"
+    "    FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey GROUP BY l.l_partkey\n"
+    "  ) a ON a.l_partkey = p.p_partkey\n")
 
 
-@query("item_similarity_text", ("REC-01", "REC-02", "REC-04", "REC-05", "TOP-04", "SCL-27"),
+@query("item_similarity_text", ("REC-01", "REC-02", "REC-04", "REC-05", "TOP-04", "SCL-27", "AGG-21"),
        _BINARY_SQL + """
 , seed AS (SELECT l_partkey AS item FROM lineitem GROUP BY l_partkey ORDER BY count(*) DESC, l_partkey LIMIT 1),
 qp AS (SELECT comp, term, w AS qw FROM postings WHERE item = (SELECT item FROM seed)),
@@ -105,8 +125,8 @@ aud AS (
 SELECT item AS p_partkey, round(score, 6) AS score FROM sc ORDER BY round(score, 9) DESC, item LIMIT 20
 """)
 def item_similarity_text(spark, sf_dir):
-    part, postings, numeric = _features(spark, sf_dir, binary=True)
-    out = R.item_similarity(postings, numeric, part, "p_partkey", _seed_item(spark, sf_dir), len(TEXT),
+    part, postings, numeric = _item_features(spark, sf_dir)
+    out = R.item_similarity(postings, numeric, part, "p_partkey", _seed_item(spark, sf_dir), len(ITEM_TEXT),
                             audio_weight=0.5, top_n=TOP)
     return out.select("p_partkey", rnd("score").alias("score"))
 
