@@ -147,9 +147,34 @@ def frequency_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix:
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
-    """AGG-14: exact median by group over (keys, value, frequency) triples."""
+    """AGG-14: exact median by group (rows reduced to value frequencies first)."""
     freq = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__f"))
-    return freq.groupBy(*keys).agg(F.percentile(F.col(value), 0.5, F.col("__f")).alias(alias))
+    return median_from_frequencies(freq, keys, value, "__f", alias)
+
+
+def median_from_frequencies(freq: DataFrame, keys: Sequence[str], value: str, count: str, alias: str,
+                            q: float = 0.5) -> DataFrame:
+    """Exact, linearly interpolated quantile per group from (keys, value, count).
+
+    The wanted ranks are located with a running count along the sorted
+    values: an external (spilling) sort per group and a streaming running
+    sum, so a hot group with many distinct values never has to fit in one
+    in-memory map (as ``percentile``'s buffer must).
+    """
+    keys = list(keys)
+    totals = freq.groupBy(*keys).agg(F.sum(count).alias("__qtot"))
+    w = Window.partitionBy(*keys).orderBy(F.col(value)).rowsBetween(Window.unboundedPreceding, 0)
+    run = (freq.select(*keys, value, count).join(totals, keys).withColumn("__qcum", F.sum(count).over(w))
+           .withColumn("__qpos", (F.col("__qtot") - 1) * F.lit(q))
+           .withColumn("__qlo", F.floor("__qpos")).withColumn("__qhi", F.ceil("__qpos")))
+    prev = F.col("__qcum") - F.col(count)
+    hit_lo = (prev <= F.col("__qlo")) & (F.col("__qlo") < F.col("__qcum"))
+    hit_hi = (prev <= F.col("__qhi")) & (F.col("__qhi") < F.col("__qcum"))
+    picked = run.filter(hit_lo | hit_hi).groupBy(*keys).agg(
+        F.max(F.when(hit_lo, F.col(value))).alias("__qvlo"), F.max(F.when(hit_hi, F.col(value))).alias("__qvhi"),
+        F.first("__qpos").alias("__qpos"))
+    frac = F.col("__qpos") - F.floor("__qpos")
+    return picked.select(*keys, (F.col("__qvlo") + (F.col("__qvhi") - F.col("__qvlo")) * frac).alias(alias))
 
 
 def max_by_key(df: DataFrame, key: str, value: str, alias: str = "max_value") -> DataFrame:

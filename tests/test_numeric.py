@@ -85,3 +85,14 @@ def test_subset_search_stops_at_target():
     names = list("abcde")
     keep, res = S.subset_search(R, 100, names, min_cols=4, target=0.5)
     assert len(keep) >= 4
+
+
+def test_grouped_median_matches_pandas(spark):
+    from cadenza.operators.aggregates import grouped_median
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.integers(0, 4, 3000), "v": rng.integers(0, 40, 3000).astype(float)})
+    pdf.loc[pdf.g == 0, "v"] = 7.0                      # a group with a single value
+    pdf = pd.concat([pdf, pd.DataFrame({"g": [9, 9], "v": [1.0, 2.0]})])
+    got = {r["g"]: r["m"] for r in grouped_median(spark.createDataFrame(pdf), ["g"], "v", "m").collect()}
+    want = pdf.groupby("g")["v"].median().to_dict()
+    assert got == pytest.approx(want)
