@@ -149,6 +149,19 @@ def nested_lookup(entity: DataFrame, child: DataFrame, key: str, out_col: str,
     return entity.join(agg.withColumnRenamed("__items", out_col), key, "left")
 
 
+def children_long(entity: DataFrame, child: DataFrame, key: str, fields: Sequence[str],
+                  order_by: Sequence[str]) -> DataFrame:
+    """JOIN-13 / AGG-22 in long form: (key, position, fields) for every child
+    of an entity, in ``order_by`` order; entities without children keep one
+    row with a null position.  No array is built, so an entity with an
+    unbounded number of children never becomes one giant value; positions
+    come from a spilling per-key sort."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order_by])
+    ranked = child.select(key, *fields, *[c for c in order_by if c not in fields]).withColumn(
+        "position", F.row_number().over(w))
+    return entity.select(key).join(ranked.select(key, "position", *fields), key, "left")
+
+
 def ci_equi_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
                  how: str = "inner") -> DataFrame:
     """JOIN-15: ``lower(a) = lower(b)`` as an equi-join on normalised keys."""

@@ -361,3 +361,17 @@ def track_audio_view(spark, sf_dir):
     return v.select("p_partkey", "p_size", rnd("p_retailprice").alias("p_retailprice"),
                     F.get_json_object("temporal_features", "$.n_lines").cast("long").alias("n_lines"),
                     rnd(F.get_json_object("temporal_features", "$.avg_qty").cast("double")).alias("avg_qty"))
+
+
+@query("listen_history_long", ("VIEW-08", "JOIN-13", "AGG-22"), """
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS position,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS item
+FROM events WHERE event_type = 'view'
+""")
+def listen_history_long(spark, sf_dir):
+    """The listen-history view in long form: one row per (user, position)."""
+    ev = T(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    ev = ev.withColumn("item", F.get_json_object("props", "$.k").cast("long"))
+    users = ev.select("user_id").distinct()
+    out = J.children_long(users, ev, "user_id", ["item"], ["ts", "event_id"])
+    return out.select("user_id", F.col("position").cast("long"), "item")
