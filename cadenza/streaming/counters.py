@@ -3,9 +3,10 @@
 The source has no streaming operator; its incremental logic is row triggers.
 The additive ones run here as Structured Streaming aggregations over an
 append-only event stream.  Results never go through driver memory: every
-micro-batch upserts the changed keys into a versioned parquet table under
-the cluster's shared checkpoint folder (``foreachBatch``; the version is the
-epoch id, so a retried epoch rewrites the same version -- idempotent).
+micro-batch upserts the changed keys into a key-bucketed parquet table under
+the cluster's shared checkpoint folder (``foreachBatch``): only the buckets a
+batch touches are rewritten, into a folder named by the epoch id, so a
+retried epoch rewrites the same folder -- idempotent.
 ``trigger(availableNow=True)`` drains what exists and stops, which is also
 how the batch-equivalence checks run.
 """
@@ -35,33 +36,70 @@ def _run_dir(spark: SparkSession, tag: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"stream-{tag}-{uuid.uuid4().hex[:10]}")
 
 
+def _latest_manifest(spark: SparkSession, base: str) -> tuple[int, dict[int, str]]:
+    """(epoch, {bucket: path}) of the newest manifest written under ``base``."""
+    try:
+        rows = spark.read.parquet(os.path.join(base, "manifest")).collect()
+    except Exception:  # noqa: BLE001 - no manifest yet: a fresh run
+        return -1, {}
+    if not rows:
+        return -1, {}
+    last = max(r["epoch"] for r in rows)
+    return last, {r["bucket"]: r["path"] for r in rows if r["epoch"] == last}
+
+
 def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str = "update",
-               run_dir: str | None = None) -> DataFrame:
-    """Drain ``agg`` with availableNow; upsert each micro-batch into
-    ``<run_dir>/table/v<epoch>``; return the final table (a batch DataFrame)."""
+               run_dir: str | None = None, buckets: int = 64) -> DataFrame:
+    """Drain ``agg`` with availableNow and upsert every micro-batch into a
+    key-bucketed table; return the final table (a batch DataFrame).
+
+    Rows live in ``buckets`` hash buckets of the key.  An epoch rewrites only
+    the buckets its keys touch (old rows of those buckets minus the batch's
+    keys, plus the batch) into ``table/v<epoch>/__bucket=<b>``; untouched
+    buckets keep pointing at their previous folder.  The bucket → folder
+    manifest of every epoch is written next to the table (one tiny file per
+    epoch), so a retried epoch starts from the previous epoch's manifest
+    (idempotent) and a restarted driver recovers the latest one.
+    """
     spark = agg.sparkSession
     base = run_dir or _run_dir(spark, tag)
     table = os.path.join(base, "table")
-    state = {"last": None}
+    last_epoch, last = _latest_manifest(spark, base)
+    manifests: dict[int, dict[int, str]] = {last_epoch: last}
+    bucket_of = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
     def upsert(batch: DataFrame, epoch: int) -> None:
+        before = manifests.get(epoch - 1, manifests[max(e for e in manifests if e < epoch)]
+                               if any(e < epoch for e in manifests) else {})
+        b = batch.withColumn("__bucket", bucket_of)
+        touched = sorted(r[0] for r in b.select("__bucket").distinct().collect())   # ≤ buckets values
+        if not touched:
+            manifests[epoch] = dict(before)
+            return
+        olds = [before[t] for t in touched if t in before]
+        merged = b
+        if olds:
+            old = spark.read.schema(batch.schema).parquet(*olds).withColumn("__bucket", bucket_of)
+            merged = old.join(b.select(*keys), list(keys), "left_anti").unionByName(b)
         out = os.path.join(table, f"v{epoch:09d}")
-        prev = state["last"]
-        if prev is None:
-            merged = batch
-        else:
-            old = spark.read.parquet(prev)
-            merged = old.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
-        merged.write.mode("overwrite").parquet(out)
-        state["last"] = out
+        merged.write.mode("overwrite").partitionBy("__bucket").parquet(out)
+        now = dict(before)
+        now.update({t: os.path.join(out, f"__bucket={t}") for t in touched})
+        spark.createDataFrame([(epoch, k, v) for k, v in sorted(now.items())],
+                              "epoch long, bucket int, path string") \
+            .coalesce(1).write.mode("overwrite").parquet(os.path.join(base, "manifest", f"epoch={epoch:09d}"))
+        manifests[epoch] = now
+        for e in [e for e in manifests if e < epoch - 1]:
+            del manifests[e]
 
     q = (agg.writeStream.outputMode(output_mode).foreachBatch(upsert)
          .option("checkpointLocation", os.path.join(base, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if state["last"] is None:
+    final = manifests[max(manifests)]
+    if not final:
         return spark.createDataFrame([], agg.schema)
-    return spark.read.parquet(state["last"])
+    return spark.read.schema(agg.schema).parquet(*final.values())
 
 
 def run_append(stream: DataFrame, tag: str, run_dir: str | None = None) -> DataFrame:
