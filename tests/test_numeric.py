@@ -96,3 +96,15 @@ def test_grouped_median_matches_pandas(spark):
     got = {r["g"]: r["m"] for r in grouped_median(spark.createDataFrame(pdf), ["g"], "v", "m").collect()}
     want = pdf.groupby("g")["v"].median().to_dict()
     assert got == pytest.approx(want)
+
+
+def test_apply_prep_fills_absent_columns(spark):
+    from cadenza.operators import regress as G
+    train = spark.createDataFrame([(1.0, 10.0, 5.0), (3.0, 30.0, 7.0), (5.0, None, 9.0)], "a double, b double, y double")
+    meta = G.fit_prep(train, ["a", "b"], "y")
+    assert meta.medians == {"a": 3.0, "b": 20.0}
+    new = spark.createDataFrame([(3.0,), (float("inf"),)], "a double")        # column b absent, a infinite
+    out = G.apply_prep(new, meta).collect()
+    b_z = (20.0 - meta.means["b"]) / meta.stds["b"]
+    assert out[0]["a"] == pytest.approx(0.0) and out[0]["b"] == pytest.approx(b_z)
+    assert out[1]["a"] == pytest.approx(0.0)                                  # inf -> median -> 0
