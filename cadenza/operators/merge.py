@@ -36,3 +36,20 @@ def merge_catalog(tracks: DataFrame, key: str, genre_list_col: str, genres: Data
         out = (out.repartitionByRange(F.asc_nulls_last(key), F.asc_nulls_last(genre_key))
                .sortWithinPartitions(F.asc_nulls_last(key), F.asc_nulls_last(genre_key)))
     return out
+
+
+def merge_job(tracks: DataFrame, key: str, genre_list_col: str, genres: DataFrame, genre_key: str,
+              merges: Sequence[dict], fill_from: Sequence[tuple[str, str]] = (), out_path: str | None = None,
+              dry_run: bool = False, fmt: str = "parquet") -> DataFrame:
+    """SRC-09: build the merged table; write it once unless ``dry_run``
+    (the frame is returned either way, lazily)."""
+    merged = merge_catalog(tracks, key, genre_list_col, genres, genre_key, merges, fill_from)
+    if not dry_run:
+        if out_path is None:
+            raise ValueError("out_path is required unless dry_run")
+        out = merged
+        if fmt == "csv":
+            from ..sources.csv import to_text_columns
+            out = to_text_columns(merged)
+        out.write.mode("overwrite").format(fmt).option("header", "true").save(out_path)
+    return merged

@@ -165,6 +165,17 @@ def loadings_table(spark: SparkSession, res: PcaResult) -> DataFrame:
     return spark.createDataFrame(rows, "variable string, dimension string, loading double")
 
 
+def top_loadings(spark: SparkSession, res: PcaResult, k: int = 30) -> DataFrame:
+    """TOP-08: the ``k`` variables with the longest (Dim1, Dim2) loading vector."""
+    if res.loadings.shape[1] < 2:
+        raise ValueError("need at least two dimensions")
+    strength = np.sqrt(res.loadings[:, 0] ** 2 + res.loadings[:, 1] ** 2)
+    order = sorted(range(len(res.names)), key=lambda i: (-strength[i], res.names[i]))[:k]
+    rows = [(res.names[i], float(res.loadings[i, 0]), float(res.loadings[i, 1]), float(strength[i]), r + 1)
+            for r, i in enumerate(order)]
+    return spark.createDataFrame(rows, "variable string, dim1 double, dim2 double, strength double, rank int")
+
+
 def coordinates(z: DataFrame, res: PcaResult, key: str, label: str | None = None, top_labels_n: int = 12,
                 other: str = "Autre", dims: int = 2) -> DataFrame:
     """STAT-06 / TOP-08: Dim1/Dim2 per row (dot products with literal

@@ -159,16 +159,18 @@ binned AS (
   SELECT w.l_suppkey, coalesce((SELECT min(k) FROM edges WHERE k BETWEEN 1 AND 11 AND w.v <= e), 12) AS bin FROM work w
 ), counts AS (SELECT l_suppkey, bin, count(*) AS n FROM binned GROUP BY 1, 2),
 grid AS (SELECT DISTINCT w.l_suppkey, m.bin, m.x FROM work w, mids m)
-SELECT g.l_suppkey, CAST(g.bin AS INTEGER) AS bin, round(g.x, 6) AS x, coalesce(c.n, 0) AS count
+SELECT g.l_suppkey, coalesce(s.s_name, 'Artist ' || g.l_suppkey) AS name, CAST(g.bin AS INTEGER) AS bin,
+       round(g.x, 6) AS x, coalesce(c.n, 0) AS count
 FROM grid g LEFT JOIN counts c ON c.l_suppkey = g.l_suppkey AND c.bin = g.bin
+LEFT JOIN supplier s ON s.s_suppkey = g.l_suppkey
 """)
 def binned_counts_top_keys(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_extendedprice")
-    sup = T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_acctbal")
+    sup = T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_acctbal", "s_name")
     facts = J.priority_merge(li, sup, "l_suppkey")
     out = C.binned_counts_top_keys(facts, "l_suppkey", "l_partkey", "l_extendedprice", "s_acctbal",
-                                   top_n=9, bins=12)
-    return out.select("l_suppkey", "bin", rnd("x").alias("x"), "count")
+                                   top_n=9, bins=12, name_col="s_name")
+    return out.select("l_suppkey", "name", "bin", rnd("x").alias("x"), "count")
 
 
 @query("max_by_key_top", ("AGG-11", "TOP-03"), """

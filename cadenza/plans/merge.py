@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.merge import merge_catalog
+from ..operators.merge import merge_job
 from ..sources.columns import all_plus_derived, strip_dots
 from .common import T, rnd
 from .registry import query
@@ -48,10 +48,10 @@ def merge_catalog_query(spark, sf_dir):
     artists = T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("artist_id"), F.col("s_name").alias("artist_name"))
     feats = (T(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("track_id"))
              .agg(F.count(F.lit(1)).alias("n_lines")))
-    out = merge_catalog(_tracks(spark, sf_dir), "track_id", "track_genres", genres, "genre_id",
-                        [{"df": artists, "key": "artist_id", "suffix": "artist"},
-                         {"df": feats, "key": "track_id", "suffix": "features"}],
-                        fill_from=[("track_listens", "n_lines")])
+    out = merge_job(_tracks(spark, sf_dir), "track_id", "track_genres", genres, "genre_id",
+                    [{"df": artists, "key": "artist_id", "suffix": "artist"},
+                     {"df": feats, "key": "track_id", "suffix": "features"}],
+                    fill_from=[("track_listens", "n_lines")], dry_run=True)
     return out.select("track_id", F.col("genre_id").cast("int"), "genre_title", "artist_name",
                       F.col("track_listens").cast("long"), "track_genres", "n_lines")
 

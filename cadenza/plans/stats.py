@@ -17,6 +17,15 @@ from .registry import query
 PCA_VARS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_size", "p_retailprice"]
 
 
+ID_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey"]
+
+
+def _pca_columns(block):
+    """PRJ-07: numeric columns by type minus identifiers, in the preferred order."""
+    from ..sources.columns import numeric_columns
+    return numeric_columns(block, exclude=ID_COLUMNS, preferred=PCA_VARS)
+
+
 def _block(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag",
@@ -47,9 +56,11 @@ def _corr_sql():
 def _corr(spark, sf_dir, with_medians: bool = False):
     """Medians (histogram refinement), moments, then all pairwise
     correlations in one aggregate; the medians are returned for reuse."""
-    block = _block(spark, sf_dir).select(*PCA_VARS)
-    med = S.column_medians(block, PCA_VARS)
-    R, n = S.correlation_matrix(S.impute_median(block, PCA_VARS, med), PCA_VARS)   # r ignores scaling
+    full = _block(spark, sf_dir)
+    cols = _pca_columns(full)
+    block = full.select(*cols)
+    med = S.column_medians(block, cols)
+    R, n = S.correlation_matrix(S.impute_median(block, cols, med), cols)   # r ignores scaling
     return (R, n, med) if with_medians else (R, n)
 
 
@@ -95,6 +106,14 @@ def pca_loadings(spark, sf_dir):
     return S.loadings_table(spark, res).select("variable", "dimension", rnd("loading").alias("loading"))
 
 
+@query("pca_top_loadings", ("TOP-08", "STAT-05"))
+def pca_top_loadings(spark, sf_dir):
+    _, res = _pca(spark, sf_dir)
+    t = S.top_loadings(spark, res, k=30)
+    return t.select("variable", rnd("dim1").alias("dim1"), rnd("dim2").alias("dim2"), rnd("strength").alias("strength"),
+                    "rank")
+
+
 @query("pca_coordinates", ("STAT-06", "TOP-08"))
 def pca_coordinates(spark, sf_dir):
     names, res, med = _pca(spark, sf_dir, with_medians=True)

@@ -63,3 +63,17 @@ def test_popularity_smoothing_dense_grid(spark):
     assert out[(2001, "g2")] == 10.0           # missing cell smoothed from the previous year
     assert out[(2002, "g2")] == 20.0
     assert out[(2001, "g1")] == 2.0
+
+
+def test_merge_job_writes_csv(spark, tmp_path):
+    from cadenza.operators.merge import merge_job
+    tracks = spark.createDataFrame([(1, "[10, 20]", None), (2, "[]", 5)], "track_id int, track_genres string, listens int")
+    genres = spark.createDataFrame([(10, "rock")], "genre_id int, title string")
+    raw = spark.createDataFrame([(1, 7)], "track_id int, raw_listens int")
+    out = str(tmp_path / "merged")
+    merged = merge_job(tracks, "track_id", "track_genres", genres, "genre_id",
+                       [{"df": raw, "key": "track_id"}], fill_from=[("listens", "raw_listens")], out_path=out, fmt="csv")
+    back = spark.read.option("header", "true").csv(out)
+    rows = sorted((r["track_id"], r["genre_id"], r["listens"], r["track_genres"]) for r in back.collect())
+    assert rows == [("1", "10", "7", "[10, 20]"), ("1", "20", "7", "[10, 20]"), ("2", None, "5", "[]")]
+    assert merged.count() == 3
