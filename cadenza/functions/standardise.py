@@ -3,7 +3,7 @@
 Raw tables are read with every column as text.  A standardiser maps text to
 text and *keeps* input it cannot parse (the typed conversion of SCL-20 turns
 what is left into NULL), so several standardisers can be chained in rule
-order exactly like the reference's per-value functions -- but here they are
+order exactly like the source application's per-value functions -- but here they are
 one projection that whole-stage codegen compiles, with no Python per row.
 """
 
@@ -14,7 +14,7 @@ from typing import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace the reference strips (Python str.strip): ASCII + Unicode spaces.
+# Whitespace the source application strips (Python str.strip): ASCII + Unicode spaces.
 _WS = r"[\s\p{Z}\x{FEFF}]"
 
 # Truthy / falsy words of toBoolean; the survey variant adds oui / non.

@@ -96,7 +96,7 @@ def top_n_with_others(df: DataFrame, label: str, value: str | None, n: int,
 
     ``value=None`` counts rows.  Adds ``share`` (% of the grand total, null
     when the total is 0).  The roll-up row appears only when there are more
-    than ``n`` labels, as in the reference.
+    than ``n`` labels, as in the source application.
     """
     base = df.dropna(subset=[label] + ([value] if value else []))
     measure = F.sum(value) if value else F.count(F.lit(1))

@@ -51,7 +51,7 @@ def explode_join(df: DataFrame, list_col: str, dim: DataFrame, dim_key: str,
     """JOIN-02/14: explode a list key, then join a dimension on it.
 
     ``explode_outer`` keeps rows whose list is empty or null as one row with a
-    null key, as the reference does.  Use ``how='inner'`` for the
+    null key, as the source application does.  Use ``how='inner'`` for the
     ``CROSS JOIN LATERAL unnest`` form that drops them.
     """
     out_key = out_key or dim_key

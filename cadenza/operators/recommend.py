@@ -54,7 +54,7 @@ def text_postings(items: DataFrame, key: str, components: dict[str, str], *,
                   stop_words: Sequence[str] | None = None, binary: bool = False) -> DataFrame:
     """REC-02 / REC-03: postings (item, comp, term, w).
 
-    TF-IDF as the reference's vectoriser: tf = raw count, idf =
+    TF-IDF as the source application's vectoriser: tf = raw count, idf =
     ln((1 + n) / (1 + df)) + 1 with n = number of items, then L2 norm per
     (item, comp).  ``binary=True`` gives presence vectors (weight 1, same
     normalisation).  Empty text gives no posting (a zero vector: cosine 0).
@@ -290,7 +290,7 @@ def profile_similarity(profiles: DataFrame, key: str, target, attributes: Sequen
 
 def _genre_gate(df: DataFrame, genre_col: str, target_genres: DataFrame) -> DataFrame:
     """Keep rows whose genre is a target genre -- or all rows when the target
-    has no genre preference (the reference's ``has_genres`` branch, set-based)."""
+    has no genre preference (the source application's ``has_genres`` branch, set-based)."""
     n_pref = target_genres.agg(F.count(F.lit(1))).scalar()
     flagged = df.join(target_genres.select(F.col("genre").alias(genre_col), F.lit(True).alias("__pref")).distinct(),
                       genre_col, "left")

@@ -111,7 +111,7 @@ def mean_abs_offdiag(R: np.ndarray) -> np.ndarray:
 
 def pca_from_corr(R: np.ndarray, n: int, names: Sequence[str], max_components: int = 10) -> PcaResult:
     """STAT-03/04/05: PCA of z-scored (ddof 0) data = eigen of R; eigenvalues
-    reported as λ·n/(n−1) like the reference's explained variance."""
+    reported as λ·n/(n−1) like the source application's explained variance."""
     w, V = np.linalg.eigh(R)
     order = np.argsort(w)[::-1]
     w, V = w[order], V[:, order]

@@ -39,7 +39,7 @@ def load_links(fact: DataFrame, fact_id: str, fact_entity: str, must_exist: Data
                fk_col: str, fk_entity: str, optional: DataFrame | None = None, optional_key: str | None = None,
                optional_fk: str | None = None, optional_entity: str | None = None) -> DataFrame:
     """LOAD-04 / JOIN-06: facts whose mandatory parent exists (semi join: the
-    reference's inner join drops unknown artists), optional parent kept only
+    source's inner join drops unknown artists), optional parent kept only
     when it exists (left join), ids mapped by expression."""
     kept = fact.join(must_exist.select(F.col(must_key).alias(fk_col)).distinct(), fk_col, "left_semi")
     cols = [surrogate_id(fact_entity, F.col(fact_id)).alias(f"{fact_entity}_uuid"),
