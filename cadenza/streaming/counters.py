@@ -13,10 +13,12 @@ how the batch-equivalence checks run.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from typing import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,20 +38,41 @@ def _run_dir(spark: SparkSession, tag: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"stream-{tag}-{uuid.uuid4().hex[:10]}")
 
 
-def _latest_manifest(spark: SparkSession, base: str) -> tuple[int, dict[int, str]]:
-    """(epoch, {bucket: path}) of the newest manifest written under ``base``."""
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _write_manifest(spark: SparkSession, base: str, epoch: int, manifest: dict[int, str]) -> None:
+    """One small JSON file per epoch, written with the file-system API (no job)."""
+    fs, p = _fs(spark, os.path.join(base, "manifest", f"epoch-{epoch:09d}.json"))
+    out = fs.create(p, True)
     try:
-        rows = spark.read.parquet(os.path.join(base, "manifest")).collect()
-    except Exception:  # noqa: BLE001 - no manifest yet: a fresh run
+        out.write(bytearray(json.dumps({str(k): v for k, v in sorted(manifest.items())}).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _latest_manifest(spark: SparkSession, base: str) -> tuple[int, dict[int, str]]:
+    """(epoch, {bucket: path}) of the newest manifest under ``base`` (a restart)."""
+    fs, p = _fs(spark, os.path.join(base, "manifest"))
+    if not fs.exists(p):
         return -1, {}
-    if not rows:
+    names = sorted(str(st.getPath().getName()) for st in fs.listStatus(p) if str(st.getPath().getName()).endswith(".json"))
+    if not names:
         return -1, {}
-    last = max(r["epoch"] for r in rows)
-    return last, {r["bucket"]: r["path"] for r in rows if r["epoch"] == last}
+    latest = names[-1]
+    stream = fs.open(fs.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, latest)))
+    try:
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return int(latest[len("epoch-"):-len(".json")]), {int(k): v for k, v in json.loads(data).items()}
 
 
 def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str = "update",
-               run_dir: str | None = None, buckets: int = 64) -> DataFrame:
+               run_dir: str | None = None, buckets: int = 16) -> DataFrame:
     """Drain ``agg`` with availableNow and upsert every micro-batch into a
     key-bucketed table; return the final table (a batch DataFrame).
 
@@ -71,7 +94,15 @@ def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str =
     def upsert(batch: DataFrame, epoch: int) -> None:
         before = manifests.get(epoch - 1, manifests[max(e for e in manifests if e < epoch)]
                                if any(e < epoch for e in manifests) else {})
-        b = batch.withColumn("__bucket", bucket_of)
+        # Two actions read the micro-batch (touched buckets, then the write):
+        # keep it for the epoch instead of re-running the stateful step.
+        b = batch.withColumn("__bucket", bucket_of).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _merge_epoch(b, epoch, before)
+        finally:
+            b.unpersist()
+
+    def _merge_epoch(b: DataFrame, epoch: int, before: dict) -> None:
         touched = sorted(r[0] for r in b.select("__bucket").distinct().collect())   # ≤ buckets values
         if not touched:
             manifests[epoch] = dict(before)
@@ -79,15 +110,13 @@ def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str =
         olds = [before[t] for t in touched if t in before]
         merged = b
         if olds:
-            old = spark.read.schema(batch.schema).parquet(*olds).withColumn("__bucket", bucket_of)
+            old = spark.read.schema(agg.schema).parquet(*olds).withColumn("__bucket", bucket_of)
             merged = old.join(b.select(*keys), list(keys), "left_anti").unionByName(b)
         out = os.path.join(table, f"v{epoch:09d}")
         merged.write.mode("overwrite").partitionBy("__bucket").parquet(out)
         now = dict(before)
         now.update({t: os.path.join(out, f"__bucket={t}") for t in touched})
-        spark.createDataFrame([(epoch, k, v) for k, v in sorted(now.items())],
-                              "epoch long, bucket int, path string") \
-            .coalesce(1).write.mode("overwrite").parquet(os.path.join(base, "manifest", f"epoch={epoch:09d}"))
+        _write_manifest(spark, base, epoch, now)
         manifests[epoch] = now
         for e in [e for e in manifests if e < epoch - 1]:
             del manifests[e]

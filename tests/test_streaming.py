@@ -25,3 +25,11 @@ def test_multi_epoch_upsert_equals_batch(spark, tmp_path):
     assert got == want
     versions = sorted(p.name for p in (tmp_path / "run" / "table").iterdir())
     assert len(versions) == 3                       # one folder per epoch, touched buckets only
+
+
+def test_manifest_roundtrip(spark, tmp_path):
+    base = str(tmp_path / "m")
+    assert C._latest_manifest(spark, base) == (-1, {})
+    C._write_manifest(spark, base, 3, {1: "/a", 0: "/b"})
+    C._write_manifest(spark, base, 12, {1: "/c"})
+    assert C._latest_manifest(spark, base) == (12, {1: "/c"})
