@@ -59,10 +59,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, tag: str = "cut"):
+    """Cut the lineage by writing ``df`` as a parquet table into the shared
+    checkpoint folder and reading it back.
+
+    A written table survives executor loss like a reliable checkpoint, but is
+    written once (a reliable RDD checkpoint computes its input twice unless it
+    is cached), columnar and compressed, and later reads prune columns.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/tables/{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
