@@ -288,6 +288,35 @@ def factor_analysis(C: np.ndarray, n_factors: int, rotation: str | None = None,
     return L
 
 
+@dataclass
+class FactorFlow:
+    bartlett: dict                 # table -> (chi2, p_value, dof)
+    relevant: bool
+    n_factors: int
+    eigenvalues: np.ndarray
+    loadings: dict                 # rotation -> p x k loadings
+
+
+def factor_flow(table: DataFrame, cols: Sequence[str], cut: float = 0.5,
+                rotations: Sequence[str | None] = (None, "varimax", "quartimax")) -> FactorFlow:
+    """STAT-07 … STAT-10 as one flow over a contingency table's columns:
+    Bartlett on the raw and the column-standardised table; stop when either
+    p-value exceeds ``cut`` (Q-21, 0.5 as in the source application);
+    else Kaiser's factor count and ML factor loadings per rotation.  Spark
+    computes the two correlation matrices and one covariance matrix."""
+    R, n = correlation_matrix(table, cols)
+    z = standardise_columns(table, cols)
+    Rz, nz = correlation_matrix(z, cols)
+    raw, std = bartlett_sphericity(R, n), bartlett_sphericity(Rz, nz)
+    tests = {"raw": raw, "standardised": std}
+    if raw[1] > cut or std[1] > cut:
+        return FactorFlow(tests, False, 0, np.array([]), {})
+    k, ev = kaiser_count(Rz)
+    C, _ = covariance_matrix(z, cols, ddof=0)
+    loads = {(rot or "none"): factor_analysis(C, max(k, 1), rot) for rot in rotations}
+    return FactorFlow(tests, True, k, ev, loads)
+
+
 def standardise_columns(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """STAT-07: column z-score with ddof 1 (pandas ``(x − mean)/std``)."""
     mean, sd = moments(df, cols, ddof=1)

@@ -173,15 +173,11 @@ def factor_count(spark, sf_dir):
                                  "factor int, eigenvalue double, kept boolean")
 
 
-@query("factor_loadings", ("STAT-10",))
+@query("factor_loadings", ("STAT-10", "STAT-08", "STAT-09"))
 def factor_loadings(spark, sf_dir):
+    """The whole flow: Bartlett gate, Kaiser count, loadings per rotation."""
     wide, cols = _contingency(spark, sf_dir)
-    zs = S.standardise_columns(wide, cols)
-    R, _ = S.correlation_matrix(zs, cols)
-    k, _ = S.kaiser_count(R)
-    C, _ = S.covariance_matrix(zs, cols, ddof=0)
-    rows = []
-    for rot in (None, "varimax", "quartimax"):
-        L = S.factor_analysis(C, max(k, 1), rot)
-        rows += [(rot or "none", cols[i], j + 1, float(L[i, j])) for i in range(L.shape[0]) for j in range(L.shape[1])]
+    flow = S.factor_flow(wide, cols, cut=0.5)
+    rows = [(rot, cols[i], j + 1, float(L[i, j])) for rot, L in flow.loadings.items()
+            for i in range(L.shape[0]) for j in range(L.shape[1])]
     return spark.createDataFrame(rows, "rotation string, variable string, factor int, loading double")

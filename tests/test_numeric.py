@@ -108,3 +108,15 @@ def test_apply_prep_fills_absent_columns(spark):
     b_z = (20.0 - meta.means["b"]) / meta.stds["b"]
     assert out[0]["a"] == pytest.approx(0.0) and out[0]["b"] == pytest.approx(b_z)
     assert out[1]["a"] == pytest.approx(0.0)                                  # inf -> median -> 0
+
+
+def test_factor_flow_gate(spark):
+    rows = [(1.0, 1.0, 1.0), (-1.0, 1.0, -1.0), (1.0, -1.0, -1.0), (-1.0, -1.0, 1.0)] * 5
+    df = spark.createDataFrame(rows, "a double, b double, c double")      # orthogonal columns: R = I
+    flow = S.factor_flow(df, ["a", "b", "c"], cut=0.5)
+    assert not flow.relevant and flow.bartlett["raw"][1] == pytest.approx(1.0)
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(200, 1))
+    X = np.hstack([base + 0.1 * rng.normal(size=(200, 1)) for _ in range(4)])
+    flow = S.factor_flow(spark.createDataFrame(pd.DataFrame(X, columns=list("wxyz"))), list("wxyz"))
+    assert flow.relevant and flow.n_factors == 1 and set(flow.loadings) == {"none", "varimax", "quartimax"}
