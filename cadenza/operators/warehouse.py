@@ -14,6 +14,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ids import surrogate_id
 from ..functions.standardise import parse_python_list
@@ -127,3 +128,29 @@ def entity_tags(parts: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
 def list_view(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """VIEW-04: list projections."""
     return df.select(*cols)
+
+
+def load_survey_users(answers: DataFrame, respondent: str, genre_list: str, genres: DataFrame,
+                      genre_id: str, genre_title: str, consent: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """LOAD-08: survey users and their genre preferences.
+
+    Accounts get deterministic ids and a ``user_<first 8 of the id>`` login;
+    consent is the survey boolean rule applied to the answer text (Q-05:
+    comparing lower-cased free text with ``'True'`` is never true).  The
+    genre list (JSON text or array) is exploded and matched to the genre
+    table case-insensitively (JOIN-15).
+    """
+    from ..functions.standardise import survey_to_boolean
+    uid = surrogate_id("user", F.col(respondent))
+    cols = [F.col(respondent), uid.alias("user_uuid"), F.concat(F.lit("user_"), F.substring(uid, 1, 8)).alias("login")]
+    if consent:
+        cols.append((survey_to_boolean(F.col(consent).cast("string")) == "true").alias("has_consented"))
+    users = answers.select(*cols)
+    arr = F.col(genre_list)
+    if not isinstance(answers.schema[genre_list].dataType, T.ArrayType):
+        arr = F.from_json(arr, "array<string>")
+    wanted = answers.select(F.col(respondent), F.explode(arr).alias("__g")).distinct()
+    prefs = (wanted.join(genres.select(F.col(genre_id), F.col(genre_title)), F.lower("__g") == F.lower(F.col(genre_title)))
+             .select(respondent, surrogate_id("user", F.col(respondent)).alias("user_uuid"),
+                     surrogate_id("genre", F.col(genre_id)).alias("genre_uuid"), genre_title))
+    return users, prefs
