@@ -88,7 +88,10 @@ def to_int(c) -> Column:
         sign = F.when(t.rlike(r"^[+-]"), F.substring(t, 1, 1)).otherwise(F.lit(""))
         body = F.regexp_replace(F.regexp_replace(t, r"^[+-]", ""), r"[\x{202F} _]", "")
         return _let(F.struct(sign.alias("s"), body.alias("b")), lambda sb: _int_case(raw, t, sb["s"], sb["b"]))
-    return F.when(raw.isNull(), raw).otherwise(_let(strip_ws(raw), with_t))
+    fast = raw.try_cast("long")            # plain integer text: canonical form, no parsing rules
+    return (F.when(raw.isNull(), raw)
+            .when(raw.rlike(r"^[+-]?[0-9]{1,18}$") & fast.isNotNull(), fast.cast("string"))
+            .otherwise(_let(strip_ws(raw), with_t)))
 
 
 def _int_case(raw: Column, t: Column, sign: Column, body: Column) -> Column:
@@ -110,13 +113,18 @@ def to_float(c) -> Column:
     raw = _c(c)
 
     def with_t(t):
-        norm = (F.when(F.instr(t, ",") > 0,
-                       F.when(F.instr(t, ".") > 0, F.regexp_replace(t, ",", ""))
-                       .otherwise(F.regexp_replace(t, ",", ".")))
-                .otherwise(t))
+        norm = F.when(F.instr(t, ".") > 0, F.replace(t, F.lit(","), F.lit(""))).otherwise(
+            F.replace(t, F.lit(","), F.lit(".")))
         return F.when(t == "", raw).otherwise(F.coalesce(norm.try_cast("double").cast("string"), raw))
+    # Fast path: text that already casts (no comma to reinterpret) gives the
+    # same canonical number as the full path, without any regex.
+    fast = raw.try_cast("double")
+    # Full path: strip the ends, drop spaces / underscores / U+202F; the
+    # result is bound once for the comma rules.
     stripped = F.regexp_replace(strip_ws(raw), r"[\x{202F} _]", "")
-    return F.when(raw.isNull(), raw).otherwise(_let(stripped, with_t))
+    return (F.when(raw.isNull(), raw)
+            .when((F.instr(raw, ",") == 0) & fast.isNotNull(), fast.cast("string"))   # comma test first:
+            .otherwise(_let(stripped, with_t)))                                         # a failed cast is costly
 
 
 to_double = to_float
