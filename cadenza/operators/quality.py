@@ -58,6 +58,13 @@ class CleanResult:
     missing: list[str]
     rules: dict[str, list[str]]
     standardised: dict[str, list[str]] = field(default_factory=dict)
+    pinned: DataFrame | None = None    # flagged + the ``__task`` marker (keeps filters above the parsers)
+
+    def rejected(self, rule_key: str | None = None) -> DataFrame:
+        """Rows that failed (optionally: whose first failure is ``rule_key``)."""
+        base = self.pinned if self.pinned is not None else self.flagged.withColumn("__task", F.lit(0))
+        cond = F.col("first_failure").isNotNull() if rule_key is None else (F.col("first_failure") == rule_key)
+        return base.filter(cond & (F.col("__task") >= 0)).drop("__task")
 
     def applied(self) -> DataFrame:
         """SRC-18: standardisers applied per column (a small frame)."""
@@ -67,7 +74,7 @@ class CleanResult:
 
     def failures(self) -> DataFrame:
         """AGG-31: ``column:rule`` → count, descending."""
-        return (self.flagged.filter(F.col("first_failure").isNotNull())
+        return (self.rejected()
                 .groupBy("first_failure").agg(F.count(F.lit(1)).alias("failures"))
                 .orderBy(F.desc("failures"), "first_failure"))
 
@@ -143,13 +150,14 @@ def clean_table(df: DataFrame, rules: TableRules, *, as_of=None, strict_int: boo
     # inlines every parser once per rule that reads its column.
     flagged = (work.withColumn("first_failure", first).withColumn("__task", F.spark_partition_id())
                .drop(*dup_cols.values()))
-    clean = flagged.filter(F.col("first_failure").isNull() & (F.col("__task") >= 0)).drop("first_failure", "__task")
-    flagged = flagged.drop("__task")
+    pinned = flagged
+    clean = pinned.filter(F.col("first_failure").isNull() & (F.col("__task") >= 0)).drop("first_failure", "__task")
+    flagged = pinned.drop("__task")
     if null_bool_as_true:
         for c in selected:
             if isinstance(types[c], T.BooleanType):
                 clean = clean.withColumn(c, F.coalesce(F.col(c), F.lit(True)))
-    return CleanResult(clean, flagged, selected, missing, eff_val, eff_std)
+    return CleanResult(clean, flagged, selected, missing, eff_val, eff_std, pinned)
 
 
 def clean_file(spark, path: str, rules: TableRules, **kw) -> CleanResult:

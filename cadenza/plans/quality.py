@@ -102,8 +102,7 @@ SELECT eid AS event_id, count(*) AS copies FROM f WHERE first_failure = 'event_i
 """)
 def duplicate_rejects(spark, sf_dir):
     res = clean_table(dirty_events(spark, sf_dir), EVENT_RULES, as_of="2030-01-01 00:00:00")
-    return (res.flagged.filter(F.col("first_failure") == "event_id:unique")
-            .groupBy("event_id").agg(F.count(F.lit(1)).alias("copies")))
+    return res.rejected("event_id:unique").groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @query("parse_numbers", ("SCL-04", "SCL-05", "SCL-21", "SCL-28"), """
