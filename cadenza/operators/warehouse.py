@@ -154,3 +154,14 @@ def load_survey_users(answers: DataFrame, respondent: str, genre_list: str, genr
              .select(respondent, surrogate_id("user", F.col(respondent)).alias("user_uuid"),
                      surrogate_id("genre", F.col(genre_id)).alias("genre_uuid"), genre_title))
     return users, prefs
+
+
+def entity_rank_rows(item_ranks: DataFrame, item_key: str, links: DataFrame, entity_key: str,
+                     rank_cols: Sequence[str], required: str) -> DataFrame:
+    """LOAD-06: an entity's rank rows from its items' rank rows -- distinct
+    (entity, ranks) over the item→entity links, ranks cast to integers, rows
+    without ``required`` skipped (insert-if-absent of distinct rows)."""
+    ranked = item_ranks.filter(F.col(required).isNotNull()).select(
+        item_key, *[F.col(c).cast("long").alias(c) for c in rank_cols])
+    return ranked.join(links.select(item_key, entity_key).distinct(), item_key).select(
+        entity_key, *rank_cols).distinct()

@@ -375,3 +375,24 @@ def listen_history_long(spark, sf_dir):
     users = ev.select("user_id").distinct()
     out = J.children_long(users, ev, "user_id", ["item"], ["ts", "event_id"])
     return out.select("user_id", F.col("position").cast("long"), "item")
+
+
+@query("artist_rank_rows", ("LOAD-06", "AGG-26", "UPS-02"), """
+WITH r AS (
+  SELECT p_partkey, CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_size END AS discovery,
+         CAST(trunc(p_retailprice) AS BIGINT) AS familiarity, CAST(p_size * 2 AS BIGINT) AS hotttnesss
+  FROM part
+), main AS (SELECT DISTINCT l_partkey AS p_partkey, l_suppkey AS s_suppkey FROM lineitem WHERE l_linenumber = 1)
+SELECT DISTINCT m.s_suppkey, CAST(r.discovery AS BIGINT) AS discovery, r.familiarity, r.hotttnesss
+FROM r JOIN main m USING (p_partkey) WHERE r.discovery IS NOT NULL
+""")
+def artist_rank_rows(spark, sf_dir):
+    """Track rank rows (part-derived) rolled to the tracks' main artists."""
+    p = T(spark, sf_dir, "part")
+    ranks = p.select("p_partkey",
+                     F.when(F.col("p_partkey") % 9 == 0, F.lit(None)).otherwise(F.col("p_size")).alias("discovery"),
+                     F.col("p_retailprice").alias("familiarity"), (F.col("p_size") * 2).alias("hotttnesss"))
+    main = (T(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
+            .select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")))
+    return W.entity_rank_rows(ranks, "p_partkey", main, "s_suppkey", ["discovery", "familiarity", "hotttnesss"],
+                              required="discovery")
