@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
@@ -48,7 +49,7 @@ def _sizes(batch: pa.RecordBatch) -> np.ndarray:
     total = np.full(batch.num_rows, 16, np.int64)
     for c in batch.columns:
         if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
-            total += np.asarray(pa.compute.binary_length(c).fill_null(0), dtype=np.int64)
+            total += np.asarray(pc.binary_length(c).fill_null(0), dtype=np.int64)
     return total
 
 

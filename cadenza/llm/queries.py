@@ -36,3 +36,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, rule="most")
     return counts.select("doc_id", "section", "char_start", "char_end",
                          F.col("tokens").cast("long").alias("n_tokens"), "crossing")
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words outside every repeated window of 35 words, as a digest."""
+    from .substring_dedup import remove_repeats
+    out = remove_repeats(load_table(spark, sf_dir, "documents"), "text", ["doc_id"], window=35)
+    return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op7_ngram_join")
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share nine tenths of their 3-word shingles."""
+    from .ngram_join import jaccard_components
+    out = jaccard_components(load_table(spark, sf_dir, "documents"), "doc_id", "text", k=3, num=90, den=100)
+    return out.select("row.doc_id", "n_shingles", "component_id")
