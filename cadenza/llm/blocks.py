@@ -29,7 +29,8 @@ from ..session import cut_lineage
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
 KEYS_SCHEMA = "bucket long, block long, keys binary, counts binary"
-REPLY_SCHEMA = "block long, bucket long, counts binary"
+#: total and present (keys with a count) stand in one row of each bucket, zeros in the others.
+REPLY_SCHEMA = "block long, bucket long, counts binary, total long, present long"
 
 
 def to_stream(table: pa.Table) -> bytes:
@@ -128,12 +129,15 @@ def count_exchange(keys: DataFrame, wide: bool = True, reply: str = "uint8", cou
         first = np.ones(len(ranked), bool)
         first[1:] = ranked[1:] != ranked[:-1]
         totals = np.add.reduceat(local[order].astype(np.int64), np.flatnonzero(first))
+        rest = [0] * (len(sent) - 1)
         out = np.empty(len(ranked), np.int64)
         out[order] = totals[np.cumsum(first) - 1]
         out = np.minimum(out, np.iinfo(reply).max).astype(reply)
         ends = np.cumsum([len(x) for x in sent])
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                         "counts": pa.array([out[e - len(x):e].tobytes() for x, e in zip(sent, ends)], pa.binary())})
+                         "counts": pa.array([out[e - len(x):e].tobytes() for x, e in zip(sent, ends)], pa.binary()),
+                         "total": pa.array([int(totals.sum()), *rest], pa.int64()),
+                         "present": pa.array([int((totals > 0).sum()), *rest], pa.int64())})
 
     return keys.groupBy("bucket").applyInArrow(merge, REPLY_SCHEMA)
 

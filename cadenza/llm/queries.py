@@ -52,3 +52,23 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import jaccard_components
     out = jaccard_components(load_table(spark, sf_dir, "documents"), "doc_id", "text", k=3, num=90, den=100)
     return out.select("row.doc_id", "n_shingles", "component_id")
+
+
+@query("op4_lm_mixing")
+def op4_lm_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learned from four fifths of them."""
+    from .lm_mixing import score
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    out = score(load_table(spark, sf_dir, "documents"), "text", fold != 1, ["doc_id"])
+    return out.select("row.doc_id", F.coalesce(F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False)).alias("held_out"),
+                      "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids packed into sequences of 4096 tokens."""
+    from .packing import pack, token_pieces
+    pieces = token_pieces(load_table(spark, sf_dir, "documents"), "text", tokenizer_path("word_bpe_49k.json"), ["doc_id"])
+    placed = pack(pieces.select("item", "length"))
+    digest = pieces.select("item", "row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return digest.join(placed, "item").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bound")
