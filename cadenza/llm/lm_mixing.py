@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut_lineage
 from . import blocks as B
-from .text import Words, mix
+from .text import Words, mix, utf8_buffer
 
 #: Context lengths in bytes; WORD is the word so far, up to the longest length.  Slots are named by so many high hash bits.
 WORD = 0
-ORDERS = (2, 3, 4, WORD, 6)
-SLOT_BITS = (20, 22, 22, 22, 22)
-LONGEST = 6
+ORDERS = (1, 3, WORD, 5)
+SLOT_BITS = (16, 22, 22, 22)
+LONGEST = 5
 PIECE = 1 << 16
 SPACE, END = 0x20, 0x0A
 #: Gate: the decision's depth (up to DEPTHS - 1), and the evidence of the last two contexts in LEVELS steps.
@@ -47,7 +47,7 @@ GATES = DEPTHS * LEVELS * LEVELS
 CELLS = 33
 SHARPEST = 12.0
 #: Bytes of a chunk: as many as were learned before, within these.
-CHUNK_BYTES = (64 << 10, 8 << 20)
+CHUNK_BYTES = (64 << 10, 4 << 20)
 #: Types that are predicted together before their errors and counts are learned.
 STEP = 1 << 14
 PRIOR = 0.1
@@ -89,35 +89,27 @@ def huffman(counts: np.ndarray) -> Code:
     return Code(length, node, bit)
 
 
-def stream(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of the coded texts: every word and a space, then the end byte."""
-    lens = words.ends - words.starts
-    docs = len(words.ptr) - 1
-    per_word = lens + 1
-    word_at = np.concatenate([[0], np.cumsum(per_word)])
-    offsets = word_at[words.ptr] + np.arange(docs + 1)          # one end byte for each text before
-    out = np.full(int(offsets[-1]) if docs else 0, SPACE, np.uint8)
-    begin = word_at[:-1] + words.docs()
-    solid = np.zeros(len(words.data) + 1, np.int8)
-    solid[words.starts] += 1
-    solid[words.ends] -= 1
-    inside = np.cumsum(solid[:-1]) > 0
-    shift = np.repeat(begin, lens) + (np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens))
-    out[shift] = words.data[inside]
-    out[offsets[1:] - 1] = END
-    return out, offsets
-
-
-def type_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each byte, it and the bytes before it (as many as the longest context), packed; texts start after END."""
-    gap = np.diff(offsets)
-    padded = np.full(len(data) + LONGEST * len(gap), END, np.uint8)
-    at = np.arange(len(data)) + LONGEST * np.repeat(np.arange(1, len(gap) + 1), gap)
-    padded[at] = data
-    key = np.zeros(len(padded), np.uint64)
-    for back in range(LONGEST + 1):
-        key[back:] |= padded[:len(padded) - back].astype(np.uint64) << np.uint64(8 * back)
-    return key[at]
+def stream(column) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the coded texts: LONGEST end bytes to start from, every word and a space, the end byte.
+
+    ``offsets`` are where each text's own bytes begin and, last, where the next would.
+    """
+    data, cuts = utf8_buffer(column)
+    raw, start = data.tobytes(), bytes([END]) * LONGEST
+    texts = [b" ".join([*raw[a:b].lower().split(), bytes([END])]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    sizes = np.array([len(t) + LONGEST for t in texts], np.int64)
+    return np.frombuffer(start + start.join(texts) + bytes(8), np.uint8), np.concatenate([[0], np.cumsum(sizes)]) + LONGEST
+
+
+def type_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(for each coded byte, it and the LONGEST bytes before it, packed; where each text's keys begin)."""
+    begins, ends = offsets[:-1], offsets[1:] - LONGEST
+    lead = np.frombuffer(bytes(8 - LONGEST - 1) + data.tobytes(), np.uint8)       # so that eight bytes end at each place
+    eight = np.ndarray((len(lead) - 7,), ">u8", lead.data, 0, (1,))
+    # eight[i] ends at data[i + LONGEST]
+    parts = [eight[a - LONGEST:b - LONGEST] for a, b in zip(begins.tolist(), ends.tolist())]
+    keys = np.concatenate(parts).astype(np.uint64) & np.uint64((1 << 8 * (LONGEST + 1)) - 1) if parts else np.zeros(0, np.uint64)
+    return keys, np.concatenate([[0], np.cumsum(ends - begins)])
 
 
 def _stretch(p):
@@ -291,12 +283,13 @@ def log2_types(types: np.ndarray, model: Model) -> np.ndarray:
     return out.astype(np.float64) / np.log(2)
 
 
-def score_stream(data: np.ndarray, offsets: np.ndarray, model: Model) -> np.ndarray:
-    """log2 probability of each coded text."""
-    if len(offsets) < 2:
-        return np.zeros(0)
-    codes, types = pd.factorize(type_keys(data, offsets))
-    return np.add.reduceat(log2_types(types, model)[codes], offsets[:-1])
+def score_texts(column, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(log2 probability, bytes) of each text as it is coded."""
+    keys, begins = type_keys(*stream(column))
+    if not len(keys):
+        return np.zeros(0), np.zeros(0, np.int64)
+    codes, types = pd.factorize(keys)
+    return np.add.reduceat(log2_types(types, model)[codes], begins[:-1]), np.diff(begins)
 
 
 _END_KEY = np.array([0x5851F42D4C957F2D], np.uint64)
@@ -326,7 +319,7 @@ def _train(batches, code: Code):
             table = B.from_stream(payload.as_py())
             texts = table.filter(table.column("train")).column("text")
             if len(texts):
-                held = np.concatenate([held, type_keys(*stream(Words(texts, lower=True)))])
+                held = np.concatenate([held, type_keys(*stream(texts))[0]])
             while len(held) >= (size := min(max(learned, CHUNK_BYTES[0]), CHUNK_BYTES[1])):
                 learn(held[:size])
                 held, learned = held[size:], learned + size
@@ -359,8 +352,10 @@ def train(blocks: DataFrame) -> Model:
             for payload in batch.column("payload"):
                 table = B.from_stream(payload.as_py())
                 texts = table.filter(table.column("train")).column("text")
-                if len(texts):
-                    total += np.bincount(stream(Words(texts, lower=True))[0], minlength=256)
+                total += np.bincount(utf8_buffer(texts)[0], minlength=256)
+                total[END] += len(texts)
+        total[ord("a"):ord("z") + 1] += total[ord("A"):ord("Z") + 1]
+        total[ord("A"):ord("Z") + 1] = 0
         yield pa.RecordBatch.from_pydict({"byte": np.arange(256), "n": total})
 
     seen = blocks.select("payload").mapInArrow(histogram, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
@@ -401,7 +396,7 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
     """
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(is_training, F.lit(False)).alias("train"))
-    blocks = B.pack_blocks(held, block_bytes=2 * B.BLOCK_BYTES, tag="lm-blocks")
+    blocks = B.pack_blocks(held, tag="lm-blocks")
     bits = B.bucket_bits(blocks, 0.4)
 
     def count(block, table):
@@ -422,9 +417,7 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
         ptr = words.ptr
         sums = np.concatenate([[0], np.cumsum(base[at])])
         known = np.concatenate([[0], np.cumsum(counts[at] > 0)])
-        data, offsets = stream(words)
-        log2 = score_stream(data, offsets, model.value)
-        size = np.diff(offsets)
+        log2, size = score_texts(table.column("text"), model.value)
         return pa.table({
             "row": table.column("row"), "train": table.column("train"),
             "n_tokens": pa.array(np.diff(ptr) + 1, pa.int64()), "n_known": pa.array(known[ptr[1:]] - known[ptr[:-1]] + int(counts[end] > 0), pa.int64()),

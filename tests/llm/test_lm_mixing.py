@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import lm_mixing as L
 from cadenza.llm.queries import QUERIES
-from cadenza.llm.text import Words
 
 
 def tokens(text):
@@ -28,26 +27,27 @@ def base_scores(rows):
 
 
 def trained(texts):
-    data, offsets = L.stream(Words(pa.array(texts), lower=True))
-    code = L.huffman(np.bincount(data, minlength=256))
+    keys, _ = L.type_keys(*L.stream(pa.array(texts)))
+    code = L.huffman(np.bincount((keys & np.uint64(255)).astype(int), minlength=256))
     t = L.Trainer(code)
-    types, times = np.unique(L.type_keys(data, offsets), return_counts=True)
-    t.learn(types, times)
+    t.learn(*np.unique(keys, return_counts=True))
     return L.build(code, {k: L.slot_values(v.ravel()) if k >= 0 else v.ravel() for k, v in t.pieces()})
 
 
 def test_stream_and_contexts():
-    data, offsets = L.stream(Words(pa.array(["Ab  c", None, "", "É\nx"]), lower=True))
-    assert data.tobytes() == b"ab c \n" + b"\n" + b"\n" + "É x \n".encode() and offsets.tolist() == [0, 6, 7, 8, 14]
-    keys = L.type_keys(data, offsets)
-    assert keys[0].item().to_bytes(8, "big") == b"\0\n\n\n\n\n\na" and keys[5].item().to_bytes(8, "big") == b"\0\nab c \n"
+    keys, begins = L.type_keys(*L.stream(pa.array(["Ab  c", None, "", "É\nx"])))
+    assert begins.tolist() == [0, 6, 7, 8, 14]
+    assert bytes((keys & np.uint64(255)).astype(np.uint8)) == b"ab c \n" + b"\n" + b"\n" + "É x \n".encode()
+    full = [k.item().to_bytes(8, "big")[7 - L.LONGEST:] for k in keys]
+    assert full[0] == b"\n" * L.LONGEST + b"a" and full[5] == (b"\n" * L.LONGEST + b"ab c \n")[-L.LONGEST - 1:]
+    assert full[8][:-1] == b"\n" * L.LONGEST
 
 
 def test_probabilities_of_all_bytes_sum_to_one():
     rng = random.Random(1)
     model = trained([" ".join(rng.choice(["the", "of", "und", "xq7", "Éa"]) for _ in range(300)) for _ in range(20)])
     for context in (b"\n\n\n\n\n\n", b" the o", b"zzzzzz", b"f und "):
-        types = np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)], np.uint64)
+        types = np.array([int.from_bytes(context[-L.LONGEST:] + bytes([b]), "big") for b in range(256)], np.uint64)
         assert abs((2.0 ** L.log2_types(types, model)).sum() - 1) < 1e-5
 
 
@@ -56,8 +56,7 @@ def test_model_learns_regular_text():
     words = ["alpha", "beta", "gamma", "delta"]
     texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(60)]
     model = trained(texts[:50])
-    data, offsets = L.stream(Words(pa.array(texts[50:]), lower=True))
-    bits = -L.score_stream(data, offsets, model).sum() / (10 * 200)
+    bits = -L.score_texts(pa.array(texts[50:]), model)[0].sum() / (10 * 200)
     assert 1.9 < bits < 2.6                        # two bits a word are its entropy
 
 
@@ -79,7 +78,8 @@ def test_held_out_texts_cost_less_than_by_pairs_of_bytes(spark):
     """Held-out bits per byte stay below the corpus's own entropy of a byte given the one before."""
     sf = "/root/testdata/sf0.01"
     rows = [r for r in QUERIES["op4_lm_mixing"](spark, sf).collect() if r.held_out]
-    data, _ = L.stream(Words(pa.array([d.text for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]), lower=True))
+    keys, _ = L.type_keys(*L.stream(pa.array([d.text for d in spark.read.parquet(f"{sf}/documents.parquet").collect()])))
+    data = (keys & np.uint64(255)).astype(np.uint8)
     pairs = np.bincount(data[:-1].astype(np.int64) * 256 + data[1:], minlength=65536).reshape(256, 256).astype(float)
     given = pairs / np.maximum(pairs.sum(1, keepdims=True), 1)
     entropy = -(pairs * np.log2(np.where(given > 0, given, 1))).sum() / pairs.sum()
