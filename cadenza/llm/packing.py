@@ -19,12 +19,12 @@ from ..session import cut_lineage
 GROUP = 1 << 16
 #: A bin of a certified group below this share of the capacity is offered for exchange.
 LOOSE = 0.95
-MEMO = 300_000
+MEMO = 1_200_000
 _TOKENIZERS: dict = {}
 
 
 class _Encoder:
-    """Ids of words, remembered within a worker (at most MEMO words).
+    """Ids of words, remembered within a worker: the first MEMO short words for good, others for a batch.
 
     White space never stands inside a token of this tokenizer, so a text's ids
     are those of its words.  ASCII texts are lower-cased first, as the tokenizer
@@ -39,29 +39,36 @@ class _Encoder:
         self.opening = self.mark[:1].encode()
         self.known: dict[bytes, bytes] = {}
 
-    def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def learn(self, words) -> None:
-        if len(self.known) > MEMO:
-            self.known.clear()
-        short = []
-        for w in words:
-            if self.opening in w or len(w) > 64:      # perhaps a special token; or too long to keep
-                continue
-            short.append(w)
-        for at in range(0, len(short), 1024):
-            some = short[at:at + 1024]
-            ids = self._plain(self.mark.join(w.decode() for w in some))
-            cuts = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
-            if len(cuts) != len(some) + 1:
-                raise ValueError("the tokenizer's special token is not kept apart")
-            for w, a, b in zip(some, cuts, cuts[1:]):
-                self.known[w] = ids[a + 1:b].tobytes()
-
-    def _ids(self, word: bytes) -> bytes:
-        got = self.known.get(word)
-        return self._plain(word.decode()).tobytes() if got is None else got
+    def _plain(self, text: str):
+        return self.tokenizer.encode(text, add_special_tokens=False)
+
+    def _by_place(self, words: list[bytes]) -> list[bytes]:
+        """ASCII words, joined by spaces: each token belongs to the word at its place in the text."""
+        got = self._plain(b" ".join(words).decode())
+        ids = np.array(got.ids, "<u4").tobytes()
+        ends = np.cumsum([len(w) + 1 for w in words])
+        cuts = [0, *(4 * np.searchsorted([a for a, _ in got.offsets], ends)).tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _by_mark(self, words: list[bytes]) -> list[bytes]:
+        """Any words without a special token, kept apart by one (composed letters may move places)."""
+        ids = np.array(self._plain(self.mark.join(w.decode() for w in words)).ids, "<u4")
+        cuts = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+        if len(cuts) != len(words) + 1:
+            raise ValueError("the tokenizer's special token is not kept apart")
+        return [ids[a + 1:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, words) -> dict[bytes, bytes]:
+        rare = {w: np.array(self._plain(w.decode()).ids, "<u4").tobytes() for w in words if self.opening in w or len(w) > 64}
+        short = [w for w in words if w not in rare] if rare else list(words)
+        new = {}
+        for some, how in (([w for w in short if w.isascii()], self._by_place), ([w for w in short if not w.isascii()], self._by_mark)):
+            for at in range(0, len(some), 1024):
+                new.update(zip(some[at:at + 1024], how(some[at:at + 1024])))
+        if len(self.known) + len(new) <= MEMO:
+            self.known.update(new)
+            return rare
+        return new | rare
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -69,15 +76,12 @@ class _Encoder:
         for t in texts:
             raw = (t or "").encode()
             split.append((raw.lower() if raw.isascii() and self.opening not in raw else raw).split())
-        self.learn(set().union(*split) - self.known.keys() if split else ())
-        known = self.known
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join([known[w] for w in words]))
-            except KeyError:
-                out.append(b"".join([self._ids(w) for w in words]))
-        return out
+        more = self._learn(set().union(*split) - self.known.keys())
+        if not more:
+            known = self.known
+            return [b"".join([known[w] for w in words]) for words in split]
+        get = self.known.get
+        return [b"".join([more[w] if (v := get(w)) is None else v for w in words]) for words in split]
 
 
 def token_pieces(df: DataFrame, text_col: str, path: str, carry: list[str], capacity: int = 4096, end_id: int = 1) -> DataFrame:
