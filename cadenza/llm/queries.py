@@ -72,3 +72,20 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = pack(pieces.select("item", "length"))
     digest = pieces.select("item", "row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return digest.join(placed, "item").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bound")
+
+
+def learned_languages(spark: SparkSession, sf_dir: str):
+    """The language network of a folder's ``documents``: two thirds of them are open to learning."""
+    from .lang_id import train
+    docs = load_table(spark, sf_dir, "documents")
+    name = F.col("doc_id").cast("string")
+    return train(docs.filter(F.crc32(name.cast("binary")) % 3 != 1), "text", "lang", F.md5(name.cast("binary")))
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text."""
+    from .lang_id import predict
+    out = predict(load_table(spark, sf_dir, "documents"), "text", learned_languages(spark, sf_dir), ["doc_id"])
+    held = F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 3 == 1
+    return out.select("row.doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
