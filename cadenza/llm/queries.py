@@ -89,3 +89,46 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = predict(load_table(spark, sf_dir, "documents"), "text", learned_languages(spark, sf_dir), ["doc_id"])
     held = F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 3 == 1
     return out.select("row.doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_sharding", """
+WITH d AS (
+  SELECT doc_id, source, text, coalesce(strlen(text), 0) + 8 AS size,
+         md5('1:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents),
+bytes AS (
+  SELECT doc_id, source, size, h, list_transform(range(1, 2 * (size - 8) + 1, 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT) AS b
+  FROM (SELECT *, hex(encode(coalesce(text, ''))) AS x FROM d)),
+step AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v
+    FROM range(256) r(i))),
+summed AS (
+  SELECT doc_id, source, size, h,
+         xor(list_reduce(b, lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS crc
+  FROM bytes, step),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id, size, crc) - 1 AS r, count(*) OVER (PARTITION BY source) AS n,
+         ('0x' || substr(md5('1:source:' || coalesce(source, 'null')), 1, 8))::BIGINT::DOUBLE / 4294967296::DOUBLE AS u FROM summed),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY (r + u) / n, h, doc_id, size, crc, source NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM ranked)
+SELECT doc_id, size, crc::BIGINT AS text_crc32, 'rows' AS law, (place * 24 // total)::INT AS shard,
+       place - ((place * 24 // total) * total + 23) // 24 AS slot, NULL::INT AS grown_shard, source
+FROM placed
+""")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal row counts, each with the sources' mixture."""
+    from .sharding import interleave
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = load_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    out = interleave(docs, F.col("source"), F.col("doc_id"), [F.col("doc_id"), F.col("size"), F.col("text_crc32")], 24)
+    return out.select("row.doc_id", "row.size", "row.text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "row.source")
+
+
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage's place."""
+    from .decontaminate import overlaps
+    out = overlaps(load_table(spark, sf_dir, "documents"), "text", load_table(spark, sf_dir, "benchmark"), "item_id", "text", ["doc_id"])
+    return out.select("row.doc_id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_words", "n_matches")
