@@ -132,3 +132,39 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import overlaps
     out = overlaps(load_table(spark, sf_dir, "documents"), "text", load_table(spark, sf_dir, "benchmark"), "item_id", "text", ["doc_id"])
     return out.select("row.doc_id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_words", "n_matches")
+
+
+@query("op2_maxscore", """
+WITH v AS (
+  SELECT vec_id, min(c) AS c FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+  GROUP BY vec_id),
+pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.c::DOUBLE[], d.c::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 20
+""")
+def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors of every twentieth one, by integer inner product."""
+    from .maxscore import top_k
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    whole = load_table(spark, sf_dir, "embeddings").filter(finite) \
+        .select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double"))).alias("v"))
+    return top_k(whole, "vec_id", "v", F.col("id") % 20 == 0, 20)
+
+
+@query("op10_warc", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+k AS (SELECT b, max(page_id) AS keeper FROM p WHERE octet_length(b) >= 1000 GROUP BY b HAVING count(*) > 1)
+SELECT page_id, octet_length(p.b) AS payload_bytes, sha1(p.b) AS payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k ON p.b = k.b
+""")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC bundles and read back."""
+    from .warc import archive_folder, read_archive, write_archive
+    index = write_archive(load_table(spark, sf_dir, "pages"), archive_folder(spark))
+    return read_archive(index, payload=False).drop("url")

@@ -4,8 +4,10 @@ Rows are shuffled by a seeded hash and ranked within their source.  The
 fractional rank ``(rank + start) / rows of the source`` spreads every source
 evenly over 0 to 1 (``start`` in 0 to 1 is the source's own, so that sources of
 one row do not meet in one place).  In the order of fractional ranks, cutting
-into equal runs gives every shard its share of every source, to within one row
-either way.
+into equal runs gives every shard its share of every source: a stretch of the
+order holds each source's share of it to within one row, and a shard's stretch
+differs from an equal one only by what the sources' roundings add up to (random
+starts let these cancel).
 
 No window holds a whole source or the whole table: ranks are counted over
 ranges of the hash (then of the fractional rank), whose counts are added up

@@ -31,7 +31,8 @@ def test_law_and_mixture(spark, monkeypatch, n, shards, run):
     mix = Counter((r.row.source, r.shard) for r in out)
     for source, total in Counter(r.row.source for r in out).items():
         for s in range(shards):
-            assert abs(mix[source, s] - total / shards) < 2
+            # one row of its own, and its share of the roundings of a hundred small sources
+            assert abs(mix[source, s] - total / shards) < 1 + 10 * total / n
     assert sorted(r.source_rank for r in out if r.row.source == "hot") == list(range(sum(r.row.source == "hot" for r in out)))
     again = deal(df.repartition(5), shards)
     key = lambda rs: Counter((r.row, r.shard, r.slot) for r in rs)
