@@ -71,7 +71,18 @@ def cut_lineage(df, tag: str = "cut"):
     base = ensure_checkpoint_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/tables/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(df) -> None:
+    """Delete the table behind a ``cut_lineage`` result, once nothing will read it again."""
+    path = df.__dict__.pop("_cut_path", None)
+    if path:
+        jvm = df.sparkSession._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def default_parallelism(spark: SparkSession) -> int:
