@@ -41,8 +41,9 @@ def _exploded(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, pos of the window's first word, seed)."""
     hashed = rows.select(*keys, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("hashes"))
     seeds = hashed.select(*keys, (F.size("hashes") - SPAN + 1).alias("windows"), _seeds(F.col("hashes")).alias("seeds"))
-    return seeds.select(*keys, "windows", F.posexplode("seeds").alias("at", "seed")) \
-        .select(*keys, F.pmod("at", "windows").alias("pos"), "seed")
+    # outer: the filter that a plain explode implies would be pushed down to the text and hash it anew for each window
+    return seeds.select(*keys, "windows", F.posexplode_outer("seeds").alias("at", "seed")) \
+        .select(*keys, F.pmod("at", "windows").alias("pos"), "seed").filter("seed is not null")
 
 
 def _best_run(same: Column) -> Column:
@@ -93,6 +94,7 @@ def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, ite
     runs = hits.join(texts, "text_key").join(test_words, "item_key").withColumn("lo", lo).select(
         "text_key", "item_key", "shift", "lo", F.size("iw").alias("m"),
         _best_run(F.transform(F.sequence("lo", hi), lambda j: F.get("iw", j) == F.get("dw", j + F.col("shift")))).alias("run"))
+    runs = cut_lineage(runs, "aligned-runs")              # each run is read off once
     length = F.col("run.best_stop") - F.col("run.best_start")
     found = runs.filter(length >= F.least(F.lit(min_words), F.col("m"))).select(
         "text_key", "item_key", (F.col("lo") + F.col("run.best_start")).alias("item_start"), (F.col("lo") + F.col("run.best_stop")).alias("item_end"),
@@ -108,4 +110,5 @@ def without_overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id:
     """The rows of ``docs`` whose text holds no benchmark passage, as they are."""
     bad = overlaps(docs.select(F.col(f"`{text_col}`").alias("text")), "text", items, item_id, item_text, ["text"], min_words) \
         .select(F.xxhash64("row.text").alias("_text_key")).distinct()
+    bad = cut_lineage(bad, "contaminated")
     return docs.withColumn("_text_key", F.xxhash64(f"`{text_col}`")).join(bad, "_text_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
