@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, discard
 
 
 def _mark(edges: DataFrame):
@@ -28,8 +28,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         small_low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(small_low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before = now
         now = cut_lineage(small.unionByName(small_low.select("a", F.col("m").alias("b")))
                           .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "cc")
+        discard(before)
         after = _mark(now)
         if after == mark:
             break

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, discard
 from . import blocks as B
 from .components import components
 from .text import Words, _GRAM, gram_hashes, inside, mix, powers
@@ -185,7 +185,9 @@ def _document_rows(df: DataFrame, text_col: str, carry: list[str], k: int, num:
                            T.StructField("s1", long), T.StructField("s2", long),
                            T.StructField("shared", T.BinaryType()), T.StructField("freq", T.BinaryType())])
     rows = B.with_replies(blocks, replies, judge, schema)
-    return cut_lineage(rows.withColumn("rid", F.monotonically_increasing_id()), "ngram-rows")
+    out = cut_lineage(rows.withColumn("rid", F.monotonically_increasing_id()), "ngram-rows")
+    discard(blocks)
+    return out
 
 
 def _links(nodes: DataFrame, num: int, den: int) -> DataFrame | None:
@@ -264,10 +266,13 @@ def jaccard_components(df: DataFrame, id_col: str, text_col: str = "text", k: in
         .withColumnRenamed("rid", "cid")
     links = cut_lineage(_links(nodes, num, den), "ngram-links")
     labels = components(links)
+    narrow = cut_lineage(rows.drop("shared", "freq", "unique"), "ngram-named")
+    discard(rows)
+    rows = narrow
     joined = classes.join(labels, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cid"))
     best = joined.groupBy("label").agg(F.min("best").alias("least"))
     named = joined.join(best, "label").select("s1", "s2", "n", "least")
-    return rows.drop("shared", "freq").join(named, ["s1", "s2", "n"], "left").select(
+    return rows.join(named, ["s1", "s2", "n"], "left").select(
         "row", F.col("n").alias("n_shingles"), "rid",
         F.when(F.col("n") > 0, F.col("least.i")).otherwise(ident).alias("component_id"),
         F.when(F.col("n") > 0, F.col("least.r") == F.col("rid")).otherwise(F.lit(True)).alias("first"))

@@ -84,7 +84,7 @@ class _Parse:
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", carry: list[str] | None = None,
-                   window: int = 35, anchor: int = 12) -> DataFrame:
+                   window: int = 35, anchor: int = 12, keep_spacing: bool = False) -> DataFrame:
     """Find and cut the words of every repeated window of ``window`` words.
 
     A word goes if a window that covers it has the same word sequence as a
@@ -93,7 +93,8 @@ def remove_repeats(df: DataFrame, text_col: str = "text", carry: list[str] | Non
 
     Returns (row struct of the ``carry`` columns, n_words long, n_removed long,
     spans array<struct<start, end>> of removed words, kept_text string: the kept
-    words joined by one space).  One row per input row: repeated rows repeat
+    words joined by one space; with ``keep_spacing`` the text as it was between
+    cuts, one space at each cut, and as it was where nothing is cut).  One row per input row: repeated rows repeat
     each other's windows.  A null or empty text has no words; texts shorter than
     a window lose none.  Columns that are not carried are not read, and carried
     ones may have any name.
@@ -126,6 +127,8 @@ def remove_repeats(df: DataFrame, text_col: str = "text", carry: list[str] | Non
         for d in range(table.num_rows):
             out = gone[ptr[d]:ptr[d + 1]]
             words = p.words.text(d)
+            if keep_spacing:
+                kept.append(p.words.slices(d, out))
             if out.any():
                 edge = np.diff(np.concatenate([[0], out.view(np.int8), [0]]))
                 found.append([{"start": int(a), "end": int(b)} for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))])
@@ -133,7 +136,8 @@ def remove_repeats(df: DataFrame, text_col: str = "text", carry: list[str] | Non
             else:
                 found.append([])
             removed.append(int(out.sum()))
-            kept.append(b" ".join(words))
+            if not keep_spacing:
+                kept.append(b" ".join(words))
         return pa.table({
             "row": table.column("row"), "n_words": pa.array(np.diff(ptr), pa.int64()), "n_removed": pa.array(removed, pa.int64()),
             "spans": pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
