@@ -54,6 +54,15 @@ def _sizes(batch: pa.RecordBatch) -> np.ndarray:
     return total
 
 
+def slices(batch: pa.RecordBatch, size: int):
+    """Runs of the rows of ``batch`` of about ``size`` bytes; a longer row alone."""
+    ends, at, base = np.cumsum(_sizes(batch)), 0, 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
+        yield batch.slice(at, stop - at)
+        at, base = stop, int(ends[stop - 1])
+
+
 def pack_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, tag: str = "blocks") -> DataFrame:
     """Write ``docs`` as rows (block, n_rows, n_bytes, payload) into the shared folder and read them back.
 

@@ -11,10 +11,13 @@ new groups and packed again, for as long as that saves bins.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
+from . import blocks as B
+from .text import Words
 
 GROUP = 1 << 16
 #: A bin of a certified group below this share of the capacity is offered for exchange.
@@ -24,11 +27,12 @@ _TOKENIZERS: dict = {}
 
 
 class _Encoder:
-    """Ids of words, remembered within a worker: the first MEMO short words for good, others for a batch.
+    """Ids of words, remembered within a worker: the first MEMO words for good, others for a batch.
 
     White space never stands inside a token of this tokenizer, so a text's ids
-    are those of its words.  ASCII texts are lower-cased first, as the tokenizer
-    does itself, unless they may hold a special token's name.
+    are those of its words.  Words are known by a 64-bit hash.  Plain ASCII words
+    are folded first, as the tokenizer does itself; one that may hold a special
+    token's name, or other letters, stays as it is.
     """
 
     def __init__(self, path: str):
@@ -37,7 +41,7 @@ class _Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.mark, self.mark_id = next((t.content, i) for i, t in sorted(added.items()) if t.special)
         self.opening = self.mark[:1].encode()
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[int, bytes] = {}
 
     def _plain(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
@@ -58,30 +62,48 @@ class _Encoder:
             raise ValueError("the tokenizer's special token is not kept apart")
         return [ids[a + 1:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
-    def _learn(self, words) -> dict[bytes, bytes]:
-        rare = {w: np.array(self._plain(w.decode()).ids, "<u4").tobytes() for w in words if self.opening in w or len(w) > 64}
-        short = [w for w in words if w not in rare] if rare else list(words)
-        new = {}
-        for some, how in (([w for w in short if w.isascii()], self._by_place), ([w for w in short if not w.isascii()], self._by_mark)):
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each word."""
+        out: list[bytes] = [b""] * len(words)
+        ascii_, other = [], []
+        for i, w in enumerate(words):
+            if self.opening in w:
+                out[i] = np.array(self._plain(w.decode()).ids, "<u4").tobytes()
+            else:
+                (ascii_ if w.isascii() else other).append(i)
+        for some, how in ((ascii_, self._by_place), (other, self._by_mark)):
             for at in range(0, len(some), 1024):
-                new.update(zip(some[at:at + 1024], how(some[at:at + 1024])))
-        if len(self.known) + len(new) <= MEMO:
-            self.known.update(new)
-            return rare
-        return new | rare
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = []
-        for t in texts:
-            raw = (t or "").encode()
-            split.append((raw.lower() if raw.isascii() and self.opening not in raw else raw).split())
-        more = self._learn(set().union(*split) - self.known.keys())
-        if not more:
-            known = self.known
-            return [b"".join([known[w] for w in words]) for words in split]
-        get = self.known.get
-        return [b"".join([more[w] if (v := get(w)) is None else v for w in words]) for words in split]
+                part = some[at:at + 1024]
+                for i, ids in zip(part, how([words[i] for i in part])):
+                    out[i] = ids
+        return out
+
+    def encode(self, column, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with ``end_id`` behind it; where each text's ids begin, and the end)."""
+        w = Words(column)
+        kept = np.concatenate([[0], np.cumsum((w.data >= 128) | (w.data == self.opening[0]))])
+        as_is = kept[w.ends] > kept[w.starts]
+        codes, keys = pd.factorize(np.where(as_is, w.hashes(), w.hashes(fold=True)))
+        values = list(map(self.known.get, keys.tolist()))
+        fresh = np.array([i for i, v in enumerate(values) if v is None], np.int64)
+        if len(fresh):
+            first = np.zeros(len(keys), np.int64)
+            first[codes[::-1]] = np.arange(len(codes))[::-1]
+            raw = w.data.tobytes()
+            spans = zip(w.starts[first[fresh]].tolist(), w.ends[first[fresh]].tolist(), as_is[first[fresh]].tolist())
+            new = self._ids([raw[a:b] if keep else raw[a:b].lower() for a, b, keep in spans])
+            for i, ids in zip(fresh.tolist(), new):
+                values[i] = ids
+            if len(self.known) + len(new) <= MEMO:
+                self.known.update(zip(keys[fresh].tolist(), new))
+        values.append(np.array([end_id], "<u4").tobytes())
+        sizes = np.array(list(map(len, values)), np.int64) // 4
+        flat, begin = np.frombuffer(b"".join(values), "<u4"), np.cumsum(sizes) - sizes
+        codes = np.insert(codes, w.ptr[1:], len(keys))                 # the end of each text
+        size = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.repeat(begin[codes] - ends[:-1], size) + np.arange(ends[-1])]
+        return ids, ends[w.ptr + np.arange(len(w.ptr))]
 
 
 def token_pieces(df: DataFrame, text_col: str, path: str, carry: list[str], capacity: int = 4096, end_id: int = 1) -> DataFrame:
@@ -96,21 +118,21 @@ def token_pieces(df: DataFrame, text_col: str, path: str, carry: list[str], capa
     def run(batches):
         if path not in _TOKENIZERS:
             _TOKENIZERS[path] = _Encoder(path)
-        encoder, tail = _TOKENIZERS[path], np.array([end_id], "<u4").tobytes()
+        encoder = _TOKENIZERS[path]
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                row, piece, start, ids = [], [], [], []
-                for r, raw in enumerate(encoder.encode(batch.column("text").to_pylist())):
-                    raw += tail
-                    for p, a in enumerate(range(0, len(raw), 4 * capacity)):
-                        row.append(r)
-                        piece.append(p)
-                        start.append(a // 4)
-                        ids.append(raw[a:a + 4 * capacity])
+            for batch in B.slices(whole, B.BLOCK_BYTES):
+                ids, begin = encoder.encode(batch.column("text"), end_id)
+                sizes = np.diff(begin)
+                count = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), count)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                start = piece * capacity
+                length = np.minimum(capacity, sizes[row] - start)
+                cuts = (4 * np.concatenate([[0], np.cumsum(length)])).astype(np.int32)          # pieces lie one behind the other
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("row").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["row", "piece", "start", "length", "ids"])
+                    batch.column("row").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                    pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(cuts), pa.py_buffer(ids.astype("<u4").tobytes())])],
+                    names=["row", "piece", "start", "length", "ids"])
 
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     kind = held.schema["row"].dataType.simpleString()

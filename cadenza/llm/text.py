@@ -90,11 +90,11 @@ class Words:
         """Document index of each word."""
         return np.repeat(np.arange(len(self.ptr) - 1), np.diff(self.ptr))
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hash of each word; equal words have equal hashes in every task."""
+    def hashes(self, fold: bool = False) -> np.ndarray:
+        """64-bit hash of each word (with ``fold`` as if A-Z were folded); equal words have equal hashes in every task."""
         n = len(self.data)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[self.data] * powers(_BASE, n), out=sums[1:])
+        np.cumsum((_BYTE_VALUE[_LOWER] if fold else _BYTE_VALUE)[self.data] * powers(_BASE, n), out=sums[1:])
         h = (sums[self.ends] - sums[self.starts]) * powers(_BASE_INV, n + 1)[self.starts]
         return mix(h + (self.ends - self.starts).astype(np.uint64))
 
