@@ -37,8 +37,33 @@ def flat_labels() -> dict[str, float]:
 _QUANT = lambda c: to_quantitative(c, flat_labels())
 _SURVEY_STD = dict(SURVEY_STANDARDISERS, convertToQuantitative=lambda c: _QUANT(c).cast("string"))
 
+# The survey's questions, as the raw answers file heads its columns, and their short names.
+SURVEY_RENAME = {
+    "Horodateur": "created_at",
+    "Pour être sûr ": "has_consented",
+    "Écoutez-vous de la musique ? ": "is_listening",
+    "🗓️🎵 À quelle fréquence écoutez-vous de la musique ?": "frequency",
+    "🏘️🎵 Dans quel(s) contexte(s) écoutez-vous vos musiques ?": "context",
+    "🌞🎵 À quel moment de la journée écoutez-vous le plus de la musique ? ": "when",
+    "❓🎵 Comment écoutez-vous vos musiques ?": "how",
+    "📱🎵 Quelle(s) plateforme(s) de streaming utilisez-vous ?": "platform",
+    "🧐🎵 Vos musiques servent à :": "utility",
+    "🔡🎵 Quels sont vos genres de musique préférés": "track_genre",
+    "⏰🎵 Quelle est la durée moyenne des musiques que vous écoutez ?": "duration",
+    "🎧🎵 Écoutez-vous plutôt des morceaux ": "energy",
+    "🚲🎵 Quel est le tempo des musiques que vous écoutez ?": "tempo",
+    "👂🎵 Les musiques que vous écoutez sont plutôt": "feeling",
+    "🔴🎵 Écoutez-vous des musiques interprétées en live ? (concert par exemple)": "is_live",
+    "🔊🎵 La qualité de l'audio est importante pour moi": "quality",
+    "💪🎵 A quel point êtes vous prêt(e) à découvrir de nouveaux genres ou artistes ?": "curiosity",
+    "📊 Quelle est votre tranche d'âge ?": "age_range",
+    "👤 Quel est votre genre ?": "gender",
+    "👔 Dans quel domaine travaillez-vous ?": "position",
+}
+
 _T = ["trimEmoji", "trimSpaces"]
 SURVEY_RULES = TableRules(
+    rename=SURVEY_RENAME,
     standardisers=_SURVEY_STD,
     validators=SURVEY_VALIDATORS,
     standardisation={

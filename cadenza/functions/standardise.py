@@ -205,13 +205,19 @@ def _duration_case(p: Column) -> Column:
     return F.when(p["n"] == 3, hms).when(p["n"] == 2, ms).otherwise(num).cast("string")
 
 
+def _bare(word: str) -> str:
+    """Pattern of ``word`` outside quotes: each match goes on where the last ended and steps over whole quoted items."""
+    first, rest = word[0], word[1:]
+    return (rf"\G((?:[^'\"{first}]++|(?<=\w){first}|{first}(?!{rest}\b)|'(?:[^'\\]|\\.)*+'|\"(?:[^\"\\]|\\.)*+\")*+){word}")
+
+
 def _py_literal_to_json(c: Column) -> Column:
     """Bounded rewrite of a Python list/tuple literal into JSON-ish text."""
     t = strip_ws(c)
     t = F.regexp_replace(t, r"^\((.*)\)$", "[$1]")
-    t = F.regexp_replace(t, r"\bNone\b", "null")
-    t = F.regexp_replace(t, r"\bTrue\b", "true")
-    return F.regexp_replace(t, r"\bFalse\b", "false")
+    for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
+        t = F.regexp_replace(t, _bare(word), f"$1{value}")
+    return t
 
 
 def parse_py_list(c) -> Column:
@@ -338,13 +344,13 @@ def row_json(cols: Sequence[str], keep_nulls: bool = True) -> Column:
 def age_years(c, as_of=None) -> Column:
     """SCL-25: age in years (days / 365.25) against ``as_of`` (default now)."""
     ref = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    ts = _c(c).cast("timestamp")
+    ts = _c(c).try_cast("timestamp")
     return (F.unix_timestamp(ref) - F.unix_timestamp(ts)) / 86400.0 / 365.25
 
 
 def finite_or_null(c) -> Column:
     """SCL-26: inf / NaN → NULL."""
-    x = _c(c).cast("double")
+    x = _c(c).try_cast("double")
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None)).otherwise(x)
 
 
@@ -361,7 +367,8 @@ def tokenize(c, stop_words: Sequence[str] | None = None) -> Column:
     """SCL-27: null → '', lower, unicode word tokens of length ≥ 2, optional stop words."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(_c(c), F.lit(""))), F.lit(TOKEN_PATTERN), 0)
     if stop_words:
-        toks = F.array_except(toks, F.array(*[F.lit(w) for w in stop_words]))
+        stop = list(stop_words)
+        toks = F.filter(toks, lambda t: ~t.isin(stop))            # repeated tokens stay: their count is the term frequency
     return toks
 
 

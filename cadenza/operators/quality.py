@@ -104,6 +104,8 @@ def clean_table(df: DataFrame, rules: TableRules, *, as_of=None, strict_int: boo
     specific_val = {c: list(r) for c, r in rules.validation.items() if c != ALL}
     missing = [c for c in specific_val if c not in df.columns]                 # PRJ-03
     selected = list(df.columns) if default_val else [c for c in df.columns if c in specific_val]  # PRJ-01/02
+    if not selected:
+        raise ValueError(f"no column of the table has a rule; missing: {missing}")
     eff_val = {c: specific_val.get(c, default_val) for c in selected}
     default_std = list(rules.standardisation.get(ALL, []))
     eff_std = {c: list(rules.standardisation.get(c, default_std)) for c in selected}

@@ -2,17 +2,19 @@
 
 ``F.median`` / ``percentile`` keep every distinct value of a column in one
 aggregation buffer; on a 100 TB column that is unbounded.  Here each pass is
-one aggregate over (column, bucket) counts -- map-side combined, memory
-O(bins) per task -- that narrows the interval holding the wanted ranks by a
-factor ``bins``.  When the interval holds at most ``collect_limit`` values
-they are fetched and the exact order statistics read off.  Columns are
-handled together (one scan per pass); skew is harmless because a hot value
-just ends in a zero-width interval.
+one aggregate over (target, bucket) counts -- map-side combined, memory
+O(bins) per task -- that narrows the interval holding a wanted rank by a
+factor ``bins``, until it is a single value.  A pass takes at least one value
+out of an interval, and its width is divided by ``bins``, so a few passes
+do for any data and a double's exponent range bounds them.  No value list ever
+reaches the driver.  Columns are handled together (one scan per pass); skew
+is harmless because a hot value just ends in a zero-width interval.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark import StorageLevel
@@ -20,8 +22,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: int = 4096,
-                    collect_limit: int = 10_000, max_passes: int = 12) -> dict[str, float | None]:
+@dataclass
+class _Target:
+    """The value of rank ``rank`` of column ``col`` lies in [lo, hi]; ``below`` values lie under lo."""
+    col: int
+    rank: int
+    lo: float
+    hi: float
+    below: int = 0
+
+    def bucket(self, bins: int) -> Column:
+        v = F.col("v")
+        if math.isinf(self.lo) or math.isinf(self.hi):
+            return F.when(v == F.lit(float("-inf")), 0).when(v == F.lit(float("inf")), 2).otherwise(1)
+        width = self.hi / bins - self.lo / bins                # no overflow at the ends of the range
+        if width <= 0 or self.hi / width - self.lo / width < 1:         # neighbours in double precision
+            return F.when(v > F.lit(self.lo), 1).otherwise(0)
+        return F.least(F.floor(v / F.lit(width) - F.lit(self.lo / width)), F.lit(bins - 1)).cast("int")
+
+    def narrow(self, buckets) -> None:
+        """``buckets``: (bucket, count, min, max) rows."""
+        for _, n, least, most in sorted(buckets):
+            if self.rank < self.below + n:
+                self.lo, self.hi = least, most
+                return
+            self.below += n
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: int = 4096) -> dict[str, float | None]:
     """Linearly interpolated ``q``-quantile of each column (NULL/NaN ignored)."""
     stacked = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
                                              for i, c in enumerate(cols)])).alias("s"))
@@ -30,84 +58,27 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: in
     # (memory, spilling to disk) instead of re-running the input's lineage.
     stacked = stacked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _refine(stacked, cols, q, bins, collect_limit, max_passes)
+        return _refine(stacked, cols, q, bins)
     finally:
         stacked.unpersist()
 
 
-def _refine(stacked: DataFrame, cols: Sequence[str], q: float, bins: int, collect_limit: int,
-            max_passes: int) -> dict[str, float | None]:
+def _refine(stacked: DataFrame, cols: Sequence[str], q: float, bins: int) -> dict[str, float | None]:
     first = {r["i"]: r for r in stacked.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
                                                          F.max("v").alias("hi")).collect()}
-    state = {}
+    place = {i: (r["n"] - 1) * q for i, r in first.items()}
+    targets = [_Target(i, k, first[i]["lo"], first[i]["hi"]) for i, p in place.items() for k in sorted({math.floor(p), math.ceil(p)})]
+    while wide := [(t, target) for t, target in enumerate(targets) if target.lo < target.hi]:
+        hits = [F.when((F.col("i") == target.col) & F.col("v").between(target.lo, target.hi),
+                       F.struct(F.lit(t).alias("t"), target.bucket(bins).alias("b"))) for t, target in wide]
+        counts = (stacked.select("v", F.explode(F.array(*hits)).alias("h")).filter("h is not null").groupBy("h.t", "h.b")
+                  .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
+        for t, target in wide:
+            target.narrow([(r["b"], r["n"], r["lo"], r["hi"]) for r in counts if r["t"] == t])
     result: dict[str, float | None] = {c: None for c in cols}
-    for i, c in enumerate(cols):
-        r = first.get(i)
-        if r is None or r["n"] == 0:
-            continue
-        n = r["n"]
-        pos = (n - 1) * q
-        ranks = sorted({int(math.floor(pos)), int(math.ceil(pos))})
-        state[i] = {"n": n, "pos": pos, "ranks": ranks, "lo": r["lo"], "hi": r["hi"], "below": 0,
-                    "count": n, "cond": F.lit(True), "values": {}}
-
-    def finish(i: int, vals: dict[int, float]) -> None:
-        st = state[i]
-        lo_r, hi_r = st["ranks"][0], st["ranks"][-1]
-        v_lo, v_hi = vals[lo_r], vals[hi_r]
-        result[cols[i]] = v_lo + (v_hi - v_lo) * (st["pos"] - lo_r)
-
-    active = set(state)
-    for _ in range(max_passes):
-        if not active:
-            break
-        small = [i for i in active if state[i]["count"] <= collect_limit or state[i]["lo"] == state[i]["hi"]]
-        for i in small:
-            st = state[i]
-            if st["lo"] == st["hi"]:
-                finish(i, {r: st["lo"] for r in st["ranks"]})
-            else:
-                vals = sorted(r["v"] for r in stacked.filter((F.col("i") == i) & st["cond"]).select("v").collect())
-                finish(i, {r: vals[r - st["below"]] for r in st["ranks"]})
-            active.discard(i)
-        if not active:
-            break
-        bucket_exprs, filters = {}, []
-        for i in active:
-            st = state[i]
-            width = (st["hi"] - st["lo"]) / bins
-            b = F.least(F.floor((F.col("v") - F.lit(st["lo"])) / F.lit(width)), F.lit(bins - 1)).cast("int")
-            bucket_exprs[i] = b
-            filters.append((F.col("i") == i) & st["cond"])
-        bucket = None
-        for i, b in bucket_exprs.items():
-            bucket = F.when(F.col("i") == i, b) if bucket is None else bucket.when(F.col("i") == i, b)
-        cond = filters[0]
-        for f in filters[1:]:
-            cond = cond | f
-        hist = (stacked.filter(cond).groupBy("i", bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("k"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect())
-        per: dict[int, list] = {}
-        for r in hist:
-            per.setdefault(r["i"], []).append((r["b"], r["k"], r["mn"], r["mx"]))
-        for i in list(active):
-            st = state[i]
-            cum, chosen, below_first = st["below"], [], None
-            for b, k, mn, mx in sorted(per.get(i, [])):
-                if any(cum <= r < cum + k for r in st["ranks"]):
-                    if below_first is None:
-                        below_first = cum
-                    chosen.append((b, k, mn, mx))
-                cum += k
-            st["below"] = below_first
-            st["count"] = sum(x[1] for x in chosen)
-            st["cond"] = st["cond"] & bucket_exprs[i].isin([x[0] for x in chosen])
-            # The new interval is bounded by actual data values of the chosen buckets.
-            st["lo"], st["hi"] = min(x[2] for x in chosen), max(x[3] for x in chosen)
-    for i in active:   # pass budget exhausted: fetch what is left
-        st = state[i]
-        vals = sorted(r["v"] for r in stacked.filter((F.col("i") == i) & st["cond"]).select("v").collect())
-        finish(i, {r: vals[r - st["below"]] for r in st["ranks"]})
+    for i, p in place.items():
+        values = [t.lo for t in targets if t.col == i]
+        result[cols[i]] = values[0] if values[0] == values[-1] else values[0] + (values[-1] - values[0]) * (p - math.floor(p))
     return result
 
 

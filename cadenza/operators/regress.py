@@ -44,14 +44,14 @@ def latest_rank_frame(entity: DataFrame, key: str, ranks: DataFrame, order_col:
 
 
 def _finite(c) -> F.Column:
-    x = c.cast("double")
+    x = c.try_cast("double")
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None)).otherwise(x)
 
 
 def fit_prep(df: DataFrame, features: Sequence[str], target: str | None = None) -> PrepMeta:
     """Fit medians, means and stds (ddof 1) of the finite, median-filled features."""
     finite = df.select(*[_finite(F.col(c)).alias(c) for c in features],
-                       *([F.log1p(F.greatest(F.col(target).cast("double"), F.lit(0.0))).alias("__y")] if target else []))
+                       *([F.log1p(F.greatest(F.col(target).try_cast("double"), F.lit(0.0))).alias("__y")] if target else []))
     med = exact_quantiles(finite, list(features), 0.5)
     filled = finite.select(*[F.coalesce(F.col(c), literal(med[c])).alias(c) for c in features],
                            *(["__y"] if target else []))
@@ -76,7 +76,7 @@ def apply_prep(df: DataFrame, meta: PrepMeta, keep: Sequence[str] = (), target:
         out.append(F.coalesce(_finite(z), F.lit(0.0)).alias(c))
     extra = []
     if target and target in df.columns:
-        y = F.log1p(F.greatest(F.col(target).cast("double"), F.lit(0.0)))
+        y = F.log1p(F.greatest(F.col(target).try_cast("double"), F.lit(0.0)))
         extra.append(F.coalesce(_finite(y), F.lit(0.0)).alias("label"))
     return df.select(*keep, *out, *extra)
 

@@ -42,11 +42,16 @@ def _scale(s) -> float:
     return 1.0 if s is None or s == 0 or (isinstance(s, float) and math.isnan(s)) else float(s)
 
 
+def _number(c: str):
+    """A column as a number; bad text and NaN are missing."""
+    return F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double"))
+
+
 def impute_median(df: DataFrame, cols: Sequence[str], medians: dict | None = None,
                   keep: Sequence[str] = ()) -> DataFrame:
     """Median imputation only (enough for correlations: they ignore scale)."""
     med = medians if medians is not None else column_medians(df, cols)
-    return df.select(*keep, *[F.coalesce(F.col(c).cast("double"), literal(med[c])).alias(c) for c in cols])
+    return df.select(*keep, *[F.coalesce(_number(c), literal(med[c])).alias(c) for c in cols])
 
 
 def impute_standardise(df: DataFrame, cols: Sequence[str], ddof: int = 0, keep: Sequence[str] = (),
@@ -57,7 +62,7 @@ def impute_standardise(df: DataFrame, cols: Sequence[str], ddof: int = 0, keep:
     of the imputed columns); the per-row work is one projection with them
     as literals."""
     med = medians if medians is not None else column_medians(df, cols)
-    filled = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), literal(med[c])).alias(c) for c in cols])
+    filled = df.select(*keep, *[F.coalesce(_number(c), literal(med[c])).alias(c) for c in cols])
     mean, sd = moments(filled, cols, ddof)
     return filled.select(*keep, *[((F.col(c) - literal(mean[c])) / F.lit(_scale(sd[c]))).alias(c) for c in cols])
 

@@ -205,13 +205,13 @@ nb AS (
   SELECT vec_id, row_number() OVER (ORDER BY 1.0 - list_cosine_similarity(CAST(embedding AS DOUBLE[]), tv), vec_id) AS neighbour_rank
   FROM embeddings CROSS JOIN t WHERE vec_id <> (SELECT min(vec_id) FROM embeddings)
 )
-SELECT nb.neighbour_rank, d.doc_id FROM nb JOIN documents d ON d.doc_id % 500 = nb.vec_id WHERE nb.neighbour_rank <= 5
+SELECT nb.neighbour_rank, d.doc_id FROM nb JOIN documents d ON d.doc_id % (SELECT count(*) FROM embeddings) = nb.vec_id WHERE nb.neighbour_rank <= 5
 """)
 def knn_neighbour_history(spark, sf_dir):
-    """Neighbours' 'histories': documents whose id maps onto the vector id."""
+    """Neighbours' 'histories': documents whose id maps onto the vector id, over all vectors."""
     emb = T(spark, sf_dir, "embeddings")
     nb = R.knn_cosine(emb, "vec_id", "embedding", _one_key(emb.agg(F.min("vec_id"))), k=5)
-    docs = T(spark, sf_dir, "documents").select((F.col("doc_id") % 500).alias("vec_id"), "doc_id")
+    docs = T(spark, sf_dir, "documents").select((F.col("doc_id") % emb.count()).alias("vec_id"), "doc_id")
     return R.neighbour_history(nb, "vec_id", docs, "vec_id").select(F.col("neighbour_rank").cast("long"), "doc_id")
 
 

@@ -16,6 +16,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from ..session import cut_lineage
 
 UNNAMED_PREFIX = "Unnamed: 0_"
 
@@ -46,22 +49,33 @@ def flatten_header(rows: Sequence[Sequence[str]]) -> list[str]:
 
 
 def peek_header(spark: SparkSession, path: str, header_rows: int) -> list[list[str]]:
-    """Read the first ``header_rows`` lines only (k rows reach the driver)."""
+    """Read the first ``header_rows`` lines only (k rows reach the driver).
+
+    A folder's header is that of its first file by name.
+    """
+    lister = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = lister.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(lister) and files.getFileStatus(lister).isDirectory():
+        names = sorted(str(s.getPath()) for s in files.listStatus(lister) if s.isFile() and not str(s.getPath().getName()).startswith(("_", ".")))
+        path = names[0] if names else path
     lines = [r[0] for r in spark.read.text(path).limit(header_rows).collect()]
     return [next(csv.reader(io.StringIO(line))) for line in lines]
 
 
 def read_raw_csv(spark: SparkSession, path: str, header_rows: int = 1, header_path: str | None = None,
                  rename: dict | None = None, drop_key: str | None = None, drop_values: Sequence[str] = (),
-                 recursive: bool = False) -> DataFrame:
+                 recursive: bool = False, multi_line: bool = False) -> DataFrame:
     """SRC-01/02/03/04: all-text scan with a flattened k-row header.
 
+    ``multi_line`` is for files with line breaks inside quoted cells; such files
+    cannot be split, each is read by one task.
+
     Header lines found among the data (every cell equal) are removed; rows
     whose ``drop_key`` holds one of ``drop_values`` (sub-header rows) too.
     """
     header = peek_header(spark, header_path or path, header_rows) if header_rows else []
     names = flatten_header(header) if header else None
-    reader = (spark.read.option("header", "false").option("multiLine", "true").option("escape", '"')
+    reader = (spark.read.option("header", "false").option("multiLine", str(multi_line).lower()).option("escape", '"')
               .option("mode", "PERMISSIVE"))
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -129,13 +143,26 @@ def write_clean_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def read_scoring_input(spark: SparkSession, path: str, required: Sequence[str] = ("track_date_created",),
                        id_col: str = "track_id") -> DataFrame:
-    """SRC-14: scoring CSV; required columns checked; ids added when absent."""
+    """SRC-14: scoring CSV; required columns checked; ids added when absent.
+
+    An added id numbers the rows by file and place (``csv_row_<n>``): the same
+    at every evaluation, and gapless for a single file.
+    """
     df = spark.read.option("header", "true").csv(path)
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     if id_col not in df.columns:
-        df = df.withColumn(id_col, F.concat(F.lit("csv_row_"), F.monotonically_increasing_id().cast("string")))
+        # rows before each file and block come from one small count per block; within a block rows keep their order
+        placed = df.select("*", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__b"),
+                           F.monotonically_increasing_id().alias("__m"))
+        placed = cut_lineage(placed, "scoring")
+        blocks = placed.groupBy("__f", "__b").agg(F.count("*").alias("__n"), F.min("__m").alias("__first"))
+        before = F.coalesce(F.sum("__n").over(Window.orderBy("__f", "__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        starts = blocks.select("__f", "__b", "__first", before.alias("__before"))
+        df = placed.join(starts, ["__f", "__b"]) \
+            .withColumn(id_col, F.concat(F.lit("csv_row_"), (F.col("__before") + F.col("__m") - F.col("__first")).cast("string"))) \
+            .drop("__f", "__b", "__m", "__first", "__before")
     return df
 
 

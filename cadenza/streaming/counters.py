@@ -54,12 +54,13 @@ def _write_manifest(spark: SparkSession, base: str, epoch: int, manifest: dict[i
         out.close()
 
 
-def _latest_manifest(spark: SparkSession, base: str) -> tuple[int, dict[int, str]]:
-    """(epoch, {bucket: path}) of the newest manifest under ``base`` (a restart)."""
+def _latest_manifest(spark: SparkSession, base: str, below: int | None = None) -> tuple[int, dict[int, str]]:
+    """(epoch, {bucket: path}) of the newest manifest under ``base``; with ``below``, of an epoch before it."""
     fs, p = _fs(spark, os.path.join(base, "manifest"))
     if not fs.exists(p):
         return -1, {}
     names = sorted(str(st.getPath().getName()) for st in fs.listStatus(p) if str(st.getPath().getName()).endswith(".json"))
+    names = [n for n in names if below is None or int(n[len("epoch-"):-len(".json")]) < below]
     if not names:
         return -1, {}
     latest = names[-1]
@@ -81,19 +82,17 @@ def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str =
     keys, plus the batch) into ``table/v<epoch>/__bucket=<b>``; untouched
     buckets keep pointing at their previous folder.  The bucket → folder
     manifest of every epoch is written next to the table (one tiny file per
-    epoch), so a retried epoch starts from the previous epoch's manifest
-    (idempotent) and a restarted driver recovers the latest one.
+    epoch).  An epoch starts from the newest manifest below it, as it lies in
+    the folder: one that is run again, after a crash between its manifest and
+    Spark's commit too, meets the rows it met the first time.
     """
     spark = agg.sparkSession
     base = run_dir or _run_dir(spark, tag)
     table = os.path.join(base, "table")
-    last_epoch, last = _latest_manifest(spark, base)
-    manifests: dict[int, dict[int, str]] = {last_epoch: last}
     bucket_of = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        before = manifests.get(epoch - 1, manifests[max(e for e in manifests if e < epoch)]
-                               if any(e < epoch for e in manifests) else {})
+        _, before = _latest_manifest(spark, base, below=epoch)
         # Two actions read the micro-batch (touched buckets, then the write):
         # keep it for the epoch instead of re-running the stateful step.
         b = batch.withColumn("__bucket", bucket_of).persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,7 +104,6 @@ def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str =
     def _merge_epoch(b: DataFrame, epoch: int, before: dict) -> None:
         touched = sorted(r[0] for r in b.select("__bucket").distinct().collect())   # ≤ buckets values
         if not touched:
-            manifests[epoch] = dict(before)
             return
         olds = [before[t] for t in touched if t in before]
         merged = b
@@ -117,15 +115,12 @@ def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str =
         now = dict(before)
         now.update({t: os.path.join(out, f"__bucket={t}") for t in touched})
         _write_manifest(spark, base, epoch, now)
-        manifests[epoch] = now
-        for e in [e for e in manifests if e < epoch - 1]:
-            del manifests[e]
 
     q = (agg.writeStream.outputMode(output_mode).foreachBatch(upsert)
          .option("checkpointLocation", os.path.join(base, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    final = manifests[max(manifests)]
+    _, final = _latest_manifest(spark, base)
     if not final:
         return spark.createDataFrame([], agg.schema)
     return spark.read.schema(agg.schema).parquet(*final.values())
@@ -146,13 +141,16 @@ def run_append(stream: DataFrame, tag: str, run_dir: str | None = None) -> DataF
 
 def item_counter_stream(events: DataFrame, item: Callable, type_col: str, user: str, *, like: str, unlike: str,
                         listen: str, comment: str, id_col: str | None = None, ts_col: str | None = None,
-                        delay: str = "1 hour") -> tuple[DataFrame, DataFrame]:
+                        delay: str | None = None) -> tuple[DataFrame, DataFrame]:
     """STR-01: likes (±1, floored at 0) and comments per item, plus distinct
     listeners per item (dedupe on (item, user) then count).  With ``id_col``
     and ``ts_col`` replays of the same event id inside the watermark are
-    dropped first (idempotent ingestion)."""
+    dropped first (idempotent ingestion); ``delay`` must then be named, as rows
+    that come later than it are lost."""
     ev = events.withColumn("item", item)
     if id_col and ts_col:
+        if delay is None:
+            raise ValueError("delay is required: rows later than the watermark are dropped")
         ev = ev.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([id_col])
     t = F.col(type_col)
     d = F.when(t == like, 1).when(t == unlike, -1).otherwise(0)
@@ -173,15 +171,18 @@ def latest_per_key_stream(events: DataFrame, key: str, order_col: str, value_col
 
 
 def clean_stream(events: DataFrame, rules: TableRules, *, as_of=None, dedupe_key: str | None = None,
-                 ts_col: str | None = None, delay: str = "1 hour") -> DataFrame:
+                 ts_col: str | None = None, delay: str | None = None) -> DataFrame:
     """STR-03: the row-local standardise / convert / validate expressions on a
     stream.  ``unique`` cannot see the future, so it is replaced by dropping
-    *later* copies of ``dedupe_key`` inside the watermark."""
+    *later* copies of ``dedupe_key`` inside the watermark, whose ``delay`` must
+    be named: rows that come later are lost."""
     val = {c: [r for r in rs if r != "unique"] for c, rs in rules.validation.items()}
     stream_rules = TableRules(validation=val, standardisation=rules.standardisation, rename=rules.rename,
                               subheader_key=rules.subheader_key, subheader_values=rules.subheader_values,
                               standardisers=rules.standardisers, validators=rules.validators)
     src = events
     if dedupe_key and ts_col:
+        if delay is None:
+            raise ValueError("delay is required: rows later than the watermark are dropped")
         src = src.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([dedupe_key])
     return clean_table(src, stream_rules, as_of=as_of).clean

@@ -20,7 +20,7 @@ def test_exact_quantiles_match_numpy(spark, q):
     pdf = pd.DataFrame({"a": a, "b": b})
     pdf.loc[::17, "b"] = np.nan
     df = spark.createDataFrame(pdf)
-    got = exact_quantiles(df, ["a", "b"], q, bins=64, collect_limit=500)
+    got = exact_quantiles(df, ["a", "b"], q, bins=64)
     assert got["a"] == pytest.approx(np.quantile(a, q), abs=1e-12)
     assert got["b"] == pytest.approx(np.nanquantile(pdf["b"], q), abs=1e-12)
 
