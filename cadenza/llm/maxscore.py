@@ -7,10 +7,10 @@ to a score and are bounded by the largest component in them; the lists on the
 other side only subtract, their bound is 0.  With the best ``k`` scores so far as
 threshold, the lists of least bound whose bounds add up to less than it are
 non-essential: a vector in none of the essential lists cannot enter.  Essential
-postings are traversed; the vectors found there that can still reach the
-threshold are probed in the other lists, in order of falling bound, and dropped
-once they cannot.  Shards of vectors are searched by blocks of queries, and the
-shards' best are merged.
+postings are traversed; the vectors that can still reach the threshold are
+probed in the other lists, those of greater bounds first, and dropped once they
+cannot.  Shards of vectors are searched by blocks of queries, and the shards'
+best are merged.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ QUERY_BLOCK = 512
 LIMIT = 1 << 28
 #: Vectors of a shard are read in runs of these sizes: a first threshold costs little, later ones prune.
 RUNS = (256, 1024)
+#: Lists that are probed together at the end.
 PROBE = 8
 
 
@@ -40,76 +41,74 @@ def _matrix(column) -> np.ndarray:
 
 
 class Postings:
-    """Posting lists of a run of vectors: ids and components by dimension and sign, and each list's largest component."""
-
-    def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors
-        self.lists, self.bound = [], np.zeros((vectors.shape[1], 2), np.int64)
-        for j in range(vectors.shape[1]):
-            column = vectors[:, j]
-            both = []
-            for side, ids in enumerate((np.flatnonzero(column > 0), np.flatnonzero(column < 0))):
-                both.append((ids, column[ids]))
-                self.bound[j, side] = np.abs(column[ids]).max(initial=0)
-            self.lists.append(both)
-
-    def search(self, query: np.ndarray, threshold: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the vectors that score at least ``threshold`` (all, if None)."""
-        dims = np.flatnonzero(query)
-        side = (query[dims] < 0).astype(np.int64)
-        bounds = np.abs(query[dims]) * self.bound[dims, side]
-        order = np.argsort(bounds, kind="stable")
-        dims, side, bounds = dims[order], side[order], bounds[order]
-        below = np.cumsum(bounds)                     # what the lists up to each one can add together
-        if threshold is None or threshold <= 0:
-            alive = np.arange(len(self.vectors))      # even a vector in no list may enter
-            return alive, self.vectors @ query
-        others = int(np.searchsorted(below, threshold, "left"))      # lists[:others] add up to less than the threshold
-        score = np.zeros(len(self.vectors), np.int64)
-        met = np.zeros(len(self.vectors), bool)
-        for j, s in zip(dims[others:].tolist(), side[others:].tolist()):
-            ids, values = self.lists[j][s]
-            score[ids] += values * query[j]
-            met[ids] = True
-        rest = int(below[others - 1]) if others else 0
-        alive = np.flatnonzero(met & (score + rest >= threshold))
-        score = score[alive]
-        for stop in range(others, 0, -PROBE):
-            some = np.arange(max(0, stop - PROBE), stop)
-            part = self.vectors[np.ix_(alive, dims[some])] * query[dims[some]]
-            score = score + np.maximum(part, 0).sum(1)
-            rest = int(below[some[0] - 1]) if some[0] else 0
-            keep = score + rest >= threshold
-            alive, score = alive[keep], score[keep]
-            if not len(alive):
-                return alive, score
-        score = score + np.minimum(self.vectors[alive] * query, 0).sum(1)          # the lists that subtract
-        keep = score >= threshold
-        return alive[keep], score[keep]
+    """Posting lists of a run of vectors, list (dimension, sign) after list, and each list's largest component.
+
+    Vectors here fill most dimensions, so a list is kept as a row with zeros
+    where a vector is not in it, and lists are traversed for a block of queries
+    by one matrix product (in whole numbers, exact in the type chosen).
+    """
+
+    def __init__(self, vectors: np.ndarray, kind):
+        self.lists = np.concatenate([np.maximum(vectors, 0), np.minimum(vectors, 0)], axis=1).T.astype(kind)
+        self.bound = np.abs(self.lists).max(axis=1, initial=0)
+
+    def search(self, adding: np.ndarray, taking: np.ndarray, threshold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, vector, score) of all pairs that reach the query's threshold.
+
+        ``adding`` / ``taking``: each query's weights of the lists that add to and that subtract from its scores.
+        """
+        bounds = np.abs(adding) * self.bound
+        order = np.argsort(bounds, axis=1, kind="stable")
+        below = np.cumsum(np.take_along_axis(bounds, order, 1), axis=1)          # what the lists up to each one can add together
+        others = (below < threshold[:, None]).sum(1)                             # so many lists cannot reach the threshold alone
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], 1)
+
+        def left(n: np.ndarray) -> np.ndarray:
+            return np.where(n > 0, np.take_along_axis(below, np.maximum(n - 1, 0)[:, None], 1)[:, 0], 0)[:, None]
+
+        columns, goal = np.arange(self.lists.shape[1]), threshold[:, None]
+        score = np.where(rank >= others[:, None], adding, 0) @ self.lists        # the essential lists
+        alive = score + left(others) >= goal
+        while others.any() and len(columns):
+            fewer = np.where(others > PROBE, others // 2, 0)                     # of the others, those of greater bounds first
+            stay = alive.any(axis=0)
+            if not stay.all():
+                columns, score, alive = columns[stay], score[:, stay], alive[:, stay]
+            score += np.where((rank < others[:, None]) & (rank >= fewer[:, None]), adding, 0) @ self.lists[:, columns]
+            alive &= score + left(fewer) >= goal
+            others = fewer
+        score += taking @ self.lists[:, columns]
+        alive &= score >= goal
+        q, v = np.nonzero(alive)
+        return q, columns[v], score[q, v].astype(np.int64)
 
 
 def search_shard(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
-    """Each query's best ``k`` vectors of a shard but its own: (query index, vector index, score) arrays."""
+    """Each query's best ``k`` vectors of a shard but its own: (query index, vector index, score) arrays.  Ids differ."""
     width = max(queries.shape[1], vectors.shape[1])
     queries, vectors = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (queries, vectors))
     order = np.argsort(ids, kind="stable")                       # ties go to the smaller id, hence to the earlier vector
     ids, vectors = ids[order], vectors[order]
-    cuts = [0, *np.cumsum(RUNS).tolist()]
-    cuts = [c for c in cuts if c < len(ids)] + [len(ids)]
-    runs = [(a, Postings(vectors[a:b])) for a, b in zip(cuts, cuts[1:])]
-    out = []
-    for q in range(len(query_ids)):
-        best, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for start, postings in runs:
-            threshold = int(score[k - 1]) if len(score) >= k else None
-            found, value = postings.search(queries[q], threshold)
-            found = found + start
-            other = ids[found] != query_ids[q]
-            best, score = np.concatenate([best, found[other]]), np.concatenate([score, value[other]])
-            rank = np.lexsort((best, -score))[:k]
-            best, score = best[rank], score[rank]
-        out.append((np.full(len(best), q), order[best], score))
-    return [np.concatenate(x) for x in zip(*out)]
+    most = int((np.abs(queries).max(axis=0, initial=0) * np.abs(vectors).max(axis=0, initial=0)).sum())
+    kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64      # whole numbers stay exact
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    adding, taking = np.concatenate([up, down], axis=1).astype(kind), np.concatenate([down, up], axis=1).astype(kind)
+    own = np.searchsorted(ids, query_ids)
+    own = np.where(ids[np.minimum(own, len(ids) - 1)] == query_ids, own, -1)
+    threshold = np.full(len(query_ids), -(1 << 62))              # none yet
+    q, v, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cuts = [0, *(c for c in np.cumsum(RUNS).tolist() if c < len(ids)), len(ids)]
+    for a, b in zip(cuts, cuts[1:]):
+        found = Postings(vectors[a:b], kind).search(adding, taking, threshold)
+        keep = found[1] + a != own[found[0]]
+        q, v, score = (np.concatenate(x) for x in zip((q, v, score), (found[0][keep], found[1][keep] + a, found[2][keep])))
+        rank = np.lexsort((v, -score, q))
+        q, v, score = q[rank], v[rank], score[rank]
+        place = np.arange(len(q)) - np.searchsorted(q, q)        # place among the query's own
+        threshold[q[place == k - 1]] = score[place == k - 1]
+        q, v, score = q[place < k], v[place < k], score[place < k]
+    return q, order[v], score
 
 
 def top_k(vectors: DataFrame, id_col: str, vector_col: str, is_query, k: int) -> DataFrame:

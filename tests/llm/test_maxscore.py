@@ -36,16 +36,27 @@ def test_shard_search_is_exact(monkeypatch, dims, size, sparse):
     assert {(i, r + 1, *x) for i, xs in got.items() for r, x in enumerate(xs)} == want
 
 
-def test_bounds_prune(monkeypatch):
-    """Vectors that no essential list holds are never scored."""
+@pytest.mark.parametrize("kind,scale", [(np.float32, 1), (np.float64, 1000), (np.int64, 1 << 26)])
+def test_pairs_that_reach_the_threshold(kind, scale):
+    """Sparse and dense lists, thresholds from none to out of reach."""
     rng = np.random.default_rng(3)
     v = np.zeros((2000, 50), np.int64)
     v[np.arange(2000), rng.integers(0, 50, 2000)] = rng.integers(1, 50, 2000)
-    p = M.Postings(v)
-    query = np.ones(50, np.int64)
-    query[0] = 100
-    ids, score = p.search(query, 2000)
-    assert set(ids) == set(np.flatnonzero(v @ query >= 2000)) and (score >= 2000).all() and len(ids) < 60
+    v[1000:] += rng.integers(-9, 10, (1000, 50))
+    queries = rng.integers(-5, 6, (6, 50)) * scale
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    threshold = np.array([-np.inf, -3.0 * scale, 0, 100 * scale, 250 * scale, 1e18])
+    q, d, s = M.Postings(v, kind).search(np.concatenate([up, down], 1).astype(kind), np.concatenate([down, up], 1).astype(kind), threshold)
+    full = queries @ v.T
+    assert {(a, b, c) for a, b, c in zip(q, d, s)} == {(a, b, full[a, b]) for a in range(6) for b in np.flatnonzero(full[a] >= threshold[a])}
+
+
+def test_large_components_stay_exact():
+    rng = np.random.default_rng(4)
+    v = rng.integers(-(1 << 27), 1 << 27, (40, 6))
+    ids = np.arange(40)
+    q, d, s = M.search_shard(ids, v, ids, v, 5)
+    assert all(sum(int(x) * int(y) for x, y in zip(v[a], v[b])) == c for a, b, c in zip(q, d, s.tolist()))
 
 
 def test_blocks_and_shards_merge(spark, monkeypatch):
