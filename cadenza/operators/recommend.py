@@ -23,6 +23,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..functions.ids import normal_noise, uniform_noise
 from ..functions.standardise import tokenize
 
@@ -63,7 +64,8 @@ def text_postings(items: DataFrame, key: str, components: dict[str, str], *,
                                 for c, col in components.items()]))
     docs = items.select(F.col(key).alias("item"), pairs.alias("__p")).select("item", "__p.comp", "__p.text")
     terms = docs.select("item", "comp", F.explode(tokenize(F.col("text"), stop_words)).alias("term"))
-    tf = terms.groupBy("item", "comp", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # read three times below: tokenised once
+    tf = cut_lineage(terms.groupBy("item", "comp", "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
     if binary:
         weighted = tf.select("item", "comp", "term", F.lit(1.0).alias("w"))
     else:
@@ -72,9 +74,8 @@ def text_postings(items: DataFrame, key: str, components: dict[str, str], *,
         weighted = (tf.join(dfreq, ["comp", "term"])
                     .select("item", "comp", "term",
                             (F.col("tf") * (F.log((1.0 + n_items) / (1.0 + F.col("df"))) + 1.0)).alias("w")))
-    norms = weighted.groupBy("item", "comp").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("__norm"))
-    return (weighted.join(norms, ["item", "comp"])
-            .select("item", "comp", "term", (F.col("w") / F.col("__norm")).alias("w")))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("item", "comp")))     # one item's terms
+    return cut_lineage(weighted.select("item", "comp", "term", (F.col("w") / norm).alias("w")), "postings")
 
 
 def numeric_block(items: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
