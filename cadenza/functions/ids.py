@@ -16,9 +16,10 @@ def surrogate_id(entity: str, old_id) -> Column:
 
 
 def uniform_noise(key, seed: int) -> Column:
-    """Uniform [0, 1) from xxhash64(key, seed)."""
+    """Uniform [0, 1): the first 12 hex digits of md5("seed:key"), which any engine can repeat."""
     c = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(1 << 52)).cast("double") / float(1 << 52)
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string"))), 1, 12)
+    return F.conv(digits, 16, 10).cast("double") / float(1 << 48)
 
 
 def normal_noise(key, seed: int, sigma: float = 1.0) -> Column:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import recommend as R
+from ..session import cut_lineage
 from .common import T, rnd
 from .registry import query
 
@@ -44,9 +45,10 @@ def _item_features(spark, sf_dir):
 
 
 def _history(spark, sf_dir):
+    """(user, item, count), built once: the target, its profile and the scores all read the written table."""
     li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = T(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return li.join(o, "l_orderkey").groupBy("o_custkey", "l_partkey").agg(F.count(F.lit(1)).alias("c"))
+    return cut_lineage(li.join(o, "l_orderkey").groupBy("o_custkey", "l_partkey").agg(F.count(F.lit(1)).alias("c")), "history")
 
 
 def _one_key(df):
@@ -179,7 +181,8 @@ def hybrid_sign_recs(spark, sf_dir):
     return _hybrid(spark, sf_dir, "mk4")
 
 
-@query("hybrid_noise_recs", ("REC-10",))
+@query("hybrid_noise_recs", ("REC-10",), _user_sql(
+    f"(coalesce(t.text_sum, 0.0) + {_COS_U}) / 4.0 + 0.05 * (('0x' || substr(md5('11:' || s.item::VARCHAR), 1, 12))::BIGINT / 281474976710656.0)"))
 def hybrid_noise_recs(spark, sf_dir):
     return _hybrid(spark, sf_dir, "mk3", noise=0.05)
 
@@ -279,7 +282,7 @@ def _genre_prefs(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem").filter(F.col("l_quantity") >= 48).select("l_orderkey", "l_partkey")
     o = T(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     p = T(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("genre"))
-    return li.join(o, "l_orderkey").join(p, "l_partkey").select("o_custkey", "genre").distinct()
+    return cut_lineage(li.join(o, "l_orderkey").join(p, "l_partkey").select("o_custkey", "genre").distinct(), "genre-prefs")
 
 
 _PROFILE_SQL = """

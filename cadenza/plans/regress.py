@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.standardise import age_years
 from ..operators import regress as G
+from ..session import cut_lineage
 from .common import T, rnd
 from .registry import query
 
@@ -20,6 +21,7 @@ AS_OF = "2002-01-01 00:00:00"
 
 
 def _frame(spark, sf_dir):
+    """The feature frame, written once: medians, moments, split, fit and scoring all read the table."""
     part = T(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_size").cast("double").alias("p_size"),
         F.when(F.col("p_partkey") % 11 == 0, F.lit(None)).otherwise(F.col("p_retailprice")).alias("p_retailprice"))
@@ -28,8 +30,8 @@ def _frame(spark, sf_dir):
     first = (li.join(o, "l_orderkey").groupBy("p_partkey")
              .agg(F.sum("l_quantity").alias("listens"), F.min("o_orderdate").alias("first_date")))
     base = part.join(first, "p_partkey", "left").withColumn("age_years", age_years(F.col("first_date"), AS_OF))
-    return G.latest_rank_frame(base, "p_partkey", li, "l_shipdate", ["l_discount", "l_tax"],
-                               tie_cols=["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"])
+    return cut_lineage(G.latest_rank_frame(base, "p_partkey", li, "l_shipdate", ["l_discount", "l_tax"],
+                                           tie_cols=["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]), "regression-frame")
 
 
 def _prep_sql():
