@@ -12,8 +12,8 @@ Scale notes that hold for the whole module:
   duplicate flags, group-size filters) are computed with ``groupBy`` (map-side
   combine) and joined back, not with an unordered window that would pull a
   hot group into one task.  AQE's skew-join splits hot keys on the big side.
-* Exact quantiles run over (value, frequency) pairs: a group's buffer grows
-  with its distinct values, not its rows.
+* Exact group quantiles run over (value, frequency) pairs cut into ranges: only
+  the range that holds the wanted rank is sorted.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Labels treated as junk by the chart filter (after trim + lower).
 JUNK_LABELS = ["", "nan", "none", "null", "unknown", "n/a", "na"]
 
@@ -136,43 +138,53 @@ def group_means(df: DataFrame, key: str, values: Sequence[str], count_col: str |
 
 
 def frequency_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
-    """AGG-09: exact, linearly interpolated quantiles of a column (one row).
-
-    Values are first reduced to (value, frequency) so the percentile buffer
-    holds distinct values only.
-    """
-    freq = df.dropna(subset=[col]).groupBy(col).agg(F.count(F.lit(1)).alias("__f"))
-    return freq.agg(*[F.percentile(F.col(col), float(p), F.col("__f")).alias(f"{prefix}{int(round(p * 100))}")
-                      for p in probs])
+    """AGG-09: exact, linearly interpolated quantiles of a column (one row), by histogram refinement."""
+    from .quantiles import exact_quantiles
+    values = {f"{prefix}{int(round(p * 100))}": exact_quantiles(df, [col], float(p))[col] for p in probs}
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(name) for name, v in values.items()])
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
     """AGG-14: exact median by group (rows reduced to value frequencies first)."""
-    freq = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__f"))
+    freq = cut_lineage(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__f")), "frequencies")
     return median_from_frequencies(freq, keys, value, "__f", alias)
 
 
+#: Ranges that a group's distinct values are cut into.
+_RANGES = 64
+
+
 def median_from_frequencies(freq: DataFrame, keys: Sequence[str], value: str, count: str, alias: str,
                             q: float = 0.5) -> DataFrame:
     """Exact, linearly interpolated quantile per group from (keys, value, count).
 
-    The wanted ranks are located with a running count along the sorted
-    values: an external (spilling) sort per group and a streaming running
-    sum, so a hot group with many distinct values never has to fit in one
-    in-memory map (as ``percentile``'s buffer must).
+    A group's distinct values are cut into ``_RANGES`` ranges at approximate
+    quantiles (a sketch of bounded size per group).  The counts of the ranges,
+    added up in order, name the one or two that hold the wanted ranks; only
+    their values are sorted, so a hot group costs one task a small part of its
+    values.  The sketch moves the cuts, never the result.  ``freq`` is read
+    three times: pass a written table.
     """
     keys = list(keys)
-    totals = freq.groupBy(*keys).agg(F.sum(count).alias("__qtot"))
-    w = Window.partitionBy(*keys).orderBy(F.col(value)).rowsBetween(Window.unboundedPreceding, 0)
-    run = (freq.select(*keys, value, count).join(totals, keys).withColumn("__qcum", F.sum(count).over(w))
-           .withColumn("__qpos", (F.col("__qtot") - 1) * F.lit(q))
-           .withColumn("__qlo", F.floor("__qpos")).withColumn("__qhi", F.ceil("__qpos")))
-    prev = F.col("__qcum") - F.col(count)
-    hit_lo = (prev <= F.col("__qlo")) & (F.col("__qlo") < F.col("__qcum"))
-    hit_hi = (prev <= F.col("__qhi")) & (F.col("__qhi") < F.col("__qcum"))
-    picked = run.filter(hit_lo | hit_hi).groupBy(*keys).agg(
-        F.max(F.when(hit_lo, F.col(value))).alias("__qvlo"), F.max(F.when(hit_hi, F.col(value))).alias("__qvhi"),
-        F.first("__qpos").alias("__qpos"))
+    cuts = F.percentile_approx(F.col(value), [i / _RANGES for i in range(1, _RANGES)], 1000)
+    groups = freq.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.sum(count).alias("__qtot"), cuts.alias("__qcuts"))
+    rows = freq.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__qv"), F.col(count).alias("__qn")).join(groups, keys) \
+        .withColumn("__qr", F.size(F.filter("__qcuts", lambda c: c < F.col("__qv")))).drop("__qcuts")
+    ranges = rows.groupBy(*keys, "__qr").agg(F.sum("__qn").alias("__qm"), F.first("__qtot").alias("__qt"))
+    upto = Window.partitionBy(*keys).orderBy("__qr").rowsBetween(Window.unboundedPreceding, 0)      # at most _RANGES rows
+    pos = (F.col("__qt") - 1) * F.lit(q)
+    ranges = ranges.withColumn("__qb", F.sum("__qm").over(upto) - F.col("__qm")).withColumn("__qpos", pos) \
+        .withColumn("__qlo", F.floor("__qpos")).withColumn("__qhi", F.ceil("__qpos"))
+
+    def holds(rank: str, start: Column, size: Column) -> Column:
+        return (start <= F.col(rank)) & (F.col(rank) < start + size)
+    wanted = ranges.filter(holds("__qlo", F.col("__qb"), F.col("__qm")) | holds("__qhi", F.col("__qb"), F.col("__qm"))) \
+        .select(*keys, "__qr", "__qb", "__qpos", "__qlo", "__qhi")
+    within = Window.partitionBy(*keys, "__qr").orderBy("__qv").rowsBetween(Window.unboundedPreceding, 0)
+    run = rows.join(wanted, [*keys, "__qr"]).withColumn("__qs", F.col("__qb") + F.sum("__qn").over(within) - F.col("__qn"))
+    lo, hi = (holds(r, F.col("__qs"), F.col("__qn")) for r in ("__qlo", "__qhi"))
+    picked = run.filter(lo | hi).groupBy(*keys).agg(F.max(F.when(lo, F.col("__qv"))).alias("__qvlo"), F.max(F.when(hi, F.col("__qv"))).alias("__qvhi"),
+                                                    F.first("__qpos").alias("__qpos"))
     frac = F.col("__qpos") - F.floor("__qpos")
     return picked.select(*keys, (F.col("__qvlo") + (F.col("__qvhi") - F.col("__qvlo")) * frac).alias(alias))
 
