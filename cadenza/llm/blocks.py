@@ -33,6 +33,16 @@ KEYS_SCHEMA = "bucket long, block long, keys binary, counts binary"
 REPLY_SCHEMA = "block long, bucket long, counts binary, total long, present long"
 
 
+#: Documents of one Arrow batch between the JVM and a task, in rows and bytes.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+
+
+def bound_batches(spark) -> None:
+    """Bound the Arrow batches of this session: rows here are whole documents."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def to_stream(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
@@ -95,6 +105,7 @@ def pack_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, tag: str = "blo
         if held:
             yield flush()
 
+    bound_batches(docs.sparkSession)
     rows = docs.mapInArrow(pack, "n_rows long, n_bytes long, payload binary")
     return cut_lineage(rows.withColumn("block", F.monotonically_increasing_id()), tag)
 

@@ -19,6 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .blocks import bound_batches
+
 UNKNOWN = "und"
 SEGMENT = 48
 HIDDEN = 16
@@ -228,7 +230,9 @@ def predict(df: DataFrame, text_col: str, net: Network | None, carry: list[str])
     all, without a network).  Ties go to the language that sorts first.  Rows are
     read one by one, so repeated rows and null ids do not matter.
     """
-    held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    bound_batches(df.sparkSession)
+    rows = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")
+    held = df.select(rows) if text_col in carry else df.select(rows, F.col(f"`{text_col}`").alias("text"))
     names = net.languages if net else []
 
     def run(batches):
@@ -237,7 +241,7 @@ def predict(df: DataFrame, text_col: str, net: Network | None, carry: list[str])
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                texts = batch.column("text").to_pylist()
+                texts = (batch.column("row").field(text_col) if text_col in carry else batch.column("text")).to_pylist()
                 letters = [bool(names) and has_letter(t) for t in texts]
                 split = [segments(t) if ok else [] for t, ok in zip(texts, letters)]
                 fresh = list(set().union(*split) - known.keys())

@@ -134,6 +134,7 @@ def token_pieces(df: DataFrame, text_col: str, path: str, carry: list[str], capa
                     pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(cuts), pa.py_buffer(ids.astype("<u4").tobytes())])],
                     names=["row", "piece", "start", "length", "ids"])
 
+    B.bound_batches(df.sparkSession)
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text"))
     kind = held.schema["row"].dataType.simpleString()
     pieces = held.mapInArrow(run, f"row {kind}, piece int, start long, length long, ids binary")

@@ -19,6 +19,7 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _POWERS: dict[int, np.ndarray] = {}
+STRETCH = 1 << 18
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -92,11 +93,18 @@ class Words:
 
     def hashes(self, fold: bool = False) -> np.ndarray:
         """64-bit hash of each word (with ``fold`` as if A-Z were folded); equal words have equal hashes in every task."""
-        n = len(self.data)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((_BYTE_VALUE[_LOWER] if fold else _BYTE_VALUE)[self.data] * powers(_BASE, n), out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * powers(_BASE_INV, n + 1)[self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64))
+        value, out = _BYTE_VALUE[_LOWER] if fold else _BYTE_VALUE, np.empty(len(self), np.uint64)
+        i = 0
+        while i < len(self):                          # runs of words of about STRETCH bytes keep the arrays small
+            base = int(self.starts[i])
+            j = max(i + 1, int(np.searchsorted(self.ends, base + STRETCH, "right")))
+            starts, ends = self.starts[i:j] - base, self.ends[i:j] - base
+            n = int(ends[-1])
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(value[self.data[base:base + n]] * powers(_BASE, n), out=sums[1:])
+            out[i:j] = (sums[ends] - sums[starts]) * powers(_BASE_INV, n)[starts]
+            i = j
+        return mix(out + (self.ends - self.starts).astype(np.uint64))
 
     def text(self, d: int) -> list[bytes]:
         """The words of one document."""

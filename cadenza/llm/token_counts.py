@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .blocks import bound_batches
+
 RULES = ("first", "last", "most", "share")
 _ENCODERS: dict = {}
 
@@ -133,6 +135,7 @@ def section_token_counts(df: DataFrame, id_col: str, text_cols: list[str], path:
                 pa.array(np.concatenate(tokens)), pa.array(np.concatenate(crossing), pa.int64()),
             ], names=[id_col, "field", "section", "char_start", "char_end", "tokens", "crossing"])
 
+    bound_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, *text_cols).mapInArrow(
         run, f"`{id_col}` {kind}, field string, section int, char_start long, char_end long, tokens double, crossing long")
