@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
 from . import blocks as B
-from .text import Words
+from .text import Words, _LOWER
 
 GROUP = 1 << 16
 #: A bin of a certified group below this share of the capacity is offered for exchange.
@@ -26,13 +26,21 @@ MEMO = 1_200_000
 _TOKENIZERS: dict = {}
 
 
+# Classes of bytes that the tokenizer's pattern keeps apart inside a word: letters, single digits, other ASCII.
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_CLASS[48:58] = 2
+
+
 class _Encoder:
-    """Ids of words, remembered within a worker: the first MEMO words for good, others for a batch.
+    """Ids of words, remembered within a worker: the first MEMO runs for good, others for a batch.
 
-    White space never stands inside a token of this tokenizer, so a text's ids
-    are those of its words.  Words are known by a 64-bit hash.  Plain ASCII words
-    are folded first, as the tokenizer does itself; one that may hold a special
-    token's name, or other letters, stays as it is.
+    White space never stands inside a token of this tokenizer, and inside a word
+    its pattern parts letters, digits and other signs.  So a text's ids are
+    those of its runs of one class, known by a 64-bit hash, A-Z folded as the
+    tokenizer does itself.  A word with an apostrophe, a sign that may open a
+    special token's name, a control byte or letters beyond the Latin ones (which
+    may change when composed or folded) stays whole and as it is.
     """
 
     def __init__(self, path: str):
@@ -41,37 +49,70 @@ class _Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.mark, self.mark_id = next((t.content, i) for i, t in sorted(added.items()) if t.special)
         self.opening = self.mark[:1].encode()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)          # tokens that end a run
+        self.last[[i for t, i in vocabulary.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.known: dict[int, bytes] = {}
 
-    def _plain(self, text: str):
-        return self.tokenizer.encode(text, add_special_tokens=False)
+    def _runs(self, column) -> tuple[Words, np.ndarray]:
+        """Words cut into runs of one class, folded; whether a run is a word that stays as it is."""
+        w = Words(column)
+        data, n = w.data, len(w.data)
+        odd = (data == 0x27) | (data == self.opening[0]) | (data >= 0xCA) | (data == 0xC2) | (data == 0x7F) | ((data < 0x20) & (data != 0x0A))
+        pair = data[:-1].astype(np.uint16) << 8 | data[1:]
+        odd[:-1] |= (pair == 0xC397) | (pair == 0xC3B7) | (pair == 0xC4B0)         # signs among the letters; one that folds to two
+        seen = np.concatenate([[0], np.cumsum(odd)])
+        whole = seen[w.ends] > seen[w.starts]
+        kind = _CLASS[data]
+        inner = np.zeros(n + 1, bool)                                             # inside a word, not at its start
+        inner[:-1] = np.cumsum(np.bincount(w.starts, minlength=n + 1) - np.bincount(w.ends, minlength=n + 1))[:n] > 0
+        inner[w.starts] = False
+        inner[1:n] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        cuts = np.flatnonzero(inner)
+        cuts = cuts[~whole[np.searchsorted(w.starts, cuts, "right") - 1]]
+        raw = [(a, data[a:b].copy()) for a, b in zip(w.starts[whole].tolist(), w.ends[whole].tolist())]
+        w.data = _LOWER[data]
+        for a, kept in raw:
+            w.data[a:a + len(kept)] = kept
+        starts = np.sort(np.concatenate([w.starts, cuts]))
+        as_is = np.zeros(len(starts), bool)
+        as_is[np.searchsorted(starts, w.starts[whole])] = True
+        w.starts, w.ends = starts, np.sort(np.concatenate([w.ends, cuts]))
+        w.ptr = np.searchsorted(starts, w.offsets)
+        return w, as_is
 
-    def _by_place(self, words: list[bytes]) -> list[bytes]:
-        """ASCII words, joined by spaces: each token belongs to the word at its place in the text."""
-        got = self._plain(b" ".join(words).decode())
-        ids = np.array(got.ids, "<u4").tobytes()
-        ends = np.cumsum([len(w) + 1 for w in words])
-        cuts = [0, *(4 * np.searchsorted([a for a, _ in got.offsets], ends)).tolist()]
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+    def _plain(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _by_mark(self, words: list[bytes]) -> list[bytes]:
-        """Any words without a special token, kept apart by one (composed letters may move places)."""
-        ids = np.array(self._plain(self.mark.join(w.decode() for w in words)).ids, "<u4")
+    def _split_runs(self, runs: list[bytes]) -> list[bytes]:
+        """Ids of runs that were encoded in one text, cut behind each token that ends a run."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
+        cuts = [0, *(np.flatnonzero(self.last[ids]) + 1).tolist()]
+        if len(cuts) != len(runs) + 1:
+            raise ValueError("a run of one class is not one word of the tokenizer")
+        raw = ids.tobytes()
+        return [raw[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
+
+    def _split_marked(self, words: list[bytes]) -> list[bytes]:
+        """Ids of any words without a special token, kept apart by one."""
+        ids = self._plain(self.mark.join(w.decode() for w in words))
         cuts = [-1, *np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
         if len(cuts) != len(words) + 1:
             raise ValueError("the tokenizer's special token is not kept apart")
         return [ids[a + 1:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each word."""
+    def _ids(self, words: list[bytes], as_is: list[bool]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each run or word."""
         out: list[bytes] = [b""] * len(words)
-        ascii_, other = [], []
-        for i, w in enumerate(words):
-            if self.opening in w:
-                out[i] = np.array(self._plain(w.decode()).ids, "<u4").tobytes()
+        runs, odd = [], []
+        for i, (w, whole) in enumerate(zip(words, as_is)):
+            if not whole:
+                runs.append(i)
+            elif self.opening in w:
+                out[i] = self._plain(w.decode()).tobytes()
             else:
-                (ascii_ if w.isascii() else other).append(i)
-        for some, how in ((ascii_, self._by_place), (other, self._by_mark)):
+                odd.append(i)
+        for some, how in ((runs, self._split_runs), (odd, self._split_marked)):
             for at in range(0, len(some), 1024):
                 part = some[at:at + 1024]
                 for i, ids in zip(part, how([words[i] for i in part])):
@@ -80,18 +121,16 @@ class _Encoder:
 
     def encode(self, column, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with ``end_id`` behind it; where each text's ids begin, and the end)."""
-        w = Words(column)
-        kept = np.concatenate([[0], np.cumsum((w.data >= 128) | (w.data == self.opening[0]))])
-        as_is = kept[w.ends] > kept[w.starts]
-        codes, keys = pd.factorize(np.where(as_is, w.hashes(), w.hashes(fold=True)))
+        w, as_is = self._runs(column)
+        codes, keys = pd.factorize(w.hashes() ^ as_is)               # a run never shares its entry with a word that stays as it is
         values = list(map(self.known.get, keys.tolist()))
         fresh = np.array([i for i, v in enumerate(values) if v is None], np.int64)
         if len(fresh):
             first = np.zeros(len(keys), np.int64)
             first[codes[::-1]] = np.arange(len(codes))[::-1]
+            first = first[fresh]
             raw = w.data.tobytes()
-            spans = zip(w.starts[first[fresh]].tolist(), w.ends[first[fresh]].tolist(), as_is[first[fresh]].tolist())
-            new = self._ids([raw[a:b] if keep else raw[a:b].lower() for a, b, keep in spans])
+            new = self._ids([raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())], as_is[first].tolist())
             for i, ids in zip(fresh.tolist(), new):
                 values[i] = ids
             if len(self.known) + len(new) <= MEMO:

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
@@ -14,7 +15,7 @@ from cadenza.llm.queries import QUERIES
 PATH = P.path("word_bpe_49k.json")
 TEXTS = ["Hello, World's end", "", None, "  \n", "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|> x", "H̱ ẖ T̈ É é",
          "́ x ́y", "İstanbul ΣΑΣ straße ﬁ", "tab\tnew\x0bline nbsp em", "x" * 500 + " " + "é" * 300, "1234 567 don't I'LL we'Ve",
-         "日本語 テキスト 😀😀", "word " * 9000, "<|end", "a\x1cb c\x85d"]
+         "日本語 テキスト 😀😀", "naïve, CAFÉ. «mot» œuvre! ×3÷4 x=≠y a̸ ≠ 12ab3 a1é2 ÀÉÎ-õü İx, ŞĞ... don't 'tis it's", "word " * 9000, "<|end", "a\x1cb c\x85d"]
 
 
 def whole(texts):
@@ -36,6 +37,18 @@ def check_places(rows, capacity):
     return len(by)
 
 
+def test_ids_of_random_texts():
+    rng = random.Random(7)
+    signs = [*"abzAZ019.,!-'<=#$ \n\t", "é", "É", "ß", "İ", "ı", "ſ", "ø", "Ž", "ǅ", "ȳ", "ʰ", "×", "÷", "·", "«", "\u00a0", "\u0301", "\u0338", "\u0331", "Ω", "я",
+             "漢", "😀", "\x01", "\x7f", "\x85", "\u2028", "'s", "'LL", "<|endoftext|>", "<|"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    encoder = packing._Encoder(PATH)
+    for some in (texts[:1000], texts[1000:]):
+        ids, begin = encoder.encode(pa.array(some), 1)
+        for text, want, a, b in zip(some, whole(some), begin, begin[1:]):
+            assert ids[a:b].tolist() == want, repr(text)
+
+
 def test_ids_match_whole_text_encoding(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(2)
     rows = token_pieces(df, "text", PATH, ["doc_id"], capacity=100).collect()
