@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.standardise import STANDARDISERS
 from ..functions.validate import VALIDATORS, RuleContext, convert
+from ..session import cut_lineage
 from .aggregates import duplicate_flag
 
 ALL = "__all__"
@@ -58,13 +59,10 @@ class CleanResult:
     missing: list[str]
     rules: dict[str, list[str]]
     standardised: dict[str, list[str]] = field(default_factory=dict)
-    pinned: DataFrame | None = None    # flagged + the ``__task`` marker (keeps filters above the parsers)
 
     def rejected(self, rule_key: str | None = None) -> DataFrame:
         """Rows that failed (optionally: whose first failure is ``rule_key``)."""
-        base = self.pinned if self.pinned is not None else self.flagged.withColumn("__task", F.lit(0))
-        cond = F.col("first_failure").isNotNull() if rule_key is None else (F.col("first_failure") == rule_key)
-        return base.filter(cond & (F.col("__task") >= 0)).drop("__task")
+        return self.flagged.filter(F.col("first_failure").isNotNull() if rule_key is None else (F.col("first_failure") == rule_key))
 
     def applied(self) -> DataFrame:
         """SRC-18: standardisers applied per column (a small frame)."""
@@ -146,20 +144,24 @@ def clean_table(df: DataFrame, rules: TableRules, *, as_of=None, strict_int: boo
             ok = val_reg[r](F.col(f"`{c}`"), ctx)
             checks.append(F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"{c}:{r}")))
     first = F.coalesce(*checks) if checks else F.lit(None).cast("string")
-    # ``__task`` (spark_partition_id, non-deterministic) pins first_failure to
-    # the projection over the converted columns: without it the optimizer
-    # pushes the filter below the standardise / convert projections and
-    # inlines every parser once per rule that reads its column.
-    flagged = (work.withColumn("first_failure", first).withColumn("__task", F.spark_partition_id())
-               .drop(*dup_cols.values()))
-    pinned = flagged
-    clean = pinned.filter(F.col("first_failure").isNull() & (F.col("__task") >= 0)).drop("first_failure", "__task")
-    flagged = pinned.drop("__task")
+    flagged = work.withColumn("first_failure", first).drop(*dup_cols.values())
+    if flagged.isStreaming:
+        # ``__task`` (spark_partition_id, non-deterministic) pins first_failure to
+        # the projection over the converted columns: without it the optimizer
+        # pushes the filter below the standardise / convert projections and
+        # inlines every parser once per rule that reads its column.
+        pinned = flagged.withColumn("__task", F.spark_partition_id())
+        clean, flagged = pinned.filter(F.col("first_failure").isNull() & (F.col("__task") >= 0)).drop("__task"), pinned.drop("__task")
+    else:
+        # every row is parsed and judged once: clean rows, rejects and reports read the written table
+        flagged = cut_lineage(flagged, "flagged")
+        clean = flagged.filter(F.col("first_failure").isNull())
+    clean = clean.drop("first_failure")
     if null_bool_as_true:
         for c in selected:
             if isinstance(types[c], T.BooleanType):
                 clean = clean.withColumn(c, F.coalesce(F.col(c), F.lit(True)))
-    return CleanResult(clean, flagged, selected, missing, eff_val, eff_std, pinned)
+    return CleanResult(clean, flagged, selected, missing, eff_val, eff_std)
 
 
 def clean_file(spark, path: str, rules: TableRules, **kw) -> CleanResult:
