@@ -267,3 +267,125 @@ SELECT item, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY item)), 6) AS w
 def tfidf_without_stop_words(spark, sf_dir):
     items = T(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(" the "), "p_type").alias("text"))
     return R.text_postings(items, "p_partkey", {"text": "text"}, stop_words=["the", "steel"]).select("item", "term", rnd("w").alias("w"))
+
+
+def _powers(matrix: str, k: int) -> str:
+    """SQL: traces t1 .. tk of the powers of a matrix in long form (i, j, r)."""
+    steps = [f"m1 AS (SELECT i, j, r FROM {matrix})"]
+    steps += [f"m{n} AS (SELECT a.i, b.j, sum(a.r * b.r) AS r FROM m{n - 1} a JOIN m1 b ON a.j = b.i GROUP BY 1, 2)" for n in range(2, k + 1)]
+    traces = ", ".join(f"(SELECT sum(r) FROM m{n} WHERE i = j) AS t{n}" for n in range(1, k + 1))
+    return ",\n".join(steps) + f",\nt AS (SELECT {traces})"
+
+
+_CONTINGENCY_SQL = """
+WITH c AS (
+  SELECT n.n_name, o.o_orderpriority AS p, count(*) AS k
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey GROUP BY 1, 2
+), g AS (SELECT n.n_name, pr.p FROM (SELECT DISTINCT n_name FROM c) n
+  CROSS JOIN (SELECT unnest(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW']) AS p) pr),
+d AS (SELECT g.n_name, g.p, CAST(coalesce(c.k, 0) AS DOUBLE) AS k FROM g LEFT JOIN c ON c.n_name = g.n_name AND c.p = g.p),
+corr AS (SELECT a.p AS i, b.p AS j, corr(a.k, b.k) AS r FROM d a JOIN d b ON a.n_name = b.n_name GROUP BY 1, 2),
+"""
+
+
+@query("factor_power_sums", ("STAT-09",), _CONTINGENCY_SQL + _powers("corr", 4) + """
+SELECT round(t1, 6) AS sum1, round(t2, 6) AS sum2, round(t3, 6) AS sum3, round(t4, 6) AS sum4 FROM t
+""")
+def factor_power_sums(spark, sf_dir):
+    """The eigenvalues' power sums, which are the traces of the matrix's powers."""
+    from .stats import _contingency
+    wide, cols = _contingency(spark, sf_dir)
+    R_, _ = ST.correlation_matrix(ST.standardise_columns(wide, cols), cols)
+    _, ev = ST.kaiser_count(R_)
+    return T(spark, sf_dir, "region").limit(1).select(*[F.lit(round(float((ev ** k).sum()), 6)).alias(f"sum{k}") for k in range(1, 5)])
+
+
+@query("bartlett_chi2", ("STAT-08",), _CONTINGENCY_SQL + _powers("corr", 5) + """,
+e AS (SELECT *, t1 AS e1, (t1 * t1 - t2) / 2 AS e2 FROM t),
+f AS (SELECT *, (e2 * t1 - e1 * t2 + t3) / 3 AS e3 FROM e),
+h AS (SELECT *, (e3 * t1 - e2 * t2 + e1 * t3 - t4) / 4 AS e4 FROM f),
+det AS (SELECT (e4 * t1 - e3 * t2 + e2 * t3 - e1 * t4 + t5) / 5 AS det FROM h)
+SELECT round(-((SELECT count(DISTINCT n_name) FROM d) - 1 - (2 * 5 + 5) / 6.0) * ln(det), 4) AS chi2, 10 AS dof FROM det
+""")
+def bartlett_chi2(spark, sf_dir):
+    """Sphericity statistic; the SQL takes the determinant from the power sums by Newton's identities."""
+    from .stats import _contingency
+    wide, cols = _contingency(spark, sf_dir)
+    chi2, _, dof = ST.bartlett_sphericity(*ST.correlation_matrix(wide, cols))
+    return T(spark, sf_dir, "region").limit(1).select(F.lit(round(float(chi2), 4)).alias("chi2"), F.lit(int(dof)).alias("dof"))
+
+
+def _pca_corr_sql() -> str:
+    from .stats import _IMPUTED_SQL, PCA_VARS
+    pairs = "\nUNION ALL ".join(f"SELECT '{a}' AS i, '{b}' AS j, {'max(1.0)' if a == b else f'corr({a}, {b})'} AS r FROM z"
+                                for a in PCA_VARS for b in PCA_VARS)
+    return _IMPUTED_SQL + f", corr AS ({pairs}), nn AS (SELECT count(*)::DOUBLE AS n FROM z),\n"
+
+
+@query("pca_power_sums", ("STAT-02", "STAT-03"), _pca_corr_sql() + _powers("corr", 3) + """
+SELECT round(t1 * n / (n - 1), 6) AS sum1, round(t2 * pow(n / (n - 1), 2), 6) AS sum2, round(t3 * pow(n / (n - 1), 3), 6) AS sum3 FROM t, nn
+""")
+def pca_power_sums(spark, sf_dir):
+    """All components' eigenvalues (n - 1 on columns scaled by n), by their power sums."""
+    from .stats import PCA_VARS, _corr
+    R_, n = _corr(spark, sf_dir)
+    res = ST.pca_from_corr(R_, n, PCA_VARS, max_components=len(PCA_VARS))
+    v = ST.variance_table(spark, res)
+    return v.agg(*[rnd(F.sum(F.pow("eigenvalue", F.lit(k)))).alias(f"sum{k}") for k in (1, 2, 3)])
+
+
+@query("group_filters", ("FIL-01", "FIL-05", "FIL-11"), """
+WITH d AS (SELECT l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 7 <> 0),
+b AS (SELECT l_partkey FROM d GROUP BY 1 HAVING count(*) >= 25)
+SELECT l_partkey, round(sum(l_quantity), 6) AS total FROM d JOIN b USING (l_partkey) GROUP BY 1 HAVING sum(l_quantity) > 700
+""")
+def group_filters(spark, sf_dir):
+    li = T(spark, sf_dir, "lineitem").select("l_partkey", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_quantity")).alias("q"))
+    kept = A.keep_groups_min_rows(A.drop_null_rows(li, ["q"]), "l_partkey", 25)
+    return A.having(kept, ["l_partkey"], rnd(F.sum("q")), "total", F.col("total") > 700)
+
+
+@query("existence_filters", ("FIL-10", "JOIN-12", "SET-01", "SET-02"), """
+WITH a AS (SELECT l_partkey AS k FROM lineitem WHERE l_quantity >= 49), b AS (SELECT l_partkey AS k FROM lineitem WHERE l_discount = 0),
+u AS (SELECT k FROM a UNION SELECT k FROM b)
+SELECT 'either' AS what, count(*) AS n FROM part WHERE p_partkey IN (SELECT k FROM a) OR p_partkey IN (SELECT k FROM b)
+UNION ALL SELECT 'first', count(*) FROM part WHERE p_partkey IN (SELECT k FROM a)
+UNION ALL SELECT 'union', count(*) FROM u
+""")
+def existence_filters(spark, sf_dir):
+    from ..operators.joins import exists_in_either, semi_join
+    li, part = T(spark, sf_dir, "lineitem"), T(spark, sf_dir, "part").select("p_partkey")
+    a = li.filter("l_quantity >= 49").select(F.col("l_partkey").alias("p_partkey"))
+    b = li.filter("l_discount = 0").select(F.col("l_partkey").alias("p_partkey"))
+    parts = [("either", exists_in_either(part, "p_partkey", a, b)), ("first", semi_join(part, a, "p_partkey")), ("union", A.set_union(a, b))]
+    return A.tagged_union(parts, "what").groupBy("what").agg(F.count("*").alias("n"))
+
+
+@query("shares_and_rolling_means", ("AGG-16", "WIN-03"), """
+WITH m AS (SELECT l_returnflag AS g, l_linenumber AS k, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2)
+SELECT g, k, round(100.0 * q / sum(q) OVER (PARTITION BY g), 6) AS share,
+       round(avg(q) OVER (PARTITION BY g ORDER BY k ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS rolling FROM m
+""")
+def shares_and_rolling_means(spark, sf_dir):
+    m = T(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("g"), F.col("l_linenumber").alias("k")).agg(F.sum("l_quantity").alias("q"))
+    return m.select("g", "k", rnd(A.share_of_group_total("q", ["g"])).alias("share"), rnd(A.rolling_mean("q", ["g"], "k", 3)).alias("rolling"))
+
+
+@query("latest_rank_of_parts", ("JOIN-08", "DRV-07", "SCL-26", "PRJ-06"), """
+WITH l AS (SELECT l_partkey, arg_max(l_quantity, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS q FROM lineitem GROUP BY 1),
+u AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1)
+SELECT 'part_' || p_partkey AS part, round(CASE WHEN p_partkey % 3 <> 0 THEN l.q END, 6) AS last_quantity, u.n AS suppliers
+FROM part LEFT JOIN l ON l.l_partkey = p_partkey LEFT JOIN u ON u.l_partkey = p_partkey
+""")
+def latest_rank_of_parts(spark, sf_dir):
+    """Each part with its latest line (infinite and NaN values are null) and its distinct suppliers."""
+    from ..operators.derived import distinct_pair_counter
+    from ..operators.joins import attach_latest
+    from ..sources.columns import labelled_id
+    k = F.col("l_partkey")
+    odd = F.when(k % 3 == 0, F.when(k % 2 == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))).otherwise(F.col("l_quantity"))
+    li = T(spark, sf_dir, "lineitem").withColumn("q", odd)
+    part = T(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"))
+    full = attach_latest(part, li, "l_partkey", "l_shipdate", ["q"], ["l_orderkey", "l_linenumber", "l_extendedprice"]) \
+        .join(distinct_pair_counter(li, "l_partkey", "l_suppkey", "suppliers"), "l_partkey", "left")
+    return full.select(labelled_id("part_", "l_partkey").alias("part"), rnd(S.finite_or_null("q")).alias("last_quantity"), "suppliers")
