@@ -4,7 +4,8 @@ Raw tables are read with every column as text.  A standardiser maps text to
 text and *keeps* input it cannot parse (the typed conversion of SCL-20 turns
 what is left into NULL), so several standardisers can be chained in rule
 order exactly like the source application's per-value functions -- but here they are
-one projection that whole-stage codegen compiles, with no Python per row.
+one JVM projection with no Python per row.  Parsers that bind a value by a
+lambda (``_let``) are interpreted, the others are compiled.
 """
 
 from __future__ import annotations
