@@ -52,7 +52,10 @@ class _Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)          # tokens that end a run
         self.last[[i for t, i in vocabulary.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
-        self.known: dict[int, bytes] = {}
+        # what is known: sorted hashes, and where their ids lie in one buffer (about 30 bytes a run)
+        self.keys = np.zeros(0, np.uint64)
+        self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(1 << 16, "<u4"), 0
 
     def _runs(self, column) -> tuple[Words, np.ndarray]:
         """Words cut into runs of one class, folded; whether a run is a word that stays as it is."""
@@ -123,27 +126,43 @@ class _Encoder:
         """(ids of all texts, each with ``end_id`` behind it; where each text's ids begin, and the end)."""
         w, as_is = self._runs(column)
         codes, keys = pd.factorize(w.hashes() ^ as_is)               # a run never shares its entry with a word that stays as it is
-        values = list(map(self.known.get, keys.tolist()))
-        fresh = np.array([i for i, v in enumerate(values) if v is None], np.int64)
-        if len(fresh):
-            first = np.zeros(len(keys), np.int64)
-            first[codes[::-1]] = np.arange(len(codes))[::-1]
-            first = first[fresh]
-            raw = w.data.tobytes()
-            new = self._ids([raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())], as_is[first].tolist())
-            for i, ids in zip(fresh.tolist(), new):
-                values[i] = ids
-            if len(self.known) + len(new) <= MEMO:
-                self.known.update(zip(keys[fresh].tolist(), new))
-        values.append(np.array([end_id], "<u4").tobytes())
-        sizes = np.array(list(map(len, values)), np.int64) // 4
-        flat, begin = np.frombuffer(b"".join(values), "<u4"), np.cumsum(sizes) - sizes
+        place = np.searchsorted(self.keys, keys)
+        found = np.zeros(len(keys), bool)
+        inner = place < len(self.keys)
+        found[inner] = self.keys[place[inner]] == keys[inner]
+        begin, sizes = np.zeros(len(keys) + 1, np.int64), np.ones(len(keys) + 1, np.int64)
+        begin[:-1][found], sizes[:-1][found] = self.start[place[found]], self.size[place[found]]
+        fresh = np.flatnonzero(~found)
+        first = np.zeros(len(keys), np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+        first, raw = first[fresh], w.data.tobytes()
+        new = self._ids([raw[a:b] for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist())], as_is[first].tolist())
+        new.append(np.array([end_id], "<u4").tobytes())
+        size = np.array(list(map(len, new)), np.int64) // 4
+        where = np.append(fresh, len(keys))
+        begin[where], sizes[where] = self.used + np.cumsum(size) - size, size
+        self._hold(np.frombuffer(b"".join(new), "<u4"))
+        if len(self.keys) + len(fresh) <= MEMO:
+            rank = fresh[np.argsort(keys[fresh])]
+            at = np.searchsorted(self.keys, keys[rank])
+            self.keys, self.start, self.size = (np.insert(a, at, v.astype(a.dtype)) for a, v in (
+                (self.keys, keys[rank]), (self.start, begin[rank]), (self.size, sizes[rank])))
+            self.used += int(size[:-1].sum())
         codes = np.insert(codes, w.ptr[1:], len(keys))                 # the end of each text
         size = sizes[codes]
         ends = np.concatenate([[0], np.cumsum(size)])
-        ids = flat[np.repeat(begin[codes] - ends[:-1], size) + np.arange(ends[-1])]
+        ids = self.flat[np.repeat(begin[codes] - ends[:-1], size) + np.arange(ends[-1])]
         return ids, ends[w.ptr + np.arange(len(w.ptr))]
 
+    def _hold(self, ids: np.ndarray) -> None:
+        """Put ids behind those in use; they stay only if ``used`` moves on."""
+        need = self.used + len(ids)
+        if need > len(self.flat):
+            grown = np.zeros(max(need, 2 * len(self.flat)), "<u4")
+            grown[:self.used] = self.flat[:self.used]
+            self.flat = grown
+        self.flat[self.used:need] = ids
+
 
 def token_pieces(df: DataFrame, text_col: str, path: str, carry: list[str], capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """Pieces of every document's ids (its text's ids, then ``end_id``), written to the shared folder.
