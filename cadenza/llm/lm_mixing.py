@@ -2,19 +2,22 @@
 
 A text is coded as its lower-cased words, each followed by a space, and one
 end byte.  Every byte is coded as eight binary decisions.  For each decision
-several predictors, one per context length, look up a pair of counts in a
-hashed table, under the last bytes and the bits of this byte so far.  Their
+several predictors, one per context length, look up a pair of counts under the
+last bytes and the bits of this byte so far.  Their
 probabilities, stretched to the logistic domain, are added with weights that a
 gate selects (the bit's place and how much the two longest contexts have seen),
 and the sum is squashed to a probability.  An adaptive map then refines that
 probability by what followed it before, under the bits so far.
 
-Training reads every training text once, online: a chunk is predicted with what
-the chunks before it left, the gated weights move by its errors, the refining
-map counts its outcomes, and only then do the tables learn it.  Tasks train side
-by side; counts and outcomes are added and weights averaged by their evidence.
-The tables have a fixed number of slots, so the model has a proven size (``size_bound``)
-and is broadcast.
+The counts are those of all training texts, kept exactly: each block sends its
+distinct (context, byte) pairs once to buckets of contexts, a bucket adds them up
+and answers each block's pairs (``sent``, ``answer``).  They grow with the corpus.
+
+Weights and refining map are learned online: a chunk is predicted with what the
+chunks before it left in a task's own hashed tables, the gated weights move by its
+errors, the refining map counts its outcomes, and only then do the tables learn it.
+Tables that are half full start anew.  Tasks train side by side; outcomes are added
+and weights averaged by their evidence, which gives a broadcast of ``size_bound`` bytes.
 
 Equal (context, byte) pairs of a chunk are evaluated once.
 """
@@ -27,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -34,7 +38,7 @@ from ..session import cut_lineage
 from . import blocks as B
 from .text import Words, mix, utf8_buffer
 
-#: Context lengths in bytes; WORD is the word so far, up to the longest length.  Slots are named by so many high hash bits.
+#: Context lengths in bytes; WORD is the word so far, up to the longest length.  Slots of a task's tables are named by so many high hash bits.
 WORD = 0
 ORDERS = (1, 3, WORD, 5)
 SLOT_BITS = (16, 22, 22, 22)
@@ -51,21 +55,27 @@ CHUNK_BYTES = (64 << 10, 4 << 20)
 #: Types that are predicted together before their errors and counts are learned.
 STEP = 1 << 14
 PRIOR = 0.1
+#: Bytes of pairs that a block sends for each byte of text.
+PAIR_BYTES = 3
+#: Blocks are larger than elsewhere: a longer text repeats more of its pairs, so fewer are sent.
+LM_BLOCK = 4 * B.BLOCK_BYTES
 _LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
 _LEVEL = np.array([min(int(n).bit_length(), LEVELS - 1) for n in range(64)], np.uint8)
 
 
 def size_bound() -> int:
-    """Bytes of the broadcast model: two for a slot's prediction, one for its evidence, and the small maps."""
-    return sum(3 << b for b in SLOT_BITS) + GATES * (len(ORDERS) + 1) * 8 + 256 * CELLS * 16
+    """Bytes of the broadcast weights and refining map; the counts stay in their buckets."""
+    return GATES * (len(ORDERS) + 1) * 8 + 256 * CELLS * 16
 
 
 @dataclass
 class Code:
-    """Huffman code of the bytes: length, and for each depth the tree node and the bit."""
+    """Huffman code of the bytes: length, for each depth the tree node and the bit, place among the leaves, bytes by place."""
     length: np.ndarray
     node: np.ndarray
     bit: np.ndarray
+    rank: np.ndarray
+    leaf: np.ndarray
 
 
 def huffman(counts: np.ndarray) -> Code:
@@ -86,7 +96,8 @@ def huffman(counts: np.ndarray) -> Code:
     for byte, path in enumerate(paths):
         for depth, (n, v) in enumerate(reversed(path)):
             node[byte, depth], bit[byte, depth] = n, v
-    return Code(length, node, bit)
+    leaf = np.array(sorted(range(256), key=lambda b: [v for _, v in reversed(paths[b])]))
+    return Code(length, node, bit, np.argsort(leaf), leaf)
 
 
 def stream(column) -> tuple[np.ndarray, np.ndarray]:
@@ -120,8 +131,8 @@ def _squash(x):
     return 1 / (1 + np.exp(-x))
 
 
-def _contexts(types: np.ndarray) -> list[np.ndarray]:
-    """Hash of each context of each type; the code's node is still to be added."""
+def _context_ids(types: np.ndarray) -> list[np.ndarray]:
+    """Each context of each type with its order's number in the low three bits: equal for equal contexts only."""
     before = types >> np.uint64(8)
     keep = np.zeros(len(types), np.uint64)
     open_ = np.ones(len(types), bool)
@@ -129,18 +140,23 @@ def _contexts(types: np.ndarray) -> list[np.ndarray]:
         byte = (before >> np.uint64(8 * back)) & np.uint64(255)
         open_ &= (byte != SPACE) & (byte != END)
         keep[open_] |= np.uint64(255 << (8 * back))
-    return [mix((before & (keep if k == WORD else np.uint64((1 << (8 * k)) - 1))) * np.uint64(8) + np.uint64(i))
+    return [(before & (keep if k == WORD else np.uint64((1 << (8 * k)) - 1))) * np.uint64(8) + np.uint64(i)
             for i, k in enumerate(ORDERS)]
 
 
+def _contexts(types: np.ndarray) -> list[np.ndarray]:
+    """Hash of each context of each type; the code's node is still to be added."""
+    return [mix(c) for c in _context_ids(types)]
+
+
 def _slot(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     return ((context + node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _decisions(types: np.ndarray, code: Code):
-    """For each depth of the code: (types that go so far, their nodes, bits, slots of each context)."""
+def _decisions(types: np.ndarray, code: Code, slots: bool = True):
+    """For each depth of the code: (types that go so far, their nodes, bits, slots of each context if wanted)."""
     byte = (types & np.uint64(255)).astype(np.int64)
-    contexts = _contexts(types)
+    contexts = _contexts(types) if slots else []
     at = np.arange(len(types))
     for depth in range(code.node.shape[1]):
         go = code.length[byte] > depth
@@ -163,9 +179,120 @@ def _gate(depth: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (min(depth, DEPTHS - 1) * LEVELS + a.astype(np.int64)) * LEVELS + b
 
 
+def _pairs(types: np.ndarray, code: Code, bits: int):
+    """(bucket, pair) of the distinct (context, byte's place) pairs of all orders, by bucket and pair; each type's pair for each order."""
+    place = code.rank[(types & np.uint64(255)).astype(np.int64)].astype(np.uint64)
+    keys, at = [], []
+    for context in _context_ids(types):
+        codes, own = pd.factorize((context << np.uint64(8)) | place)
+        at.append(codes + sum(len(k) for k in keys))
+        keys.append(own)
+    keys = np.concatenate(keys) if len(types) else np.zeros(0, np.uint64)
+    bucket = (mix(keys >> np.uint64(8)) >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.lexsort((keys, bucket))
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.arange(len(keys))
+    return bucket[order], keys[order], [rank[a] for a in at]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte place by byte place, after the width that they need."""
+    kind = np.uint32 if not len(values) or values.max() < 1 << 32 else np.uint64
+    width = np.dtype(kind).itemsize
+    return bytes([width]) + zstandard.compress(values.astype(kind).view(np.uint8).reshape(-1, width).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"u{width}").ravel().astype(np.int64)
+
+
+def sent(block: int, types: np.ndarray, times: np.ndarray, code: Code, bits: int) -> pa.RecordBatch:
+    """Rows of B.KEYS_SCHEMA: a block's distinct pairs with how often its training texts hold them (0: only asked for)."""
+    bucket, keys, at = _pairs(types, code, bits)
+    counts = np.zeros(len(keys), np.int64)
+    for a in at:
+        counts += np.bincount(a, times, len(keys)).astype(np.int64)
+    full, cuts = np.unique(bucket, return_index=True)
+    ends = np.append(cuts, len(keys))[1:]
+    return pa.RecordBatch.from_arrays([
+        pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64()),
+        pa.array([zstandard.compress(keys[a:b].tobytes(), 1) for a, b in zip(cuts, ends)], pa.binary()),
+        pa.array([_packed(counts[a:b]) for a, b in zip(cuts, ends)], pa.binary())],
+        names=["bucket", "block", "keys", "counts"])
+
+
+def answer(table: pa.Table, code: Code) -> pa.Table:
+    """Add up a bucket's pairs; each block gets the count of each pair it sent, then for each decision on the way to the
+    byte how often it went the other way.
+
+    Pairs lie by context and place among the leaves, so the pairs below a node of a context are neighbours.
+    """
+    parts = [np.frombuffer(zstandard.decompress(x.as_py()), np.uint64) for x in table.column("keys")]
+    local = np.concatenate([_unpacked(x.as_py()) for x in table.column("counts")])
+    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+    totals = np.zeros(len(keys), np.int64)
+    np.add.at(totals, at, local)
+    context, byte = keys >> np.uint64(8), code.leaf[(keys & np.uint64(255)).astype(np.int64)]
+    length = code.length[byte]
+    begin = np.cumsum(length) - length
+    other = np.zeros(int(length.sum()), np.int64)
+    go = np.arange(len(keys))
+    for depth in range(code.node.shape[1]):
+        go = go[length[go] > depth]
+        if not len(go):
+            break
+        node, bit, c = code.node[byte[go], depth], code.bit[byte[go], depth], context[go]
+        first = np.ones(len(go), bool)
+        first[1:] = (node[1:] != node[:-1]) | (c[1:] != c[:-1])
+        starts, run = np.flatnonzero(first), np.cumsum(first) - 1
+        ones, both = np.add.reduceat(totals[go] * bit, starts), np.add.reduceat(totals[go], starts)
+        other[begin[go] + depth] = np.where(bit == 1, (both - ones)[run], ones[run])
+    out, done = [], 0
+    for x in parts:
+        mine = at[done:done + len(x)]
+        done += len(x)
+        size = length[mine]
+        where = np.repeat(begin[mine] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        out.append(_packed(np.concatenate([totals[mine], other[where]])))
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "counts": pa.array(out, pa.binary())})
+
+
+@dataclass
+class Answers:
+    """What a block was answered: prediction and level of each pair's decisions, where each type's begin, for each order."""
+    guess: np.ndarray
+    level: np.ndarray
+    begin: list[np.ndarray]
+
+
+def answered(replies: pa.Table, types: np.ndarray, code: Code, bits: int) -> Answers:
+    """The answers of a block that sent these types."""
+    bucket, keys, at = _pairs(types, code, bits)
+    byte = code.leaf[(keys & np.uint64(255)).astype(np.int64)]
+    length = code.length[byte]
+    begin = np.cumsum(length) - length
+    cuts = np.append(np.unique(bucket, return_index=True)[1], len(keys))
+    raw = replies.column("counts").to_pylist()
+    guess, level = [], []
+    for i, a, b in zip(np.argsort(np.asarray(replies.column("bucket"))), cuts[:-1], cuts[1:]):
+        values, size = _unpacked(raw[i]), length[a:b]
+        total, other = values[:b - a], values[b - a:]
+        ends, runs = np.cumsum(size), np.cumsum(other)
+        same = np.repeat(total + runs[ends - 1], size) - runs              # as often as the byte's own way was taken
+        depth = np.arange(len(other)) - np.repeat(ends - size, size)
+        ones = code.bit[np.repeat(byte[a:b], size), depth] == 1
+        g, n = slot_values(np.stack([np.where(ones, other, same), np.where(ones, same, other)]))
+        guess.append(g)
+        level.append(n)
+    return Answers(np.concatenate(guess), np.concatenate(level), [begin[a] for a in at])
+
+
 @dataclass
 class Model:
-    """Prediction (stretch x 2048, int16) and evidence level (uint8) per slot, weights per gate, refined stretch per cell."""
+    """Prediction (stretch x 2048, int16) and evidence level (uint8) per slot of one task's tables, weights per gate, refined
+    stretch per cell.  The broadcast model has no slots."""
     code: Code
     guess: list[np.ndarray]
     level: list[np.ndarray]
@@ -198,6 +325,17 @@ class Trainer:
                 for c, s in zip(self.counts, slots):
                     np.add.at(c, s, n)
 
+    def renew(self) -> None:
+        """Empty the tables once one is half full, so that contexts do not come to share slots; weights and map go on."""
+        if any(2 * np.count_nonzero(c) > len(c) for c in self.counts):
+            for c in self.counts:
+                c[:] = 0
+
+    def maps(self):
+        """Weights (-1) and outcomes (-2)."""
+        yield -1, np.vstack([self.weights * self.curve, self.curve])
+        yield -2, self.outcomes
+
     def _adapt(self, types: np.ndarray, weight: np.ndarray) -> None:
         for depth, at, node, bit, slots in _decisions(types, self.code):
             inputs, levels = [], []
@@ -234,8 +372,7 @@ class Trainer:
                 if run.any():
                     yield number, np.stack([run & np.uint64(0xFFFFFFFF), run >> np.uint64(32)]).astype(np.float64)
                 number += 1
-        yield -1, np.vstack([self.weights * self.curve, self.curve])
-        yield -2, self.outcomes
+        yield from self.maps()
 
 
 def slot_values(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -246,9 +383,9 @@ def slot_values(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def build(code: Code, pieces: dict[int, np.ndarray]) -> Model:
-    """The model from added-up pieces, those of slots as ``slot_values``."""
+    """The model from added-up pieces, those of slots as ``slot_values``; without any, it has no slots."""
     guess, level, number = [], [], 0
-    for b in SLOT_BITS:
+    for b in SLOT_BITS if any(n >= 0 for n in pieces) else ():
         guess.append(np.zeros(1 << b, np.int16))
         level.append(np.zeros(1 << b, np.uint8))
         for at in range(0, 1 << b, PIECE):
@@ -265,16 +402,22 @@ def build(code: Code, pieces: dict[int, np.ndarray]) -> Model:
     return Model(code, guess, level, weights, refined)
 
 
-def log2_types(types: np.ndarray, model: Model) -> np.ndarray:
-    """log2 of the model's probability of each type's byte in its context."""
+def log2_types(types: np.ndarray, model: Model, answers: Answers | None = None) -> np.ndarray:
+    """log2 of the model's probability of each type's byte in its context, by the answered counts or by the model's slots."""
     out = np.zeros(len(types), np.float32)
+    orders = range(len(ORDERS))
     for a in range(0, len(types), STEP):
         part = out[a:a + STEP]
-        for depth, at, node, bit, slots in _decisions(types[a:a + STEP], model.code):
-            gate = _gate(depth, model.level[-2][slots[-2]], model.level[-1][slots[-1]])
+        for depth, at, node, bit, slots in _decisions(types[a:a + STEP], model.code, answers is None):
+            if answers is None:
+                guess, level = [model.guess[k][slots[k]] for k in orders], [model.level[k][slots[k]] for k in orders[-2:]]
+            else:
+                spots = [answers.begin[k][a + at] + depth for k in orders]
+                guess, level = [answers.guess[i] for i in spots], [answers.level[i] for i in spots[-2:]]
+            gate = _gate(depth, *level)
             x = np.zeros(len(at), np.float32)
-            for k, s in enumerate(slots):
-                x += model.weights[k][gate] * model.guess[k][s]
+            for k, g in enumerate(guess):
+                x += model.weights[k][gate] * g
             x = np.clip(x * np.float32(1 / 2048), -SHARPEST, SHARPEST)
             low, up = _cells(x)
             cell = node * CELLS + low
@@ -283,13 +426,14 @@ def log2_types(types: np.ndarray, model: Model) -> np.ndarray:
     return out.astype(np.float64) / np.log(2)
 
 
-def score_texts(column, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def score_texts(column, model: Model, replies: pa.Table | None = None, bits: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(log2 probability, bytes) of each text as it is coded."""
     keys, begins = type_keys(*stream(column))
     if not len(keys):
         return np.zeros(0), np.zeros(0, np.int64)
     codes, types = pd.factorize(keys)
-    return np.add.reduceat(log2_types(types, model)[codes], begins[:-1]), np.diff(begins)
+    answers = None if replies is None else answered(replies, types, model.code, bits)
+    return np.add.reduceat(log2_types(types, model, answers)[codes], begins[:-1]), np.diff(begins)
 
 
 _END_KEY = np.array([0x5851F42D4C957F2D], np.uint64)
@@ -306,12 +450,13 @@ def _tokens(table: pa.Table):
 
 
 def _train(batches, code: Code):
-    """Pieces of what a task's blocks teach."""
+    """Weights and outcomes that a task's blocks teach."""
     trainer, learned, held = Trainer(code), 0, np.zeros(0, np.uint64)
     pack = zstandard.ZstdCompressor(level=1)
 
     def learn(keys):
         codes, types = pd.factorize(keys)
+        trainer.renew()
         trainer.learn(types, np.bincount(codes))
 
     for batch in batches:
@@ -325,27 +470,21 @@ def _train(batches, code: Code):
                 held, learned = held[size:], learned + size
     if len(held):
         learn(held)
-    for number, values in trainer.pieces():
+    for number, values in trainer.maps():
         yield pa.RecordBatch.from_pydict({"piece": [number], "payload": [pack.compress(values.tobytes())]},
                                          schema=pa.schema([("piece", pa.int64()), ("payload", pa.binary())]))
 
 
-def _add(table: pa.Table, last: bool) -> pa.Table:
+def _add(table: pa.Table) -> pa.Table:
     number, total = table.column("piece")[0].as_py(), None
     for x in table.column("payload"):
         v = np.frombuffer(zstandard.decompress(x.as_py()), np.float64)
         total = v.copy() if total is None else total.__iadd__(v)
-    out = total.tobytes()
-    if last and number >= 0:
-        guess, level = slot_values(total)
-        out = guess.tobytes() + level.tobytes()
-    return pa.table({"piece": [number], "payload": pa.array([zstandard.compress(out, 1)], pa.binary())})
+    return pa.table({"piece": [number], "payload": pa.array([zstandard.compress(total.tobytes(), 1)], pa.binary())})
 
 
-def train(blocks: DataFrame) -> Model:
-    """Train on the blocks' texts that are marked ``train``; the model has ``size_bound()`` bytes at any input size."""
-    spark = blocks.sparkSession
-
+def byte_code(blocks: DataFrame) -> Code:
+    """Code by the bytes of the blocks' texts that are marked ``train``."""
     def histogram(batches):
         total = np.zeros(256, np.int64)
         for batch in batches:
@@ -362,22 +501,18 @@ def train(blocks: DataFrame) -> Model:
     counts = np.zeros(256, np.int64)
     for r in seen:                                   # 256 rows
         counts[r.byte] = r.n
-    code = huffman(counts)
+    return huffman(counts)
+
+
+def train(blocks: DataFrame, code: Code) -> Model:
+    """Weights and refining map from the blocks' texts that are marked ``train``: ``size_bound()`` bytes at any input size."""
     fan = int(np.ceil(np.sqrt(max(1, blocks.count()))))
     kind = "piece long, payload binary"
     parts = blocks.select("payload").mapInArrow(lambda b: _train(b, code), kind) \
         .withColumn("part", F.pmod(F.spark_partition_id(), F.lit(fan)))
-    sums = parts.groupBy("piece", "part").applyInArrow(lambda t: _add(t.select(["piece", "payload"]), False), kind)
-    rows = sums.groupBy("piece").applyInArrow(lambda t: _add(t, True), kind).collect()   # at most size_bound() bytes
-    pieces = {}
-    for r in rows:
-        raw = zstandard.decompress(bytes(r.payload))
-        if r.piece >= 0:
-            n = len(raw) // 3
-            pieces[r.piece] = np.frombuffer(raw[:2 * n], np.int16), np.frombuffer(raw[2 * n:], np.uint8)
-        else:
-            pieces[r.piece] = np.frombuffer(raw, np.float64)
-    return build(code, pieces)
+    sums = parts.groupBy("piece", "part").applyInArrow(lambda t: _add(t.select(["piece", "payload"])), kind)
+    rows = sums.groupBy("piece").applyInArrow(_add, kind).collect()   # at most size_bound() bytes
+    return build(code, {r.piece: np.frombuffer(zstandard.decompress(bytes(r.payload)), np.float64) for r in rows})
 
 
 def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFrame:
@@ -390,13 +525,13 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
 
     A null or empty text is the end token alone.  Rows count one by one, so
     repeated rows teach repeatedly.  A null ``is_training`` means no.  Without
-    training rows the base score is 0 and the model knows nothing.  Slots and
-    counts do not depend on how rows lie in partitions; the gated weights do,
-    slightly, as each task adapts its own.
+    training rows the base score is 0 and the model knows nothing.  Counts do
+    not depend on how rows lie in partitions; the gated weights do, slightly, as
+    each task adapts its own.
     """
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(is_training, F.lit(False)).alias("train"))
-    blocks = B.pack_blocks(held, tag="lm-blocks")
+    blocks = B.pack_blocks(held, block_bytes=LM_BLOCK, tag="lm-blocks")
     bits = B.bucket_bits(blocks, 0.4)
 
     def count(block, table):
@@ -408,16 +543,28 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
 
     replies = cut_lineage(B.count_exchange(B.over_blocks(blocks, count, B.KEYS_SCHEMA), reply="int64"), "lm-counts")
     n, v = (x or 0 for x in replies.agg(F.sum("total"), F.sum("present")).first())
-    model = blocks.sparkSession.sparkContext.broadcast(train(blocks))
+    code = byte_code(blocks)
+    model = blocks.sparkSession.sparkContext.broadcast(train(blocks, code))
+    wide = B.bucket_bits(blocks, PAIR_BYTES)
+
+    def send(block, table):
+        column, taught = table.column("text"), np.asarray(table.column("train"))
+        keys, begins = type_keys(*stream(column))
+        codes, types = pd.factorize(keys)
+        yield sent(block, types, np.bincount(codes, np.repeat(taught, np.diff(begins)), len(types)), code, wide)
+
+    pairs = B.over_blocks(blocks, send, B.KEYS_SCHEMA).groupBy("bucket") \
+        .applyInArrow(lambda t: answer(t, code), "block long, bucket long, counts binary").withColumn("pairs", F.lit(True))
+    both = replies.select("block", "bucket", "counts", F.lit(False).alias("pairs")).unionByName(pairs)
 
     def rate(block, table, answers):
         words, keys, at, end = _tokens(table)
-        counts = B.join_reply(answers, "int64")
+        counts = B.join_reply(answers.filter(pc.invert(answers.column("pairs"))), "int64")
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
         ptr = words.ptr
         sums = np.concatenate([[0], np.cumsum(base[at])])
         known = np.concatenate([[0], np.cumsum(counts[at] > 0)])
-        log2, size = score_texts(table.column("text"), model.value)
+        log2, size = score_texts(table.column("text"), model.value, answers.filter(answers.column("pairs")), wide)
         return pa.table({
             "row": table.column("row"), "train": table.column("train"),
             "n_tokens": pa.array(np.diff(ptr) + 1, pa.int64()), "n_known": pa.array(known[ptr[1:]] - known[ptr[:-1]] + int(counts[end] > 0), pa.int64()),
@@ -431,4 +578,4 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
                            *(T.StructField(c, long) for c in ("n_tokens", "n_known", "train_tokens")),
                            T.StructField("base_score", double), T.StructField("score", double), T.StructField("n_bytes", long),
                            T.StructField("bits_per_byte", double)])
-    return B.with_replies(blocks, replies.select("block", "bucket", "counts"), rate, schema)
+    return B.with_replies(blocks, both, rate, schema)

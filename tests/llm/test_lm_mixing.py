@@ -97,3 +97,28 @@ def test_edge_cases(spark):
     assert len(got) == 6 and all(math.isclose(r.base_score, next(w[4] for w in want if w[0] == r.row.text)) for r in got)
     untaught = L.score(df, "text", F.lit(False), ["doc_id"]).collect()
     assert all(r.base_score == 0 and r.n_known == 0 and r.score < 0 for r in untaught)
+
+
+def test_answers_are_the_exact_counts_of_every_context():
+    """Two blocks' pairs, added up in buckets, against a dictionary of (context, bits so far); more keys than any fixed table's share."""
+    rng = random.Random(3)
+    columns = [pa.array(["".join(rng.choice("abcdefgh ") for _ in range(4000)) for _ in range(5)]) for _ in range(2)]
+    keys = [L.type_keys(*L.stream(c))[0] for c in columns]
+    code = L.huffman(np.bincount((keys[0] & np.uint64(255)).astype(int), minlength=256))
+    want, path = Counter(), lambda b, d: code.bit[b, :d].tobytes()
+    for c, byte in ((c, int(k) & 255) for k, cs in zip(keys[0], zip(*L._context_ids(keys[0]))) for c in map(int, cs)):
+        want.update((c, path(byte, d), int(code.bit[byte, d])) for d in range(code.length[byte]))
+    types = [np.unique(k) for k in keys]
+    times = [np.unique(keys[0], return_counts=True)[1], np.zeros(len(types[1]), int)]        # the second block only asks
+    rows = pa.Table.from_batches([L.sent(b, types[b], times[b], code, 3) for b in (0, 1)])
+    buckets = np.asarray(rows.column("bucket"))
+    replies = pa.concat_tables([L.answer(rows.filter(pa.array(buckets == b)), code) for b in np.unique(buckets)])
+    for b in (0, 1):
+        got = L.answered(replies.filter(pa.array(np.asarray(replies.column("block")) == b)), types[b], code, 3)
+        for k, contexts in enumerate(L._context_ids(types[b])):
+            for i in range(0, len(types[b]), 17):
+                c, byte = int(contexts[i]), int(types[b][i]) & 255
+                n = [[want[c, path(byte, d), v] for d in range(code.length[byte])] for v in (0, 1)]
+                guess, level = L.slot_values(np.array(n, float))
+                at = got.begin[k][i] + np.arange(code.length[byte])
+                assert (got.guess[at] == guess).all() and (got.level[at] == level).all()
