@@ -40,9 +40,9 @@ from .text import Words, mix, utf8_buffer
 
 #: Context lengths in bytes; WORD is the word so far, up to the longest length.  Slots of a task's tables are named by so many high hash bits.
 WORD = 0
-ORDERS = (1, 3, WORD, 5)
-SLOT_BITS = (16, 22, 22, 22)
-LONGEST = 5
+ORDERS = (2, 3, 4, WORD, 6)
+SLOT_BITS = (20, 22, 22, 22, 22)
+LONGEST = 6
 PIECE = 1 << 16
 SPACE, END = 0x20, 0x0A
 #: Gate: the decision's depth (up to DEPTHS - 1), and the evidence of the last two contexts in LEVELS steps.

@@ -122,3 +122,11 @@ def test_answers_are_the_exact_counts_of_every_context():
                 guess, level = L.slot_values(np.array(n, float))
                 at = got.begin[k][i] + np.arange(code.length[byte])
                 assert (got.guess[at] == guess).all() and (got.level[at] == level).all()
+
+
+def test_contexts_reach_six_bytes_back_and_the_model_broadcast_holds_no_counts():
+    a, b = (int.from_bytes(t, "big") for t in (b"xabcdef", b"yabcdef"))
+    same = [x == y for x, y in L._context_ids(np.array([a, b], np.uint64))]
+    assert len(same) == 5 and not same[-1] and not same[-2] and all(same[:3])
+    code = L.huffman(np.ones(256, int))
+    assert L.build(code, {}).guess == [] and L.size_bound() < 1 << 20
