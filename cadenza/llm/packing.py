@@ -291,5 +291,6 @@ def pack(pieces: DataFrame, capacity: int = 4096, rounds: int = 12) -> DataFrame
         now = again
     for rows in done:
         now = now.unionByName(rows)
-    sequence = (F.col("step").cast("long") * F.lit(1 << 56)) + F.col("group") * GROUP + F.col("bin")
+    # a group's pieces are about GROUP, dealt by a hash, so its bins may be more; 2^24 groups of 2^32 bins fit below a step
+    sequence = (F.col("step").cast("long") * F.lit(1 << 56)) + F.col("group") * F.lit(1 << 32) + F.col("bin")
     return now.select("item", sequence.alias("sequence_id"), "offset", F.lit(bound).cast("long").alias("bound"))

@@ -8,6 +8,8 @@ import pyarrow as pa
 import public_tokenizers as P
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from cadenza.llm import packing
 from cadenza.llm.packing import best_fit, lower_bound, pack, token_pieces
 from cadenza.llm.queries import QUERIES
@@ -109,6 +111,13 @@ def test_exchange_between_groups(spark, monkeypatch):
     assert pack(df.limit(0), 100).count() == 0
 
 
+def test_groups_above_their_mean_keep_sequences_apart(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 64)
+    df = spark.range(1500).select("id", (F.col("id") * 0 + 60).alias("length")).toDF("item", "length")
+    rows = pack(df, 100).collect()
+    assert len({r.sequence_id for r in rows}) == 1500 and {r.offset for r in rows} == {0}
+
+
 def test_empty_nulls_repeats(spark):
     none = spark.createDataFrame([], "doc_id long, text string, piece int")
     assert token_pieces(none, "text", PATH, ["doc_id", "piece"]).count() == 0
