@@ -3,9 +3,10 @@
 Each window of a text is hashed through fixed masks that skip some of its
 words, so a window still hits a benchmark's when the words it skips were
 changed.  Hits of test and training hashes name an alignment of a document with
-an item; the words aligned around it are then compared one by one, and the best
-run of them, by matches less PENALTY for each substitution, must hold
-``min_words`` words.
+an item; the words aligned around it are then compared one by one.  Of the runs
+of at least ``min_words`` words, the best one by matches less PENALTY for each
+substitution is taken if that is above 0 (more than three words in four match),
+then the best ones of what lies before and behind it, and so on.
 """
 
 from __future__ import annotations
@@ -46,25 +47,50 @@ def _exploded(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
         .select(*keys, F.pmod("at", "windows").alias("pos"), "seed").filter("seed is not null")
 
 
-def _best_run(same: Column) -> Column:
-    """(score, start, stop, matches) of the best run of a list of booleans; the first one of equals."""
-    begin = F.struct(*[F.lit(0).alias(n) for n in ("i", "score", "start", "hits", "best", "best_start", "best_stop", "best_hits")])
+def _best_run(same: Column, least: Column) -> Column:
+    """(best, start, stop) of the best run of at least ``least`` of a list of booleans; the shortest first one of equals."""
+    def gain(x):
+        return F.when(x, F.lit(1)).otherwise(F.lit(-PENALTY))
+
+    # total: sum up to here; lag: sum up to `least` before; low, low_at: least lag so far and its place
+    begin = F.struct(*[F.lit(0).alias(n) for n in ("i", "total", "lag", "low", "low_at", "best", "start", "stop")])
 
     def step(s, x):
-        fresh = s["score"] <= 0
-        gain = F.when(x, F.lit(1)).otherwise(F.lit(-PENALTY))
-        score = F.when(fresh, gain).otherwise(s["score"] + gain)
-        start = F.when(fresh, s["i"]).otherwise(s["start"])
-        hits = F.when(fresh, F.lit(0)).otherwise(s["hits"]) + x.cast("int")
-        better = score > s["best"]
-        return F.struct((s["i"] + 1).alias("i"), score.alias("score"), start.alias("start"), hits.alias("hits"),
-                        F.when(better, score).otherwise(s["best"]).alias("best"),
-                        F.when(better, start).otherwise(s["best_start"]).alias("best_start"),
-                        F.when(better, s["i"] + 1).otherwise(s["best_stop"]).alias("best_stop"),
-                        F.when(better, hits).otherwise(s["best_hits"]).alias("best_hits"))
+        total, stop = s["total"] + gain(x), s["i"] + 1
+        lag = F.when(stop > least, s["lag"] + gain(F.get(same, stop - least - 1))).otherwise(F.lit(0))
+        lower = (stop >= least) & (lag <= s["low"])
+        low, low_at = F.when(lower, lag).otherwise(s["low"]), F.when(lower, stop - least).otherwise(s["low_at"])
+        better = (stop >= least) & (total - low > s["best"])
+        return F.struct(stop.alias("i"), total.alias("total"), lag.alias("lag"), low.alias("low"), low_at.alias("low_at"),
+                        F.when(better, total - low).otherwise(s["best"]).alias("best"),
+                        F.when(better, low_at).otherwise(s["start"]).alias("start"),
+                        F.when(better, stop).otherwise(s["stop"]).alias("stop"))
     return F.aggregate(same, begin, step)
 
 
+def _runs(aligned: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, item_start, n_words, n_matches) of every run of (keys, lo: first item word, least, same: list of booleans)."""
+    parts, open_ = [], aligned
+    while True:
+        step = cut_lineage(open_.withColumn("run", _best_run(F.col("same"), F.col("least"))).filter("run.best > 0"), "aligned-runs")
+        length = F.col("run.stop") - F.col("run.start")
+        parts.append(step.select(*keys, (F.col("lo") + F.col("run.start")).alias("item_start"), length.alias("n_words"),
+                                 ((F.col("run.best") + PENALTY * length) / (1 + PENALTY)).cast("int").alias("n_matches")))
+        before = F.struct(F.col("lo").alias("lo"), F.slice("same", F.lit(1), F.col("run.start")).alias("same"))
+        behind = F.struct((F.col("lo") + F.col("run.stop")).alias("lo"),
+                          F.slice("same", F.col("run.stop") + 1, F.size("same") - F.col("run.stop")).alias("same"))
+        rest = step.select(*keys, "least", F.explode(F.array(before, behind)).alias("rest")) \
+            .select(*keys, "least", "rest.lo", "rest.same").filter(F.size("same") >= F.col("least"))
+        # a round for each run of an alignment that lies inside what another left: at most an item's words by min_words
+        if rest.isEmpty():
+            break
+        open_ = rest
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return found
+
+
 def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, item_text: str, carry: list[str],
              min_words: int = 13) -> DataFrame:
     """Benchmark passages in whole texts.
@@ -91,14 +117,13 @@ def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, ite
     test_words = tests.withColumn("item_key", F.xxhash64("item_text")).groupBy("item_key").agg(F.first("item_text").alias("t")) \
         .select("item_key", words(F.col("t")).alias("iw"))
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("iw"), F.size("dw") - F.col("shift")) - 1
-    runs = hits.join(texts, "text_key").join(test_words, "item_key").withColumn("lo", lo).select(
-        "text_key", "item_key", "shift", "lo", F.size("iw").alias("m"),
-        _best_run(F.transform(F.sequence("lo", hi), lambda j: F.get("iw", j) == F.get("dw", j + F.col("shift")))).alias("run"))
-    runs = cut_lineage(runs, "aligned-runs")              # each run is read off once
-    length = F.col("run.best_stop") - F.col("run.best_start")
-    found = runs.filter(length >= F.least(F.lit(min_words), F.col("m"))).select(
-        "text_key", "item_key", (F.col("lo") + F.col("run.best_start")).alias("item_start"), (F.col("lo") + F.col("run.best_stop")).alias("item_end"),
-        "shift", length.alias("n_words"), F.col("run.best_hits").alias("n_matches"))
+    least = F.least(F.lit(min_words), F.size("iw"))
+    aligned = hits.join(texts, "text_key").join(test_words, "item_key").withColumn("lo", lo).select(
+        "text_key", "item_key", "shift", "lo", least.alias("least"),
+        F.transform(F.sequence("lo", hi), lambda j: F.get("iw", j) == F.get("dw", j + F.col("shift"))).alias("same")) \
+        .filter(F.size("same") >= F.col("least"))
+    aligned = cut_lineage(aligned, "aligned")             # each list is compared once and read often
+    found = _runs(aligned, ["text_key", "item_key", "shift"]).withColumn("item_end", F.col("item_start") + F.col("n_words"))
     found = cut_lineage(found, "overlaps")
     named = tests.select("item_id", F.xxhash64("item_text").alias("item_key"))
     return held.select("row", "text_key").join(found, "text_key").join(named, "item_key").select(

@@ -90,3 +90,53 @@ def test_query_matches_every_alignment(spark):
             if len(s & set(split(d.text))) >= 6 for r in brute(d.text, i.text, 13)}
     got = {tuple(r) for r in QUERIES["op8_decontamination"](spark, sf).collect()}
     assert got == want and want
+
+
+def every_run(doc, item, min_words=13):
+    """All runs of every alignment, without masks: the best of at least ``least`` words, then of what lies before and behind."""
+    d, t = split(doc), split(item)
+    least, out = min(min_words, len(t)), set()
+
+    def best(same, a, b):
+        top = (0, 0, 0)
+        sums = [0]
+        for x in same[a:b]:
+            sums.append(sums[-1] + (1 if x else -PENALTY))
+        for stop in range(least, b - a + 1):
+            for start in range(stop - least, -1, -1):
+                if sums[stop] - sums[start] > top[0]:
+                    top = (sums[stop] - sums[start], a + start, a + stop)
+        return top
+
+    for shift in range(least - len(t), len(d) - least + 1) if least else ():
+        lo, hi = max(0, -shift), min(len(t), len(d) - shift)
+        same, todo = [t[j] == d[j + shift] for j in range(lo, hi)], [(0, hi - lo)]
+        while todo:
+            a, b = todo.pop()
+            score, start, stop = best(same, a, b)
+            if score and (len(t) >= SPAN or stop - start == sum(same[start:stop])):
+                out.add((lo + start + shift, lo + stop + shift, lo + start, lo + stop, stop - start, sum(same[start:stop])))
+                todo += [(a, start), (stop, b)]
+    return out
+
+
+def check_every_run(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(d, i, *r) for d, text in enumerate(texts) for i, item in enumerate(items) for r in every_run(text, item)}
+    rows = overlaps(docs, "text", bench, "item_id", "text", ["doc_id"]).collect()
+    assert {(r.row.doc_id, *r[1:]) for r in rows} == want and len(rows) == len(want)
+    clean = {r.doc_id for r in without_overlaps(docs, "text", bench, "item_id", "text").collect()}
+    assert clean == set(range(len(texts))) - {w[0] for w in want}
+    return want
+
+
+def changed(words, *places):
+    return " ".join("other" if i in places else w for i, w in enumerate(words))
+
+
+def test_every_disjoint_run_of_an_alignment(spark):
+    item = [f"w{i}" for i in range(60)]
+    texts = [changed(item, 12, 13, 14, 15, 16, 20), changed(item, *range(20, 30)), changed(item, *range(14, 22), *range(40, 46))]
+    want = check_every_run(spark, texts, [" ".join(item)])
+    assert Counter(w[0] for w in want)[1] == 2 and Counter(w[0] for w in want)[2] == 3
