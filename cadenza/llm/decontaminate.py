@@ -7,6 +7,10 @@ an item; the words aligned around it are then compared one by one.  Of the runs
 of at least ``min_words`` words, the best one by matches less PENALTY for each
 substitution is taken if that is above 0 (more than three words in four match),
 then the best ones of what lies before and behind it, and so on.
+
+The masks miss no such run: of 10 to 12 words with two substitutions, or of 13
+with three, some window keeps clear of them.  Items shorter than a window are
+looked up as a whole, unchanged.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import cut_lineage
 
 #: Fixed masks: 1 marks a word that is hashed, 0 one that is ignored.
-MASKS = ("1101011011", "1110110101")
+MASKS = ("1010011001", "1100100011", "0011110010", "0110001110", "1101010100", "0001101101")
 SPAN = len(MASKS[0])
 PENALTY = 3
 #: Seeds of the benchmark that may be broadcast (about 40 bytes each); more of them are joined by shuffle.
@@ -28,23 +32,23 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(hashes: Column) -> Column:
-    """Masked hashes of every window, mask after mask; none for fewer words than a window."""
+def _seeds(hashes: Column, short: list[int]) -> Column:
+    """(pos, seed) of every window of every mask; for each of the ``short`` lengths also of every run of so many words."""
     def masked(number: int, mask: str):
         kept = [i for i, c in enumerate(mask) if c == "1"]
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - SPAN),
-                           lambda at: F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i in kept]))
-    return F.when(F.size(hashes) >= SPAN, F.concat(*[masked(i, m) for i, m in enumerate(MASKS)])) \
-        .otherwise(F.array().cast("array<bigint>"))
+        windows = F.transform(F.sequence(F.lit(0), F.size(hashes) - len(mask)), lambda at: F.struct(
+            at.alias("pos"), F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i in kept]).alias("seed")))
+        return F.when(F.size(hashes) >= len(mask), windows).otherwise(F.array().cast("array<struct<pos:int,seed:bigint>>"))
+    masks = [*enumerate(MASKS), *((len(MASKS) + n, "1" * n) for n in short)]
+    return F.concat(*[masked(i, m) for i, m in masks])
 
 
-def _exploded(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+def _exploded(rows: DataFrame, keys: list[str], text: str, short: list[int]) -> DataFrame:
     """(keys, pos of the window's first word, seed)."""
     hashed = rows.select(*keys, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("hashes"))
-    seeds = hashed.select(*keys, (F.size("hashes") - SPAN + 1).alias("windows"), _seeds(F.col("hashes")).alias("seeds"))
     # outer: the filter that a plain explode implies would be pushed down to the text and hash it anew for each window
-    return seeds.select(*keys, "windows", F.posexplode_outer("seeds").alias("at", "seed")) \
-        .select(*keys, F.pmod("at", "windows").alias("pos"), "seed").filter("seed is not null")
+    return hashed.select(*keys, F.explode_outer(_seeds(F.col("hashes"), short)).alias("at")) \
+        .select(*keys, "at.pos", "at.seed").filter("seed is not null")
 
 
 def _best_run(same: Column, least: Column) -> Column:
@@ -98,17 +102,22 @@ def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, ite
     Returns one row for each input row and aligned run: (row struct of
     ``carry``, item_id, doc_start, doc_end, item_start, item_end: word positions,
     n_words, n_matches int).  A run holds at least ``min_words`` aligned words (all
-    words of a shorter item of at least a window).  Words are runs of letters and
+    words of a shorter item).  Words are runs of letters and
     digits, lower-cased.  Null and empty texts hold none; equal items each give their
     rows; repeated rows and null ids are reported as they come.
     """
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text")) \
         .withColumn("text_key", F.xxhash64("text"))
     tests = items.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{item_text}`").alias("item_text")).distinct()
-    seeds = cut_lineage(_exploded(tests.withColumn("item_key", F.xxhash64("item_text")).select("item_key", "item_text").distinct(),
-                                  ["item_key"], "item_text").withColumnRenamed("pos", "item_pos"), "seeds")
+    size = F.size(words(F.col("item_text")))
+    short = sorted(r.n for r in tests.select(size.alias("n")).filter(F.col("n").between(1, SPAN - 1)).distinct().collect())   # below SPAN
+    keyed = tests.withColumn("item_key", F.xxhash64("item_text")).select("item_key", "item_text", size.alias("n")).distinct()
+    seeds = _exploded(keyed.filter(F.col("n") >= SPAN), ["item_key"], "item_text", [])
+    for n in short:
+        seeds = seeds.unionByName(_exploded(keyed.filter(F.col("n") == n), ["item_key"], "item_text", [n]))
+    seeds = cut_lineage(seeds.withColumnRenamed("pos", "item_pos"), "seeds")
     probe = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
-    hits = _exploded(held, ["text_key"], "text").join(probe, "seed") \
+    hits = _exploded(held, ["text_key"], "text", short).join(probe, "seed") \
         .select("text_key", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     hits = cut_lineage(hits, "seed-hits")
 

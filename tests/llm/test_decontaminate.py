@@ -135,6 +135,19 @@ def changed(words, *places):
     return " ".join("other" if i in places else w for i, w in enumerate(words))
 
 
+def test_any_words_changed_within_tolerance_are_found(spark):
+    long = [f"w{i}" for i in range(40)]
+    items = [long[:n] for n in (9, 10, 13, 14, 15, 16, 18)]
+    texts = [f"x{k} " + changed(t, k) for t in items[1:] for k in range(len(t))] + \
+        [changed(t, k, k + 1) for t in items[1:] for k in range(len(t) - 1)] + [changed(items[2], a, b, 12) for a in range(6) for b in range(6, 12)] + \
+        ["y " + " ".join(items[0])]
+    for n in (9, 13, 15, 18):
+        item = " ".join(long[:n])
+        want = check_every_run(spark, texts, [item])
+        same = [i for i, t in enumerate(texts) if every_run(t, item)]
+        assert len({w[0] for w in want}) == len(same) > 0
+
+
 def test_every_disjoint_run_of_an_alignment(spark):
     item = [f"w{i}" for i in range(60)]
     texts = [changed(item, 12, 13, 14, 15, 16, 20), changed(item, *range(20, 30)), changed(item, *range(14, 22), *range(40, 46))]
