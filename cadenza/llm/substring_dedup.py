@@ -1,10 +1,8 @@
-"""Substring dedup by relative parsing against an index of every block (operator 9).
+"""Substring dedup by counting windows over shared anchors (operator 9).
 
-A document is read left to right and cut greedily into factors, where a factor
-is a longest run of words that the indexed reference blocks repeat window by
-window.  Factors of at least ``window`` words become duplicate spans.  At the
-edge of a factor the windows that reach over it are looked up by themselves, so
-a span that is copied from two references in turn is found whole.
+Words of every window of ``window`` words that occurs twice or more are duplicate
+spans.  No greedy factors are parsed: every window over a shared anchor is counted,
+so a span that is copied from two references in turn is found whole.
 
 The index is spread over key buckets, not held in one place:
 
