@@ -168,3 +168,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive_folder, read_archive, write_archive
     index = write_archive(load_table(spark, sf_dir, "pages"), archive_folder(spark))
     return read_archive(index, payload=False).drop("url")
+
+
+@query("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded again, as digests."""
+    import public_tokenizers
+
+    from .byte_bpe import decode, encode
+    path, pattern = tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    ids = encode(load_table(spark, sf_dir, "documents"), "text", path, pattern, ["doc_id"])
+    ids = ids.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    back = decode(ids, "ids", path, pattern, ["doc_id", "n_tokens", "ids_sha256"])
+    return back.select("row.*", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
