@@ -181,3 +181,81 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = ids.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
     back = decode(ids, "ids", path, pattern, ["doc_id", "n_tokens", "ids_sha256"])
     return back.select("row.*", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+#: Tree levels that the SQL of op12 unrolls: trees of up to 8 ** 9 leaves.
+_SQL_LEVELS = 9
+
+
+def _merkle_sql() -> str:
+    """SQL of op12: levels and paths unrolled, one table expression a level."""
+    parts = ["""
+fields AS (
+  SELECT doc_id, lang, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+step AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v
+    FROM range(256) r(i))),
+docs AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+         sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS low_h,
+         xor(list_reduce(list_transform(range(1, strlen(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT),
+                         lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 3 = 0 AS hit
+  FROM fields, step),
+a0 AS (
+  SELECT lang AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS n, h, doc_id, low_h, hit FROM docs)"""]
+
+    def climb(name: str) -> None:
+        for k in range(_SQL_LEVELS):
+            parts.append(f"""
+{name}{k}s AS (
+  SELECT *, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lo,
+         coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS hi
+  FROM {name}{k} WINDOW r AS (PARTITION BY tree, i // 8 ORDER BY i)),
+{name}{k + 1} AS (
+  SELECT tree, i // 8 AS i, CASE WHEN n > 1 THEN (n + 7) // 8 ELSE 1 END AS n,
+         CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h
+  FROM {name}{k} GROUP BY tree, i // 8, n)""")
+
+    climb("a")
+    parts.append(f"""
+b0 AS (SELECT 0 AS tree, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS i, count(*) OVER () AS n, h, tree AS lang FROM a{_SQL_LEVELS})""")
+    climb("b")
+    parts.append("""
+f0 AS (SELECT a.doc_id, a.tree, a.i, a.h AS leaf, CASE WHEN hit AND low_h IS NOT NULL THEN low_h ELSE h END AS acc, '' AS sib FROM a0 a)""")
+    at = 0
+    for name in "ab":
+        for k in range(_SQL_LEVELS):
+            keep = "f.subroot, " if name == "b" else ""
+            parts.append(f"""
+f{at + 1} AS (
+  SELECT f.doc_id, f.tree, f.i // 8 AS i, f.leaf, {keep}CASE WHEN s.n > 1 THEN sha256(s.lo || f.acc || s.hi) ELSE f.acc END AS acc, f.sib || s.lo || s.hi AS sib
+  FROM f{at} f JOIN {name}{k}s s ON f.tree IS NOT DISTINCT FROM s.tree AND f.i = s.i)""")
+            at += 1
+        if name == "a":
+            parts.append(f"""
+f{at + 1} AS (
+  SELECT f.doc_id, 0 AS tree, b.i, f.leaf, b.h AS subroot, f.acc, f.sib FROM f{at} f JOIN b0 b ON f.tree IS NOT DISTINCT FROM b.lang)""")
+            at += 1
+    return "WITH" + ",".join(parts) + f"""
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(sib) AS proof_sha256, acc AS folded_root, acc = r.h AS verified
+FROM f{at}, b{_SQL_LEVELS} r"""
+
+
+@query("op12_merkle", _merkle_sql())
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and recomputed root; a third of them tampered with."""
+    from .merkle import fold, leaf_digest, manifest, proofs, siblings_digest
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = load_table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", leaf_digest(*head, F.col("text")).alias("leaf"),
+        F.when(hit, leaf_digest(*head, F.translate("text", upper, upper.lower()))).alias("tampered"))
+    made = manifest(rows, "lang", ["doc_id"], "leaf", ["doc_id", "tampered"])
+    out = proofs(made).withColumn("folded_root", fold(F.coalesce("row.tampered", "leaf"), F.col("path")))
+    return out.select("row.doc_id", "leaf", "subroot", "root", siblings_digest(F.col("path")).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
