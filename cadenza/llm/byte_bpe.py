@@ -109,6 +109,12 @@ class ByteBPE:
         self._cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self._known = _Known()
 
+    def ranks(self) -> dict[bytes, int]:
+        """Ids by the bytes of the tokens that merges make, for libraries that take ids for ranks."""
+        if (np.diff(self._merged[:-1]) <= 0).any():
+            raise ValueError("ids do not ascend as the merges do")
+        return {self.token[i]: i for i in [*self._first.tolist(), *self._merged[:-1].tolist()]}
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs of ids."""
         key = left.astype(np.int64) << 32 | right

@@ -259,3 +259,15 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = proofs(made).withColumn("folded_root", fold(F.coalesce("row.tampered", "leaf"), F.col("path")))
     return out.select("row.doc_id", "leaf", "subroot", "root", siblings_digest(F.col("path")).alias("proof_sha256"),
                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over every text's bytes: groups, links, and how common the links are."""
+    import public_tokenizers
+
+    from .alignment import align
+    out = align(load_table(spark, sf_dir, "documents"), "text", tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+                tokenizer_path("piece_bpe_32k.model"), ["doc_id"])
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"), "n_group_links")

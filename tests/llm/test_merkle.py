@@ -44,7 +44,7 @@ def brute(rows):
     for n in names:
         trees[n].sort(key=lambda x: x[:3])
         made[n] = plain([x[2] for x in trees[n]])
-    root, tops = plain([made[n][0] for n in names])
+    root, tops = plain([made[n][0] for n in names]) if names else (None, [])
     out = []
     for n, top in zip(names, tops):
         for (_, _, leaf, r), path in zip(trees[n], made[n][1]):
