@@ -9,18 +9,20 @@ product of the two token-group incidence matrices gives the shared-group links.
 
 Neither encoding has a token across a cut between a character that is not white
 space and a space, so both matrices are block diagonal over the parts between
-such cuts, and so are their products.  Documents are encoded once, into blocks
-that hold each distinct part's ids and every document's sequence of parts; the
-products are formed once per distinct part of a block.
+such cuts, and so are their products.  Documents are encoded once, in blocks of
+texts; the products are formed once per distinct part of a block, and a
+document's figures are sums over its sequence of parts.
 
-A block counts, by document, the distinct id pairs that are linked and sends
-each pair once to a bucket of pairs; buckets add up and answer.  The highest
+A block counts, by document, the distinct id pairs that are linked, keeps every
+document's sequence and every part's links, and sends each pair once to a
+bucket of pairs; buckets add up and answer.  The highest
 count of each A id is one number per entry of A's vocabulary, whatever the
 corpus, so it may travel with the tasks.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .blocks import bound_batches, bucket_bits, from_stream, join_reply, key_slices, slices, to_stream
+from .blocks import BUCKET_BYTES, KEYS_SCHEMA, bound_batches, from_stream, join_reply, key_slices, slices, to_stream
 from .byte_bpe import ByteBPE
 from .text import mix
 
@@ -37,11 +39,12 @@ PRODUCT = 1 << 20
 #: Text bytes of a block; a longer text is a block alone.
 BLOCK_TEXT = 4 << 20
 #: Parts remembered at once in a task.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 #: A space after a character that is not white space begins a part.
 PART = r" \s*\S*(?:[^\S ]\s*\S*)*"
 #: An id takes so many bits of a pair's key; the other bits name the bucket.
 ID_BITS = 20
+NUMBERS = ("seq", "n_parts", "pair", "n_links", "id")
 
 
 class CSR:
@@ -163,39 +166,8 @@ class _Numbers(dict):
         return n
 
 
-def encode_blocks(df: DataFrame, text: str, path_a: str, pattern: str, path_b: str, carry: list[str]) -> DataFrame:
-    """Written blocks (block, n_bytes, docs, parts) of all texts.
-
-    ``docs``: an Arrow stream of (row struct of ``carry``, seq: numbers of the text's parts); ``parts``: one
-    of the distinct parts' ids (a, b).  A text without tokens has no parts: a null or empty one, or one
-    whose ids do not give back a space and the text.
-    """
-    def run(batches):
-        encoders, cut = Encoders(path_a, pattern, path_b), re.compile(PART)
-        for whole in batches:
-            for batch in slices(whole, BLOCK_TEXT):
-                numbers = _Numbers()
-                seqs = [np.array([*map(numbers.__getitem__, cut.findall(" " + x))], "<u4") if x else np.zeros(0, "<u4")
-                        for x in batch.column(1).to_pylist()]
-                ids = encoders.encode(list(numbers))
-                if None in ids:
-                    broken = np.array([x is None for x in ids])
-                    seqs = [x[:0] if broken[x].any() else x for x in seqs]
-                parts = pa.table({k: pa.array([x[i] if x else b"" for x in ids], pa.binary()) for i, k in enumerate("ab")})
-                docs = pa.table({"row": batch.column(0), "seq": pa.array([x.tobytes() for x in seqs], pa.binary())})
-                yield pa.RecordBatch.from_pydict({"n_bytes": [batch.column(1).nbytes], "docs": [to_stream(docs)],
-                                                  "parts": [to_stream(parts)]}, schema=schema)
-
-    schema = pa.schema([("n_bytes", pa.int64()), ("docs", pa.binary()), ("parts", pa.binary())])
-    bound_batches(df.sparkSession)
-    source = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text}`").alias("text"))
-    rows = source.mapInArrow(run, "n_bytes long, docs binary, parts binary")
-    return cut_lineage(rows.withColumn("block", F.monotonically_increasing_id()), "alignment")
-
-
-def _ids(column) -> tuple[np.ndarray, np.ndarray]:
-    """(all ids, number of each row's ids) of a binary column."""
-    values = column.to_pylist()
+def _ids(values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, number of ids of each value)."""
     return np.frombuffer(b"".join(values), "<u4").astype(np.int64), np.array([len(x) // 4 for x in values], np.int64)
 
 
@@ -206,33 +178,49 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
-class Block:
-    """Links of a block: its parts lie on one axis of bytes, and no link crosses from one to another."""
+class Parts:
+    """The distinct parts of a block's texts on one axis of bytes; no link crosses from one part to another.
 
-    def __init__(self, docs: bytes, parts: bytes, length_a: np.ndarray, length_b: np.ndarray):
-        docs, parts = from_stream(docs), from_stream(parts)
-        self.row = docs.column("row")
-        self.seq, self.n_parts = _ids(docs.column("seq"))
-        self.a, self.n_a = _ids(parts.column("a"))
-        self.b, self.n_b = _ids(parts.column("b"))
+    ``seq`` numbers the parts of all texts, ``n_parts`` of them for each text.
+    """
+
+    def __init__(self, ids: list[tuple[bytes, bytes]], seq: np.ndarray, n_parts: np.ndarray, length_a: np.ndarray, length_b: np.ndarray):
+        self.seq, self.n_parts = seq, n_parts
+        self.a, self.n_a = _ids([x for x, _ in ids])
+        self.b, self.n_b = _ids([x for _, x in ids])
         self.ends_a, self.ends_b = np.cumsum(length_a[self.a]), np.cumsum(length_b[self.b])
         self.link_a, self.link_b = links(self.ends_a, self.ends_b)
-        part = np.repeat(np.arange(len(self.n_a)), self.n_a)[self.link_a]
-        self.n_links = np.bincount(part, minlength=len(self.n_a))
+        part = np.repeat(np.arange(len(ids)), self.n_a)[self.link_a]
+        self.n_links = np.bincount(part, minlength=len(ids))
+        self.first_link = np.cumsum(self.n_links) - self.n_links
         #: distinct linked id pairs, and the place of each link's pair among them
         self.pairs, self.pair = np.unique(self.a[self.link_a] << ID_BITS | self.b[self.link_b], return_inverse=True)
 
+    def links_of(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of links of each of ``parts``, places of all their links)."""
+        n = self.n_links[parts]
+        return n, np.arange(n.sum()) + np.repeat(self.first_link[parts] - (np.cumsum(n) - n), n)
+
     def documents_of_pairs(self) -> np.ndarray:
-        """In how many documents of the block each distinct pair is linked."""
+        """In how many texts of the block each distinct pair is linked."""
         doc = np.repeat(np.arange(len(self.n_parts)), self.n_parts)
-        held = np.unique(doc << 32 | self.seq)                                # distinct parts of each document
-        doc, part = held >> 32, held & 0xFFFFFFFF
-        n = self.n_links[part]
-        first = np.cumsum(self.n_links) - self.n_links
-        place = np.arange(n.sum()) + np.repeat(first[part] - (np.cumsum(n) - n), n)
-        once = np.unique(np.repeat(doc, n) << 32 | self.pair[place])
+        held = np.unique(doc << 32 | self.seq)                                # distinct parts of each text
+        n, place = self.links_of(held & 0xFFFFFFFF)
+        once = np.unique(np.repeat(held >> 32, n) << 32 | self.pair[place])
         return np.bincount(once & 0xFFFFFFFF, minlength=len(self.pairs))
 
+    def token_links(self) -> dict[str, pa.Array]:
+        """Token numbers of each text's links."""
+        n, place = self.links_of(self.seq)
+        ends = pa.array(np.concatenate([[0], np.cumsum(_sums(n, self.n_parts))]).astype(np.int32))
+        out = {}
+        for name, token, size in (("link_a", self.link_a, self.n_a), ("link_b", self.link_b, self.n_b)):
+            before = np.cumsum(size[self.seq]) - size[self.seq]               # tokens of the block's texts before each part
+            base = np.repeat(np.append(before, 0)[np.cumsum(self.n_parts) - self.n_parts], self.n_parts)
+            shift = before - base - (np.cumsum(size) - size)[self.seq]
+            out[name] = pa.ListArray.from_arrays(ends, pa.array((token[place] + np.repeat(shift, n)).astype(np.int32)))
+        return out
+
     def groups(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Per part: its groups, its shared-group links, and the groups as text."""
         n_parts = len(self.n_a)
@@ -263,87 +251,126 @@ def _pair_keys(pairs: np.ndarray, bits: int) -> np.ndarray:
     return (mix(pairs.astype(np.uint64)) >> np.uint64(64 - bits)) << np.uint64(64 - bits) | pairs.astype(np.uint64)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers below 2 ** 32 by planes of bytes, which compress better."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplanes(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def encode_blocks(df: DataFrame, text: str, path_a: str, pattern: str, path_b: str, carry: list[str], bits: int,
+                  keep: tuple[str, ...]) -> DataFrame:
+    """Written blocks of all texts: (block, docs, seq, n_parts, pair, n_links, id, keys, counts).
+
+    ``docs``: an Arrow stream of the texts' figures that need no other block; ``seq``, ``n_parts``: each text's
+    parts; ``pair``, ``n_links``: each part's links, as numbers of the block's sorted ``keys``; ``id``: the
+    A id of each key; ``counts``: the texts that hold it linked.
+    """
+    def run(batches):
+        encoders, cut = Encoders(path_a, pattern, path_b), re.compile(PART)
+        for whole in batches:
+            for batch in slices(whole, BLOCK_TEXT):
+                numbers = _Numbers()
+                seqs = [np.array([*map(numbers.__getitem__, cut.findall(" " + x))], np.int64) if x else np.zeros(0, np.int64)
+                        for x in batch.column(1).to_pylist()]
+                ids = encoders.encode(list(numbers))
+                if None in ids:
+                    broken = np.array([x is None for x in ids])
+                    seqs = [x[:0] if broken[x].any() else x for x in seqs]
+                    ids = [x or (b"", b"") for x in ids]
+                x = Parts(ids, np.concatenate(seqs), np.array([len(s) for s in seqs]), encoders.length_a, encoders.length_b)
+                n_groups, shared, texts = x.groups()
+                parts = {"n_a": x.n_a, "n_b": x.n_b, "n_groups": n_groups, "n_links": x.n_links, "n_group_links": shared}
+                docs = {"row": batch.column(0), **{k: pa.array(_sums(v[x.seq], x.n_parts), pa.int64()) for k, v in parts.items()}}
+                every, stops = list(map(texts.__getitem__, x.seq.tolist())), np.cumsum(x.n_parts).tolist()
+                texts = [b";".join(every[i:j]) for i, j in zip([0, *stops], stops)]
+                docs["groups_sha256"] = pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in texts])
+                if "groups" in keep:
+                    docs["groups"] = pa.array(texts, pa.binary()).cast(pa.string())
+                if "links" in keep:
+                    docs |= x.token_links()
+                keys = _pair_keys(x.pairs, bits)
+                order = np.argsort(keys)
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                yield pa.RecordBatch.from_pydict({
+                    "docs": [to_stream(pa.table(docs))], "seq": [_planes(x.seq)], "n_parts": [_planes(x.n_parts)],
+                    "pair": [_planes(rank[x.pair])], "n_links": [_planes(x.n_links)], "id": [_planes((x.pairs >> ID_BITS)[order])],
+                    "keys": [keys[order].tobytes()], "counts": [x.documents_of_pairs()[order].astype("<u4").tobytes()]}, schema=schema)
+
+    names = ["docs", "seq", "n_parts", "pair", "n_links", "id", "keys", "counts"]
+    schema = pa.schema([(n, pa.binary()) for n in names])
+    bound_batches(df.sparkSession)
+    source = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text}`").alias("text"))
+    rows = source.mapInArrow(run, ", ".join(f"{n} binary" for n in names))
+    return cut_lineage(rows.withColumn("block", F.monotonically_increasing_id()), "alignment")
+
+
 def _add_up(table: pa.Table) -> pa.Table:
     """A bucket of pairs: answers in the order of the keys sent, and the highest count of each A id in one row."""
     sent = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
-    local = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()])
-    keys, back = np.unique(np.concatenate(sent), return_inverse=True)
-    total = np.zeros(len(keys), np.int64)
-    np.add.at(total, back, local)
-    ids, at = np.unique(keys >> np.uint64(ID_BITS) & np.uint64((1 << ID_BITS) - 1), return_inverse=True)
-    best = np.zeros(len(ids), np.int64)
-    np.maximum.at(best, at, total)
-    ends = np.cumsum([len(x) for x in sent])
-    answers, rest = total[back], len(sent) - 1
+    local = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()]).astype(np.int64)
+    every = np.concatenate(sent)
+    order = np.argsort(every, kind="stable")
+    ranked = every[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    total = np.add.reduceat(local[order], np.flatnonzero(new))
+    answers = np.empty(len(every), np.int64)
+    answers[order] = total[np.cumsum(new) - 1]
+    # keys ascend by pair, so pairs of one A id stand together
+    ids = ranked[new] >> np.uint64(ID_BITS) & np.uint64((1 << ID_BITS) - 1)
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    ends, rest = np.cumsum([len(x) for x in sent]), len(sent) - 1
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                     "counts": pa.array([answers[e - len(x):e].tobytes() for x, e in zip(sent, ends)], pa.binary()),
-                     "id": pa.array([ids.tolist(), *[[]] * rest], pa.list_(pa.int64())),
-                     "best": pa.array([best.tolist(), *[[]] * rest], pa.list_(pa.int64()))})
+                     "counts": pa.array([answers[e - len(x):e].astype("<u4").tobytes() for x, e in zip(sent, ends)], pa.binary()),
+                     "id": pa.array([ids[first].astype(np.int64).tolist(), *[[]] * rest], pa.list_(pa.int64())),
+                     "best": pa.array([np.maximum.reduceat(total, first).tolist(), *[[]] * rest], pa.list_(pa.int64()))})
 
 
-def align(df: DataFrame, text: str, path_a: str, pattern: str, path_b: str, carry: list[str], keep_links: bool = False) -> DataFrame:
+def align(df: DataFrame, text: str, path_a: str, pattern: str, path_b: str, carry: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Align the tokens of A and B in every whole text.
 
-    Returns (row struct of ``carry``, n_a, n_b, n_groups, n_links, n_group_links, n_best, count_sum long, groups
-    string).  ``n_best`` counts the links whose id pair is linked in as many documents as any pair of
-    its A id, ``count_sum`` adds up those documents over the links, ``groups`` writes the ids as
-    ``a1,a2|b1;a3|b2,b3``.  With ``keep_links``, ``link_a`` and ``link_b`` (array<int>) hold the links' token numbers.
+    Returns (row struct of ``carry``, n_a, n_b, n_groups, n_links, n_group_links long, groups_sha256 string,
+    n_best, count_sum long).  ``n_best`` counts the links whose id pair is linked in as many texts as any
+    pair of its A id, ``count_sum`` adds up those texts over the links.  ``keep`` may name "groups" (string:
+    the ids as ``a1,a2|b1;a3|b2,b3``, which the digest is of) and "links" (``link_a``, ``link_b`` array<int>:
+    token numbers of the overlap links).
 
     A null or empty text, and one whose ids do not give back a space and the text, has no tokens: zeros and
-    an empty ``groups``.  Repeated rows count as documents of their own; an empty table gives an empty one;
-    carried columns lie in ``row``, so no name clashes.
+    empty groups, with an empty digest.  Repeated rows count as texts of their own; an empty table gives an
+    empty one; carried columns lie in ``row``, so no name clashes.
     """
-    blocks = encode_blocks(df, text, path_a, pattern, path_b, carry)
-    bits = min(bucket_bits(blocks, 1.0), 64 - 2 * ID_BITS)
-    encoders = Encoders(path_a, pattern, path_b)
-    length_a, length_b = encoders.length_a, encoders.length_b
+    size = df.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    want = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size / BUCKET_BYTES, 2)
+    bits = min(int(np.ceil(np.log2(want))), 64 - 2 * ID_BITS)
+    blocks = encode_blocks(df, text, path_a, pattern, path_b, carry, bits, keep)
     kind = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")).schema["row"].dataType.simpleString()
 
     def send(batches):
         for batch in batches:
-            for block, docs, parts in zip(*(batch.column(c).to_pylist() for c in ("block", "docs", "parts"))):
-                x = Block(docs, parts, length_a, length_b)
-                keys = _pair_keys(x.pairs, bits)
-                order = np.argsort(keys)
-                yield key_slices(block, keys[order], x.documents_of_pairs()[order].astype(np.uint32), bits)
+            for block, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "keys", "counts"))):
+                yield key_slices(block, np.frombuffer(keys, np.uint64), np.frombuffer(counts, "<u4"), bits)
 
-    replies = blocks.mapInArrow(send, "bucket long, block long, keys binary, counts binary").groupBy("bucket").applyInArrow(
+    replies = blocks.select("block", "keys", "counts").mapInArrow(send, KEYS_SCHEMA).groupBy("bucket").applyInArrow(
         _add_up, "block long, bucket long, counts binary, id array<bigint>, best array<bigint>")
     replies = cut_lineage(replies, "alignment-replies")
-    best = np.zeros(len(length_a), np.int64)
     pairs = replies.select(F.explode(F.arrays_zip("id", "best")).alias("p"))
+    best = np.zeros(1 << ID_BITS, np.int64)
     for r in pairs.groupBy("p.id").agg(F.max("p.best").alias("best")).collect():       # one row per entry of A's vocabulary
         best[r.id] = r.best
+    best = best[:int(np.flatnonzero(best).max(initial=0)) + 1]
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        x = Block(left.column("docs")[0].as_py(), left.column("parts")[0].as_py(), length_a, length_b)
-        keys = _pair_keys(x.pairs, bits)
-        count = np.empty(len(keys), np.int64)
-        count[np.argsort(keys)] = join_reply(right, "int64")
-        per_link = count[x.pair]
-        n_groups, shared, texts = x.groups()
-        is_best = per_link == best[x.pairs >> ID_BITS][x.pair]
-        parts = {"n_a": x.n_a, "n_b": x.n_b, "n_groups": n_groups, "n_links": x.n_links, "n_group_links": shared,
-                 "n_best": _sums(is_best, x.n_links), "count_sum": _sums(per_link, x.n_links)}
-        out = {"row": x.row, **{k: pa.array(_sums(v[x.seq], x.n_parts), pa.int64()) for k, v in parts.items()}}
-        every, stops = list(map(texts.__getitem__, x.seq.tolist())), np.cumsum(x.n_parts).tolist()
-        out["groups"] = pa.array([b";".join(every[i:j]) for i, j in zip([0, *stops], stops)], pa.binary()).cast(pa.string())
-        if keep_links:
-            n = x.n_links[x.seq]
-            first = np.cumsum(x.n_links) - x.n_links
-            place = np.arange(n.sum()) + np.repeat(first[x.seq] - (np.cumsum(n) - n), n)
-            ends = np.concatenate([[0], np.cumsum(_sums(n, x.n_parts))]).astype(np.int32)
-            for name, token, size in (("link_a", x.link_a, x.n_a), ("link_b", x.link_b, x.n_b)):
-                before = np.cumsum(size[x.seq]) - size[x.seq]                  # tokens of the block's documents before each part
-                base = np.repeat(np.append(before, 0)[np.cumsum(x.n_parts) - x.n_parts], x.n_parts)
-                shift = before - base - (np.cumsum(size) - size)[x.seq]
-                values = pa.array((token[place] + np.repeat(shift, n)).astype(np.int32))
-                out[name] = pa.ListArray.from_arrays(pa.array(ends), values)
-        return pa.table(out)
-
-    schema = f"row {kind}, " + ", ".join(f"{k} long" for k in (
-        "n_a", "n_b", "n_groups", "n_links", "n_group_links", "n_best", "count_sum")) + ", groups string"
-    if keep_links:
-        schema += ", link_a array<int>, link_b array<int>"
-    return blocks.select("block", "docs", "parts").groupBy("block").cogroup(replies.select("block", "bucket", "counts").groupBy("block")) \
-        .applyInArrow(finish, schema)
+        docs, at = from_stream(left.column("docs")[0].as_py()), {c: _unplanes(left.column(c)[0].as_py()) for c in NUMBERS}
+        count = join_reply(right, "<u4").astype(np.int64)
+        per_link, is_best = count[at["pair"]], (count == best[at["id"]])[at["pair"]]
+        for name, values in (("n_best", is_best), ("count_sum", per_link)):
+            docs = docs.append_column(name, pa.array(_sums(_sums(values, at["n_links"])[at["seq"]], at["n_parts"]), pa.int64()))
+        return docs
+
+    schema = f"row {kind}, " + ", ".join(f"{k} long" for k in ("n_a", "n_b", "n_groups", "n_links", "n_group_links")) + ", groups_sha256 string"
+    schema += ", groups string" * ("groups" in keep) + ", link_a array<int>, link_b array<int>" * ("links" in keep)
+    return blocks.select("block", "docs", *NUMBERS).groupBy("block").cogroup(replies.select("block", "bucket", "counts").groupBy("block")) \
+        .applyInArrow(finish, schema + ", n_best long, count_sum long")

@@ -269,5 +269,4 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .alignment import align
     out = align(load_table(spark, sf_dir, "documents"), "text", tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
                 tokenizer_path("piece_bpe_32k.model"), ["doc_id"])
-    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
-    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"), "n_group_links")
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_group_links")

@@ -94,12 +94,12 @@ TEXTS = [None, "", " ", "  ", "a", " a", "a ", "\n", "a\n b\n  c\r\n", "x \u2581
 def test_against_a_walk(spark, libraries, monkeypatch, block_text):
     monkeypatch.setattr(A, "BLOCK_TEXT", block_text)
     df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(TEXTS)], "doc_id long, text string, n_a string").repartition(3)
-    rows = {r.row.doc_id: r for r in A.align(df, "text", PATH_A, P.PATTERN, PATH_B, ["doc_id", "n_a"], keep_links=True).collect()}
+    rows = {r.row.doc_id: r for r in A.align(df, "text", PATH_A, P.PATTERN, PATH_B, ["doc_id", "n_a"], keep=("groups", "links")).collect()}
     assert len(rows) == len(TEXTS)
     for i, (want, text) in enumerate(zip(brute(libraries, TEXTS), TEXTS)):
         r = rows[i]
-        digest = hashlib.sha256(r.groups.encode()).hexdigest() if r.n_a else ""
-        assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, digest, r.n_group_links) == want[:8], repr(text[:40])
+        assert r.groups_sha256 == (hashlib.sha256(r.groups.encode()).hexdigest() if r.n_a else "")
+        assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256, r.n_group_links) == want[:8], repr(text[:40])
         assert list(zip(r.link_a, r.link_b)) == want[8]
         assert r.row.n_a == "clash"
 
