@@ -5,10 +5,13 @@ in one aggregate or join, instead of replaying events row by row.
 
 from __future__ import annotations
 
-from typing import Sequence
+from functools import reduce
+from operator import add
+from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ids import surrogate_id
 
@@ -49,11 +52,63 @@ def blocked_deletes(requested: DataFrame, child: DataFrame, key: str) -> DataFra
     return requested.select(key).distinct().join(child.select(key), key, "left_semi")
 
 
-def signed_counter(events: DataFrame, key: str, op_col: str, insert_value: str = "insert",
+def _time_slot(events: DataFrame, col: str, slots: int) -> Column:
+    """Slot of each row in ``slots`` ranges of about equal row counts of ``col`` (a time, date or number); nulls are in the first."""
+    kind = events.schema[col].dataType
+    at = F.unix_micros(F.col(col).cast("timestamp")) if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)) else F.col(col)
+    cuts = events.agg(F.percentile_approx(at, [i / slots for i in range(1, slots)], 10000)).first()[0] or []
+    return F.coalesce(reduce(add, [(at >= F.lit(c)).cast("int") for c in sorted(set(cuts))], F.lit(0)), F.lit(0))
+
+
+def floor_moves(events: DataFrame, key: str, deltas: Mapping[str, Column], order: Sequence[str], slots: int = 32) -> DataFrame:
+    """DRV-06/08: what the events of each key do to counters that are floored at 0 at every step.
+
+    A counter of value x becomes max(x + d, 0) with each event, in ``order``.
+    Over a run of events that is x -> total + max(x, -low), where ``total`` is
+    the sum of the steps and ``low`` the least sum of a beginning of the run (0
+    for the empty one).  Two runs one after the other give
+    (t1 + t2, min(low1, t1 + low2)), so a key's events are cut into ranges of
+    time, each range is summed up by a task of its own, and the ranges of a key
+    are put together: a hot key is never sorted in one task.
+
+    Returns (key, ``<name>_total``, ``<name>_low`` for each counter); null keys
+    and events that move nothing are left out.  ``order`` must tell events of a
+    key apart; ranges are cut by its first column.
+    """
+    names = list(deltas)
+    rows = events.select(F.col(key), *order, *[F.coalesce(d, F.lit(0)).cast("long").alias(f"__d_{n}") for n, d in deltas.items()])
+    rows = rows.filter(F.col(key).isNotNull() & reduce(lambda x, y: x | y, [F.col(f"__d_{n}") != 0 for n in names]))
+    rows = rows.withColumn("__slot", _time_slot(rows, order[0], slots))
+    within = Window.partitionBy(key, "__slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select(key, "__slot", *[f"__d_{n}" for n in names], *[F.sum(f"__d_{n}").over(within).alias(f"__r_{n}") for n in names])
+    part = rows.groupBy(key, "__slot").agg(*[x for n in names for x in (F.sum(f"__d_{n}").alias(f"__t_{n}"), F.min(f"__r_{n}").alias(f"__l_{n}"))])
+    earlier = Window.partitionBy(key).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.select("*", *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__b_{n}") for n in names])
+    return part.groupBy(key).agg(*[x for n in names for x in (
+        F.sum(f"__t_{n}").alias(f"{n}_total"), F.least(F.lit(0), F.min(F.col(f"__b_{n}") + F.col(f"__l_{n}"))).alias(f"{n}_low"))])
+
+
+def then_moves(first: DataFrame, second: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    """The moves of ``first`` followed by those of ``second``, per key."""
+    later = second.select(F.col(key).alias("__k"), *[F.col(f"{n}_{x}").alias(f"__{n}_{x}") for n in names for x in ("total", "low")])
+    both = first.join(later, F.col(key) == F.col("__k"), "full_outer")
+    of = {c: F.coalesce(F.col(c), F.lit(0)) for n in names for x in ("total", "low") for c in (f"{n}_{x}", f"__{n}_{x}")}
+    return both.select(F.coalesce(key, "__k").alias(key), *[x for n in names for x in (
+        (of[f"{n}_total"] + of[f"__{n}_total"]).alias(f"{n}_total"),
+        F.least(of[f"{n}_low"], of[f"{n}_total"] + of[f"__{n}_low"]).alias(f"{n}_low"))])
+
+
+def floored(name: str, start: Column | int = 0) -> Column:
+    """Value of a counter after its moves, from ``start``."""
+    before = start if isinstance(start, Column) else F.lit(start)
+    return (F.col(f"{name}_total") + F.greatest(before, -F.col(f"{name}_low"))).cast("long")
+
+
+def signed_counter(events: DataFrame, key: str, op_col: str, order: Sequence[str], insert_value: str = "insert",
                    alias: str = "n") -> DataFrame:
-    """DRV-06/08: ±1 per insert/delete event, floored at 0."""
+    """DRV-06/08: +1 per insert, -1 per any other event, floored at 0 at every step."""
     d = F.when(F.col(op_col) == insert_value, F.lit(1)).otherwise(F.lit(-1))
-    return events.groupBy(key).agg(F.greatest(F.sum(d), F.lit(0)).cast("long").alias(alias))
+    return floor_moves(events, key, {alias: d}, order).select(key, floored(alias).alias(alias))
 
 
 def distinct_pair_counter(events: DataFrame, item: str, user: str, alias: str = "n_listeners") -> DataFrame:
@@ -87,13 +142,16 @@ def rollup_over_links(entities: DataFrame, key: str, main_links: DataFrame, feat
     return out
 
 
-def item_counters(events: DataFrame, item: str, type_col: str, user: str, *, like: str, unlike: str,
-                  listen: str, comment: str) -> DataFrame:
-    """DRV-06/07/08 together in ONE aggregate (one shuffle on the item):
-    likes ±1 floored at 0, distinct listeners, comment count."""
+def item_counters(events: DataFrame, item: str, type_col: str, user: str, order: Sequence[str], *, like: str, unlike: str,
+                  listen: str, comment: str, uncomment: str | None = None) -> DataFrame:
+    """DRV-06/07/08: likes and comments (up and down one by one, never below 0)
+    and distinct listeners of every item that any event names."""
     t = F.col(type_col)
-    d = F.when(t == like, 1).when(t == unlike, -1).otherwise(0)
-    return (events.filter(F.col(item).isNotNull())
-            .groupBy(item).agg(F.greatest(F.sum(d), F.lit(0)).cast("long").alias("likes"),
-                               F.count_distinct(F.when(t == listen, F.col(user))).alias("listeners"),
-                               F.count(F.when(t == comment, 1)).alias("comments")))
+    rows = events.filter(F.col(item).isNotNull())
+    back = (t == uncomment) if uncomment is not None else F.lit(False)
+    moves = floor_moves(rows, item, {"likes": F.when(t == like, 1).when(t == unlike, -1),
+                                     "comments": F.when(t == comment, 1).when(back, -1)}, order)
+    heard = distinct_pair_counter(rows.filter(t == listen), item, user, "listeners")
+    out = rows.select(item).distinct().join(moves, item, "left").join(heard, item, "left")
+    return out.select(item, *[F.coalesce(floored(n), F.lit(0)).alias(n) for n in ("likes", "comments")],
+                      F.coalesce("listeners", F.lit(0)).alias("listeners"))

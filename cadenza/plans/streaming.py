@@ -12,6 +12,7 @@ from ..streaming import counters as C
 from .common import T, rnd
 from .quality import EVENT_RULES
 from .registry import query
+from .warehouse import STEPS, like_and_comment
 
 
 def _events_stream(spark, sf_dir):
@@ -19,18 +20,39 @@ def _events_stream(spark, sf_dir):
     return C.file_stream(spark, sf_dir, "events.parquet", schema)
 
 
-@query("stream_item_counters", ("STR-01", "DRV-06", "DRV-08", "UPS-03"), """
-SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item,
-       CAST(greatest(sum(CASE WHEN event_type = 'click' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END), 0) AS BIGINT) AS likes,
-       count(CASE WHEN event_type = 'purchase' THEN 1 END) AS comments
-FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY 1
+def _item_events(events):
+    return events.withColumn("item", F.get_json_object("props", "$.k").cast("long"))
+
+
+@query("stream_item_counters", ("STR-01", "DRV-06", "DRV-08", "UPS-03"), f"""
+WITH e AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item, event_type, ts, event_id FROM events)
+SELECT item, {STEPS.format(up='click', down='error')} AS likes, {STEPS.format(up='purchase', down='signup')} AS comments
+FROM e WHERE item IS NOT NULL AND event_type IN ('click', 'error', 'purchase', 'signup') GROUP BY item
 """)
 def stream_item_counters(spark, sf_dir):
-    counts, _ = C.item_counter_stream(_events_stream(spark, sf_dir), F.get_json_object("props", "$.k").cast("long"),
-                                      "event_type", "user_id", like="click", unlike="error", listen="view",
-                                      comment="purchase")
-    table = C.run_upsert(counts, ["item"], "counters")
-    return table.select("item", F.greatest(F.col("__net"), F.lit(0)).cast("long").alias("likes"), "comments")
+    """Likes and comments floored at every event (``signup`` takes a comment back)."""
+    return C.floored_counter_stream(_item_events(_events_stream(spark, sf_dir)), "item", like_and_comment(), ["ts", "event_id"], "counters")
+
+
+@query("stream_without_replays", ("STR-01", "DRV-06", "DRV-07"), f"""
+WITH e AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item, event_type, user_id, ts, event_id FROM events)
+SELECT item, {STEPS.format(up='click', down='error')} AS likes, count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS listeners
+FROM e WHERE item IS NOT NULL GROUP BY item
+""")
+def stream_without_replays(spark, sf_dir):
+    """Every second event is delivered twice, as a source that retries does; counters and listeners see each once."""
+    def once():
+        events = _events_stream(spark, sf_dir)
+        twice = events.withColumn("__n", F.explode(F.when(F.col("event_id") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        return _item_events(C.without_replays(twice.drop("__n"), "event_id", "ts", "1 hour"))
+
+    likes = C.floored_counter_stream(once(), "item", {"likes": like_and_comment()["likes"]}, ["ts", "event_id"], "replays")
+    pairs = C.run_upsert(once().filter((F.col("event_type") == "view") & F.col("item").isNotNull()).select("item", "user_id"),
+                         ["item", "user_id"], "replay-pairs", "append", prepare=lambda b: b.distinct())
+    heard = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("listeners"))
+    items = _item_events(T(spark, sf_dir, "events")).select("item").filter("item is not null").distinct()
+    return items.join(likes, "item", "left").join(heard, "item", "left").select(
+        "item", F.coalesce("likes", F.lit(0)).alias("likes"), F.coalesce("listeners", F.lit(0)).alias("listeners"))
 
 
 @query("stream_listeners", ("STR-01", "DRV-07"), """
@@ -38,10 +60,8 @@ SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item, count(DISTINCT user_i
 FROM events WHERE event_type = 'view' AND json_extract(props, '$.k') IS NOT NULL GROUP BY 1
 """)
 def stream_listeners(spark, sf_dir):
-    _, listeners = C.item_counter_stream(_events_stream(spark, sf_dir), F.get_json_object("props", "$.k").cast("long"),
-                                         "event_type", "user_id", like="click", unlike="error", listen="view",
-                                         comment="purchase")
-    return C.run_upsert(listeners, ["item"], "listeners").select("item", "listeners")
+    views = _item_events(_events_stream(spark, sf_dir)).filter(F.col("event_type") == "view")
+    return C.run_upsert(C.listener_stream(views, "item", "user_id"), ["item"], "listeners").select("item", "listeners")
 
 
 @query("stream_latest_per_key", ("STR-02", "JOIN-08"), """

@@ -84,18 +84,27 @@ def entity_tags_union(spark, sf_dir):
                           ("artist", sup, "s_suppkey", "n_name")])
 
 
-@query("derived_counters", ("DRV-06", "DRV-07", "DRV-08", "UDF-04"), """
-WITH e AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item, event_type, user_id FROM events)
-SELECT item,
-       CAST(greatest(sum(CASE WHEN event_type = 'click' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END), 0) AS BIGINT) AS likes,
-       count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS listeners,
-       count(CASE WHEN event_type = 'purchase' THEN 1 END) AS comments
+def like_and_comment():
+    """Steps of an item's likes (click, error) and comments (purchase, signup)."""
+    t = F.col("event_type")
+    return {"likes": F.when(t == "click", 1).when(t == "error", -1), "comments": F.when(t == "purchase", 1).when(t == "signup", -1)}
+
+
+#: SQL: a counter taken event by event, never below 0.
+STEPS = """CAST(coalesce(list_reduce(list(CASE event_type WHEN '{up}' THEN 1 WHEN '{down}' THEN -1 ELSE 0 END ORDER BY ts, event_id),
+               lambda n, d: greatest(n + d, 0), 0), 0) AS BIGINT)"""
+
+
+@query("derived_counters", ("DRV-06", "DRV-07", "DRV-08", "UDF-04"), f"""
+WITH e AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item, event_type, user_id, ts, event_id FROM events)
+SELECT item, {STEPS.format(up='click', down='error')} AS likes, {STEPS.format(up='purchase', down='signup')} AS comments,
+       count(DISTINCT CASE WHEN event_type = 'view' THEN user_id END) AS listeners
 FROM e WHERE item IS NOT NULL GROUP BY item
 """)
 def derived_counters(spark, sf_dir):
     ev = T(spark, sf_dir, "events").withColumn("item", F.get_json_object("props", "$.k").cast("long"))
-    return D.item_counters(ev, "item", "event_type", "user_id", like="click", unlike="error",
-                           listen="view", comment="purchase")
+    return D.item_counters(ev, "item", "event_type", "user_id", ["ts", "event_id"], like="click", unlike="error",
+                           listen="view", comment="purchase", uncomment="signup")
 
 
 @query("listen_upsert", ("UPS-03",), """
@@ -396,3 +405,33 @@ def artist_rank_rows(spark, sf_dir):
             .select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")))
     return W.entity_rank_rows(ranks, "p_partkey", main, "s_suppkey", ["discovery", "familiarity", "hotttnesss"],
                               required="discovery")
+
+
+@query("artist_counters_refreshed", ("DRV-11", "UDF-04", "DRV-06", "DRV-08", "JOIN-12"), f"""
+WITH e AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS item, event_type, ts, event_id FROM events),
+items AS (
+  SELECT item, {STEPS.format(up='click', down='error')} AS likes, {STEPS.format(up='purchase', down='signup')} AS comments
+  FROM e WHERE item IS NOT NULL GROUP BY item),
+links AS (SELECT DISTINCT l_partkey % 100 AS item, l_suppkey FROM lineitem WHERE l_linenumber = 1 OR l_returnflag <> 'R'),
+touched AS (SELECT DISTINCT l_suppkey FROM lineitem)
+SELECT l_suppkey, CAST(coalesce(sum(likes), 0) AS BIGINT) AS likes, CAST(coalesce(sum(comments), 0) AS BIGINT) AS comments
+FROM touched LEFT JOIN links USING (l_suppkey) LEFT JOIN items USING (item) GROUP BY l_suppkey
+""")
+def artist_counters_refreshed(spark, sf_dir):
+    """Artists' likes and comments after three batches: most events and all links, more events while the returned
+    featured links end, and the last events alone (item = ``k``, artist = supplier, main link = first line)."""
+    import uuid
+
+    from ..operators.incremental import EntityCounters
+    from ..session import ensure_checkpoint_dir
+    ev = T(spark, sf_dir, "events").withColumn("item", F.get_json_object("props", "$.k").cast("long"))
+    last = ev.agg(F.max("event_id")).first()[0] or 0
+    li = T(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 100).alias("item"), "l_suppkey", "l_linenumber", "l_returnflag")
+    every = li.withColumn("change", F.lit(1))
+    ended = li.filter((F.col("l_linenumber") > 1) & (F.col("l_returnflag") == "R")).withColumn("change", F.lit(-1))
+    made = EntityCounters(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/artists-{uuid.uuid4().hex[:10]}", "item", "l_suppkey",
+                          like_and_comment(), ["ts", "event_id"])
+    made.refresh(0, ev.filter(F.col("event_id") <= last * 0.6), every)
+    made.refresh(1, ev.filter((F.col("event_id") > last * 0.6) & (F.col("event_id") <= last * 0.8)), ended)
+    made.refresh(2, ev.filter(F.col("event_id") > last * 0.8), every.filter(F.lit(False)))
+    return made.sums.read().select("l_suppkey", "likes", "comments")

@@ -13,17 +13,17 @@ how the batch-equivalence checks run.
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
-from typing import Callable, Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import derived as D
 from ..operators.quality import TableRules, clean_table
 from ..session import ensure_checkpoint_dir
+from ..sources.buckets import BucketedTable, replace_rows
 
 
 def file_stream(spark: SparkSession, folder: str, name_glob: str, schema, max_files: int | None = None) -> DataFrame:
@@ -38,92 +38,26 @@ def _run_dir(spark: SparkSession, tag: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"stream-{tag}-{uuid.uuid4().hex[:10]}")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _write_manifest(spark: SparkSession, base: str, epoch: int, manifest: dict[int, str]) -> None:
-    """One small JSON file per epoch, written with the file-system API (no job)."""
-    fs, p = _fs(spark, os.path.join(base, "manifest", f"epoch-{epoch:09d}.json"))
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(json.dumps({str(k): v for k, v in sorted(manifest.items())}).encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _latest_manifest(spark: SparkSession, base: str, below: int | None = None) -> tuple[int, dict[int, str]]:
-    """(epoch, {bucket: path}) of the newest manifest under ``base``; with ``below``, of an epoch before it."""
-    fs, p = _fs(spark, os.path.join(base, "manifest"))
-    if not fs.exists(p):
-        return -1, {}
-    names = sorted(str(st.getPath().getName()) for st in fs.listStatus(p) if str(st.getPath().getName()).endswith(".json"))
-    names = [n for n in names if below is None or int(n[len("epoch-"):-len(".json")]) < below]
-    if not names:
-        return -1, {}
-    latest = names[-1]
-    stream = fs.open(fs.makeQualified(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, latest)))
-    try:
-        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return int(latest[len("epoch-"):-len(".json")]), {int(k): v for k, v in json.loads(data).items()}
-
-
 def run_upsert(agg: DataFrame, keys: Sequence[str], tag: str, output_mode: str = "update",
-               run_dir: str | None = None, buckets: int = 16) -> DataFrame:
-    """Drain ``agg`` with availableNow and upsert every micro-batch into a
-    key-bucketed table; return the final table (a batch DataFrame).
-
-    Rows live in ``buckets`` hash buckets of the key.  An epoch rewrites only
-    the buckets its keys touch (old rows of those buckets minus the batch's
-    keys, plus the batch) into ``table/v<epoch>/__bucket=<b>``; untouched
-    buckets keep pointing at their previous folder.  The bucket → folder
-    manifest of every epoch is written next to the table (one tiny file per
-    epoch).  An epoch starts from the newest manifest below it, as it lies in
-    the folder: one that is run again, after a crash between its manifest and
-    Spark's commit too, meets the rows it met the first time.
+               run_dir: str | None = None, buckets: int = 16, prepare: Callable[[DataFrame], DataFrame] | None = None,
+               combine: Callable = replace_rows) -> DataFrame:
+    """Drain ``agg`` with availableNow and merge every micro-batch into a
+    key-bucketed table (:class:`BucketedTable`, the epoch as the change's number);
+    return the final table (a batch DataFrame).
+
+    ``prepare`` turns a micro-batch into rows of the table (by default it holds
+    them), ``combine`` puts them together with the stored rows of their buckets (by
+    default they replace those of their keys).
     """
     spark = agg.sparkSession
     base = run_dir or _run_dir(spark, tag)
-    table = os.path.join(base, "table")
-    bucket_of = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        _, before = _latest_manifest(spark, base, below=epoch)
-        # Two actions read the micro-batch (touched buckets, then the write):
-        # keep it for the epoch instead of re-running the stateful step.
-        b = batch.withColumn("__bucket", bucket_of).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            _merge_epoch(b, epoch, before)
-        finally:
-            b.unpersist()
-
-    def _merge_epoch(b: DataFrame, epoch: int, before: dict) -> None:
-        touched = sorted(r[0] for r in b.select("__bucket").distinct().collect())   # ≤ buckets values
-        if not touched:
-            return
-        olds = [before[t] for t in touched if t in before]
-        merged = b
-        if olds:
-            old = spark.read.schema(agg.schema).parquet(*olds).withColumn("__bucket", bucket_of)
-            merged = old.join(b.select(*keys), list(keys), "left_anti").unionByName(b)
-        out = os.path.join(table, f"v{epoch:09d}")
-        merged.write.mode("overwrite").partitionBy("__bucket").parquet(out)
-        now = dict(before)
-        now.update({t: os.path.join(out, f"__bucket={t}") for t in touched})
-        _write_manifest(spark, base, epoch, now)
-
-    q = (agg.writeStream.outputMode(output_mode).foreachBatch(upsert)
+    prepare = prepare or (lambda batch: batch)
+    table = BucketedTable(spark, base, keys, prepare(spark.createDataFrame([], agg.schema)).schema, buckets)
+    q = (agg.writeStream.outputMode(output_mode).foreachBatch(lambda batch, epoch: table.merge(prepare(batch), epoch, combine))
          .option("checkpointLocation", os.path.join(base, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    _, final = _latest_manifest(spark, base)
-    if not final:
-        return spark.createDataFrame([], agg.schema)
-    return spark.read.schema(agg.schema).parquet(*final.values())
+    return table.read()
 
 
 def run_append(stream: DataFrame, tag: str, run_dir: str | None = None) -> DataFrame:
@@ -139,26 +73,33 @@ def run_append(stream: DataFrame, tag: str, run_dir: str | None = None) -> DataF
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def item_counter_stream(events: DataFrame, item: Callable, type_col: str, user: str, *, like: str, unlike: str,
-                        listen: str, comment: str, id_col: str | None = None, ts_col: str | None = None,
-                        delay: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """STR-01: likes (±1, floored at 0) and comments per item, plus distinct
-    listeners per item (dedupe on (item, user) then count).  With ``id_col``
-    and ``ts_col`` replays of the same event id inside the watermark are
-    dropped first (idempotent ingestion); ``delay`` must then be named, as rows
-    that come later than it are lost."""
-    ev = events.withColumn("item", item)
-    if id_col and ts_col:
-        if delay is None:
-            raise ValueError("delay is required: rows later than the watermark are dropped")
-        ev = ev.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([id_col])
-    t = F.col(type_col)
-    d = F.when(t == like, 1).when(t == unlike, -1).otherwise(0)
-    counts = (ev.filter(F.col("item").isNotNull()).groupBy("item")
-              .agg(F.sum(d).alias("__net"), F.count(F.when(t == comment, 1)).alias("comments")))
-    listeners = (ev.filter((t == listen) & F.col("item").isNotNull()).select("item", user)
-                 .dropDuplicates(["item", user]).groupBy("item").agg(F.count(F.lit(1)).alias("listeners")))
-    return counts, listeners
+def without_replays(events: DataFrame, id_col: str, ts_col: str, delay: str | None = None) -> DataFrame:
+    """STR-01: events of an id that came before, within the watermark ``delay`` of ``ts_col``, are dropped.
+
+    ``delay`` must be named, as events that come later than it are lost.
+    """
+    if delay is None:
+        raise ValueError("delay is required: rows later than the watermark are dropped")
+    return events.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([id_col])
+
+
+def floored_counter_stream(events: DataFrame, key: str, deltas: Mapping, order: Sequence[str], tag: str, **table) -> DataFrame:
+    """STR-01 / DRV-06/08: counters that are floored at 0 at every step, over a stream.
+
+    The state of a key is the pair of :func:`derived.floor_moves`; a micro-batch's
+    pairs follow the stored ones.  Events count in the order of the batches, and
+    by ``order`` within one.  Returns (key, the counters).
+    """
+    names = list(deltas)
+    moves = run_upsert(events, [key], tag, "append", prepare=lambda batch: D.floor_moves(batch, key, deltas, order),
+                       combine=lambda old, new, _: D.then_moves(old, new, key, names), **table)
+    return moves.select(key, *[D.floored(n).alias(n) for n in names])
+
+
+def listener_stream(events: DataFrame, item: str, user: str) -> DataFrame:
+    """STR-01 / DRV-07: distinct listeners per item, each (item, user) pair once."""
+    return (events.filter(F.col(item).isNotNull()).select(item, user).dropDuplicates([item, user])
+            .groupBy(item).agg(F.count(F.lit(1)).alias("listeners")))
 
 
 def latest_per_key_stream(events: DataFrame, key: str, order_col: str, value_cols: Sequence[str],

@@ -50,8 +50,8 @@ def test_upsert_and_insert_if_absent(spark):
 
 
 def test_signed_counter_floor(spark):
-    ev = spark.createDataFrame([(1, "insert"), (1, "delete"), (1, "delete"), (2, "insert")], "k int, op string")
-    assert dict(map(tuple, D.signed_counter(ev, "k", "op").collect())) == {1: 0, 2: 1}
+    ev = spark.createDataFrame([(1, "insert", 1), (1, "delete", 2), (1, "delete", 3), (2, "insert", 4)], "k int, op string, at int")
+    assert dict(map(tuple, D.signed_counter(ev, "k", "op", ["at"]).collect())) == {1: 0, 2: 1}
 
 
 def test_popularity_smoothing_dense_grid(spark):

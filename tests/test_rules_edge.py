@@ -105,4 +105,4 @@ def test_retried_epoch_keeps_all_keys(spark, tmp_path):
 def test_watermark_must_be_named(spark):
     df = spark.createDataFrame([], "e long, u long, t timestamp, k string")
     with pytest.raises(ValueError, match="delay"):
-        C.item_counter_stream(df, F.col("e"), "k", "u", like="a", unlike="b", listen="c", comment="d", id_col="e", ts_col="t")
+        C.without_replays(df, "e", "t")
