@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,68 @@ def nested_view(entity: DataFrame, key: str, children: Sequence[dict]) -> DataFr
     return out
 
 
+def nest(entity: DataFrame, key: str, relations: Sequence[dict]) -> DataFrame:
+    """VIEW-01/02: entity + one array column per child relation, all relations in one shuffle.
+
+    Each relation is ``{"df", "out", "fields", "order_by"}`` with optional ``key`` (its
+    column for ``key``) and ``value`` (True: the array holds the single field's values,
+    not objects).  The children of all relations are tagged rows of one union and one
+    aggregate on the key collects each relation's array, so a further relation
+    costs no exchange and no join.  A child's field may itself be an array
+    built by ``nest``: views of several levels are built from the bottom up.
+
+    A key without children of a relation gets NULL there, as the correlated
+    sub-query of the source gives; ``order_by`` must order a key's children.
+    """
+    tagged, kinds = [], []
+    for i, r in enumerate(relations):
+        child = r["df"]
+        order = [F.col(c).alias(f"o{j}") for j, c in enumerate(r["order_by"])]
+        item = F.struct(*order, *[F.col(c).alias(f"f{j}") for j, c in enumerate(r["fields"])])
+        tagged.append(child.select(F.col(r.get("key", key)).alias(key), item.alias("c")).filter(F.col(key).isNotNull()))
+        kinds.append(tagged[-1].schema["c"].dataType)
+    union = None
+    for i, t in enumerate(tagged):
+        t = t.select(key, *[(F.col("c") if i == j else F.lit(None).cast(k)).alias(f"c{j}") for j, k in enumerate(kinds)])
+        union = t if union is None else union.unionByName(t)
+    arrays = union.groupBy(key).agg(*[F.array_sort(F.collect_list(f"c{i}")).alias(f"c{i}") for i in range(len(relations))])
+
+    def shaped(i, r):
+        def one(x):
+            return x["f0"] if r.get("value") else F.struct(*[x[f"f{j}"].alias(c) for j, c in enumerate(r["fields"])])
+        return F.when(F.size(f"c{i}") > 0, F.transform(f"c{i}", one)).alias(r["out"])
+
+    return entity.join(arrays.select(key, *[shaped(i, r) for i, r in enumerate(relations)]), key, "left")
+
+
+def object_of(cols: Sequence[str]) -> Column:
+    """VIEW-01: a map of column name -> value, as the source's row object; null values stay."""
+    return F.map_from_arrays(F.array(*[F.lit(c) for c in cols]), F.array(*[F.col(c) for c in cols]))
+
+
+def track_full(tracks: DataFrame, albums: DataFrame, track: str, album: str, *, main: DataFrame, feat: DataFrame, artist: str,
+               genres: DataFrame, genre: str, tags: DataFrame, tag: str, audio: DataFrame, temporal: DataFrame) -> DataFrame:
+    """VIEW-01: a track with its album's columns, its main and featured artists, genres, tags, audio
+    columns, and the temporal features as one object (NULL without a row)."""
+    rest = [c for c in temporal.columns if c != track]
+    temporal = temporal.select(track, object_of(rest).alias("temporal_features"))
+    out = nest(tracks, track, [
+        {"df": main, "out": "main_artists", "fields": [artist], "order_by": [artist]},
+        {"df": feat, "out": "feat_artists", "fields": [artist], "order_by": [artist]},
+        {"df": genres, "out": "genres", "fields": [genre], "order_by": [genre], "value": True},
+        {"df": tags, "out": "tags", "fields": [tag], "order_by": [tag], "value": True}])
+    return out.join(albums, album, "left").join(audio, track, "left").join(temporal, track, "left")
+
+
+def album_full(albums: DataFrame, tracks: DataFrame, album: str, track: str, track_fields: Sequence[str], track_order: Sequence[str], *,
+               album_artists: DataFrame, track_artists: DataFrame, artist: str) -> DataFrame:
+    """VIEW-02: an album with its artists and its tracks, each track an object that holds its own artists."""
+    with_artists = nest(tracks, track, [{"df": track_artists, "out": "artists", "fields": [artist], "order_by": [artist]}])
+    return nest(albums, album, [
+        {"df": album_artists, "out": "artists", "fields": [artist], "order_by": [artist]},
+        {"df": with_artists, "out": "tracks", "fields": [*track_fields, "artists"], "order_by": list(track_order)}])
+
+
 def popularity_view(entity: DataFrame, key: str, ranks: DataFrame, order_col: str,
                     rank_cols: Sequence[str], tie_cols: Sequence[str] = ()) -> DataFrame:
     """VIEW-05/10 / JOIN-08: entity counters + latest rank row (left join)."""

@@ -27,7 +27,7 @@ def uuid_sql(entity: str, col: str) -> str:
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
-@query("nested_entity_view", ("VIEW-01", "VIEW-02", "VIEW-03", "JOIN-13", "AGG-22", "JOIN-05", "VIEW-04"), f"""
+@query("nested_entity_view", ("JOIN-13", "AGG-22", "JOIN-05"), f"""
 SELECT o.o_orderkey, c.c_name, l.n_lines, l.part_keys
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN (
@@ -435,3 +435,77 @@ def artist_counters_refreshed(spark, sf_dir):
     made.refresh(1, ev.filter((F.col("event_id") > last * 0.6) & (F.col("event_id") <= last * 0.8)), ended)
     made.refresh(2, ev.filter(F.col("event_id") > last * 0.8), every.filter(F.lit(False)))
     return made.sums.read().select("l_suppkey", "likes", "comments")
+
+
+#: Tracks = parts; the album of part p is order p // 4 (none for sizes above 40); artists = suppliers of its lines.
+_TRACKS_SQL = """
+track AS (SELECT p_partkey AS track_id, p_name AS track_title, CAST(p_size AS BIGINT) AS track_number,
+                 CASE WHEN p_size <= 40 THEN p_partkey // 4 END AS album_id, p_type, p_brand FROM part),
+main AS (SELECT DISTINCT l_partkey AS track_id, l_suppkey AS artist_id FROM lineitem WHERE l_linenumber = 1),
+feat AS (SELECT DISTINCT l_partkey AS track_id, l_suppkey AS artist_id FROM lineitem WHERE l_linenumber > 1)"""
+
+
+def _track_tables(spark, sf_dir):
+    part, li = T(spark, sf_dir, "part"), T(spark, sf_dir, "lineitem")
+    tracks = part.select(F.col("p_partkey").alias("track_id"), F.col("p_name").alias("track_title"),
+                         F.col("p_size").cast("long").alias("track_number"),
+                         F.when(F.col("p_size") <= 40, F.expr("p_partkey div 4")).alias("album_id"), "p_type", "p_brand")
+    links = li.select(F.col("l_partkey").alias("track_id"), F.col("l_suppkey").alias("artist_id"), "l_linenumber")
+    main, feat = (links.filter(c).drop("l_linenumber").distinct() for c in ("l_linenumber = 1", "l_linenumber > 1"))
+    albums = T(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("album_id"), F.col("o_orderpriority").alias("album_title"),
+                                               F.to_date("o_orderdate").alias("album_date_released"))
+    return tracks, albums, main, feat
+
+
+@query("track_full_view", ("VIEW-01", "JOIN-13", "AGG-22", "JOIN-05", "SCL-24"), f"""
+WITH {_TRACKS_SQL},
+genres AS (SELECT track_id, p_type AS genre FROM track UNION ALL SELECT track_id, p_brand FROM track WHERE track_id % 3 = 0),
+tags AS (SELECT DISTINCT track_id, unnest(string_split(track_title, ' ')) AS tag FROM track WHERE track_id % 5 <> 0),
+temporal AS (SELECT l_partkey AS track_id, count(*) AS n_lines, CAST(sum(l_quantity) AS BIGINT) AS quantity,
+                    max(CASE WHEN l_returnflag = 'R' THEN year(l_shipdate) END) AS last_return FROM lineitem GROUP BY 1)
+SELECT t.track_id, t.track_title, t.album_id, o.o_orderpriority AS album_title, CAST(o.o_orderdate AS DATE) AS album_date_released,
+  (SELECT CASE WHEN count(*) > 0 THEN CAST(to_json(list({{'artist_id': artist_id}} ORDER BY artist_id)) AS VARCHAR) END FROM main m WHERE m.track_id = t.track_id) AS main_artists,
+  (SELECT CASE WHEN count(*) > 0 THEN CAST(to_json(list({{'artist_id': artist_id}} ORDER BY artist_id)) AS VARCHAR) END FROM feat f WHERE f.track_id = t.track_id) AS feat_artists,
+  (SELECT CASE WHEN count(*) > 0 THEN CAST(to_json(list(genre ORDER BY genre)) AS VARCHAR) END FROM genres g WHERE g.track_id = t.track_id) AS genres,
+  (SELECT CASE WHEN count(*) > 0 THEN CAST(to_json(list(tag ORDER BY tag)) AS VARCHAR) END FROM tags g WHERE g.track_id = t.track_id) AS tags,
+  round(p.p_retailprice, 6) AS energy,
+  CASE WHEN x.track_id IS NOT NULL THEN CAST(json_object('n_lines', x.n_lines, 'quantity', x.quantity, 'last_return', x.last_return) AS VARCHAR) END AS temporal_features
+FROM track t LEFT JOIN orders o ON o.o_orderkey = t.album_id LEFT JOIN part p ON p.p_partkey = t.track_id LEFT JOIN temporal x ON x.track_id = t.track_id
+""")
+def track_full_view(spark, sf_dir):
+    """The full track view; arrays and the temporal object as JSON text."""
+    tracks, albums, main, feat = _track_tables(spark, sf_dir)
+    genres = tracks.select("track_id", F.col("p_type").alias("genre")).unionByName(
+        tracks.filter("track_id % 3 = 0").select("track_id", F.col("p_brand").alias("genre")))
+    tags = tracks.filter("track_id % 5 <> 0").select("track_id", F.explode(F.split("track_title", " ")).alias("tag")).distinct()
+    audio = T(spark, sf_dir, "part").select(F.col("p_partkey").alias("track_id"), F.col("p_retailprice").alias("energy"))
+    temporal = T(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("track_id")).agg(
+        F.count("*").alias("n_lines"), F.sum("l_quantity").cast("long").alias("quantity"),
+        F.max(F.when(F.col("l_returnflag") == "R", F.year("l_shipdate"))).cast("long").alias("last_return"))
+    v = W.track_full(tracks, albums, "track_id", "album_id", main=main, feat=feat, artist="artist_id", genres=genres, genre="genre",
+                     tags=tags, tag="tag", audio=audio, temporal=temporal)
+    text = [F.to_json(c, {"ignoreNullFields": "false"}).alias(c) for c in ("main_artists", "feat_artists", "genres", "tags", "temporal_features")]
+    return v.select("track_id", "track_title", "album_id", "album_title", "album_date_released", *text, rnd("energy").alias("energy"))
+
+
+@query("album_full_view", ("VIEW-02", "JOIN-13", "AGG-22"), f"""
+WITH {_TRACKS_SQL},
+whole AS (
+  SELECT t.*, (SELECT list({{'artist_id': artist_id}} ORDER BY artist_id) FROM main m WHERE m.track_id = t.track_id) AS artists FROM track t),
+album_artist AS (SELECT DISTINCT t.album_id, m.artist_id FROM track t JOIN main m USING (track_id))
+SELECT o.o_orderkey AS album_id, o.o_orderpriority AS album_title, CAST(o.o_orderdate AS DATE) AS album_date_released,
+  (SELECT CASE WHEN count(*) > 0 THEN CAST(to_json(list({{'artist_id': artist_id}} ORDER BY artist_id)) AS VARCHAR) END
+   FROM album_artist a WHERE a.album_id = o.o_orderkey) AS artists,
+  (SELECT CASE WHEN count(*) > 0 THEN CAST(to_json(list({{'track_id': track_id, 'track_title': track_title, 'track_number': track_number, 'artists': artists}}
+                                           ORDER BY track_number, track_id)) AS VARCHAR) END
+   FROM whole w WHERE w.album_id = o.o_orderkey) AS tracks
+FROM orders o
+""")
+def album_full_view(spark, sf_dir):
+    """The full album view: tracks are objects that hold their artists; arrays as JSON text."""
+    tracks, albums, main, _ = _track_tables(spark, sf_dir)
+    album_artists = tracks.join(main, "track_id").select("album_id", "artist_id").filter("album_id is not null").distinct()
+    v = W.album_full(albums, tracks, "album_id", "track_id", ["track_id", "track_title", "track_number"], ["track_number", "track_id"],
+                     album_artists=album_artists, track_artists=main, artist="artist_id")
+    return v.select("album_id", "album_title", "album_date_released",
+                    *[F.to_json(c, {"ignoreNullFields": "false"}).alias(c) for c in ("artists", "tracks")])
