@@ -18,6 +18,7 @@ batch of users costs the sum of its users, and top-n per user is a
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -78,20 +79,23 @@ def text_postings(items: DataFrame, key: str, components: dict[str, str], *,
     return cut_lineage(weighted.select("item", "comp", "term", (F.col("w") / norm).alias("w")), "postings")
 
 
-def numeric_block(items: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+def _column_scales(items: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """(mean, scale) of each column with null as 0: the population std, 1 without variance.  ONE aggregate."""
+    if not cols:
+        return {}
+    filled = items.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(cols)])
+    row = filled.agg(*[F.avg(f"x{i}").alias(f"m_{i}") for i in range(len(cols))],
+                     *[F.stddev_pop(f"x{i}").alias(f"s_{i}") for i in range(len(cols))]).collect()[0]
+    return {c: (row[f"m_{i}"] or 0.0, row[f"s_{i}"] or 1.0) for i, c in enumerate(cols)}
+
+
+def numeric_block(items: DataFrame, key: str, cols: Sequence[str], scaler: dict | None = None) -> DataFrame:
     """REC-04: (item, vec) with null → 0, then z-score with the population std
-    (zero variance ⇒ scale 1).  The 2p column statistics come from ONE
-    aggregate and are inlined as literals."""
-    filled = items.select(F.col(key).alias("item"),
-                          *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    row = filled.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                     *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).collect()[0]
-    scaled = []
-    for i, c in enumerate(cols):
-        mean, sd = row[f"m_{i}"] or 0.0, row[f"s_{i}"]
-        scale = 1.0 if sd is None or sd == 0 else sd
-        scaled.append((F.col(c) - F.lit(mean)) / F.lit(scale))
-    return filled.select("item", F.array(*scaled).alias("vec"))
+    (zero variance ⇒ scale 1), or with a fitted ``scaler``.  The column
+    statistics are inlined as literals."""
+    scaler = scaler or _column_scales(items, cols)
+    scaled = [(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.lit(scaler[c][0])) / F.lit(scaler[c][1]) for c in cols]
+    return items.select(F.col(key).alias("item"), (F.array(*scaled) if scaled else F.array().cast("array<double>")).alias("vec"))
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -150,6 +154,68 @@ def item_similarity(postings: DataFrame, numeric: DataFrame, catalogue: DataFram
             .select(F.col("item").alias(key), "score"))
 
 
+@dataclass
+class FittedItems:
+    """REC-02/04/05: what fitting a catalogue leaves behind, as written tables, for any number of requests.
+
+    ``postings`` (item, comp, term, w), ``vocabulary`` (comp, term, idf), ``numeric`` (item, vec) and the
+    ``scaler`` (column -> (mean, scale)) that an unseen item is transformed with.
+    """
+    key: str
+    components: dict[str, str]
+    stop_words: Sequence[str] | None
+    binary: bool
+    postings: DataFrame
+    vocabulary: DataFrame
+    numeric: DataFrame
+    scaler: dict[str, tuple[float, float]]
+
+    def transform(self, payload: dict) -> tuple[DataFrame, list[float]]:
+        """(postings comp, term, qw; numeric vector) of an item that is not in the catalogue.
+
+        ``payload`` holds the components' texts and the numeric columns' values by name; what is missing or
+        None counts as '' and 0.  Terms that the vocabulary does not hold are dropped.
+        """
+        spark = self.postings.sparkSession
+        texts = spark.createDataFrame([(c, payload.get(c)) for c in self.components], "comp string, text string")
+        terms = texts.select("comp", F.explode(tokenize(F.col("text"), self.stop_words)).alias("term"))
+        counts = terms.groupBy("comp", "term").agg(F.count(F.lit(1)).alias("tf"))
+        weight = F.lit(1.0) if self.binary else F.col("tf") * F.col("idf")
+        known = self.vocabulary.join(F.broadcast(counts), ["comp", "term"])           # the words of one text
+        vec = [(float(payload.get(c) or 0.0) - mean) / scale for c, (mean, scale) in self.scaler.items()]
+        return known.select("comp", "term", weight.alias("qw")), vec
+
+
+def fit_items(items: DataFrame, key: str, components: dict[str, str], numeric_cols: Sequence[str], *,
+              stop_words: Sequence[str] | None = None, binary: bool = False) -> FittedItems:
+    """REC-02/03/04: fit the vectoriser and the scaler once; see :class:`FittedItems`."""
+    postings = text_postings(items, key, components, stop_words=stop_words, binary=binary)
+    n_items = items.select(key).agg(F.count(F.lit(1))).scalar()
+    vocabulary = cut_lineage(postings.groupBy("comp", "term").agg(F.count(F.lit(1)).alias("df"))
+                             .withColumn("n", n_items)
+                             .select("comp", "term", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf")), "vocabulary")
+    scaler = _column_scales(items, numeric_cols)
+    return FittedItems(key, dict(components), stop_words, binary, postings, vocabulary,
+                       numeric_block(items, key, numeric_cols, scaler), scaler)
+
+
+def payload_similarity(fitted: FittedItems, payload: dict, *, audio_weight: float = 0.5, noise_sigma: float = 0.0,
+                       noise_seed: int = 0, top_n: int = 10) -> DataFrame:
+    """REC-05 with an ad-hoc item: as :func:`item_similarity`, with no catalogue item left out."""
+    if not 0.0 <= audio_weight <= 1.0:
+        raise ValueError("audio_weight must be in [0, 1]")
+    terms, vec = fitted.transform(payload)
+    text = (_text_scores(terms.withColumn("__q", F.lit(0)), fitted.postings, "__q").groupBy("item")
+            .agg((F.sum("sim") / float(len(fitted.components))).alias("text_sim")))
+    audio = cosine(F.col("vec"), F.array(*[F.lit(float(x)) for x in vec])) if vec else F.lit(0.0)
+    scored = fitted.numeric.join(text, "item", "left").withColumn(
+        "score", F.lit(audio_weight) * audio + F.lit(1.0 - audio_weight) * F.coalesce("text_sim", F.lit(0.0)))
+    if noise_sigma > 0:
+        scored = scored.withColumn("score", F.col("score") + normal_noise(F.col("item"), noise_seed, noise_sigma))
+    return (scored.orderBy(F.desc(F.round("score", RANK_DIGITS)), F.asc("item")).limit(top_n)
+            .select(F.col("item").alias(fitted.key), "score"))
+
+
 def history_weights(history: DataFrame, catalogue_items: DataFrame, user: str, item: str,
                     count: str) -> DataFrame:
     """REC-12 / JOIN-17: count / Σcount over the history items found in the catalogue."""

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import preferences as P
 from ..operators import recommend as R
 from ..session import cut_lineage
 from .common import T, rnd
@@ -362,3 +363,187 @@ def fallback_recs(spark, sf_dir):
     out = R.fallback_recommend(hist, sim, genres, prefs.withColumnRenamed("o_custkey", "user"), target, tgenres,
                                user="o_custkey", item="l_partkey", count="c", top_n=TOP, seed=3)
     return out.select("l_partkey", "score", F.col("tier").cast("int").alias("tier"))
+
+
+# ------------------------------------------------- an item that is not in the catalogue
+
+_PAYLOAD_SQL = _BINARY_SQL + """
+, x AS (SELECT p_name || ' zzunseen' AS titles, 'ECONOMY standard' AS genres FROM part WHERE p_partkey = (SELECT max(p_partkey) FROM part)),
+names AS (SELECT min(s_name) || ' ' || max(s_name) AS artists FROM supplier),
+pt AS (
+  SELECT 'titles' AS comp, titles AS text FROM x UNION ALL SELECT 'genres', genres FROM x UNION ALL SELECT 'artists', artists FROM names),
+qt AS (SELECT DISTINCT comp, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS term FROM pt),
+known AS (SELECT * FROM qt WHERE (comp, term) IN (SELECT (comp, term) FROM tf)),
+q AS (SELECT comp, term, 1.0 / sqrt(count(*) OVER (PARTITION BY comp)) AS qw FROM known),
+txt AS (SELECT p.item, sum(q.qw * p.w) / 3.0 AS text_sim FROM q JOIN postings p USING (comp, term) GROUP BY p.item),
+sv AS (SELECT (25.0 - m1) / s1 AS v1, (0.0 - m2) / s2 AS v2 FROM st),
+aud AS (
+  SELECT s.item, (s.z1 * v1 + s.z2 * v2) / (sqrt(s.z1 * s.z1 + s.z2 * s.z2) * sqrt(v1 * v1 + v2 * v2)) AS audio_sim FROM scaled s CROSS JOIN sv)
+"""
+
+
+def _payload(spark, sf_dir):
+    part, sup = T(spark, sf_dir, "part"), T(spark, sf_dir, "supplier")
+    title = part.agg(F.max_by("p_name", "p_partkey")).first()[0]
+    names = sup.agg(F.min("s_name"), F.max("s_name")).first()
+    return {"titles": f"{title} zzunseen", "artists": f"{names[0]} {names[1]}", "genres": "ECONOMY standard", "p_size": 25, "p_retailprice": None}
+
+
+def _fitted(spark, sf_dir):
+    part = T(spark, sf_dir, "part")
+    lines = T(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").join(
+        T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
+    cat = cut_lineage(R.catalogue_features(part.select("p_partkey", "p_name", "p_type", *NUMS), "p_partkey",
+                                           [(lines, "l_partkey", "s_name", "artists")]), "catalogue")
+    return R.fit_items(cat, "p_partkey", ITEM_TEXT, NUMS, binary=True)
+
+
+@query("payload_similarity", ("REC-05", "REC-02", "REC-04"), _PAYLOAD_SQL + """
+, sc AS (SELECT a.item, 0.2 * a.audio_sim + 0.8 * coalesce(t.text_sim, 0.0) AS score FROM aud a LEFT JOIN txt t USING (item))
+SELECT item AS p_partkey, round(score, 6) AS score FROM sc ORDER BY round(score, 9) DESC, item LIMIT 20
+""")
+def payload_similarity(spark, sf_dir):
+    """Items like one that is not in the catalogue (an unseen word, a missing price), audio weight 0.2."""
+    out = R.payload_similarity(_fitted(spark, sf_dir), _payload(spark, sf_dir), audio_weight=0.2, top_n=TOP)
+    return out.select("p_partkey", rnd("score").alias("score"))
+
+
+def _uniform_sql(seed: int) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || a.item::VARCHAR), 1, 12))::BIGINT / 281474976710656.0)"
+
+
+@query("payload_similarity_noise", ("REC-05",), _PAYLOAD_SQL + f"""
+, sc AS (
+  SELECT a.item, 0.2 * a.audio_sim + 0.8 * coalesce(t.text_sim, 0.0)
+         + 0.1 * sqrt(-2.0 * ln(greatest({_uniform_sql(5)}, 1e-12))) * cos(2.0 * pi() * {_uniform_sql(5 + 7919)}) AS score
+  FROM aud a LEFT JOIN txt t USING (item))
+SELECT item AS p_partkey, round(score, 6) AS score FROM sc ORDER BY round(score, 9) DESC, item LIMIT 20
+""")
+def payload_similarity_noise(spark, sf_dir):
+    """The same with seeded normal noise of 0.1."""
+    out = R.payload_similarity(_fitted(spark, sf_dir), _payload(spark, sf_dir), audio_weight=0.2, noise_sigma=0.1, noise_seed=5, top_n=TOP)
+    return out.select("p_partkey", rnd("score").alias("score"))
+
+
+# ------------------------------------------------- survey preferences
+
+def _answer_labels() -> dict[str, list[str]]:
+    """Labels of each answer column, in slot order."""
+    out: dict[str, list[str]] = {}
+    for column, labels in P.VECTOR_SLOTS:
+        if labels is not None:
+            out.setdefault(column, []).extend(x for x in labels if x not in out.get(column, []))
+    return out
+
+
+#: Customer -> answers: label number (key * a + b) % (labels + 2); the two numbers beyond are an unknown label and none.
+_PICK = {c: (7 + 2 * i, 3 * i) for i, c in enumerate(_answer_labels())}
+_NUMBERS = {"when_listening": (3, 6), "duration_pref": (5, 13), "tempo_pref": (7, 30), "quality_pref": (11, 7), "curiosity_pref": (13, 8)}
+
+
+def _preferences(spark, sf_dir):
+    """A preference row per customer: one label per column, two or three for columns of several answers."""
+    cust = T(spark, sf_dir, "customer").select("c_custkey")
+    key = F.col("c_custkey")
+    cols = []
+    for c, labels in _answer_labels().items():
+        a, b = _PICK[c]
+        every = F.array(*[F.lit(x) for x in [*labels, "autre chose"]])
+
+        def pick(shift):
+            return F.get(every, ((key * a + b + shift) % (len(labels) + 2)).cast("int"))
+
+        if c not in P.SEVERAL:
+            cols.append(pick(0).alias(c))
+        elif P.SEVERAL[c]:
+            cols.append(F.when(key % 17 != 0, F.concat_ws(P.SEVERAL[c], pick(0), pick(1))).alias(c))
+        else:
+            quoted = F.transform(F.filter(F.array(pick(0), pick(1), pick(3)), lambda x: x.isNotNull()),
+                                 lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+            cols.append(F.when(key % 17 != 0, F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))).alias(c))
+    for c, (a, n) in _NUMBERS.items():
+        cols.append(F.when(key % 19 != 0, (key * a) % n).cast("int").alias(c))
+    return cust.select("c_custkey", *cols)
+
+
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _preferences_sql() -> str:
+    """One row per (customer, column, label), and the numbers."""
+    long, wide = [], []
+    for c, labels in _answer_labels().items():
+        a, b = _PICK[c]
+        every = "[" + ", ".join(map(_sql_text, [*labels, "autre chose"])) + "]"
+        shifts = [0] if c not in P.SEVERAL else [0, 1] if P.SEVERAL[c] else [0, 1, 3]
+        picks = [f"{every}[1 + (c_custkey * {a} + {b + s}) % {len(labels) + 2}]" for s in shifts]
+        gate = "" if c not in P.SEVERAL else " WHERE c_custkey % 17 <> 0"
+        long += [f"SELECT c_custkey, '{c}' AS col, {p} AS label FROM customer{gate}" for p in picks]
+        if c not in P.SEVERAL:
+            wide.append(f"{picks[0]} AS {c}")
+        else:
+            wide.append(f"CASE WHEN c_custkey % 17 <> 0 THEN concat_ws('|', {', '.join(picks)}) END AS {c}")
+    numbers = [f"CASE WHEN c_custkey % 19 <> 0 THEN (c_custkey * {a}) % {n} END AS {c}" for c, (a, n) in _NUMBERS.items()]
+    return ("answers AS (" + "\nUNION ALL ".join(long) + "),\nprofile AS (SELECT c_custkey, " + ",\n".join([*wide, *numbers]) + " FROM customer)")
+
+
+def _vector_sql() -> str:
+    rows, numeric = [], []
+    for i, (c, labels) in enumerate(P.VECTOR_SLOTS):
+        scale = P.SCALE.get(c, 1.0)
+        if labels is None:
+            numeric.append(f"SELECT c_custkey, {i} AS slot, coalesce({c}, 0) / {scale} AS value FROM profile")
+            rows.append(f"({i}, NULL, NULL, 0.0)")
+        else:
+            rows += [f"({i}, '{c}', {_sql_text(x)}, {v / scale})" for x, v in labels.items()]
+    return f"""
+WITH {_preferences_sql()},
+spec(slot, col, label, value) AS (VALUES {', '.join(rows)}),
+hits AS (SELECT a.c_custkey, s.slot, max(s.value) AS value FROM answers a JOIN spec s USING (col, label) GROUP BY ALL),
+numbers AS ({' UNION ALL '.join(numeric)}),
+vec AS (
+  SELECT c.c_custkey, n.slot, coalesce(h.value, m.value, 0.0) AS value
+  FROM customer c CROSS JOIN (SELECT DISTINCT slot FROM spec) n
+  LEFT JOIN hits h ON h.c_custkey = c.c_custkey AND h.slot = n.slot LEFT JOIN numbers m ON m.c_custkey = c.c_custkey AND m.slot = n.slot)
+"""
+
+
+@query("survey_vector", ("REC-07",), _vector_sql() + "SELECT c_custkey, CAST(slot AS INTEGER) AS slot, round(value, 6) AS value FROM vec")
+def survey_vector(spark, sf_dir):
+    """All 71 slots of every customer's preference vector."""
+    vec = R.preference_vector(P.several_answers(_preferences(spark, sf_dir)), "c_custkey", P.vector_slots())
+    return vec.select("c_custkey", F.posexplode("vector").alias("slot", "value")).select("c_custkey", "slot", rnd("value").alias("value"))
+
+
+@query("survey_vector_knn", ("REC-07", "REC-06", "JOIN-16", "TOP-07"), _vector_sql() + """
+, t AS (SELECT slot, value FROM vec WHERE c_custkey = (SELECT min(c_custkey) FROM customer)),
+d AS (SELECT v.c_custkey, 1.0 - sum(v.value * t.value) / (sqrt(sum(v.value * v.value)) * sqrt(sum(t.value * t.value))) AS distance
+      FROM vec v JOIN t USING (slot) WHERE v.c_custkey <> (SELECT min(c_custkey) FROM customer) GROUP BY v.c_custkey)
+SELECT c_custkey, round(distance, 6) AS distance FROM d ORDER BY round(distance, 9), c_custkey LIMIT 5
+""")
+def survey_vector_knn(spark, sf_dir):
+    """The five customers nearest to the first one by the 71 slots."""
+    vec = R.preference_vector(P.several_answers(_preferences(spark, sf_dir)), "c_custkey", P.vector_slots())
+    first = _one_key(T(spark, sf_dir, "customer").agg(F.min("c_custkey")))
+    return R.knn_cosine(vec, "c_custkey", "vector", first, k=5).select("c_custkey", rnd("distance").alias("distance"))
+
+
+def _attributes_sql() -> str:
+    terms = []
+    for c, points, within in P.PROFILE_ATTRIBUTES:
+        hit = f"p.{c} = t.{c}" if within is None else f"abs(p.{c} - t.{c}) <= {within}"
+        terms.append(f"(CASE WHEN {hit} THEN {points} ELSE 0 END)")
+    return " + ".join(terms)
+
+
+@query("survey_similar_users", ("REC-13", "JOIN-10"), f"""
+WITH {_preferences_sql()},
+t AS (SELECT * FROM profile WHERE c_custkey = (SELECT max(c_custkey) FROM customer))
+SELECT p.c_custkey, {_attributes_sql()} AS score FROM profile p CROSS JOIN t WHERE p.c_custkey <> t.c_custkey
+""")
+def survey_similar_users(spark, sf_dir):
+    """All 15 attributes of every customer against those of the last one."""
+    last = _one_key(T(spark, sf_dir, "customer").agg(F.max("c_custkey")))
+    out = R.profile_similarity(_preferences(spark, sf_dir), "c_custkey", last, P.PROFILE_ATTRIBUTES)
+    return out.select("c_custkey", F.col("score").cast("int").alias("score"))
