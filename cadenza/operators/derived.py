@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ids import surrogate_id
+from ..session import cut_lineage
 
 
 def child_count(parent: DataFrame, child: DataFrame, key: str, alias: str = "n_children") -> DataFrame:
@@ -35,6 +36,19 @@ def singles_for_orphans(items: DataFrame, id_col: str, parent_col: str, title_co
                           F.lit(0).alias("album_listens"), F.lit(0).alias("album_favorites"))
 
 
+def track_defaults(tracks: DataFrame, track: str, tables: Mapping[str, tuple[DataFrame, Mapping[str, object]]]) -> dict[str, DataFrame]:
+    """DRV-03: the row that every new track gets in each dependant table (rank, audio, temporal) when it has none.
+
+    ``tables``: name -> (existing rows, default values); a default of None is a null of the column's type.
+    """
+    out = {}
+    for name, (existing, defaults) in tables.items():
+        missing = tracks.select(track).distinct().join(existing.select(track), track, "left_anti")
+        new = missing.select(track, *[F.lit(v).cast(existing.schema[c].dataType).alias(c) for c, v in defaults.items()])
+        out[name] = existing.select(track, *defaults).unionByName(new)
+    return out
+
+
 def default_rows(entities: DataFrame, existing: DataFrame, key: str, defaults: dict) -> DataFrame:
     """DRV-03/10/12 / UPS-02: a default row for each entity lacking one."""
     missing = entities.select(key).distinct().join(existing.select(key), key, "left_anti")
@@ -47,6 +61,54 @@ def cascade_delete(dependant: DataFrame, deleted: DataFrame, key: str) -> DataFr
     return dependant.join(deleted.select(key).distinct(), key, "left_anti")
 
 
+def cascade_delete_tables(tables: Mapping[str, DataFrame], references: Sequence[tuple[str, str, str, str]], root: str,
+                          deleted: DataFrame) -> dict[str, DataFrame]:
+    """DRV-04 over a graph of tables: what is left of ``root`` and of every table that hangs on it.
+
+    ``references``: (child table, its column, parent table, parent's key).  ``deleted``
+    holds the keys of the rows of ``root`` that go, in one column named as the key
+    that its children refer to.  Tables are taken in the order of their references;
+    a row goes with any parent row that it refers to, and its own children with it.
+    Deleted keys are written once per table that has children, so each
+    dependant costs one anti join per reference against a table of keys.
+    """
+    children = {}
+    for child, column, parent, key in references:
+        children.setdefault(parent, []).append((child, column, key))
+    reach, queue = {root}, [root]
+    while queue:
+        for child, _, _ in children.get(queue.pop(), []):
+            if child not in reach:
+                reach.add(child)
+                queue.append(child)
+    waiting = {t: {p for c, _, p, _ in references if c == t and p in reach} for t in reach}
+    waiting[root] = set()
+    left, gone = {}, {}
+    while waiting:
+        ready = sorted(t for t, parents in waiting.items() if not parents)
+        if not ready:
+            raise ValueError(f"references form a cycle among {sorted(waiting)}")
+        for table in ready:
+            del waiting[table]
+            for parents in waiting.values():
+                parents.discard(table)
+            df, own = tables[table], sorted({key for _, _, key in children.get(table, [])})
+            if table == root:
+                named = deleted.columns[0]
+                hits = [(named, deleted.select(F.col(named).alias("__gone")).dropna().distinct())]
+            else:
+                hits = [(column, gone[parent, key]) for child, column, parent, key in references if child == table and parent in reach]
+            rest = df
+            for column, keys in hits:
+                rest = rest.join(keys, F.col(column) == F.col("__gone"), "left_anti")
+            left[table] = rest
+            for key in own:
+                rows = reduce(DataFrame.unionByName, [df.join(keys, F.col(column) == F.col("__gone"), "left_semi").select(F.col(key).alias("__gone"))
+                                                      for column, keys in hits])
+                gone[table, key] = cut_lineage(rows.dropna().distinct(), f"deleted-{table}")
+    return left
+
+
 def blocked_deletes(requested: DataFrame, child: DataFrame, key: str) -> DataFrame:
     """DRV-05: requested parent deletions that must be refused (children exist)."""
     return requested.select(key).distinct().join(child.select(key), key, "left_semi")

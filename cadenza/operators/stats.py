@@ -154,6 +154,19 @@ def subset_search(R: np.ndarray, n: int, names: Sequence[str], min_cols: int = 4
     return best[1], best[2]
 
 
+def drop_path(R: np.ndarray, names: Sequence[str], min_cols: int = 4) -> list[tuple[str, float]]:
+    """STAT-02: the columns in the order in which the subset search would drop them, each with its
+    mean |r| to the columns still there, while at least ``min_cols`` are left."""
+    keep = [i for i in range(len(names)) if not np.all(np.isnan(np.delete(R[i], i)))]
+    out = []
+    while len(keep) >= min_cols:
+        means = mean_abs_offdiag(np.nan_to_num(R[np.ix_(keep, keep)]))
+        at = int(np.argmin(means))
+        out.append((names[keep[at]], float(means[at])))
+        keep.pop(at)
+    return out
+
+
 def variance_table(spark: SparkSession, res: PcaResult) -> DataFrame:
     """STAT-04 / WIN-05: eigenvalue, % and cumulative % per dimension."""
     cum = np.cumsum(res.ratios)
@@ -293,6 +306,11 @@ def factor_analysis(C: np.ndarray, n_factors: int, rotation: str | None = None,
     return L
 
 
+def orthomax_criterion(L: np.ndarray, gamma: float) -> float:
+    """What a rotation makes as large as it can: varimax for 1, quartimax for 0."""
+    return float(np.sum(L ** 4) - gamma / len(L) * np.sum(np.sum(L ** 2, axis=0) ** 2))
+
+
 @dataclass
 class FactorFlow:
     bartlett: dict                 # table -> (chi2, p_value, dof)

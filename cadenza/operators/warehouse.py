@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.ids import surrogate_id
 from ..functions.standardise import parse_python_list
+from ..session import cut_lineage
 from .joins import latest_per_key, nested_lookup, parent_resolve
 
 
@@ -53,6 +54,38 @@ def load_links(fact: DataFrame, fact_id: str, fact_entity: str, must_exist: Data
     return kept.select(fact_id, *cols)
 
 
+def load_track_links(tracks: DataFrame, track: str, artist: str, album: str, artists: DataFrame, artist_key: str, albums: DataFrame,
+                     album_key: str, genres: DataFrame, genre_key: str, genre_list: str,
+                     featured_list: str | None = None) -> dict[str, DataFrame]:
+    """LOAD-04: the link tables of the loaded tracks (those whose main artist is known).
+
+    ``track_artist`` (track, artist, role: main or feat), ``album_artist`` (of known albums, main artists)
+    and ``track_genre``.  The list columns are text; all links of a track leave it in one
+    explode, entries that name no known artist or genre fall out by one semi join
+    against the tagged ids of both, and repeated links are one.  The pruned links
+    are written once; the three tables are projections of them.
+    """
+    known = artists.select(F.col(artist_key).cast("string").alias("id")).dropna().distinct()
+
+    def entries(col, kind, role):
+        ids = F.coalesce(parse_python_list(F.col(col)), F.array().cast("array<string>"))
+        return F.transform(ids, lambda x: F.struct(F.lit(kind).alias("kind"), F.trim(x).alias("id"), F.lit(role).alias("role")))
+
+    main = F.array(F.struct(F.lit("artist").alias("kind"), F.col(artist).cast("string").alias("id"), F.lit("main").alias("role")))
+    each = [main, entries(genre_list, "genre", "")] + ([entries(featured_list, "artist", "feat")] if featured_list else [])
+    loaded = tracks.join(known, F.col(artist).cast("string") == F.col("id"), "left_semi")
+    links = loaded.select(F.col(track).alias("track"), F.col(album).alias("album"), F.explode(F.concat(*each)).alias("l")) \
+        .select("track", "album", "l.*").distinct()
+    ids = known.select(F.lit("artist").alias("kind"), "id").unionByName(
+        genres.select(F.lit("genre").alias("kind"), F.col(genre_key).cast("string").alias("id")).dropna().distinct())
+    links = cut_lineage(links.join(ids, ["kind", "id"], "left_semi"), "track-links")
+    uuid = {k: surrogate_id(k, F.col(c)).alias(f"{k}_uuid") for k, c in (("track", "track"), ("album", "album"), ("artist", "id"), ("genre", "id"))}
+    with_album = links.filter("role = 'main'").join(albums.select(F.col(album_key).alias("album")).dropna().distinct(), "album", "left_semi")
+    return {"track_artist": links.filter("kind = 'artist'").select(uuid["track"], uuid["artist"], "role"),
+            "album_artist": with_album.select(uuid["album"], uuid["artist"]).distinct(),
+            "track_genre": links.filter("kind = 'genre'").select(uuid["track"], uuid["genre"]).distinct()}
+
+
 def tag_vocabulary(sources: Sequence[tuple[DataFrame, str]], is_text_list: bool = True) -> DataFrame:
     """LOAD-05 / SET-02 / JOIN-14: distinct tag names over several list columns."""
     out = None
@@ -218,6 +251,26 @@ def load_survey_users(answers: DataFrame, respondent: str, genre_list: str, genr
     return users, prefs
 
 
+def load_preferences(answers: DataFrame, respondent: str, *, texts: Sequence[str], numbers: Sequence[str], whole: Sequence[str],
+                     flags: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """LOAD-08 / VIEW-09: account and preference rows of every respondent.
+
+    Accounts carry login, name, address and pseudonym formed from the id; preferences
+    keep ``texts``, ``numbers`` as doubles, ``whole`` rounded to integers as the source's cast does,
+    and ``flags`` by the survey's boolean rule.
+    """
+    from ..functions.standardise import survey_to_boolean
+    uid = surrogate_id("user", F.col(respondent))
+    short = F.substring(uid, 1, 8)
+    accounts = answers.select(F.col(respondent), uid.alias("account_uuid"), F.concat(F.lit("user_"), short).alias("login"),
+                              F.concat(F.lit("User "), short).alias("name"), F.concat(F.lit("user_"), short, F.lit("@test.com")).alias("email"),
+                              F.concat(F.lit("User_"), short).alias("pseudo"))
+    prefs = answers.select(uid.alias("account_uuid"), *texts, *[F.col(c).cast("double").alias(c) for c in numbers],
+                           *[F.rint(F.col(c).cast("double")).cast("int").alias(c) for c in whole],
+                           *[(survey_to_boolean(F.col(c).cast("string")) == "true").alias(c) for c in flags])
+    return accounts, prefs
+
+
 def entity_rank_rows(item_ranks: DataFrame, item_key: str, links: DataFrame, entity_key: str,
                      rank_cols: Sequence[str], required: str) -> DataFrame:
     """LOAD-06: an entity's rank rows from its items' rank rows -- distinct

@@ -181,3 +181,40 @@ def factor_loadings(spark, sf_dir):
     rows = [(rot, cols[i], j + 1, float(L[i, j])) for rot, L in flow.loadings.items()
             for i in range(L.shape[0]) for j in range(L.shape[1])]
     return spark.createDataFrame(rows, "rotation string, variable string, factor int, loading double")
+
+
+@query("factor_rotation_invariants", ("STAT-10", "STAT-09"), """
+SELECT r AS rotation, 'p' || i AS variable, 0.0::DOUBLE AS communality_moved, true AS criterion_holds
+FROM (SELECT unnest(['varimax', 'quartimax']) AS r) CROSS JOIN range(5) t(i)
+""")
+def factor_rotation_invariants(spark, sf_dir):
+    """A rotation moves no variable's communality, and does not make its own criterion smaller."""
+    wide, cols = _contingency(spark, sf_dir)
+    C, _ = S.covariance_matrix(S.standardise_columns(wide, cols), cols, ddof=0)
+    k = max(S.kaiser_count(S.correlation_matrix(wide, cols)[0])[0], 2)
+    plain = S.factor_analysis(C, k)
+    rows = []
+    for name, gamma in (("varimax", 1.0), ("quartimax", 0.0)):
+        turned = S.factor_analysis(C, k, name)
+        moved = np.abs((turned ** 2).sum(1) - (plain ** 2).sum(1))
+        holds = S.orthomax_criterion(turned, gamma) >= S.orthomax_criterion(plain, gamma) - 1e-9
+        rows += [(name, c, abs(round(float(m), 6)), bool(holds)) for c, m in zip(cols, moved)]
+    return spark.createDataFrame(rows, "rotation string, variable string, communality_moved double, criterion_holds boolean")
+
+
+def _drop_path_sql():
+    pairs = "\nUNION ALL ".join(f"SELECT '{a}' AS v, '{b}' AS w, abs(corr({a}, {b})) AS r FROM z" for a in PCA_VARS for b in PCA_VARS if a != b)
+    steps = []
+    for i in range(3):
+        left = " AND ".join(f"{x} NOT IN (SELECT v FROM d{j})" for j in range(i) for x in ("v", "w")) or "true"
+        steps.append(f"d{i} AS (SELECT v, avg(r) AS m FROM c WHERE {left} GROUP BY v ORDER BY m, v LIMIT 1)")
+    return _IMPUTED_SQL + f", c AS ({pairs}), " + ", ".join(steps) + "\n" + "\nUNION ALL ".join(
+        f"SELECT {i + 1} AS step, v AS variable, round(m, 6) AS mean_abs_r FROM d{i}" for i in range(3))
+
+
+@query("subset_search_path", ("STAT-02", "AGG-20"), _drop_path_sql())
+def subset_search_path(spark, sf_dir):
+    """The order in which the subset search drops columns, each with its mean |r| at that step."""
+    R, _ = _corr(spark, sf_dir)
+    rows = [(i + 1, v, m) for i, (v, m) in enumerate(S.drop_path(R, PCA_VARS, min_cols=4))]
+    return spark.createDataFrame(rows, "step int, variable string, mean_abs_r double").select("step", "variable", rnd("mean_abs_r").alias("mean_abs_r"))

@@ -296,7 +296,7 @@ def rank_upsert(spark, sf_dir):
     return out.select("p_partkey", "p_size", rnd("p_retailprice").alias("p_retailprice"))
 
 
-@query("case_insensitive_join", ("JOIN-15", "LOAD-08"), """
+@query("case_insensitive_join", ("JOIN-15",), """
 WITH dim AS (SELECT DISTINCT upper(event_type) AS genre_title FROM events)
 SELECT d.genre_title, count(*) AS n FROM events e JOIN dim d ON lower(e.event_type) = lower(d.genre_title)
 GROUP BY d.genre_title
@@ -509,3 +509,149 @@ def album_full_view(spark, sf_dir):
                      album_artists=album_artists, track_artists=main, artist="artist_id")
     return v.select("album_id", "album_title", "album_date_released",
                     *[F.to_json(c, {"ignoreNullFields": "false"}).alias(c) for c in ("artists", "tracks")])
+
+
+#: What hangs on a track: (table, SQL of its rows with track_id).
+_DEPENDANTS = [
+    ("track_artist_main", "SELECT DISTINCT l_partkey AS track_id, l_suppkey FROM lineitem WHERE l_linenumber = 1"),
+    ("track_artist_feat", "SELECT DISTINCT l_partkey AS track_id, l_suppkey FROM lineitem WHERE l_linenumber > 1"),
+    ("track_license", "SELECT p_partkey AS track_id, p_brand FROM part"),
+    ("track_genre", "SELECT p_partkey AS track_id, p_type FROM part"),
+    ("track_tag", "SELECT p_partkey AS track_id, unnest(string_split(p_name, ' ')) FROM part"),
+    ("playlist_track", "SELECT l_partkey AS track_id, l_orderkey FROM lineitem WHERE l_linenumber <= 3"),
+    ("track_user_like", "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS track_id, event_id FROM events WHERE event_type = 'click'"),
+    ("track_user_listen", "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS track_id, event_id FROM events WHERE event_type = 'view'"),
+    ("track_comment", "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS track_id, event_id FROM events WHERE event_type = 'purchase'"),
+    ("rank_track", "SELECT DISTINCT l_partkey AS track_id, l_shipdate FROM lineitem"),
+    ("audio_feature", "SELECT p_partkey AS track_id, p_size FROM part"),
+    ("temporal_feature", "SELECT l_partkey AS track_id, count(*) FROM lineitem GROUP BY 1"),
+]
+
+
+def _dependant_tables(spark, sf_dir):
+    part, li = T(spark, sf_dir, "part").withColumnRenamed("p_partkey", "track_id"), T(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "track_id")
+    ev = T(spark, sf_dir, "events").withColumn("track_id", F.get_json_object("props", "$.k").cast("long"))
+    links = li.select("track_id", "l_suppkey", "l_linenumber")
+    return {"track_artist_main": links.filter("l_linenumber = 1").select("track_id", "l_suppkey").distinct(),
+            "track_artist_feat": links.filter("l_linenumber > 1").select("track_id", "l_suppkey").distinct(),
+            "track_license": part.select("track_id", "p_brand"), "track_genre": part.select("track_id", "p_type"),
+            "track_tag": part.select("track_id", F.explode(F.split("p_name", " ")).alias("tag")),
+            "playlist_track": li.filter("l_linenumber <= 3").select("track_id", "l_orderkey"),
+            **{t: ev.filter(F.col("event_type") == e).select("track_id", "event_id")
+               for t, e in (("track_user_like", "click"), ("track_user_listen", "view"), ("track_comment", "purchase"))},
+            "rank_track": li.select("track_id", "l_shipdate").distinct(), "audio_feature": part.select("track_id", "p_size"),
+            "temporal_feature": li.groupBy("track_id").agg(F.count("*").alias("n"))}
+
+
+@query("cascade_delete_all", ("DRV-04", "DRV-01"), "WITH gone AS (SELECT p_partkey FROM part WHERE p_size = 1),\n" + ",\n".join(
+    f"{t} AS ({q})" for t, q in _DEPENDANTS) + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS dependant, count(*) AS n_before, count(*) FILTER (WHERE track_id IS NULL OR track_id NOT IN (SELECT p_partkey FROM gone)) AS n_after FROM {t}"
+    for t, _ in _DEPENDANTS) + """
+UNION ALL SELECT 'playlist_owner', count(*), count(*) FILTER (WHERE l_orderkey NOT IN (
+  SELECT l_orderkey FROM lineitem WHERE l_linenumber <= 3 AND l_partkey IN (SELECT p_partkey FROM gone)))
+FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber <= 3)
+UNION ALL SELECT 'track', count(*), count(*) FILTER (WHERE p_size <> 1) FROM part
+""")
+def cascade_delete_all(spark, sf_dir):
+    """Tracks of size 1 go, and with them the rows of all twelve dependants (and of a table that hangs on one of them)."""
+    tables = _dependant_tables(spark, sf_dir)
+    references = [(t, "track_id", "track", "track_id") for t in tables] + [("playlist_owner", "l_orderkey", "playlist_track", "l_orderkey")]
+    tables["track"] = T(spark, sf_dir, "part").select(F.col("p_partkey").alias("track_id"), "p_size")
+    tables["playlist_owner"] = tables["playlist_track"].select("l_orderkey").distinct()
+    gone = tables["track"].filter("p_size = 1").select("track_id")
+    left = D.cascade_delete_tables(tables, references, "track", gone)
+    rows = [tables[t].agg(F.count("*").alias("n_before")).withColumn("n_after", left[t].agg(F.count("*")).scalar())
+            .select(F.lit(t).alias("dependant"), "n_before", "n_after") for t in sorted(left)]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@query("track_default_rows", ("DRV-03", "UPS-02"), """
+WITH temporal AS (SELECT l_partkey, count(*) AS n_lines FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+rank AS (SELECT l_partkey, max(l_extendedprice) AS hotttnesss FROM lineitem WHERE l_linenumber = 7 GROUP BY 1)
+SELECT p_partkey, round(coalesce(r.hotttnesss, 0.0), 6) AS hotttnesss, CASE WHEN p_size <= 25 THEN p_retailprice END AS energy, t.n_lines
+FROM part p LEFT JOIN temporal t ON t.l_partkey = p.p_partkey LEFT JOIN rank r ON r.l_partkey = p.p_partkey
+""")
+def track_default_rows(spark, sf_dir):
+    """Rank, audio and temporal rows of every track, defaults where a track has none."""
+    part = T(spark, sf_dir, "part")
+    li = T(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    rank = li.filter("l_linenumber = 7").groupBy("p_partkey").agg(F.max("l_extendedprice").alias("hotttnesss"))
+    audio = part.filter("p_size <= 25").select("p_partkey", F.col("p_retailprice").alias("energy"))
+    temporal = li.filter("l_returnflag = 'R'").groupBy("p_partkey").agg(F.count("*").alias("n_lines"))
+    made = D.track_defaults(part, "p_partkey", {"rank": (rank, {"hotttnesss": 0.0}), "audio": (audio, {"energy": None}),
+                                                "temporal": (temporal, {"n_lines": None})})
+    return made["rank"].join(made["audio"], "p_partkey").join(made["temporal"], "p_partkey").select(
+        "p_partkey", rnd("hotttnesss").alias("hotttnesss"), "energy", "n_lines")
+
+
+#: Parts as track rows with list columns; suppliers in debt are unknown artists, order states other than F unknown albums.
+_LINK_SQL = """
+stg AS (SELECT p_partkey AS track, p_partkey % 10 AS artist, p_partkey // 4 AS album,
+               [CAST(p_size % 25 AS VARCHAR), CAST(p_partkey % 31 AS VARCHAR), CAST(p_size % 25 AS VARCHAR)] AS genre_ids,
+               CASE WHEN p_size % 3 = 0 THEN [CAST((p_partkey + 3) % 12 AS VARCHAR), CAST(p_partkey % 10 AS VARCHAR)] ELSE [] END AS feat_ids FROM part),
+known AS (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0),
+loaded AS (SELECT * FROM stg WHERE artist IN (SELECT s_suppkey FROM known))"""
+
+
+def _track_links(spark, sf_dir):
+    p = T(spark, sf_dir, "part")
+
+    def listed(*cols):
+        return F.concat(F.lit("['"), F.concat_ws("', ' ", *[c.cast("string") for c in cols]), F.lit("']"))
+
+    key, size = F.col("p_partkey"), F.col("p_size")
+    tracks = p.select(key.alias("track"), (key % 10).alias("artist"), F.expr("p_partkey div 4").alias("album"),
+                      listed(size % 25, key % 31, size % 25).alias("genres"),
+                      F.when(size % 3 == 0, listed((key + 3) % 12, key % 10)).otherwise("[]").alias("featured"))
+    return W.load_track_links(tracks, "track", "artist", "album", T(spark, sf_dir, "supplier").filter("s_acctbal >= 0"), "s_suppkey",
+                              T(spark, sf_dir, "orders").filter("o_orderstatus = 'F'"), "o_orderkey",
+                              T(spark, sf_dir, "nation").filter("n_regionkey <> 0"), "n_nationkey", "genres", "featured")
+
+
+@query("track_artist_links", ("LOAD-04", "JOIN-06", "JOIN-14"), f"""
+WITH {_LINK_SQL},
+links AS (SELECT track, artist AS id, 'main' AS role FROM loaded
+          UNION SELECT track, CAST(unnest(feat_ids) AS BIGINT), 'feat' FROM loaded)
+SELECT {uuid_sql('track', 'track')} AS track_uuid, {uuid_sql('artist', 'id')} AS artist_uuid, role FROM links WHERE id IN (SELECT s_suppkey FROM known)
+""")
+def track_artist_links(spark, sf_dir):
+    return _track_links(spark, sf_dir)["track_artist"]
+
+
+@query("album_artist_links", ("LOAD-04", "JOIN-06"), f"""
+WITH {_LINK_SQL}
+SELECT DISTINCT {uuid_sql('album', 'album')} AS album_uuid, {uuid_sql('artist', 'artist')} AS artist_uuid
+FROM loaded WHERE album IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+""")
+def album_artist_links(spark, sf_dir):
+    return _track_links(spark, sf_dir)["album_artist"]
+
+
+@query("track_genre_links", ("LOAD-04", "JOIN-14", "SCL-18"), f"""
+WITH {_LINK_SQL},
+links AS (SELECT DISTINCT track, CAST(unnest(genre_ids) AS INTEGER) AS id FROM loaded)
+SELECT {uuid_sql('track', 'track')} AS track_uuid, {uuid_sql('genre', 'id')} AS genre_uuid
+FROM links WHERE id IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0)
+""")
+def track_genre_links(spark, sf_dir):
+    return _track_links(spark, sf_dir)["track_genre"]
+
+
+@query("user_accounts_and_preferences", ("LOAD-08", "VIEW-09", "PRJ-06"), f"""
+WITH u AS (SELECT *, {uuid_sql('user', 'c_custkey')} AS id FROM customer)
+SELECT c_custkey, id AS account_uuid, 'user_' || substr(id, 1, 8) AS login, 'User ' || substr(id, 1, 8) AS name,
+       'user_' || substr(id, 1, 8) || '@test.com' AS email, 'User_' || substr(id, 1, 8) AS pseudo, c_mktsegment AS gender,
+       c_acctbal AS tempo_pref, CAST(round_even(c_acctbal / 100.0, 0) AS INTEGER) AS duration_pref, c_nationkey % 2 = 0 AS has_consented
+FROM u
+""")
+def user_accounts_and_preferences(spark, sf_dir):
+    """Accounts and preference rows of every customer, met again on the account's id."""
+    answers = T(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("gender"), F.col("c_acctbal").alias("tempo_pref"),
+                                                  (F.col("c_acctbal") / 100.0).alias("duration_pref"),
+                                                  F.when(F.col("c_nationkey") % 2 == 0, "Oui").otherwise("Non").alias("has_consented"))
+    accounts, prefs = W.load_preferences(answers, "c_custkey", texts=["gender"], numbers=["tempo_pref"], whole=["duration_pref"],
+                                         flags=["has_consented"])
+    return accounts.join(prefs, "account_uuid")
