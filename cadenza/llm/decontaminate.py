@@ -8,9 +8,14 @@ of at least ``min_words`` words, the best one by matches less PENALTY for each
 substitution is taken if that is above 0 (more than three words in four match),
 then the best ones of what lies before and behind it, and so on.
 
-The masks miss no such run: of 10 to 12 words with two substitutions, or of 13
-with three, some window keeps clear of them.  Items shorter than a window are
-looked up as a whole, unchanged.
+The masks miss no such run.  For 10 to 22 words the tests go through every
+placement of the substitutions that leaves a positive score: some window keeps
+clear of them.  A longer run of positive score has a half of positive score, of
+11 words at least, and so on down to 22 or fewer.  Items shorter than a window
+are looked up as a whole, unchanged.
+
+Only windows whose hashed words all occur in the benchmark are hashed: a window
+with another word cannot hit.
 """
 
 from __future__ import annotations
@@ -20,11 +25,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import cut_lineage
 
 #: Fixed masks: 1 marks a word that is hashed, 0 one that is ignored.
-MASKS = ("1010011001", "1100100011", "0011110010", "0110001110", "1101010100", "0001101101")
+MASKS = ("1010011001", "1100100011", "0011110010", "0110001110", "1101010100", "0001101101", "1111100000")
 SPAN = len(MASKS[0])
 PENALTY = 3
 #: Seeds of the benchmark that may be broadcast (about 40 bytes each); more of them are joined by shuffle.
 BROADCAST_SEEDS = 500_000
+#: Distinct words of the benchmark that windows are sifted by (a list in the plan); with more of them every window is hashed.
+SIFTING_WORDS = 100_000
 
 
 def words(text: Column) -> Column:
@@ -32,22 +39,64 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _seeds(hashes: Column, short: list[int]) -> Column:
+def _key(text: str) -> Column:
+    """128 bits that stand for a text; null has its own."""
+    return F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("null"))
+
+
+def _bind(value: Column, then) -> Column:
+    """``then(value)``, with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _windows(hashes: Column, known: list[int] | None) -> Column:
+    """pos * 2 ** SPAN + bits of every window that some mask may hit; bit i from the left: whether its word i is known."""
+    ones = 2 ** SPAN - 1
+    if known is None:
+        return F.transform(F.sequence(F.lit(0), F.size(hashes) - SPAN), lambda at: at.cast("long") * 2 ** SPAN + ones)
+    wanted = [int(m, 2) for m in MASKS]
+    good = [x for x in range(2 ** SPAN) if any(x & m == m for m in wanted)]
+    n = F.size(hashes)
+
+    def wider(left, right, skip, bits, length):
+        """Patterns of ``length`` words from those of their first and last ones, which begin ``skip`` words later."""
+        return F.zip_with(F.slice(left, F.lit(1), n - length + 1), F.slice(right, F.lit(skip + 1), n - length + 1), lambda x, y: x * 2 ** bits + y)
+
+    def sifted(ten):
+        marked = F.transform(ten, lambda x, i: F.when(x.isin(good), i.cast("long") * 2 ** SPAN + x))
+        return F.filter(marked, lambda x: x.isNotNull())
+
+    one = F.transform(hashes, lambda h: F.when(h.isin(known), F.lit(1)).otherwise(F.lit(0)))
+    return _bind(one, lambda w1: _bind(wider(w1, w1, 1, 1, 2), lambda w2: _bind(wider(w2, w2, 2, 2, 4), lambda w4: sifted(
+        wider(wider(w4, w4, 4, 4, 8), w2, 8, 2, 10)))))
+
+
+def _seeds(hashes: Column, short: list[int], known: list[int] | None) -> Column:
     """(pos, seed) of every window of every mask; for each of the ``short`` lengths also of every run of so many words."""
-    def masked(number: int, mask: str):
-        kept = [i for i, c in enumerate(mask) if c == "1"]
-        windows = F.transform(F.sequence(F.lit(0), F.size(hashes) - len(mask)), lambda at: F.struct(
-            at.alias("pos"), F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i in kept]).alias("seed")))
-        return F.when(F.size(hashes) >= len(mask), windows).otherwise(F.array().cast("array<struct<pos:int,seed:bigint>>"))
-    masks = [*enumerate(MASKS), *((len(MASKS) + n, "1" * n) for n in short)]
-    return F.concat(*[masked(i, m) for i, m in masks])
+    kind = "array<struct<pos:int,seed:bigint>>"
+
+    def masked(at, bits, number, mask):
+        kept, m = [i for i, c in enumerate(mask) if c == "1"], int(mask, 2)
+        return F.when(bits.bitwiseAND(m) == m, F.struct(at.alias("pos"), F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i in kept]).alias("seed")))
+
+    def of_window(w):
+        at, bits = F.shiftright(w, SPAN).cast("int"), w.bitwiseAND(2 ** SPAN - 1).cast("int")
+        return F.filter(F.array(*[masked(at, bits, i, m) for i, m in enumerate(MASKS)]), lambda x: x.isNotNull())
+
+    def runs(number, length):
+        found = F.transform(F.sequence(F.lit(0), F.size(hashes) - length), lambda at: F.struct(
+            at.alias("pos"), F.xxhash64(F.lit(number), *[F.get(hashes, at + i) for i in range(length)]).alias("seed")))
+        return F.when(F.size(hashes) >= length, found).otherwise(F.array().cast(kind))
+
+    windows = F.when(F.size(hashes) >= SPAN, F.flatten(F.transform(_windows(hashes, known), of_window))).otherwise(F.array().cast(kind))
+    return F.concat(windows, *[runs(len(MASKS) + n, n) for n in short])
 
 
-def _exploded(rows: DataFrame, keys: list[str], text: str, short: list[int]) -> DataFrame:
+def _exploded(rows: DataFrame, keys: list[str], text: str, short: list[int], known: list[int] | None = None) -> DataFrame:
     """(keys, pos of the window's first word, seed)."""
     hashed = rows.select(*keys, F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("hashes"))
     # outer: the filter that a plain explode implies would be pushed down to the text and hash it anew for each window
-    return hashed.select(*keys, F.explode_outer(_seeds(F.col("hashes"), short)).alias("at")) \
+    return hashed.select(*keys, F.explode_outer(_seeds(F.col("hashes"), short, known)).alias("at")) \
         .select(*keys, "at.pos", "at.seed").filter("seed is not null")
 
 
@@ -107,23 +156,26 @@ def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, ite
     rows; repeated rows and null ids are reported as they come.
     """
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text")) \
-        .withColumn("text_key", F.xxhash64("text"))
+        .withColumn("text_key", _key("text"))
     tests = items.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{item_text}`").alias("item_text")).distinct()
     size = F.size(words(F.col("item_text")))
     short = sorted(r.n for r in tests.select(size.alias("n")).filter(F.col("n").between(1, SPAN - 1)).distinct().collect())   # below SPAN
-    keyed = tests.withColumn("item_key", F.xxhash64("item_text")).select("item_key", "item_text", size.alias("n")).distinct()
+    keyed = tests.withColumn("item_key", _key("item_text")).select("item_key", "item_text", size.alias("n")).distinct()
     seeds = _exploded(keyed.filter(F.col("n") >= SPAN), ["item_key"], "item_text", [])
     for n in short:
         seeds = seeds.unionByName(_exploded(keyed.filter(F.col("n") == n), ["item_key"], "item_text", [n]))
     seeds = cut_lineage(seeds.withColumnRenamed("pos", "item_pos"), "seeds")
     probe = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
-    hits = _exploded(held, ["text_key"], "text", short).join(probe, "seed") \
+    vocabulary = keyed.select(F.explode(F.transform(words(F.col("item_text")), lambda w: F.xxhash64(w))).alias("h")).distinct()
+    known = [r.h for r in vocabulary.limit(SIFTING_WORDS + 1).collect()]          # of the benchmark, not of the documents
+    known = known if 0 < len(known) <= SIFTING_WORDS else None
+    hits = _exploded(held, ["text_key"], "text", short, known).join(probe, "seed") \
         .select("text_key", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     hits = cut_lineage(hits, "seed-hits")
 
     texts = held.select("text_key", "text").join(hits.select("text_key").distinct(), "text_key", "left_semi").groupBy("text_key") \
         .agg(F.first("text").alias("text")).select("text_key", words(F.col("text")).alias("dw"))
-    test_words = tests.withColumn("item_key", F.xxhash64("item_text")).groupBy("item_key").agg(F.first("item_text").alias("t")) \
+    test_words = tests.withColumn("item_key", _key("item_text")).groupBy("item_key").agg(F.first("item_text").alias("t")) \
         .select("item_key", words(F.col("t")).alias("iw"))
     lo, hi = F.greatest(F.lit(0), -F.col("shift")), F.least(F.size("iw"), F.size("dw") - F.col("shift")) - 1
     least = F.least(F.lit(min_words), F.size("iw"))
@@ -134,7 +186,7 @@ def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, ite
     aligned = cut_lineage(aligned, "aligned")             # each list is compared once and read often
     found = _runs(aligned, ["text_key", "item_key", "shift"]).withColumn("item_end", F.col("item_start") + F.col("n_words"))
     found = cut_lineage(found, "overlaps")
-    named = tests.select("item_id", F.xxhash64("item_text").alias("item_key"))
+    named = tests.select("item_id", _key("item_text").alias("item_key"))
     return held.select("row", "text_key").join(found, "text_key").join(named, "item_key").select(
         "row", "item_id", (F.col("item_start") + F.col("shift")).alias("doc_start"), (F.col("item_end") + F.col("shift")).alias("doc_end"),
         "item_start", "item_end", "n_words", "n_matches")
@@ -143,6 +195,6 @@ def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, ite
 def without_overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, item_text: str, min_words: int = 13) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark passage, as they are."""
     bad = overlaps(docs.select(F.col(f"`{text_col}`").alias("text")), "text", items, item_id, item_text, ["text"], min_words) \
-        .select(F.xxhash64("row.text").alias("_text_key")).distinct()
+        .select(_key("row.text").alias("_text_key")).distinct()
     bad = cut_lineage(bad, "contaminated")
-    return docs.withColumn("_text_key", F.xxhash64(f"`{text_col}`")).join(bad, "_text_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.withColumn("_text_key", _key(f"`{text_col}`")).join(bad, "_text_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

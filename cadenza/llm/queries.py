@@ -128,7 +128,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_decontamination")
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage, with the passage's place."""
+    """Documents that hold a benchmark passage, with the passage's place.
+
+    A passage: at least 13 aligned words (all words of a shorter item) whose matches exceed three times the
+    substitutions; items of fewer than ten words count only unchanged.
+    """
     from .decontaminate import overlaps
     out = overlaps(load_table(spark, sf_dir, "documents"), "text", load_table(spark, sf_dir, "benchmark"), "item_id", "text", ["doc_id"])
     return out.select("row.doc_id", "item_id", "doc_start", "doc_end", "item_start", "item_end", "n_words", "n_matches")

@@ -13,31 +13,6 @@ def split(text):
     return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
 
 
-def brute(doc, item, min_words):
-    """Runs of every alignment that some masked window hits."""
-    d, t = split(doc), split(item)
-    out, where = set(), {}
-    for j, w in enumerate(t):
-        where.setdefault(w, []).append(j)
-    shifts = Counter(i - j for i, w in enumerate(d) for j in where.get(w, ()))
-    for shift in (s for s, n in shifts.items() if n >= MASKS[0].count("1")):
-        lo, hi = max(0, -shift), min(len(t), len(d) - shift)
-        same = [t[j] == d[j + shift] for j in range(lo, hi)]
-        if not any(all(same[a + i] for i, c in enumerate(m) if c == "1") for a in range(len(same) - SPAN + 1) for m in MASKS):
-            continue
-        best = (0, 0, 0, 0)
-        score = start = hits = 0
-        for i, x in enumerate(same):
-            if score <= 0:
-                score, start, hits = 0, i, 0
-            score, hits = score + (1 if x else -PENALTY), hits + x
-            if score > best[0]:
-                best = (score, start, i + 1, hits)
-        if best[2] - best[1] >= min(min_words, len(t)):
-            out.add((lo + best[1] + shift, lo + best[2] + shift, lo + best[1], lo + best[2], best[2] - best[1], best[3]))
-    return out
-
-
 def planted(rng, vocab, items):
     texts = []
     for _ in range(60):
@@ -60,7 +35,7 @@ def test_matches_every_alignment(spark, monkeypatch):
     texts = planted(rng, vocab, [i for i in items if i]) + [None, "", "a " * 3000, items[5], items[5]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    want = {(d, i, *r) for d, text in enumerate(texts) for i, item in enumerate(items) for r in brute(text, item, 13)}
+    want = {(d, i, *r) for d, text in enumerate(texts) for i, item in enumerate(items) for r in every_run(text, item)}
     assert len({w[0] for w in want}) > 15
     for limit in (D.BROADCAST_SEEDS, 0):
         monkeypatch.setattr(D, "BROADCAST_SEEDS", limit)
@@ -87,7 +62,7 @@ def test_query_matches_every_alignment(spark):
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
     sets = [set(split(i.text)) for i in items]
     want = {(d.doc_id, i.item_id, *r) for d in docs for i, s in zip(items, sets)
-            if len(s & set(split(d.text))) >= 6 for r in brute(d.text, i.text, 13)}
+            if len(s & set(split(d.text))) >= min(len(s), 5) for r in every_run(d.text, i.text)}
     got = {tuple(r) for r in QUERIES["op8_decontamination"](spark, sf).collect()}
     assert got == want and want
 
@@ -153,3 +128,25 @@ def test_every_disjoint_run_of_an_alignment(spark):
     texts = [changed(item, 12, 13, 14, 15, 16, 20), changed(item, *range(20, 30)), changed(item, *range(14, 22), *range(40, 46))]
     want = check_every_run(spark, texts, [" ".join(item)])
     assert Counter(w[0] for w in want)[1] == 2 and Counter(w[0] for w in want)[2] == 3
+
+
+def test_masks_miss_no_run_of_positive_score():
+    """Every placement of the most substitutions that 10 to 22 words can hold; fewer leave more windows clear."""
+    from itertools import combinations
+    masks = [sum(1 << i for i, c in enumerate(m) if c == "1") for m in MASKS]
+    for n in range(SPAN, 2 * SPAN + 3):
+        kept = [m << at for m in masks for at in range(n - SPAN + 1)]
+        for places in combinations(range(n), (n - 1) // (1 + PENALTY)):
+            bad = sum(1 << i for i in places)
+            assert any(not bad & k for k in kept), (n, places)
+
+
+def test_sifted_windows_and_all_windows_give_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(40)]
+    items = [" ".join(rng.choice(vocab[:25]) for _ in range(n)) for n in (10, 17, 18, 30)]
+    texts = planted(rng, vocab, items) + [changed(split(items[1]), 7, 8, 9, 10), changed(split(items[2]), 7, 8, 9, 11)]
+    want = check_every_run(spark, texts, items)
+    assert {60, 61} <= {w[0] for w in want}
+    monkeypatch.setattr(D, "SIFTING_WORDS", 0)
+    assert check_every_run(spark, texts, items) == want
