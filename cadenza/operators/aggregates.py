@@ -140,7 +140,8 @@ def group_means(df: DataFrame, key: str, values: Sequence[str], count_col: str |
 def frequency_quantiles(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
     """AGG-09: exact, linearly interpolated quantiles of a column (one row), by histogram refinement."""
     from .quantiles import exact_quantiles
-    values = {f"{prefix}{int(round(p * 100))}": exact_quantiles(df, [col], float(p))[col] for p in probs}
+    found = exact_quantiles(df, [col], [float(p) for p in probs])[col]
+    values = {f"{prefix}{int(round(p * 100))}": v for p, v in zip(probs, found)}
     return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(name) for name, v in values.items()])
 
 

@@ -49,8 +49,10 @@ class _Target:
             self.below += n
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: int = 4096) -> dict[str, float | None]:
-    """Linearly interpolated ``q``-quantile of each column (NULL/NaN ignored)."""
+def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float | Sequence[float] = 0.5, bins: int = 4096) -> dict:
+    """Linearly interpolated ``q``-quantile of each column (NULL/NaN ignored): {column: value}, or
+    {column: [values]} for several ``q``, which are found together."""
+    several = not isinstance(q, (int, float))
     stacked = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
                                              for i, c in enumerate(cols)])).alias("s"))
                .select("s.i", "s.v").filter(F.col("v").isNotNull() & ~F.isnan("v")))
@@ -58,27 +60,34 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float = 0.5, bins: in
     # (memory, spilling to disk) instead of re-running the input's lineage.
     stacked = stacked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _refine(stacked, cols, q, bins)
+        found = _refine(stacked, cols, list(q) if several else [q], bins)
     finally:
         stacked.unpersist()
+    return found if several else {c: v[0] for c, v in found.items()}
 
 
-def _refine(stacked: DataFrame, cols: Sequence[str], q: float, bins: int) -> dict[str, float | None]:
+def _refine(stacked: DataFrame, cols: Sequence[str], qs: Sequence[float], bins: int) -> dict[str, list[float | None]]:
     first = {r["i"]: r for r in stacked.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
                                                          F.max("v").alias("hi")).collect()}
-    place = {i: (r["n"] - 1) * q for i, r in first.items()}
-    targets = [_Target(i, k, first[i]["lo"], first[i]["hi"]) for i, p in place.items() for k in sorted({math.floor(p), math.ceil(p)})]
-    while wide := [(t, target) for t, target in enumerate(targets) if target.lo < target.hi]:
-        hits = [F.when((F.col("i") == target.col) & F.col("v").between(target.lo, target.hi),
-                       F.struct(F.lit(t).alias("t"), target.bucket(bins).alias("b"))) for t, target in wide]
-        counts = (stacked.select("v", F.explode(F.array(*hits)).alias("h")).filter("h is not null").groupBy("h.t", "h.b")
+    places = {i: [(r["n"] - 1) * q for q in qs] for i, r in first.items()}
+    targets = {(i, k): _Target(i, k, first[i]["lo"], first[i]["hi"]) for i, ps in places.items() for p in ps
+               for k in (math.floor(p), math.ceil(p))}
+    while wide := [(t, target) for t, target in enumerate(targets.values()) if target.lo < target.hi]:
+        # a row meets the open targets of its own column only
+        hits = None
+        for col in sorted({target.col for _, target in wide}):
+            own = F.array(*[F.when(F.col("v").between(target.lo, target.hi), F.struct(F.lit(t).alias("t"), target.bucket(bins).alias("b")))
+                            for t, target in wide if target.col == col])
+            hits = F.when(F.col("i") == col, own) if hits is None else hits.when(F.col("i") == col, own)
+        counts = (stacked.select("v", F.explode(hits).alias("h")).filter("h is not null").groupBy("h.t", "h.b")
                   .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
         for t, target in wide:
             target.narrow([(r["b"], r["n"], r["lo"], r["hi"]) for r in counts if r["t"] == t])
-    result: dict[str, float | None] = {c: None for c in cols}
-    for i, p in place.items():
-        values = [t.lo for t in targets if t.col == i]
-        result[cols[i]] = values[0] if values[0] == values[-1] else values[0] + (values[-1] - values[0]) * (p - math.floor(p))
+    result: dict[str, list[float | None]] = {c: [None] * len(qs) for c in cols}
+    for i, ps in places.items():
+        for at, p in enumerate(ps):
+            low, high = targets[i, math.floor(p)].lo, targets[i, math.ceil(p)].lo
+            result[cols[i]][at] = low if low == high else low + (high - low) * (p - math.floor(p))
     return result
 
 

@@ -406,7 +406,7 @@ def fallback_recommend(listens: DataFrame, similar: DataFrame, item_genres: Data
     cand = _genre_gate(item_genres.select(F.col(item).alias("item"), "genre"), "genre", target_genres)
     t3 = (cand.join(pref_counts, "genre", "left").groupBy("item")
           .agg(F.max(F.coalesce(F.col("pc"), F.lit(0))).cast("double").alias("score"))
-          .orderBy(F.desc("score"), F.xxhash64(F.col("item"), F.lit(seed))).limit(top_n)
+          .orderBy(F.desc("score"), uniform_noise("item", seed), "item").limit(top_n)
           .select(F.col("item").alias(item), "score", F.lit(3).alias("tier")))
     # At most 3·top_n rows after the per-tier limits: a global window over
     # them is tiny, and each tier is computed once.

@@ -121,8 +121,8 @@ FROM lineitem WHERE l_orderkey IS NOT NULL AND l_quantity IS NOT NULL AND l_disc
 GROUP BY l_orderkey
 """)
 def group_profile(spark, sf_dir):
-    groups, _ = C.album_bubbles(T(spark, sf_dir, "lineitem"), "l_orderkey", "l_quantity", "l_discount",
-                                "l_tax", "l_partkey")
+    groups = C.album_bubbles(T(spark, sf_dir, "lineitem"), "l_orderkey", "l_quantity", "l_discount",
+                             "l_tax", "l_partkey")
     return groups.select("l_orderkey", *[rnd(c).alias(c) for c in ("avg_l_quantity", "avg_l_discount", "avg_l_tax")],
                          "n_rows")
 
@@ -137,8 +137,8 @@ SELECT round(quantile_cont(n_rows, 0.25), 6) AS q25, round(quantile_cont(n_rows,
        round(quantile_cont(n_rows, 0.75), 6) AS q75 FROM g
 """)
 def group_profile_quantiles(spark, sf_dir):
-    _, q = C.album_bubbles(T(spark, sf_dir, "lineitem"), "l_orderkey", "l_quantity", "l_discount",
-                           "l_tax", "l_partkey")
+    q = C.bubble_sizes(C.album_bubbles(T(spark, sf_dir, "lineitem"), "l_orderkey", "l_quantity", "l_discount",
+                                       "l_tax", "l_partkey"))
     return q.select(*[rnd(c).alias(c) for c in ("q25", "q50", "q75")])
 
 

@@ -13,7 +13,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import standardise as S
+from ..functions import validate as V
 from ..operators import aggregates as A
+from ..operators import quality as Q
 from ..operators import recommend as R
 from ..operators import stats as ST
 from ..operators import warehouse as W
@@ -35,7 +37,7 @@ SELECT 'csv_row_' || (row_number() OVER (ORDER BY o_orderkey) - 1)::VARCHAR AS t
 def scoring_input_generated_ids(spark, sf_dir):
     path = _folder(spark, "score-ids")
     o = T(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("track_date_created"))
-    o.orderBy("o_orderkey").coalesce(1).write.option("header", "true").csv(path)
+    o.orderBy("o_orderkey").write.option("header", "true").csv(path)
     return CSV.read_scoring_input(spark, path).select("track_id", F.col("o_orderkey").cast("long"))
 
 
@@ -194,9 +196,10 @@ def temporal_features_upsert(spark, sf_dir):
 WITH g AS (SELECT min(p_type) AS genre FROM part),
 prefs AS (SELECT count(DISTINCT l_orderkey) AS n FROM lineitem JOIN part ON p_partkey = l_partkey JOIN g ON p_type = genre)
 SELECT p_partkey AS l_partkey, n::DOUBLE AS score, 3 AS tier FROM part JOIN g ON p_type = genre, prefs
+ORDER BY substr(md5('3:' || p_partkey), 1, 12) LIMIT 15
 """)
 def fallback_genre_tier(spark, sf_dir):
-    """Nobody listens to the target's genre: only the preference tier is left."""
+    """Nobody listens to the target's genre: only the preference tier is left, and the seeded hash picks among equal scores."""
     part = T(spark, sf_dir, "part")
     genre = part.agg(F.min("p_type")).first()[0]
     genres = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("genre"))
@@ -205,7 +208,7 @@ def fallback_genre_tier(spark, sf_dir):
     similar = listens.select("user").distinct().withColumn("score", F.lit(1))
     target = spark.createDataFrame([(genre,)], "genre string")
     out = R.fallback_recommend(listens, similar, genres, lines.select("user", "genre").distinct(), -1, target,
-                               user="user", item="l_partkey", count="c", top_n=part.filter(F.col("p_type") == genre).count(), seed=3)
+                               user="user", item="l_partkey", count="c", top_n=15, seed=3)
     return out.select("l_partkey", "score", "tier")
 
 
@@ -389,3 +392,26 @@ def latest_rank_of_parts(spark, sf_dir):
     full = attach_latest(part, li, "l_partkey", "l_shipdate", ["q"], ["l_orderkey", "l_linenumber", "l_extendedprice"]) \
         .join(distinct_pair_counter(li, "l_partkey", "l_suppkey", "suppliers"), "l_partkey", "left")
     return full.select(labelled_id("part_", "l_partkey").alias("part"), rnd(S.finite_or_null("q")).alias("last_quantity"), "suppliers")
+
+
+@query("dated_rows_judged", ("VAL-05", "VAL-12", "PRJ-03", "JOB-02"), """
+WITH d AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 4 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS shipped, CAST(o_orderdate AS DATE) AS ordered
+  FROM orders)
+SELECT 'kept' AS outcome, count(*) AS n FROM d WHERE (shipped IS NULL OR shipped > DATE '1999-06-30') AND ordered < DATE '2001-01-01'
+UNION ALL SELECT 'shipped:afterNow', count(*) FROM d WHERE shipped <= DATE '1999-06-30'
+UNION ALL SELECT 'ordered:beforeLimit', count(*) FROM d WHERE (shipped IS NULL OR shipped > DATE '1999-06-30') AND ordered >= DATE '2001-01-01'
+UNION ALL SELECT 'missing:absent', 1
+""")
+def dated_rows_judged(spark, sf_dir):
+    """afterNow with a fixed now, a rule that the caller adds, and a ruled column that the file does not have."""
+    o = T(spark, sf_dir, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    dirty = o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"),
+                     F.when(F.col("o_orderkey") % 9 != 4, day).alias("shipped"), day.alias("ordered"))
+    rules = Q.TableRules(validation={"o_orderkey": ["int"], "shipped": ["date", "afterNow"], "ordered": ["date", "beforeLimit"], "absent": ["notNull"]},
+                         validators={**V.VALIDATORS, "beforeLimit": lambda c, ctx: c.isNull() | (c < F.lit("2001-01-01").cast("date"))})
+    res = Q.clean_table(dirty, rules, as_of="1999-06-30 23:59:59")
+    told = spark.createDataFrame([(f"missing:{c}", 1) for c in res.missing], "outcome string, n long")
+    return (res.clean.agg(F.count("*").alias("n")).select(F.lit("kept").alias("outcome"), "n")
+            .unionByName(res.failures().select(F.col("first_failure").alias("outcome"), F.col("failures").alias("n"))).unionByName(told))
