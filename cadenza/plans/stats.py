@@ -218,3 +218,26 @@ def subset_search_path(spark, sf_dir):
     R, _ = _corr(spark, sf_dir)
     rows = [(i + 1, v, m) for i, (v, m) in enumerate(S.drop_path(R, PCA_VARS, min_cols=4))]
     return spark.createDataFrame(rows, "step int, variable string, mean_abs_r double").select("step", "variable", rnd("mean_abs_r").alias("mean_abs_r"))
+
+
+@query("pca_invariants", ("STAT-04", "STAT-05", "STAT-06", "TOP-08"), """
+SELECT 'coordinates' AS of, i AS dim_i, j AS dim_j, 0.0::DOUBLE AS off FROM range(1, 3) a(i), range(1, 3) b(j)
+UNION ALL SELECT 'loadings', i, j, 0.0 FROM range(1, 3) a(i), range(1, 3) b(j)
+UNION ALL SELECT 'strength', 1, 2, 0.0
+""")
+def pca_invariants(spark, sf_dir):
+    """What holds for any principal components, as differences that must be 0: the coordinates' second moments are
+    the eigenvalues on the diagonal and 0 beside it, the loadings are orthonormal, and the variables named as
+    the strongest hold the greatest squared loadings."""
+    names, res, med = _pca(spark, sf_dir, with_medians=True)
+    z = S.impute_standardise(_block(spark, sf_dir), PCA_VARS, ddof=0, keep=["l_orderkey"], medians=med)
+    dims = S.coordinates(z, res, "l_orderkey")
+    pairs = [(i, j) for i in (1, 2) for j in (1, 2)]
+    moments = dims.agg(*[F.avg(F.col(f"Dim{i}") * F.col(f"Dim{j}")).alias(f"m{i}{j}") for i, j in pairs]).first()
+    unit = res.loadings / np.linalg.norm(res.loadings, axis=0)
+    scale = np.linalg.norm(res.loadings, axis=0)                       # loadings may carry the eigenvalues' roots
+    rows = [("coordinates", i, j, moments[f"m{i}{j}"] - (res.ratios[i - 1] * len(names) * scale[i - 1] ** 2 if i == j else 0.0)) for i, j in pairs]
+    rows += [("loadings", i, j, float(unit[:, i - 1] @ unit[:, j - 1]) - (i == j)) for i, j in pairs]
+    top = S.top_loadings(spark, res, k=2).agg(F.sum("strength")).first()[0]
+    rows.append(("strength", 1, 2, top - float(np.sort(np.hypot(res.loadings[:, 0], res.loadings[:, 1]))[-2:].sum())))
+    return spark.createDataFrame([(o, i, j, abs(round(float(v), 6))) for o, i, j, v in rows], "of string, dim_i long, dim_j long, off double")
