@@ -28,7 +28,7 @@ from ..session import cut_lineage
 MASKS = ("1010011001", "1100100011", "0011110010", "0110001110", "1101010100", "0001101101", "1111100000")
 SPAN = len(MASKS[0])
 PENALTY = 3
-#: Seeds of the benchmark that may be broadcast (about 40 bytes each); more of them are joined by shuffle.
+#: Seeds of the benchmark, or keys of texts that hit one, that may be broadcast (about 40 bytes each); more of them are joined by shuffle.
 BROADCAST_SEEDS = 500_000
 #: Distinct words of the benchmark that windows are sifted by (a list in the plan); with more of them every window is hashed.
 SIFTING_WORDS = 100_000
@@ -173,7 +173,9 @@ def overlaps(docs: DataFrame, text_col: str, items: DataFrame, item_id: str, ite
         .select("text_key", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     hits = cut_lineage(hits, "seed-hits")
 
-    texts = held.select("text_key", "text").join(hits.select("text_key").distinct(), "text_key", "left_semi").groupBy("text_key") \
+    hit = cut_lineage(hits.select("text_key").distinct(), "hit-texts")
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_SEEDS else hit           # else the texts are shuffled once
+    texts = held.select("text_key", "text").join(hit, "text_key", "left_semi").groupBy("text_key") \
         .agg(F.first("text").alias("text")).select("text_key", words(F.col("text")).alias("dw"))
     test_words = tests.withColumn("item_key", _key("item_text")).groupBy("item_key").agg(F.first("item_text").alias("t")) \
         .select("item_key", words(F.col("t")).alias("iw"))
