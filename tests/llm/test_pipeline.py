@@ -7,7 +7,7 @@ import public_tokenizers as P
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tests.llm.test_decontaminate import brute as overlap
+from tests.llm.test_decontaminate import every_run as overlap
 from tests.llm.test_ngram_join import brute as join
 from tests.llm.test_packing import check_places
 from tests.llm.test_substring_dedup import brute as repeats
