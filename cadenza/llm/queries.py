@@ -153,9 +153,12 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
 def op2_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best vectors of every twentieth one, by integer inner product."""
     from .maxscore import top_k
-    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    whole = load_table(spark, sf_dir, "embeddings").filter(finite) \
-        .select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double"))).alias("v"))
+
+    def scaled(x):
+        """floor(64 * x) as a double: one of 2**53 or more in size is whole already."""
+        y = F.lit(64.0) * x.cast("double")
+        return F.when(F.abs(y) < 2.0 ** 53, F.floor(y).cast("double")).otherwise(y)
+    whole = load_table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", scaled).alias("v"))
     return top_k(whole, "vec_id", "v", F.col("id") % 20 == 0, 20)
 
 

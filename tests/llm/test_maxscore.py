@@ -73,8 +73,28 @@ def test_blocks_and_shards_merge(spark, monkeypatch):
     assert {tuple(r) for r in got} == brute(list(vectors), list(vectors.values()), lambda i: i % 5 == 0, 12)
     few = M.top_k(df.filter("vec_id < 3"), "vec_id", "v", F.lit(True), 12).collect()
     assert len(few) == 6 and M.top_k(df.limit(0), "vec_id", "v", F.lit(True), 5).count() == 0
-    with pytest.raises(Exception, match="2\\*\\*28"):
-        M.top_k(spark.createDataFrame([(1, [1 << 28])], "vec_id long, v array<long>"), "vec_id", "v", F.lit(True), 5).collect()
+
+
+def test_components_of_any_size(spark, monkeypatch):
+    """Large vectors among small ones, over several shards: exact ranks, scores at the ends of a long."""
+    monkeypatch.setattr(M, "SHARD", 9)
+    monkeypatch.setattr(M, "RUNS", (4,))
+    rng = random.Random(2)
+    rows = [(i, [rng.randint(-9, 9) for _ in range(5)]) for i in range(30)]
+    rows += [(30 + i, [rng.choice([-1, 1]) << rng.randint(27, 63) for _ in range(4)] + [rng.randint(-9, 9)]) for i in range(10)]
+    rows += [(40, [1 << 31, 0, 0, 0, 0]), (41, [1 << 32, 0, 0, 0, 0]), (42, [-(1 << 63), 0, 0, 0, 1]), (43, [-(1 << 62)] * 5), (44, [1 << 62] * 5), (45, [1 << 62] * 5)]
+    rows = [(i, [min(x, (1 << 63) - 1) for x in v]) for i, v in rows]
+    want = brute(*zip(*rows), lambda i: i % 2 == 0, 8)
+    want = {(q, r, d, min(max(s, -(1 << 63)), (1 << 63) - 1)) for q, r, d, s in want}
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    assert {tuple(r) for r in M.top_k(df, "vec_id", "v", F.col("id") % 2 == 0, 8).collect()} == want
+    # doubles hold whole numbers far above 2**63
+    wide = [(i, [float(x) * 2.0 ** (90 * (i % 3)) for x in v]) for i, v in rows if i < 30] \
+        + [(50, [1e300] * 5), (51, [-1e300] * 5), (52, [float("inf")] * 5), (53, [float("nan")] * 5)]
+    df = spark.createDataFrame(wide, "vec_id long, v array<double>")
+    whole = [(i, [int(x) for x in v]) for i, v in wide if i < 52]
+    want = {(q, r, d, min(max(s, -(1 << 63)), (1 << 63) - 1)) for q, r, d, s in brute(*zip(*whole), lambda i: i % 2 == 0, 8)}
+    assert {tuple(r) for r in M.top_k(df, "vec_id", "v", F.col("id") % 2 == 0, 8).collect()} == want
 
 
 def test_query_matches_sql(spark):
