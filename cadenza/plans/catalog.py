@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, charts, jobs, merge, quality, recommend, regress, sources, stats, streaming, survey, warehouse  # noqa: F401
+from . import aggregates, charts, jobs, merge, presets, quality, recommend, regress, sources, stats, streaming, survey, warehouse  # noqa: F401
 from .registry import REGISTRY
 
 
