@@ -373,6 +373,17 @@ def tokenize(c, stop_words: Sequence[str] | None = None) -> Column:
     return toks
 
 
+#: Rules that read their input once: chained, they copy no sub-tree.
+READS_ONCE = ("trimSpaces", "toLowerCase", "toUpperCase", "toString", "trimEmoji")
+
+
+def apply_rules(c, rules: Sequence[str], registry) -> Column:
+    """The rules one after the other; one that reads its input more than once gets it bound."""
+    for i, rule in enumerate(rules):
+        c = registry[rule](c) if i == 0 or rule in READS_ONCE else _let(c, registry[rule])
+    return c
+
+
 # UDF-01: registry of standardisers by rule name (open: users may add entries).
 STANDARDISERS: dict[str, Callable[[Column], Column]] = {
     "trimSpaces": trim_spaces,

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.standardise import STANDARDISERS
+from ..functions.standardise import STANDARDISERS, apply_rules
 from ..functions.validate import VALIDATORS, RuleContext, convert
 from ..session import cut_lineage
 from .aggregates import duplicate_flag
@@ -115,9 +115,7 @@ def clean_table(df: DataFrame, rules: TableRules, *, as_of=None, strict_int: boo
         col = F.col(f"`{c}`")
         if eff_std[c] and not isinstance(dtypes[c], T.StringType):
             col = col.cast("string")
-        for r in eff_std[c]:
-            col = std_reg[r](col)
-        std_cols.append(col.alias(c))
+        std_cols.append(apply_rules(col, eff_std[c], std_reg).alias(c))
     work = df.select(*std_cols)
 
     # Typed conversion: one projection.

@@ -84,12 +84,11 @@ def read_raw_csv(spark: SparkSession, path: str, header_rows: int = 1, header_pa
         if len(names) != len(df.columns):
             raise ValueError(f"header has {len(names)} columns, data {len(df.columns)}")
         df = df.toDF(*names)
+        # one comparison a line: a disjunction over the columns would be pushed, inferred and simplified term by term
+        cells = F.array(*[F.col(f"`{c}`") for c in df.columns])
         for line in header:
-            same = None
-            for c, v in zip(df.columns, line):
-                e = F.col(f"`{c}`").eqNullSafe(F.lit(v) if v != "" else F.lit(None))
-                same = e if same is None else same & e
-            df = df.filter(~same)
+            whole = [F.lit(v) if v != "" else F.lit(None).cast("string") for v in [*line, *[""] * (len(names) - len(line))]]
+            df = df.filter(~cells.eqNullSafe(F.array(*whole)))
     if rename:
         df = df.withColumnsRenamed(dict(rename))
     if drop_key and drop_values:
