@@ -364,8 +364,13 @@ def _genre_gate(df: DataFrame, genre_col: str, target_genres: DataFrame) -> Data
     return flagged.filter((n_pref == 0) | F.col("__pref").isNotNull()).drop("__pref")
 
 
+def _first(df: DataFrame, top_n: int | None, *order) -> DataFrame:
+    """The first ``top_n`` rows by ``order``, or all as they are."""
+    return df if top_n is None else df.orderBy(*order).limit(top_n)
+
+
 def similar_user_scores(listens: DataFrame, similar: DataFrame, item_genres: DataFrame, target,
-                        target_genres: DataFrame, *, user: str, item: str, count: str, top_n: int = 10,
+                        target_genres: DataFrame, *, user: str, item: str, count: str, top_n: int | None = 10,
                         genre_weighted: bool = True) -> DataFrame:
     """REC-14 / AGG-23 / JOIN-18 / FIL-11: Σ count·max(score, 1) over similar
     users' listens; target's heard items excluded; optional genre gate; > 0."""
@@ -381,17 +386,18 @@ def similar_user_scores(listens: DataFrame, similar: DataFrame, item_genres: Dat
     rows = _genre_gate(rows, "genre", target_genres).join(heard, "item", "left_anti")
     agg = (rows.groupBy("item").agg(F.sum(F.col("cnt") * F.greatest(F.col("score"), F.lit(1))).alias("total_score"))
            .filter(F.col("total_score") > 0))
-    return agg.orderBy(F.desc("total_score"), F.asc("item")).limit(top_n).select(F.col("item").alias(item), "total_score")
+    return _first(agg, top_n, F.desc("total_score"), F.asc("item")).select(F.col("item").alias(item), "total_score")
 
 
 def fallback_recommend(listens: DataFrame, similar: DataFrame, item_genres: DataFrame, genre_prefs: DataFrame,
                        target, target_genres: DataFrame, *, user: str, item: str, count: str,
-                       top_n: int = 10, seed: int = 0) -> DataFrame:
+                       top_n: int | None = 10, seed: int = 0) -> DataFrame:
     """REC-15: similar users → global popularity → genre-preference popularity.
 
     All three tiers are computed as one union with a ``tier`` column and the
     lowest non-empty tier is kept (a scalar ``min``): no driver branching.
     Tier 3 breaks score ties with a seeded hash instead of ``random()``.
+    ``top_n`` None ranks every candidate of each tier.
     """
     t1 = similar_user_scores(listens, similar, item_genres, target, target_genres, user=user, item=item,
                              count=count, top_n=top_n).select(item, F.col("total_score").cast("double").alias("score"),
@@ -399,17 +405,20 @@ def fallback_recommend(listens: DataFrame, similar: DataFrame, item_genres: Data
     l = listens.select(F.col(item).alias("item"), F.col(count).alias("cnt"))
     g = item_genres.select(F.col(item).alias("item"), "genre")
     pop = _genre_gate(l.join(g, "item", "left"), "genre", target_genres)
-    t2 = (pop.groupBy("item").agg(F.sum("cnt").cast("double").alias("score"))
-          .orderBy(F.desc("score"), F.asc("item")).limit(top_n)
+    t2 = (_first(pop.groupBy("item").agg(F.sum("cnt").cast("double").alias("score")), top_n, F.desc("score"), F.asc("item"))
           .select(F.col("item").alias(item), "score", F.lit(2).alias("tier")))
     pref_counts = genre_prefs.groupBy("genre").agg(F.count(F.lit(1)).alias("pc"))
     cand = _genre_gate(item_genres.select(F.col(item).alias("item"), "genre"), "genre", target_genres)
-    t3 = (cand.join(pref_counts, "genre", "left").groupBy("item")
-          .agg(F.max(F.coalesce(F.col("pc"), F.lit(0))).cast("double").alias("score"))
-          .orderBy(F.desc("score"), uniform_noise("item", seed), "item").limit(top_n)
+    t3 = (_first(cand.join(pref_counts, "genre", "left").groupBy("item")
+                 .agg(F.max(F.coalesce(F.col("pc"), F.lit(0))).cast("double").alias("score")),
+                 top_n, F.desc("score"), uniform_noise("item", seed), "item")
           .select(F.col("item").alias(item), "score", F.lit(3).alias("tier")))
+    tiers = t1.unionByName(t2).unionByName(t3)
+    if top_n is None:                                # any number of rows: written once, one distributed sort of the kept tier
+        every = cut_lineage(tiers, "tiers")
+        tie = F.when(F.col("tier") == 3, uniform_noise(item, seed)).otherwise(F.lit(0.0))
+        return every.filter(F.col("tier") == every.agg(F.min("tier")).scalar()).orderBy(F.desc("score"), tie, item)
     # At most 3·top_n rows after the per-tier limits: a global window over
     # them is tiny, and each tier is computed once.
-    tiers = t1.unionByName(t2).unionByName(t3)
     return (tiers.withColumn("__best", F.min("tier").over(Window.partitionBy()))
             .filter(F.col("tier") == F.col("__best")).drop("__best"))

@@ -102,3 +102,25 @@ def test_smooth_l1_with_dependent_columns(spark):
     rows = [(float(i), 2.0 * i, 1.0, 3.0 * i + 1) for i in range(20)]
     fit = G.fit_smooth_l1(spark.createDataFrame(rows, "a double, b double, c double, label double"), ["a", "b", "c"])
     assert fit.loss < 1e-9
+
+
+def test_fallback_tier_ranks_every_candidate(spark, tmp_path):
+    """All parts of the target's genre come back, however many; a limit picks among equal scores by the seeded hash."""
+    from cadenza.functions.ids import uniform_noise
+    from cadenza.plans.jobs import fallback_genre_tier
+    spark.createDataFrame([(i, "A" if i < 40 else "B") for i in range(60)], "p_partkey long, p_type string") \
+        .write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(i % 7, i % 60) for i in range(120)], "l_orderkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = fallback_genre_tier(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in rows) == [(i, 7.0, 3) for i in range(40)]
+
+    items = spark.createDataFrame([(i, "A") for i in range(30)], "i long, genre string")
+    none = spark.createDataFrame([], "u long, i long, c long")
+    prefs, target = spark.createDataFrame([(1, "A")], "u long, genre string"), spark.createDataFrame([("A",)], "genre string")
+    similar = spark.createDataFrame([], "u long, score int")
+
+    def ranked(top_n):
+        out = R.fallback_recommend(none, similar, items, prefs, 9, target, user="u", item="i", count="c", top_n=top_n, seed=3)
+        return [r.i for r in out.collect()]
+    want = [r.i for r in items.orderBy(uniform_noise("i", 3), "i").collect()]
+    assert ranked(None) == want and sorted(ranked(4)) == sorted(want[:4])
