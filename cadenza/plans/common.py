@@ -13,6 +13,11 @@ def T(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return load_table(spark, sf_dir, name)
 
 
+def spread(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """``df`` in tasks of about ``rows`` rows: a file of few bytes is one task else, whatever is computed for its rows."""
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def rnd(col, digits: int = 6):
     c = F.col(col) if isinstance(col, str) else col
     return F.round(c, digits)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import preferences as P
 from ..operators import recommend as R
 from ..session import cut_lineage
-from .common import T, rnd
+from .common import T, rnd, spread
 from .registry import query
 
 TEXT = {"titles": "p_name", "artists": "p_brand", "genres": "p_type"}
@@ -223,6 +223,13 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 _PRIORITY = {"1-URGENT": 4, "2-HIGH": 3, "3-MEDIUM": 2}
 
 
+def _slots(vec):
+    """(customer, slot, value) of dense vectors.  They are never empty, so the outer form gives the same rows; for the
+    inner one Spark adds a filter on the array's size, which computes every slot's expression again for each row."""
+    return vec.select("c_custkey", F.posexplode_outer("vector").alias("slot", "value")).select(
+        "c_custkey", "slot", rnd("value").alias("value"))
+
+
 def _pref_slots():
     slots = [("onehot", "c_mktsegment", s, 1.0) for s in _SEGMENTS]
     slots += [("numeric", "c_nationkey", 24.0), ("ordinal", "n_regionkey", {"0": 1, "1": 2, "2": 3, "3": 4, "4": 5}, 6.0),
@@ -267,8 +274,7 @@ def preference_vector(spark, sf_dir):
            .select("c_custkey", F.transform("s", lambda x: x["o_orderpriority"]).alias("priorities")))
     base = cust.join(nat, "c_nationkey", "left").join(pri, "c_custkey", "left")
     vec = R.preference_vector(base, "c_custkey", _pref_slots())
-    return vec.select("c_custkey", F.posexplode("vector").alias("slot", "value")).select(
-        "c_custkey", "slot", rnd("value").alias("value"))
+    return _slots(vec)
 
 
 _ATTRS = [("c_nationkey", 3, None), ("c_mktsegment", 2, None), ("n_regionkey", 2, None), ("c_acctbal", 1, 500.0)]
@@ -443,7 +449,7 @@ _NUMBERS = {"when_listening": (3, 6), "duration_pref": (5, 13), "tempo_pref": (7
 
 def _preferences(spark, sf_dir):
     """A preference row per customer: one label per column, two or three for columns of several answers."""
-    cust = T(spark, sf_dir, "customer").select("c_custkey")
+    cust = spread(T(spark, sf_dir, "customer").select("c_custkey"))
     key = F.col("c_custkey")
     cols = []
     for c, labels in _answer_labels().items():
@@ -513,7 +519,7 @@ vec AS (
 def survey_vector(spark, sf_dir):
     """All 71 slots of every customer's preference vector."""
     vec = R.preference_vector(P.several_answers(_preferences(spark, sf_dir)), "c_custkey", P.vector_slots())
-    return vec.select("c_custkey", F.posexplode("vector").alias("slot", "value")).select("c_custkey", "slot", rnd("value").alias("value"))
+    return _slots(vec)
 
 
 @query("survey_vector_knn", ("REC-07", "REC-06", "JOIN-16", "TOP-07"), _vector_sql() + """

@@ -124,3 +124,19 @@ def test_fallback_tier_ranks_every_candidate(spark, tmp_path):
         return [r.i for r in out.collect()]
     want = [r.i for r in items.orderBy(uniform_noise("i", 3), "i").collect()]
     assert ranked(None) == want and sorted(ranked(4)) == sorted(want[:4])
+
+
+def test_vector_slots_are_computed_once(spark, tmp_path):
+    """No filter repeats the vector's expressions, and the rows of one small file are spread over tasks."""
+    from cadenza.plans import common
+    from cadenza.plans.recommend import preference_vector, survey_vector
+    spark.createDataFrame([(i, "BUILDING", 0, 1.0) for i in range(30)], "c_custkey long, c_mktsegment string, c_nationkey int, c_acctbal double") \
+        .coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(0, 1)], "n_nationkey int, n_regionkey int").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame([(1, 2, "2-HIGH", "1999-01-01")], "o_orderkey long, o_custkey long, o_orderpriority string, o_orderdate string") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    for query, slots in ((survey_vector, 71), (preference_vector, 9)):
+        df = query(spark, str(tmp_path))
+        assert "size(array(" not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert df.count() == 30 * slots
+    assert common.spread(spark.read.parquet(str(tmp_path / "customer.parquet")), 10).rdd.getNumPartitions() == 3
