@@ -24,7 +24,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, tasks_for
 from ..functions.ids import normal_noise, uniform_noise
 from ..functions.standardise import tokenize
 
@@ -75,6 +75,7 @@ def text_postings(items: DataFrame, key: str, components: dict[str, str], *,
         weighted = (tf.join(dfreq, ["comp", "term"])
                     .select("item", "comp", "term",
                             (F.col("tf") * (F.log((1.0 + n_items) / (1.0 + F.col("df"))) + 1.0)).alias("w")))
+    weighted = weighted.repartition(tasks_for(tf.count()), "item", "comp")           # the window's sort in tasks of bounded size
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("item", "comp")))     # one item's terms
     return cut_lineage(weighted.select("item", "comp", "term", (F.col("w") / norm).alias("w")), "postings")
 
@@ -114,14 +115,15 @@ def cosine(a: Column, b: Column) -> Column:
 
 # ------------------------------------------------------------------ scoring
 
-def _text_scores(query_postings: DataFrame, postings: DataFrame, qkey: str) -> DataFrame:
+def _text_scores(query_postings: DataFrame, postings: DataFrame, qkey: str, one_item: bool = False) -> DataFrame:
     """Cosine per (qkey, item, comp) between query vectors and item vectors.
 
     Query vectors need not be unit length: they are divided by their norm
-    here.  Only items sharing a term appear (others score 0)."""
+    here.  Only items sharing a term appear (others score 0).  The terms of ``one_item`` are broadcast: by
+    (comp, term), a frequent term's postings would be one task."""
     qn = query_postings.groupBy(qkey, "comp").agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("__qn"))
     q = query_postings.join(qn, [qkey, "comp"]).select(qkey, "comp", "term", (F.col("qw") / F.col("__qn")).alias("qw"))
-    return (q.join(postings, ["comp", "term"])
+    return ((F.broadcast(q) if one_item else q).join(postings, ["comp", "term"])
             .groupBy(qkey, "item", "comp").agg(F.sum(F.col("qw") * F.col("w")).alias("sim")))
 
 
@@ -137,7 +139,7 @@ def item_similarity(postings: DataFrame, numeric: DataFrame, catalogue: DataFram
         raise ValueError("audio_weight must be in [0, 1]")
     seed = seed_item if isinstance(seed_item, Column) else F.lit(seed_item)
     qp = postings.filter(F.col("item") == seed).select(F.lit(0).alias("__q"), "comp", "term", F.col("w").alias("qw"))
-    text = (_text_scores(qp, postings, "__q").groupBy("item")
+    text = (_text_scores(qp, postings, "__q", one_item=True).groupBy("item")
             .agg((F.sum("sim") / float(n_text_components)).alias("text_sim")))
     seed_vec = numeric.filter(F.col("item") == seed).select("vec").scalar()
     # Scalars are projected as a column first: sub-queries may not sit inside
@@ -205,7 +207,7 @@ def payload_similarity(fitted: FittedItems, payload: dict, *, audio_weight: floa
     if not 0.0 <= audio_weight <= 1.0:
         raise ValueError("audio_weight must be in [0, 1]")
     terms, vec = fitted.transform(payload)
-    text = (_text_scores(terms.withColumn("__q", F.lit(0)), fitted.postings, "__q").groupBy("item")
+    text = (_text_scores(terms.withColumn("__q", F.lit(0)), fitted.postings, "__q", one_item=True).groupBy("item")
             .agg((F.sum("sim") / float(len(fitted.components))).alias("text_sim")))
     audio = cosine(F.col("vec"), F.array(*[F.lit(float(x)) for x in vec])) if vec else F.lit(0.0)
     scored = fitted.numeric.join(text, "item", "left").withColumn(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import priority_merge
+from ..session import tasks_for
 from ..sources.tables import load_table
 
 
@@ -15,7 +16,7 @@ def T(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, rows: int = 20_000) -> DataFrame:
     """``df`` in tasks of about ``rows`` rows: a file of few bytes is one task else, whatever is computed for its rows."""
-    return df.repartition(max(1, -(-df.count() // rows)))
+    return df.repartition(tasks_for(df.count(), rows))
 
 
 def rnd(col, digits: int = 6):

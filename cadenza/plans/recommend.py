@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import preferences as P
 from ..operators import recommend as R
-from ..session import cut_lineage
+from ..session import cut_lineage, tasks_for
 from .common import T, rnd, spread
 from .registry import query
 
@@ -33,12 +33,19 @@ def _features(spark, sf_dir, binary: bool = False):
 ITEM_TEXT = {"titles": "p_name", "artists": "artists", "genres": "p_type"}
 
 
+def _artist_names(spark, sf_dir):
+    """(part, supplier's name) per line item, by part in partitions whose number grows with the lines: names, texts and
+    terms of a part are all made in its task, so a merged shuffle partition would hold too much."""
+    lines = T(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
+    names = lines.join(T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
+    return names.repartition(tasks_for(lines.count()), "l_partkey")
+
+
 def _item_features(spark, sf_dir):
     """REC-01: the item-to-item catalogue frame -- title, genre, and the
     distinct names of the suppliers (artists) of each part's line items."""
     part = T(spark, sf_dir, "part")
-    lines = T(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").join(
-        T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
+    lines = _artist_names(spark, sf_dir)
     cat = R.catalogue_features(part.select("p_partkey", "p_name", "p_type", *NUMS), "p_partkey",
                                [(lines, "l_partkey", "s_name", "artists")])
     return (cat, R.text_postings(cat, "p_partkey", ITEM_TEXT, binary=True),
@@ -397,8 +404,7 @@ def _payload(spark, sf_dir):
 
 def _fitted(spark, sf_dir):
     part = T(spark, sf_dir, "part")
-    lines = T(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").join(
-        T(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
+    lines = _artist_names(spark, sf_dir)
     cat = cut_lineage(R.catalogue_features(part.select("p_partkey", "p_name", "p_type", *NUMS), "p_partkey",
                                            [(lines, "l_partkey", "s_name", "artists")]), "catalogue")
     return R.fit_items(cat, "p_partkey", ITEM_TEXT, NUMS, binary=True)

@@ -85,6 +85,11 @@ def discard(df) -> None:
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def tasks_for(rows: int, each: int = 500_000) -> int:
+    """Partitions of at most about ``each`` rows: named in ``repartition``, adaptive execution does not merge them."""
+    return max(1, -(-rows // each))
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.sparkContext.defaultParallelism)

@@ -140,3 +140,23 @@ def test_vector_slots_are_computed_once(spark, tmp_path):
         assert "size(array(" not in df._jdf.queryExecution().optimizedPlan().toString()
         assert df.count() == 30 * slots
     assert common.spread(spark.read.parquet(str(tmp_path / "customer.parquet")), 10).rdd.getNumPartitions() == 3
+
+
+def test_lines_of_parts_lie_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    """The partitions of a part's names and of the postings grow with the rows; a frequent term is no task of its own."""
+    from cadenza import session
+    from cadenza.plans import recommend as PR
+    assert [session.tasks_for(n, 100) for n in (0, 1, 100, 101, 1000)] == [1, 1, 1, 2, 10]
+    few = lambda rows, each=None: session.tasks_for(rows, 10)                       # noqa: E731
+    monkeypatch.setattr(PR, "tasks_for", few)
+    monkeypatch.setattr(R, "tasks_for", few)
+    spark.createDataFrame([(i, i % 3) for i in range(50)] + [(None, 1), (4, None)], "l_partkey long, l_suppkey long") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(i, f"S{i}") for i in range(3)], "s_suppkey long, s_name string").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(i, "red ring" if i % 2 else None, "LARGE", i, 1.0) for i in range(50)],
+                          "p_partkey long, p_name string, p_type string, p_size int, p_retailprice double").write.parquet(str(tmp_path / "part.parquet"))
+    names = PR._artist_names(spark, str(tmp_path))
+    assert names.rdd.getNumPartitions() == 6 and names.count() == 51
+    out = PR.item_similarity_text(spark, str(tmp_path))
+    assert "BroadcastHashJoin [comp" in out._jdf.queryExecution().sparkPlan().toString()
+    assert len(out.collect()) == 20
