@@ -27,6 +27,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
@@ -37,9 +38,9 @@ from .text import mix
 #: Entries of a product that are expanded at once.
 PRODUCT = 1 << 20
 #: Text bytes of a block; a longer text is a block alone.
-BLOCK_TEXT = 4 << 20
+BLOCK_TEXT = 2 << 20
 #: Parts remembered at once in a task.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 #: A space after a character that is not white space begins a part.
 PART = r" \s*\S*(?:[^\S ]\s*\S*)*"
 #: An id takes so many bits of a pair's key; the other bits name the bucket.
@@ -252,12 +253,12 @@ def _pair_keys(pairs: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Whole numbers below 2 ** 32 by planes of bytes, which compress better."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Whole numbers below 2 ** 32 by planes of bytes, compressed here: rows of several megabytes fill the JVM's heap."""
+    return zstandard.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
 
 
 def _unplanes(x: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(x), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def encode_blocks(df: DataFrame, text: str, path_a: str, pattern: str, path_b: str, carry: list[str], bits: int,
@@ -268,37 +269,42 @@ def encode_blocks(df: DataFrame, text: str, path_a: str, pattern: str, path_b: s
     parts; ``pair``, ``n_links``: each part's links, as numbers of the block's sorted ``keys``; ``id``: the
     A id of each key; ``counts``: the texts that hold it linked.
     """
+    def block(batch, encoders, cut):
+        """One block's row; what it takes is free before the next block."""
+        numbers = _Numbers()
+        seqs = [np.array([*map(numbers.__getitem__, cut.findall(" " + x))], np.int64) if x else np.zeros(0, np.int64)
+                for x in batch.column(1).to_pylist()]
+        ids = encoders.encode(list(numbers))
+        del numbers
+        if None in ids:
+            broken = np.array([x is None for x in ids])
+            seqs = [x[:0] if broken[x].any() else x for x in seqs]
+            ids = [x or (b"", b"") for x in ids]
+        x = Parts(ids, np.concatenate(seqs), np.array([len(s) for s in seqs]), encoders.length_a, encoders.length_b)
+        n_groups, shared, texts = x.groups()
+        parts = {"n_a": x.n_a, "n_b": x.n_b, "n_groups": n_groups, "n_links": x.n_links, "n_group_links": shared}
+        docs = {"row": batch.column(0), **{k: pa.array(_sums(v[x.seq], x.n_parts), pa.int64()) for k, v in parts.items()}}
+        every, stops = list(map(texts.__getitem__, x.seq.tolist())), np.cumsum(x.n_parts).tolist()
+        texts = [b";".join(every[i:j]) for i, j in zip([0, *stops], stops)]
+        docs["groups_sha256"] = pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in texts])
+        if "groups" in keep:
+            docs["groups"] = pa.array(texts, pa.binary()).cast(pa.string())
+        if "links" in keep:
+            docs |= x.token_links()
+        keys = _pair_keys(x.pairs, bits)
+        order = np.argsort(keys)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return pa.RecordBatch.from_pydict({
+            "docs": [to_stream(pa.table(docs))], "seq": [_planes(x.seq)], "n_parts": [_planes(x.n_parts)],
+            "pair": [_planes(rank[x.pair])], "n_links": [_planes(x.n_links)], "id": [_planes((x.pairs >> ID_BITS)[order])],
+            "keys": [zstandard.compress(keys[order].tobytes(), 1)], "counts": [_planes(x.documents_of_pairs()[order])]}, schema=schema)
+
     def run(batches):
         encoders, cut = Encoders(path_a, pattern, path_b), re.compile(PART)
         for whole in batches:
             for batch in slices(whole, BLOCK_TEXT):
-                numbers = _Numbers()
-                seqs = [np.array([*map(numbers.__getitem__, cut.findall(" " + x))], np.int64) if x else np.zeros(0, np.int64)
-                        for x in batch.column(1).to_pylist()]
-                ids = encoders.encode(list(numbers))
-                if None in ids:
-                    broken = np.array([x is None for x in ids])
-                    seqs = [x[:0] if broken[x].any() else x for x in seqs]
-                    ids = [x or (b"", b"") for x in ids]
-                x = Parts(ids, np.concatenate(seqs), np.array([len(s) for s in seqs]), encoders.length_a, encoders.length_b)
-                n_groups, shared, texts = x.groups()
-                parts = {"n_a": x.n_a, "n_b": x.n_b, "n_groups": n_groups, "n_links": x.n_links, "n_group_links": shared}
-                docs = {"row": batch.column(0), **{k: pa.array(_sums(v[x.seq], x.n_parts), pa.int64()) for k, v in parts.items()}}
-                every, stops = list(map(texts.__getitem__, x.seq.tolist())), np.cumsum(x.n_parts).tolist()
-                texts = [b";".join(every[i:j]) for i, j in zip([0, *stops], stops)]
-                docs["groups_sha256"] = pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in texts])
-                if "groups" in keep:
-                    docs["groups"] = pa.array(texts, pa.binary()).cast(pa.string())
-                if "links" in keep:
-                    docs |= x.token_links()
-                keys = _pair_keys(x.pairs, bits)
-                order = np.argsort(keys)
-                rank = np.empty(len(order), np.int64)
-                rank[order] = np.arange(len(order))
-                yield pa.RecordBatch.from_pydict({
-                    "docs": [to_stream(pa.table(docs))], "seq": [_planes(x.seq)], "n_parts": [_planes(x.n_parts)],
-                    "pair": [_planes(rank[x.pair])], "n_links": [_planes(x.n_links)], "id": [_planes((x.pairs >> ID_BITS)[order])],
-                    "keys": [keys[order].tobytes()], "counts": [x.documents_of_pairs()[order].astype("<u4").tobytes()]}, schema=schema)
+                yield block(batch, encoders, cut)
 
     names = ["docs", "seq", "n_parts", "pair", "n_links", "id", "keys", "counts"]
     schema = pa.schema([(n, pa.binary()) for n in names])
@@ -351,7 +357,7 @@ def align(df: DataFrame, text: str, path_a: str, pattern: str, path_b: str, carr
     def send(batches):
         for batch in batches:
             for block, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "keys", "counts"))):
-                yield key_slices(block, np.frombuffer(keys, np.uint64), np.frombuffer(counts, "<u4"), bits)
+                yield key_slices(block, np.frombuffer(zstandard.decompress(keys), np.uint64), _unplanes(counts).astype("<u4"), bits)
 
     replies = blocks.select("block", "keys", "counts").mapInArrow(send, KEYS_SCHEMA).groupBy("bucket").applyInArrow(
         _add_up, "block long, bucket long, counts binary, id array<bigint>, best array<bigint>")

@@ -131,3 +131,12 @@ def test_query_on_the_small_table(spark, libraries):
     assert len(rows) == len(docs)
     for r in rows:
         assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256, r.n_group_links) == want[r.doc_id]
+
+
+def test_numbers_of_a_block_are_compressed():
+    """A block's numbers travel compressed and come back whole, empty ones too."""
+    from cadenza.llm.alignment import _planes, _unplanes
+    x = np.arange(100_000) % 300
+    assert len(_planes(x)) < 4 * len(x) // 3
+    for y in (x, x[:0], np.array([2 ** 32 - 1])):
+        assert _unplanes(_planes(y)).tolist() == y.tolist()
