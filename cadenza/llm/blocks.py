@@ -135,10 +135,10 @@ def key_slices(block: int, keys: np.ndarray, counts: np.ndarray, bits: int, wide
     ], names=["bucket", "block", "keys", "counts"])
 
 
-def count_exchange(keys: DataFrame, wide: bool = True, reply: str = "uint8", count: str = "uint32") -> DataFrame:
+def count_exchange(keys: DataFrame, wide: bool = True, reply: str = "uint8", count: str = "uint32", encode=np.ndarray.tobytes) -> DataFrame:
     """Sum the counts of equal keys over all blocks; answer each block in the order it sent.
 
-    ``reply`` is the type of the answer, ``uint8`` clips at 255.
+    ``reply`` is the type of the answer, ``uint8`` clips at 255; ``encode`` makes bytes of the numbers.
     """
     def merge(table: pa.Table) -> pa.Table:
         sent = [np.frombuffer(x.as_py(), np.uint64 if wide else np.uint32) for x in table.column("keys")]
@@ -155,18 +155,19 @@ def count_exchange(keys: DataFrame, wide: bool = True, reply: str = "uint8", cou
         out = np.minimum(out, np.iinfo(reply).max).astype(reply)
         ends = np.cumsum([len(x) for x in sent])
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                         "counts": pa.array([out[e - len(x):e].tobytes() for x, e in zip(sent, ends)], pa.binary()),
+                         "counts": pa.array([encode(out[e - len(x):e]) for x, e in zip(sent, ends)], pa.binary()),
                          "total": pa.array([int(totals.sum()), *rest], pa.int64()),
                          "present": pa.array([int((totals > 0).sum()), *rest], pa.int64())})
 
     return keys.groupBy("bucket").applyInArrow(merge, REPLY_SCHEMA)
 
 
-def join_reply(replies: pa.Table, dtype: str) -> np.ndarray:
+def join_reply(replies: pa.Table, dtype: str, decode=None) -> np.ndarray:
     """One block's answers, in the order of its sorted keys."""
     order = np.argsort(np.asarray(replies.column("bucket")))
     parts = replies.column("counts").to_pylist()
-    return np.concatenate([np.frombuffer(parts[i], dtype) for i in order]) if parts else np.zeros(0, dtype)
+    decode = decode or (lambda data: np.frombuffer(data, dtype))
+    return np.concatenate([decode(parts[i]) for i in order]) if parts else np.zeros(0, dtype)
 
 
 def with_replies(blocks: DataFrame, replies: DataFrame, fn, schema) -> DataFrame:

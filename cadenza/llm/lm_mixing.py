@@ -9,9 +9,15 @@ gate selects (the bit's place and how much the two longest contexts have seen),
 and the sum is squashed to a probability.  An adaptive map then refines that
 probability by what followed it before, under the bits so far.
 
-The counts are those of all training texts, kept exactly: each block sends its
-distinct (context, byte) pairs once to buckets of contexts, a bucket adds them up
-and answers each block's pairs (``sent``, ``answer``).  They grow with the corpus.
+The counts are those of all training texts, kept exactly, and they grow with the
+corpus.  A block writes its distinct types once: a type is a byte with the longest
+context, nearest byte first (``turned``), so the types of a context of any length are
+neighbours.  Ranges of them are the buckets (``bounds``).  A bucket adds up the types
+of all blocks, counts every order's contexts and gives each block the logarithm of
+each type's probability (``rate_types``).  Only shorter contexts that a bound cuts
+lie in several buckets: their pairs are added up before (``shared_pairs``), at most
+five contexts a bound.  So a type crosses the network once, not once for each order,
+and is evaluated once for the corpus.
 
 Weights and refining map are learned online: a chunk is predicted with what the
 chunks before it left in a task's own hashed tables, the gated weights move by its
@@ -55,11 +61,12 @@ CHUNK_BYTES = (64 << 10, 4 << 20)
 #: Types that are predicted together before their errors and counts are learned.
 STEP = 1 << 14
 PRIOR = 0.1
-#: Bytes of pairs that a block sends for each byte of text.
-PAIR_BYTES = 3
-#: Blocks are larger than elsewhere: a longer text repeats more of its pairs, so fewer are sent.
-LM_BLOCK = 4 * B.BLOCK_BYTES
-_LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
+#: Blocks are larger than elsewhere: a longer text repeats more of its types, so fewer are sent.
+LM_BLOCK = 2 * B.BLOCK_BYTES
+#: Types of a bucket, as sent by all blocks, and evenly spaced contexts of a block that the bounds are taken from.
+BUCKET_TYPES, MARKS = 1 << 19, 64
+#: Types of a chunk whose slots are kept from prediction to counting, and bytes of text that are turned to keys at once.
+KEPT, SLICE_BYTES = 1 << 17, 1 << 20
 _LEVEL = np.array([min(int(n).bit_length(), LEVELS - 1) for n in range(64)], np.uint8)
 
 
@@ -118,9 +125,12 @@ def type_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     lead = np.frombuffer(bytes(8 - LONGEST - 1) + data.tobytes(), np.uint8)       # so that eight bytes end at each place
     eight = np.ndarray((len(lead) - 7,), ">u8", lead.data, 0, (1,))
     # eight[i] ends at data[i + LONGEST]
-    parts = [eight[a - LONGEST:b - LONGEST] for a, b in zip(begins.tolist(), ends.tolist())]
-    keys = np.concatenate(parts).astype(np.uint64) & np.uint64((1 << 8 * (LONGEST + 1)) - 1) if parts else np.zeros(0, np.uint64)
-    return keys, np.concatenate([[0], np.cumsum(ends - begins)])
+    places = np.concatenate([[0], np.cumsum(ends - begins)])
+    keys = np.empty(places[-1], np.uint64)
+    for a, b, at in zip(begins.tolist(), ends.tolist(), places.tolist()):
+        keys[at:at + b - a] = eight[a - LONGEST:b - LONGEST]
+    keys &= np.uint64((1 << 8 * (LONGEST + 1)) - 1)
+    return keys, places
 
 
 def _stretch(p):
@@ -131,19 +141,31 @@ def _squash(x):
     return 1 / (1 + np.exp(-x))
 
 
+def _word_bytes(before: np.ndarray) -> np.ndarray:
+    """How many of the bytes before a place belong to its word so far."""
+    size = np.zeros(len(before), np.uint8)
+    open_ = np.ones(len(before), bool)
+    for back in range(LONGEST):
+        byte = (before >> np.uint64(8 * back)).astype(np.uint8)
+        open_ &= (byte != SPACE) & (byte != END)
+        size += open_
+    return size
+
+
 def _context_ids(types: np.ndarray) -> list[np.ndarray]:
     """Each context of each type with its order's number in the low three bits: equal for equal contexts only."""
     before = types >> np.uint64(8)
-    keep = np.zeros(len(types), np.uint64)
-    open_ = np.ones(len(types), bool)
-    for back in range(LONGEST):                      # the bytes of the word so far
-        byte = (before >> np.uint64(8 * back)) & np.uint64(255)
-        open_ &= (byte != SPACE) & (byte != END)
-        keep[open_] |= np.uint64(255 << (8 * back))
-    return [(before & (keep if k == WORD else np.uint64((1 << (8 * k)) - 1))) * np.uint64(8) + np.uint64(i)
+    keep = np.array([(1 << (8 * n)) - 1 for n in range(LONGEST + 1)], np.uint64)
+    return [(before & (keep[_word_bytes(before)] if k == WORD else keep[k])) * np.uint64(8) + np.uint64(i)
             for i, k in enumerate(ORDERS)]
 
 
+def turned(types: np.ndarray) -> np.ndarray:
+    """Types with the nearest context byte first and the coded byte last, so that sorted types lie by context at every
+    order; turned again they are as before."""
+    return (types.byteswap() & np.uint64(((1 << 8 * LONGEST) - 1) << 8)) | (types & np.uint64(255))
+
+
 def _contexts(types: np.ndarray) -> list[np.ndarray]:
     """Hash of each context of each type; the code's node is still to be added."""
     return [mix(c) for c in _context_ids(types)]
@@ -259,6 +281,132 @@ def answer(table: pa.Table, code: Code) -> pa.Table:
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "counts": pa.array(out, pa.binary())})
 
 
+def tally(block: int, types: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """Row of TALLY_SCHEMA: a block's distinct types, turned and sorted, with how often its training texts hold them (0: only
+    asked for), and some of their contexts."""
+    types = turned(types)
+    order = np.argsort(types)
+    types = types[order]
+    marks = types[np.linspace(0, len(types) - 1, min(MARKS, len(types))).astype(np.int64)] >> np.uint64(8)
+    return pa.RecordBatch.from_arrays([
+        pa.array([block], pa.int64()), pa.array([len(types)], pa.int64()), pa.array([marks.tobytes()], pa.binary()),
+        pa.array([_packed(types)], pa.binary()), pa.array([_packed(times[order])], pa.binary())],
+        names=["block", "n", "marks", "keys", "counts"])
+
+
+TALLY_SCHEMA = "block long, n long, marks binary, keys binary, counts binary"
+
+
+def bounds(tallies: DataFrame) -> np.ndarray:
+    """Turned contexts where a new bucket begins, so that buckets get about BUCKET_TYPES types; any bounds are right."""
+    rows = tallies.select("n", "marks").collect()    # MARKS contexts a block
+    if not rows:
+        return np.zeros(0, np.uint64)
+    marks = [np.frombuffer(r.marks, np.uint64) for r in rows]
+    share = np.concatenate([np.full(len(m), r.n / len(m)) for r, m in zip(rows, marks)])
+    marks = np.concatenate(marks)
+    order = np.argsort(marks)
+    marks, ends = marks[order], np.cumsum(share[order])
+    parts = max(int(tallies.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(np.ceil(ends[-1] / BUCKET_TYPES)))
+    return np.unique(marks[np.searchsorted(ends, ends[-1] * np.arange(1, parts) / parts)])
+
+
+def _in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the sorted ``among``."""
+    if not len(among):
+        return np.zeros(len(values), bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
+def shared_pairs(types: np.ndarray, times: np.ndarray, cuts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, counts) of the contexts whose types ``cuts`` may part, from sorted turned types that occurred."""
+    found, counts = [], []
+    plain = turned(types)
+    ids, word = _context_ids(plain), _word_bytes(plain >> np.uint64(8))
+    place = code.rank[(types & np.uint64(255)).astype(np.int64)].astype(np.uint64)
+    for size in range(LONGEST):                      # contexts of the longest size are never parted
+        shift = np.uint64(8 * (LONGEST - size))
+        parted = np.flatnonzero(_in_sorted(types >> (shift + np.uint64(8)), np.unique(cuts >> shift)))
+        for i, k in enumerate(ORDERS):
+            at = parted[word[parted] == size] if k == WORD else parted if k == size else parted[:0]
+            codes, own = pd.factorize((ids[i][at] << np.uint64(8)) | place[at])
+            found.append(own)
+            counts.append(np.bincount(codes, times[at], len(own)).astype(np.int64))
+    return np.concatenate(found), np.concatenate(counts)
+
+
+def node_values(keys: np.ndarray, totals: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prediction and level of each decision on the way to each pair's byte, and where each pair's begin, from all pairs of
+    some contexts, sorted, and their counts."""
+    context, byte = keys >> np.uint64(8), code.leaf[(keys & np.uint64(255)).astype(np.int64)]
+    length = code.length[byte]
+    begin = np.cumsum(length) - length
+    guess, level = np.zeros(int(length.sum()), np.int16), np.zeros(int(length.sum()), np.uint8)
+    go = np.arange(len(keys))
+    for depth in range(code.node.shape[1]):
+        go = go[length[go] > depth]
+        if not len(go):
+            break
+        node, bit, c, n = code.node[byte[go], depth], code.bit[byte[go], depth], context[go], totals[go]
+        first = np.ones(len(go), bool)
+        first[1:] = (node[1:] != node[:-1]) | (c[1:] != c[:-1])
+        starts, run = np.flatnonzero(first), np.cumsum(first) - 1
+        ones, both = np.add.reduceat(n * bit, starts), np.add.reduceat(n, starts)
+        g, v = slot_values(np.stack([both - ones, ones]))
+        where = begin[go] + depth
+        guess[where], level[where] = g[run], v[run]
+    return guess, level, begin
+
+
+def counted(types: np.ndarray, times: np.ndarray, shared: tuple[np.ndarray, np.ndarray], code: Code) -> Answers:
+    """What the counts of all training texts say of a bucket's types: ``times`` are the types' own, ``shared`` the sorted pairs
+    of contexts that lie in other buckets too."""
+    place = code.rank[(types & np.uint64(255)).astype(np.int64)].astype(np.uint64)
+    guess, level, begins, done = [], [], [], 0
+    for i, context in enumerate(_context_ids(types)):
+        codes, own = pd.factorize((context << np.uint64(8)) | place)
+        order = np.argsort(own)
+        keys, totals = own[order], np.bincount(codes, times, len(own)).astype(np.int64)[order]
+        rank = np.empty(len(own), np.int64)
+        rank[order] = np.arange(len(own))
+        pairs, counts = (x[((shared[0] >> np.uint64(8)) & np.uint64(7)) == i] for x in shared)
+        here = _in_sorted(pairs >> np.uint64(8), keys >> np.uint64(8))
+        if here.any():
+            pairs, counts = pairs[here], counts[here]
+            totals[_in_sorted(keys >> np.uint64(8), pairs >> np.uint64(8))] = 0
+            more = pairs[~_in_sorted(pairs, keys)]   # bytes that a context has in other buckets only
+            rank += np.searchsorted(more, own)
+            at = np.searchsorted(keys, more)
+            keys, totals = np.insert(keys, at, more), np.insert(totals, at, 0)
+            totals[np.searchsorted(keys, pairs)] = counts
+        g, v, begin = node_values(keys, totals, code)
+        guess.append(g)
+        level.append(v)
+        begins.append(begin[rank][codes] + done)
+        done += len(g)
+    return Answers(np.concatenate(guess), np.concatenate(level), begins)
+
+
+def rate_types(table: pa.Table, model: Model, shared: tuple[np.ndarray, np.ndarray]) -> pa.Table:
+    """Add up a bucket's types; each block gets the logarithm of the probability of each type that it sent."""
+    parts = [_unpacked(x.as_py()) for x in table.column("keys")]
+    codes, types = pd.factorize(np.concatenate(parts).astype(np.uint64))
+    times = np.bincount(codes, np.concatenate([_unpacked(x.as_py()) for x in table.column("counts")]), len(types)).astype(np.int64)
+    types = turned(types)
+    logs = log_types(types, model, counted(types, times, shared, model.code))[codes]
+    ends = np.cumsum([len(x) for x in parts])
+    return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
+                     "counts": pa.array([zstandard.compress(logs[e - len(x):e].view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+                                         for x, e in zip(parts, ends)], pa.binary())})
+
+
+def rated(replies: pa.Table) -> np.ndarray:
+    """One block's logarithms, in the order of its sorted turned types."""
+    raw = replies.column("counts").to_pylist()
+    parts = [np.frombuffer(zstandard.decompress(raw[i]), np.uint8).reshape(4, -1).T for i in np.argsort(np.asarray(replies.column("bucket")))]
+    return np.ascontiguousarray(np.concatenate(parts)).view(np.float32).ravel()
+
+
 @dataclass
 class Answers:
     """What a block was answered: prediction and level of each pair's decisions, where each type's begin, for each order."""
@@ -316,14 +464,22 @@ class Trainer:
         The counts move only after the whole chunk is predicted: a context that
         was met a moment ago under another byte would look less certain than it is.
         """
-        for at in range(0, len(types), STEP):
-            self._adapt(types[at:at + STEP], times[at:at + STEP].astype(np.float32))
+        kept = []
         for a in range(0, len(types), STEP):
+            seen = self._adapt(types[a:a + STEP], times[a:a + STEP])
+            for n, slots in seen:
+                if a < KEPT:                         # so few that they take some 20 MB
+                    kept.append((n, [s.astype(np.uint32) for s in slots]))
+        for n, slots in kept:
+            self._count(n, slots)
+        for a in range(KEPT, len(types), STEP):
             count = times[a:a + STEP].astype(np.uint64)
             for _, at, _, bit, slots in _decisions(types[a:a + STEP], self.code):
-                n = count[at] << (bit.astype(np.uint64) << np.uint64(5))
-                for c, s in zip(self.counts, slots):
-                    np.add.at(c, s, n)
+                self._count(count[at] << (bit.astype(np.uint64) << np.uint64(5)), slots)
+
+    def _count(self, n: np.ndarray, slots: list[np.ndarray]) -> None:
+        for c, s in zip(self.counts, slots):
+            np.add.at(c, s, n)
 
     def renew(self) -> None:
         """Empty the tables once one is half full, so that contexts do not come to share slots; weights and map go on."""
@@ -336,12 +492,14 @@ class Trainer:
         yield -1, np.vstack([self.weights * self.curve, self.curve])
         yield -2, self.outcomes
 
-    def _adapt(self, types: np.ndarray, weight: np.ndarray) -> None:
+    def _adapt(self, types: np.ndarray, times: np.ndarray):
+        """Predict a step and move the weights; yields what is to be counted later, (count, slots), for each depth."""
+        weight, count = times.astype(np.float32), times.astype(np.uint64)
         for depth, at, node, bit, slots in _decisions(types, self.code):
             inputs, levels = [], []
             for k, s in enumerate(slots):
-                both = self.counts[k][s]
-                n0, n1 = (both & _LOW).astype(np.float32), (both >> _HALF).astype(np.float32)
+                both = self.counts[k][s].view("<u4")
+                n0, n1 = both[::2].astype(np.float32), both[1::2].astype(np.float32)
                 inputs.append(np.log((n1 + np.float32(PRIOR)) / (n0 + np.float32(PRIOR))))
                 if k >= len(slots) - 2:
                     levels.append(_LEVEL[np.minimum(n0 + n1, 63).astype(np.int8)])
@@ -362,6 +520,7 @@ class Trainer:
             hits = np.bincount(cell, times_here * bit, 256 * CELLS)
             self.outcomes[1] += hits
             self.outcomes[0] += np.bincount(cell, times_here, 256 * CELLS) - hits
+            yield count[at] << (bit.astype(np.uint64) << np.uint64(5)), slots
 
     def pieces(self):
         """(piece number, values): runs of PIECE slots that hold anything, then weights (-1) and outcomes (-2)."""
@@ -403,7 +562,12 @@ def build(code: Code, pieces: dict[int, np.ndarray]) -> Model:
 
 
 def log2_types(types: np.ndarray, model: Model, answers: Answers | None = None) -> np.ndarray:
-    """log2 of the model's probability of each type's byte in its context, by the answered counts or by the model's slots."""
+    """``log_types`` in bits."""
+    return log_types(types, model, answers).astype(np.float64) / np.log(2)
+
+
+def log_types(types: np.ndarray, model: Model, answers: Answers | None = None) -> np.ndarray:
+    """Logarithm of the model's probability of each type's byte in its context, by the answered counts or by the model's slots."""
     out = np.zeros(len(types), np.float32)
     orders = range(len(ORDERS))
     for a in range(0, len(types), STEP):
@@ -423,17 +587,22 @@ def log2_types(types: np.ndarray, model: Model, answers: Answers | None = None)
             cell = node * CELLS + low
             x = (x + model.refined[cell] * (1 - up) + model.refined[cell + 1] * up) * np.float32(0.5)
             part[at] -= np.log1p(np.exp(x * (1 - 2 * bit).astype(np.float32)))
-    return out.astype(np.float64) / np.log(2)
+    return out
 
 
-def score_texts(column, model: Model, replies: pa.Table | None = None, bits: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(log2 probability, bytes) of each text as it is coded."""
+def score_texts(column, model: Model, logs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(log2 probability, bytes) of each text as it is coded, by ``logs`` of its sorted turned types or by the model's slots."""
     keys, begins = type_keys(*stream(column))
     if not len(keys):
         return np.zeros(0), np.zeros(0, np.int64)
     codes, types = pd.factorize(keys)
-    answers = None if replies is None else answered(replies, types, model.code, bits)
-    return np.add.reduceat(log2_types(types, model, answers)[codes], begins[:-1]), np.diff(begins)
+    del keys
+    if logs is None:
+        bits = log2_types(types, model)
+    else:
+        bits = np.empty(len(types))
+        bits[np.argsort(turned(types))] = logs.astype(np.float64) / np.log(2)
+    return np.add.reduceat(bits[codes], begins[:-1]), np.diff(begins)
 
 
 _END_KEY = np.array([0x5851F42D4C957F2D], np.uint64)
@@ -462,12 +631,12 @@ def _train(batches, code: Code):
     for batch in batches:
         for payload in batch.column("payload"):
             table = B.from_stream(payload.as_py())
-            texts = table.filter(table.column("train")).column("text")
-            if len(texts):
-                held = np.concatenate([held, type_keys(*stream(texts))[0]])
-            while len(held) >= (size := min(max(learned, CHUNK_BYTES[0]), CHUNK_BYTES[1])):
-                learn(held[:size])
-                held, learned = held[size:], learned + size
+            texts = table.filter(table.column("train")).select(["text"]).combine_chunks()
+            for part in (p for b in texts.to_batches() for p in B.slices(b, SLICE_BYTES)):
+                held = np.concatenate([held, type_keys(*stream(part.column(0)))[0]])
+                while len(held) >= (size := min(max(learned, CHUNK_BYTES[0]), CHUNK_BYTES[1])):
+                    learn(held[:size])
+                    held, learned = held[size:].copy(), learned + size
     if len(held):
         learn(held)
     for number, values in trainer.maps():
@@ -515,6 +684,56 @@ def train(blocks: DataFrame, code: Code) -> Model:
     return build(code, {r.piece: np.frombuffer(zstandard.decompress(bytes(r.payload)), np.float64) for r in rows})
 
 
+def parted_pairs(tallies: DataFrame, cuts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted pairs of the contexts that ``cuts`` may part, at most five for each, and how often the training texts hold them."""
+    def add(pairs, n):
+        codes, own = pd.factorize(np.concatenate(pairs))
+        total = np.zeros(len(own), np.int64)
+        np.add.at(total, codes, np.concatenate(n))
+        return own, total
+
+    def find(batches):
+        pairs, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for keys, counts in zip(batch.column("keys"), batch.column("counts")):
+                times = _unpacked(counts.as_py())
+                more = shared_pairs(_unpacked(keys.as_py())[times > 0].astype(np.uint64), times[times > 0], cuts, code)
+                pairs, n = add([pairs, more[0]], [n, more[1]])
+        part = (mix(pairs >> np.uint64(8)) >> np.uint64(60)).astype(np.int64)
+        for i in np.unique(part):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), *(pa.array([_packed(x[part == i])], pa.binary()) for x in (pairs, n))],
+                                             names=["part", "pairs", "n"])
+
+    def merge(table):
+        pairs, n = add(*([_unpacked(x.as_py()) for x in table.column(c)] for c in ("pairs", "n")))
+        return pa.table({"part": table.column("part")[:1], "pairs": pa.array([_packed(pairs)], pa.binary()), "n": pa.array([_packed(n)], pa.binary())})
+
+    kind = "part long, pairs binary, n binary"
+    rows = tallies.select("keys", "counts").mapInArrow(find, kind).groupBy("part").applyInArrow(merge, kind).collect()    # the result itself
+    if not rows:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    pairs, n = (np.concatenate([_unpacked(bytes(r[c])) for r in rows]) for c in ("pairs", "n"))
+    order = np.argsort(pairs)
+    return pairs[order].astype(np.uint64), n[order]
+
+
+def bucket_types(tallies: DataFrame, cuts: np.ndarray) -> DataFrame:
+    """Rows of B.KEYS_SCHEMA: each block's types by bucket."""
+    def part(batches):
+        for batch in batches:
+            for block, keys, counts in zip(*(batch.column(c) for c in ("block", "keys", "counts"))):
+                types, times = _unpacked(keys.as_py()), _unpacked(counts.as_py())
+                ends = np.concatenate([[0], np.searchsorted(types, (cuts << np.uint64(8)).astype(np.int64)), [len(types)]])
+                full = np.flatnonzero(np.diff(ends))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(full, pa.int64()), pa.array(np.full(len(full), block.as_py()), pa.int64()),
+                    pa.array([_packed(types[ends[i]:ends[i + 1]]) for i in full], pa.binary()),
+                    pa.array([_packed(times[ends[i]:ends[i + 1]]) for i in full], pa.binary())],
+                    names=["bucket", "block", "keys", "counts"])
+
+    return tallies.select("block", "keys", "counts").mapInArrow(part, B.KEYS_SCHEMA)
+
+
 def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFrame:
     """Score every text of ``df`` with a model learned from the rows where ``is_training`` holds.
 
@@ -541,30 +760,33 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
         counts[end] += taught.sum()
         yield B.key_slices(block, keys, counts.astype(np.uint32), bits)
 
-    replies = cut_lineage(B.count_exchange(B.over_blocks(blocks, count, B.KEYS_SCHEMA), reply="int64"), "lm-counts")
+    replies = cut_lineage(B.count_exchange(B.over_blocks(blocks, count, B.KEYS_SCHEMA), reply="int64", encode=_packed), "lm-counts")
     n, v = (x or 0 for x in replies.agg(F.sum("total"), F.sum("present")).first())
     code = byte_code(blocks)
     model = blocks.sparkSession.sparkContext.broadcast(train(blocks, code))
-    wide = B.bucket_bits(blocks, PAIR_BYTES)
 
-    def send(block, table):
+    def types_of(block, table):
         column, taught = table.column("text"), np.asarray(table.column("train"))
         keys, begins = type_keys(*stream(column))
         codes, types = pd.factorize(keys)
-        yield sent(block, types, np.bincount(codes, np.repeat(taught, np.diff(begins)), len(types)), code, wide)
-
-    pairs = B.over_blocks(blocks, send, B.KEYS_SCHEMA).groupBy("bucket") \
-        .applyInArrow(lambda t: answer(t, code), "block long, bucket long, counts binary").withColumn("pairs", F.lit(True))
+        del keys
+        yield tally(block, types, np.bincount(codes[np.repeat(taught, np.diff(begins))], minlength=len(types)))
+
+    tallies = cut_lineage(B.over_blocks(blocks, types_of, TALLY_SCHEMA), "lm-types")
+    cuts = bounds(tallies)
+    shared = blocks.sparkSession.sparkContext.broadcast(parted_pairs(tallies, cuts, code))
+    pairs = bucket_types(tallies, cuts).groupBy("bucket") \
+        .applyInArrow(lambda t: rate_types(t, model.value, shared.value), "block long, bucket long, counts binary").withColumn("pairs", F.lit(True))
     both = replies.select("block", "bucket", "counts", F.lit(False).alias("pairs")).unionByName(pairs)
 
     def rate(block, table, answers):
         words, keys, at, end = _tokens(table)
-        counts = B.join_reply(answers.filter(pc.invert(answers.column("pairs"))), "int64")
+        counts = B.join_reply(answers.filter(pc.invert(answers.column("pairs"))), "int64", decode=_unpacked)
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
         ptr = words.ptr
         sums = np.concatenate([[0], np.cumsum(base[at])])
         known = np.concatenate([[0], np.cumsum(counts[at] > 0)])
-        log2, size = score_texts(table.column("text"), model.value, answers.filter(answers.column("pairs")), wide)
+        log2, size = score_texts(table.column("text"), model.value, rated(answers.filter(answers.column("pairs"))))
         return pa.table({
             "row": table.column("row"), "train": table.column("train"),
             "n_tokens": pa.array(np.diff(ptr) + 1, pa.int64()), "n_known": pa.array(known[ptr[1:]] - known[ptr[:-1]] + int(counts[end] > 0), pa.int64()),

@@ -130,3 +130,57 @@ def test_contexts_reach_six_bytes_back_and_the_model_broadcast_holds_no_counts()
     assert len(same) == 5 and not same[-1] and not same[-2] and all(same[:3])
     code = L.huffman(np.ones(256, int))
     assert L.build(code, {}).guess == [] and L.size_bound() < 1 << 20
+
+
+def test_buckets_of_types_rate_by_the_exact_counts_of_every_context():
+    """Three blocks' types, parted anywhere (inside contexts of every order), against a dictionary of (context, bits so far)."""
+    rng = random.Random(4)
+    columns = [pa.array(["".join(rng.choice("abcé  ") for _ in range(1500)) for _ in range(4)] + [None]) for _ in range(3)]
+    keys = [L.type_keys(*L.stream(c))[0] for c in columns]
+    code = L.huffman(np.bincount((keys[0] & np.uint64(255)).astype(int), minlength=256))
+    want, path = Counter(), lambda b, d: code.bit[b, :d].tobytes()
+    for part in keys[:2]:                                                                   # the third block only asks
+        for c, byte in ((c, int(k) & 255) for k, cs in zip(part, zip(*L._context_ids(part))) for c in map(int, cs)):
+            want.update((c, path(byte, d), int(code.bit[byte, d])) for d in range(code.length[byte]))
+    every = np.unique(L.turned(np.concatenate(keys)))
+    assert (L.turned(every) == L.turned(L.turned(L.turned(every)))).all()
+    times = np.bincount(np.searchsorted(every, L.turned(np.concatenate(keys[:2]))), minlength=len(every))
+    cuts = np.unique(every[::97] >> np.uint64(8))
+    pairs, n = L.shared_pairs(every[times > 0], times[times > 0], cuts, code)
+    shared = pairs[np.argsort(pairs)], n[np.argsort(pairs)]
+    bucket = np.searchsorted(cuts, every >> np.uint64(8), "right")
+    assert len(pairs) and len(np.unique(bucket)) > 20
+    for b in np.unique(bucket):
+        types = L.turned(every[bucket == b])
+        got = L.counted(types, times[bucket == b], shared, code)
+        for k, contexts in enumerate(L._context_ids(types)):
+            for i in range(len(types)):
+                c, byte = int(contexts[i]), int(types[i]) & 255
+                values = [[want[c, path(byte, d), v] for d in range(code.length[byte])] for v in (0, 1)]
+                guess, level = L.slot_values(np.array(values, float))
+                at = got.begin[k][i] + np.arange(code.length[byte])
+                assert (got.guess[at] == guess).all() and (got.level[at] == level).all()
+
+
+def test_few_and_many_buckets_give_the_same_scores(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["the", "of", "a", "und", "xq7 é"]) for _ in range(60)), i % 5 != 1) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").coalesce(1)
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in ("1", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append({r.row.doc_id: (r.score, r.base_score) for r in L.score(df, "text", F.col("train"), ["doc_id"]).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got[0]) == 80 and got[0] == got[1]
+
+
+def test_a_block_sends_less_than_half_of_the_pairs_of_five_orders():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    column = pa.array([" ".join(rng.choice(words) for _ in range(1000)) for _ in range(60)])
+    types, times = np.unique(L.type_keys(*L.stream(column))[0], return_counts=True)
+    code = L.huffman(np.bincount((types & np.uint64(255)).astype(int), minlength=256))
+    size, old = L.tally(0, types, times).nbytes, L.sent(0, types, times, code, 1).nbytes
+    assert size < old / 2
