@@ -182,5 +182,8 @@ def test_a_block_sends_less_than_half_of_the_pairs_of_five_orders():
     column = pa.array([" ".join(rng.choice(words) for _ in range(1000)) for _ in range(60)])
     types, times = np.unique(L.type_keys(*L.stream(column))[0], return_counts=True)
     code = L.huffman(np.bincount((types & np.uint64(255)).astype(int), minlength=256))
-    size, old = L.tally(0, types, times).nbytes, L.sent(0, types, times, code, 1).nbytes
+    every, n = L.sorted_types(np.repeat(types, times), np.ones(times.sum(), bool))
+    assert (every == np.sort(L.turned(types))).all() and (n == times[np.argsort(L.turned(types))]).all()
+    assert not L.sorted_types(types, np.zeros(len(types), bool))[1].any()
+    size, old = L.tally(0, every, n).nbytes, L.sent(0, types, times, code, 1).nbytes
     assert size < old / 2
