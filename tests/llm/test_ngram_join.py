@@ -6,6 +6,7 @@ import re
 import pytest
 
 from cadenza.llm import ngram_join
+from cadenza.llm.components import components
 from cadenza.llm.ngram_join import jaccard_components
 from cadenza.llm.queries import QUERIES
 
@@ -82,3 +83,39 @@ def test_query_matches_all_pairs(spark):
     want = {d.doc_id: w for d, w in zip(docs, brute([d.doc_id for d in docs], [d.text for d in docs], 3, 90, 100))}
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op7_ngram_join"](spark, sf).collect()}
     assert got == want and len({c for _, c in want.values()}) < len(want)
+
+
+def test_rounds_of_few_edges_need_few_tasks(spark, monkeypatch):
+    """Labels against a search by hand; rounds must not run a task for each shuffle partition and exchange."""
+    rng = random.Random(8)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(500 + i, 501 + i) for i in range(90)] + [(700, 700 + i) for i in range(150)]
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for n in sorted(x for a, b in edges if a != b for x in (a, b)):
+        todo = [n]
+        while todo and n not in want:
+            seen = {n}
+            while todo:
+                todo.extend(y for y in near[todo.pop()] if y not in seen and not seen.add(y))
+            want.update((x, n) for x in seen)
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, tracker = {k: spark.conf.get(k) for k in conf}, spark.sparkContext.statusTracker()
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(edges, "a long, b long").localCheckpoint()
+        for size in (200_000, 100):                # one task, then several
+            monkeypatch.setattr("cadenza.llm.components.EDGES", size)
+            spark.sparkContext.setJobGroup(group := f"components-{size}", "")
+            got = {r.node: r.label for r in components(df).collect()}
+            stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+            tasks = sum(i.numTasks for s in stages if (i := tracker.getStageInfo(s)) and i.numCompletedTasks)
+            assert got == want
+            assert size < 200_000 or tasks < 60 * 8, tasks
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
