@@ -43,9 +43,9 @@ def bound_batches(spark) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def to_stream(table: pa.Table) -> bytes:
+def to_stream(table: pa.Table, level: int = 1) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as w:
         w.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -73,18 +73,19 @@ def slices(batch: pa.RecordBatch, size: int):
         at, base = stop, int(ends[stop - 1])
 
 
-def pack_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, tag: str = "blocks") -> DataFrame:
+def pack_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, tag: str = "blocks", level: int = 1) -> DataFrame:
     """Write ``docs`` as rows (block, n_rows, n_bytes, payload) into the shared folder and read them back.
 
     ``block`` numbers are unique and fixed by the write.  A block closes once it
-    holds ``block_bytes``; a single longer row makes a block of its own.
+    holds ``block_bytes``; a single longer row makes a block of its own.  ``level``
+    is that of their compression.
     """
     def pack(batches):
         held, size = [], 0
 
         def flush():
             table = pa.Table.from_batches(held)
-            return pa.RecordBatch.from_pydict({"n_rows": [table.num_rows], "n_bytes": [size], "payload": [to_stream(table)]},
+            return pa.RecordBatch.from_pydict({"n_rows": [table.num_rows], "n_bytes": [size], "payload": [to_stream(table, level)]},
                                               schema=pa.schema([("n_rows", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]))
         for batch in batches:
             if not batch.num_rows:
@@ -117,8 +118,8 @@ def bucket_bits(blocks: DataFrame, bytes_per_byte: float) -> int:
     return int(np.ceil(np.log2(want)))
 
 
-def key_slices(block: int, keys: np.ndarray, counts: np.ndarray, bits: int, wide: bool = True):
-    """Rows of KEYS_SCHEMA for the sorted distinct ``keys`` of a block.
+def key_slices(block: int, keys: np.ndarray, counts: np.ndarray, bits: int, wide: bool = True, encode=np.ndarray.tobytes):
+    """Rows of KEYS_SCHEMA for the sorted distinct ``keys`` of a block; ``encode`` makes bytes of the counts.
 
     ``wide`` sends all 64 bits, else the 32 below the bucket's: keys that agree
     in those are then counted together (a bucket holds about 2 million keys, so
@@ -131,18 +132,21 @@ def key_slices(block: int, keys: np.ndarray, counts: np.ndarray, bits: int, wide
     return pa.RecordBatch.from_arrays([
         pa.array(full, pa.int64()), pa.array(np.full(len(full), block), pa.int64()),
         pa.array([sent[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
-        pa.array([counts[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
+        pa.array([encode(counts[cuts[b]:cuts[b + 1]]) for b in full], pa.binary()),
     ], names=["bucket", "block", "keys", "counts"])
 
 
-def count_exchange(keys: DataFrame, wide: bool = True, reply: str = "uint8", count: str = "uint32", encode=np.ndarray.tobytes) -> DataFrame:
+def count_exchange(keys: DataFrame, wide: bool = True, reply: str = "uint8", count: str = "uint32", encode=np.ndarray.tobytes, decode=None) -> DataFrame:
     """Sum the counts of equal keys over all blocks; answer each block in the order it sent.
 
-    ``reply`` is the type of the answer, ``uint8`` clips at 255; ``encode`` makes bytes of the numbers.
+    ``reply`` is the type of the answer, ``uint8`` clips at 255; ``encode`` makes bytes of the numbers, ``decode`` numbers of
+    the bytes that were sent (else they are of type ``count``).
     """
+    decode = decode or (lambda data: np.frombuffer(data, count))
+
     def merge(table: pa.Table) -> pa.Table:
         sent = [np.frombuffer(x.as_py(), np.uint64 if wide else np.uint32) for x in table.column("keys")]
-        local = np.concatenate([np.frombuffer(x.as_py(), count) for x in table.column("counts")])
+        local = np.concatenate([decode(x.as_py()) for x in table.column("counts")])
         every = np.concatenate(sent)
         order = np.argsort(every, kind="stable")
         ranked = every[order]

@@ -67,6 +67,8 @@ LM_BLOCK = 2 * B.BLOCK_BYTES
 BUCKET_TYPES, MARKS = 1 << 19, 64
 #: Types of a chunk whose slots are kept from prediction to counting, and bytes of text that are turned to keys at once.
 KEPT, SLICE_BYTES = 1 << 17, 1 << 20
+#: Parts of one in which logarithms are sent: as fine as float32 holds the largest of them.
+LOG_UNIT = 1 << 20
 _LEVEL = np.array([min(int(n).bit_length(), LEVELS - 1) for n in range(64)], np.uint8)
 
 
@@ -107,29 +109,42 @@ def huffman(counts: np.ndarray) -> Code:
     return Code(length, node, bit, np.argsort(leaf), leaf)
 
 
+#: Lower case, and a space for every byte that parts words; what follows a text's bytes.
+_PLAIN = bytes(SPACE if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+_CLOSE = bytes([SPACE, END])
+
+
 def stream(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of the coded texts: LONGEST end bytes to start from, every word and a space, the end byte.
 
     ``offsets`` are where each text's own bytes begin and, last, where the next would.
     """
     data, cuts = utf8_buffer(column)
-    raw, start = data.tobytes(), bytes([END]) * LONGEST
-    texts = [b" ".join([*raw[a:b].lower().split(), bytes([END])]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-    sizes = np.array([len(t) + LONGEST for t in texts], np.int64)
-    return np.frombuffer(start + start.join(texts) + bytes(8), np.uint8), np.concatenate([[0], np.cumsum(sizes)]) + LONGEST
+    raw, start = memoryview(data.tobytes().translate(_PLAIN)), bytes([END]) * LONGEST
+    parts = [p for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()) for p in (start, raw[a:b], _CLOSE)]
+    loose = np.frombuffer(b"".join(parts or [start]), np.uint8)
+    blank = loose == SPACE
+    kept = ~blank                                    # of blanks those after a word
+    kept[1:] |= blank[1:] & ~blank[:-1] & (loose[:-1] != END)
+    ends = np.cumsum(np.diff(cuts) + LONGEST + len(_CLOSE))
+    count = np.add.reduceat(kept, np.concatenate([[0], ends[:-1]]), dtype=np.int64) if len(ends) else ends
+    return np.concatenate([loose[kept], np.zeros(8, np.uint8)]), np.concatenate([[0], np.cumsum(count)]) + LONGEST
 
 
 def type_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(for each coded byte, it and the LONGEST bytes before it, packed; where each text's keys begin)."""
     begins, ends = offsets[:-1], offsets[1:] - LONGEST
-    lead = np.frombuffer(bytes(8 - LONGEST - 1) + data.tobytes(), np.uint8)       # so that eight bytes end at each place
-    eight = np.ndarray((len(lead) - 7,), ">u8", lead.data, 0, (1,))
-    # eight[i] ends at data[i + LONGEST]
     places = np.concatenate([[0], np.cumsum(ends - begins)])
+    if not places[-1]:
+        return np.zeros(0, np.uint64), places
+    two = (data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]
+    four = (two[:-2].astype(np.uint32) << np.uint32(16)) | two[2:]
+    seven = four[:-3].astype(np.uint64)              # of the bytes that begin at each place
+    seven <<= np.uint64(24)
+    seven |= four[3:] & np.uint32(0xFFFFFF)
     keys = np.empty(places[-1], np.uint64)
     for a, b, at in zip(begins.tolist(), ends.tolist(), places.tolist()):
-        keys[at:at + b - a] = eight[a - LONGEST:b - LONGEST]
-    keys &= np.uint64((1 << 8 * (LONGEST + 1)) - 1)
+        keys[at:at + b - a] = seven[a - LONGEST:b - LONGEST]
     return keys, places
 
 
@@ -163,7 +178,10 @@ def _context_ids(types: np.ndarray) -> list[np.ndarray]:
 def turned(types: np.ndarray) -> np.ndarray:
     """Types with the nearest context byte first and the coded byte last, so that sorted types lie by context at every
     order; turned again they are as before."""
-    return (types.byteswap() & np.uint64(((1 << 8 * LONGEST) - 1) << 8)) | (types & np.uint64(255))
+    out = types.byteswap()
+    out &= np.uint64(((1 << 8 * LONGEST) - 1) << 8)
+    out |= types & np.uint64(255)
+    return out
 
 
 def _contexts(types: np.ndarray) -> list[np.ndarray]:
@@ -281,13 +299,24 @@ def answer(table: pa.Table, code: Code) -> pa.Table:
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "counts": pa.array(out, pa.binary())})
 
 
+def _run_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the runs that begin at ``starts``; faster than ``reduceat`` for short runs."""
+    total = np.cumsum(values, dtype=np.int64)
+    ends = total.take(np.append(starts[1:], len(values)) - 1)
+    ends[1:] -= ends[:-1].copy()
+    return ends
+
+
 def sorted_types(keys: np.ndarray, taught: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct turned types, how often each is at a place that is ``taught``)."""
-    both = (turned(keys) << np.uint64(1)) | taught.astype(np.uint64)
+    both = np.empty(len(keys), np.uint64)
+    for a in range(0, len(keys), PIECE):             # small arrays stay in the cache
+        both[a:a + PIECE] = (turned(keys[a:a + PIECE]) << np.uint64(1)) | taught[a:a + PIECE]
     both.sort()                                      # much faster than a hash table of as many keys
-    types = both >> np.uint64(1)
-    first = np.flatnonzero(np.concatenate([[True], types[1:] != types[:-1]])[:len(types)])
-    return types[first], np.add.reduceat((both & np.uint64(1)).astype(np.int64), first) if len(first) else first
+    times = both.astype(np.uint8) & np.uint8(1)
+    both >>= np.uint64(1)
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[:len(both)])
+    return both.take(first), _run_sums(times, first) if len(first) else first
 
 
 def tally(block: int, types: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
@@ -327,15 +356,16 @@ def _in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 def shared_pairs(types: np.ndarray, times: np.ndarray, cuts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
     """(pairs, counts) of the contexts whose types ``cuts`` may part, from sorted turned types that occurred."""
     found, counts = [], []
-    plain = turned(types)
-    ids, word = _context_ids(plain), _word_bytes(plain >> np.uint64(8))
-    place = code.rank[(types & np.uint64(255)).astype(np.int64)].astype(np.uint64)
+    word = _word_bytes(turned(types) >> np.uint64(8))
     for size in range(LONGEST):                      # contexts of the longest size are never parted
         shift = np.uint64(8 * (LONGEST - size))
-        parted = np.flatnonzero(_in_sorted(types >> (shift + np.uint64(8)), np.unique(cuts >> shift)))
+        heads = np.unique(cuts >> shift) << (shift + np.uint64(8))
+        last = heads | ((np.uint64(1) << (shift + np.uint64(8))) - np.uint64(1))
+        parted = np.concatenate([np.zeros(0, np.int64), *map(np.arange, np.searchsorted(types, heads), np.searchsorted(types, last, "right"))])
         for i, k in enumerate(ORDERS):
             at = parted[word[parted] == size] if k == WORD else parted if k == size else parted[:0]
-            codes, own = pd.factorize((ids[i][at] << np.uint64(8)) | place[at])
+            place = code.rank[(types[at] & np.uint64(255)).astype(np.int64)].astype(np.uint64)
+            codes, own = pd.factorize((_context_ids(turned(types[at]))[i] << np.uint64(8)) | place)
             found.append(own)
             counts.append(np.bincount(codes, times[at], len(own)).astype(np.int64))
     return np.concatenate(found), np.concatenate(counts)
@@ -399,18 +429,16 @@ def rate_types(table: pa.Table, model: Model, shared: tuple[np.ndarray, np.ndarr
     codes, types = pd.factorize(np.concatenate(parts).astype(np.uint64))
     times = np.bincount(codes, np.concatenate([_unpacked(x.as_py()) for x in table.column("counts")]), len(types)).astype(np.int64)
     types = turned(types)
-    logs = log_types(types, model, counted(types, times, shared, model.code))[codes]
+    logs = log_types(types, model, counted(types, times, shared, model.code)).astype(np.float64)
+    logs = np.rint(logs * -LOG_UNIT).astype(np.int64)[codes]
     ends = np.cumsum([len(x) for x in parts])
     return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                     "counts": pa.array([zstandard.compress(logs[e - len(x):e].view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
-                                         for x, e in zip(parts, ends)], pa.binary())})
+                     "counts": pa.array([_packed(logs[e - len(x):e]) for x, e in zip(parts, ends)], pa.binary())})
 
 
 def rated(replies: pa.Table) -> np.ndarray:
-    """One block's logarithms, in the order of its sorted turned types."""
-    raw = replies.column("counts").to_pylist()
-    parts = [np.frombuffer(zstandard.decompress(raw[i]), np.uint8).reshape(4, -1).T for i in np.argsort(np.asarray(replies.column("bucket")))]
-    return np.ascontiguousarray(np.concatenate(parts)).view(np.float32).ravel()
+    """One block's logarithms, to 1 / LOG_UNIT, in the order of its sorted turned types."""
+    return B.join_reply(replies, "int64", decode=_unpacked) / -LOG_UNIT
 
 
 @dataclass
@@ -596,19 +624,43 @@ def log_types(types: np.ndarray, model: Model, answers: Answers | None = None) -
     return out
 
 
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, how often each is there, the places of the first, of the second, ...).
+
+    Sorts hash and place in one number, which is faster than a hash table of as many keys; where two keys meet in
+    their hash, sorts places by key.
+    """
+    room = np.uint64(len(keys).bit_length())
+    both = (keys * np.uint64(0x9E3779B97F4A7C15)) >> room << room
+    both |= np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    places = (both & ((np.uint64(1) << room) - np.uint64(1))).view(np.int64)
+    both >>= room
+    first = np.concatenate([[True], both[1:] != both[:-1]])
+    found = keys.take(places)
+    if not (first[1:] == (found[1:] != found[:-1])).all():
+        places = np.argsort(keys, kind="stable")
+        found = keys.take(places)
+        first[1:] = found[1:] != found[:-1]
+    starts = np.flatnonzero(first)
+    return found.take(starts), np.diff(np.append(starts, len(keys))), places
+
+
 def score_texts(column, model: Model, logs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(log2 probability, bytes) of each text as it is coded, by ``logs`` of its sorted turned types or by the model's slots."""
     keys, begins = type_keys(*stream(column))
     if not len(keys):
         return np.zeros(0), np.zeros(0, np.int64)
-    codes, types = pd.factorize(keys)
+    types, times, places = _grouped(keys)
     del keys
     if logs is None:
         bits = log2_types(types, model)
     else:
         bits = np.empty(len(types))
-        bits[np.argsort(turned(types))] = logs.astype(np.float64) / np.log(2)
-    return np.add.reduceat(bits[codes], begins[:-1]), np.diff(begins)
+        bits[np.argsort(turned(types))] = logs / np.log(2)
+    each = np.empty(len(places))
+    each[places] = np.repeat(bits, times)
+    return np.add.reduceat(each, begins[:-1]), np.diff(begins)
 
 
 _END_KEY = np.array([0x5851F42D4C957F2D], np.uint64)
@@ -626,25 +678,30 @@ def _tokens(table: pa.Table):
 
 def _train(batches, code: Code):
     """Weights and outcomes that a task's blocks teach."""
-    trainer, learned, held = Trainer(code), 0, np.zeros(0, np.uint64)
+    trainer, learned, held, waiting = Trainer(code), 0, [], 0
     pack = zstandard.ZstdCompressor(level=1)
 
-    def learn(keys):
-        codes, types = pd.factorize(keys)
+    def learn(size):
+        keys = np.concatenate(held)
+        held[:] = [keys[size:].copy()]
+        codes, types = pd.factorize(keys[:size])
+        times = np.bincount(codes)
+        del keys, codes                              # much larger than what is learned
         trainer.renew()
-        trainer.learn(types, np.bincount(codes))
+        trainer.learn(types, times)
 
     for batch in batches:
         for payload in batch.column("payload"):
             table = B.from_stream(payload.as_py())
             texts = table.filter(table.column("train")).select(["text"]).combine_chunks()
             for part in (p for b in texts.to_batches() for p in B.slices(b, SLICE_BYTES)):
-                held = np.concatenate([held, type_keys(*stream(part.column(0)))[0]])
-                while len(held) >= (size := min(max(learned, CHUNK_BYTES[0]), CHUNK_BYTES[1])):
-                    learn(held[:size])
-                    held, learned = held[size:].copy(), learned + size
-    if len(held):
-        learn(held)
+                held.append(type_keys(*stream(part.column(0)))[0])
+                waiting += len(held[-1])
+                while waiting >= (size := min(max(learned, CHUNK_BYTES[0]), CHUNK_BYTES[1])):
+                    learn(size)
+                    waiting, learned = waiting - size, learned + size
+    if waiting:
+        learn(waiting)
     for number, values in trainer.maps():
         yield pa.RecordBatch.from_pydict({"piece": [number], "payload": [pack.compress(values.tobytes())]},
                                          schema=pa.schema([("piece", pa.int64()), ("payload", pa.binary())]))
@@ -756,7 +813,7 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
     """
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").alias("text"),
                      F.coalesce(is_training, F.lit(False)).alias("train"))
-    blocks = B.pack_blocks(held, block_bytes=LM_BLOCK, tag="lm-blocks")
+    blocks = B.pack_blocks(held, block_bytes=LM_BLOCK, tag="lm-blocks", level=3)
     bits = B.bucket_bits(blocks, 0.4)
 
     def count(block, table):
@@ -764,9 +821,9 @@ def score(df: DataFrame, text_col: str, is_training, carry: list[str]) -> DataFr
         taught = np.asarray(table.column("train"))
         counts = np.bincount(at[np.repeat(taught, np.diff(words.ptr))], minlength=len(keys))
         counts[end] += taught.sum()
-        yield B.key_slices(block, keys, counts.astype(np.uint32), bits)
+        yield B.key_slices(block, keys, counts, bits, encode=_packed)
 
-    replies = cut_lineage(B.count_exchange(B.over_blocks(blocks, count, B.KEYS_SCHEMA), reply="int64", encode=_packed), "lm-counts")
+    replies = cut_lineage(B.count_exchange(B.over_blocks(blocks, count, B.KEYS_SCHEMA), reply="int64", encode=_packed, decode=_unpacked), "lm-counts")
     n, v = (x or 0 for x in replies.agg(F.sum("total"), F.sum("present")).first())
     code = byte_code(blocks)
     model = blocks.sparkSession.sparkContext.broadcast(train(blocks, code))

@@ -58,6 +58,11 @@ def utf8_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def _mapped(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[data]`` for bytes; several times faster than by index."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), np.uint8)
+
+
 class Words:
     """Word boundaries of every text of a column.
 
@@ -68,9 +73,9 @@ class Words:
     def __init__(self, column, lower: bool = False):
         self.data, self.offsets = utf8_buffer(column)
         if lower:
-            self.data = _LOWER[self.data]
+            self.data = _mapped(self.data, _LOWER)
         n = len(self.data)
-        solid = ~_SPACE[self.data]
+        solid = ~_mapped(self.data, _SPACE).view(bool)
         cut = np.zeros(n + 1, bool)               # a text begins here (or the buffer ends)
         cut[self.offsets] = True
         before = np.ones(n, bool)                 # nothing solid of this text stands before

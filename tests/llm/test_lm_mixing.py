@@ -187,3 +187,27 @@ def test_a_block_sends_less_than_half_of_the_pairs_of_five_orders():
     assert not L.sorted_types(types, np.zeros(len(types), bool))[1].any()
     size, old = L.tally(0, every, n).nbytes, L.sent(0, types, times, code, 1).nbytes
     assert size < old / 2
+
+
+def test_keys_are_grouped_even_where_their_hashes_meet():
+    rng = np.random.default_rng(7)
+    meet = np.arange(3, dtype=np.uint64) * np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))    # hashes 0, 1, 2: one in their high bits
+    for keys in (rng.integers(0, 50, 1000).astype(np.uint64), rng.choice(meet, 300), np.array([5], np.uint64)):
+        types, times, places = L._grouped(keys)
+        out = np.empty_like(keys)
+        out[places] = np.repeat(types, times)
+        assert (out == keys).all() and len(types) == len(np.unique(keys))
+
+
+def test_logarithms_are_sent_in_less_than_three_bytes():
+    rng = random.Random(9)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    column = pa.array([" ".join(rng.choice(words) for _ in range(500)) for _ in range(40)])
+    keys, _ = L.type_keys(*L.stream(column))
+    types, times = L.sorted_types(keys, np.ones(len(keys), bool))
+    model, none = trained(column[:10].to_pylist()), (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    sent = L.tally(0, types, times)
+    replies = L.rate_types(pa.table({"bucket": [0], "block": [0], "keys": sent.column("keys"), "counts": sent.column("counts")}), model, none)
+    want = L.log_types(L.turned(types), model, L.counted(L.turned(types), times, none, model.code))
+    assert np.abs(L.rated(replies) - want).max() < 1e-6
+    assert len(replies.column("counts")[0].as_py()) < 3 * len(types)
