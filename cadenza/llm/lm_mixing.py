@@ -60,13 +60,15 @@ SHARPEST = 12.0
 CHUNK_BYTES = (64 << 10, 4 << 20)
 #: Types that are predicted together before their errors and counts are learned.
 STEP = 1 << 14
+#: Types (whole steps) whose pairs are found together: what the tables say of them takes some 25 MB.
+SECTION = 16 * STEP
 PRIOR = 0.1
 #: Blocks are larger than elsewhere: a longer text repeats more of its types, so fewer are sent.
 LM_BLOCK = 2 * B.BLOCK_BYTES
 #: Types of a bucket, as sent by all blocks, and evenly spaced contexts of a block that the bounds are taken from.
 BUCKET_TYPES, MARKS = 1 << 19, 64
-#: Types of a chunk whose slots are kept from prediction to counting, and bytes of text that are turned to keys at once.
-KEPT, SLICE_BYTES = 1 << 17, 1 << 20
+#: Hash bits of the table that finds equal keys, and bytes of text that are turned to keys at once.
+FIRST_BITS, SLICE_BYTES = 21, 1 << 20
 #: Parts of one in which logarithms are sent: as fine as float32 holds the largest of them.
 LOG_UNIT = 1 << 20
 _LEVEL = np.array([min(int(n).bit_length(), LEVELS - 1) for n in range(64)], np.uint8)
@@ -137,14 +139,11 @@ def type_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     places = np.concatenate([[0], np.cumsum(ends - begins)])
     if not places[-1]:
         return np.zeros(0, np.uint64), places
-    two = (data[:-1].astype(np.uint16) << np.uint16(8)) | data[1:]
-    four = (two[:-2].astype(np.uint32) << np.uint32(16)) | two[2:]
-    seven = four[:-3].astype(np.uint64)              # of the bytes that begin at each place
-    seven <<= np.uint64(24)
-    seven |= four[3:] & np.uint32(0xFFFFFF)
+    eight = np.ndarray(len(data) - 7, ">u8", data, strides=(1,))             # of the bytes that begin at each place
     keys = np.empty(places[-1], np.uint64)
     for a, b, at in zip(begins.tolist(), ends.tolist(), places.tolist()):
-        keys[at:at + b - a] = seven[a - LONGEST:b - LONGEST]
+        keys[at:at + b - a] = eight[a - LONGEST:b - LONGEST]
+    keys >>= np.uint64(8 * (7 - LONGEST))
     return keys, places
 
 
@@ -167,12 +166,16 @@ def _word_bytes(before: np.ndarray) -> np.ndarray:
     return size
 
 
-def _context_ids(types: np.ndarray) -> list[np.ndarray]:
-    """Each context of each type with its order's number in the low three bits: equal for equal contexts only."""
-    before = types >> np.uint64(8)
+def _context_id(types: np.ndarray, i: int) -> np.ndarray:
+    """Context of each type at order number ``i``, with that number in the low three bits: equal for equal contexts only."""
+    before, k = types >> np.uint64(8), ORDERS[i]
     keep = np.array([(1 << (8 * n)) - 1 for n in range(LONGEST + 1)], np.uint64)
-    return [(before & (keep[_word_bytes(before)] if k == WORD else keep[k])) * np.uint64(8) + np.uint64(i)
-            for i, k in enumerate(ORDERS)]
+    return (before & (keep[_word_bytes(before)] if k == WORD else keep[k])) * np.uint64(8) + np.uint64(i)
+
+
+def _context_ids(types: np.ndarray) -> list[np.ndarray]:
+    """Contexts of each type at every order."""
+    return [_context_id(types, i) for i in range(len(ORDERS))]
 
 
 def turned(types: np.ndarray) -> np.ndarray:
@@ -184,13 +187,47 @@ def turned(types: np.ndarray) -> np.ndarray:
     return out
 
 
+def _section_pairs(types: np.ndarray):
+    """For each order: (a type of each distinct (context, byte) pair, each type's pair); neighbouring contexts lie together.
+
+    A word's pairs may come twice, as those after a space and those at a text's begin.
+    """
+    near = turned(types)
+    order = np.argsort(near)
+    near = turned(near.take(order))
+    room = np.uint64(len(types).bit_length())
+    for i, k in enumerate(ORDERS):
+        at = np.empty(len(types), np.int32)
+        if k == LONGEST:                             # the types themselves
+            at[order] = np.arange(len(types), dtype=np.int32)
+            yield near, at
+            continue
+        context = _context_id(near, i)
+        run = np.zeros(len(types), np.uint64)
+        np.cumsum(context[1:] != context[:-1], out=run[1:])
+        both = (((run << np.uint64(8)) | (near & np.uint64(255))) << room) | np.arange(len(types), dtype=np.uint64)
+        both.sort()
+        place = (both & ((np.uint64(1) << room) - np.uint64(1))).view(np.int64)
+        both >>= room
+        first = np.ones(len(types), bool)
+        first[1:] = both[1:] != both[:-1]
+        at[order.take(place)] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+        yield near.take(place[first]), at
+
+
 def _contexts(types: np.ndarray) -> list[np.ndarray]:
     """Hash of each context of each type; the code's node is still to be added."""
     return [mix(c) for c in _context_ids(types)]
 
 
-def _slot(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    return ((context + node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+def _salt(node: np.ndarray) -> np.ndarray:
+    return node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _slot(context: np.ndarray, salt: np.ndarray, bits: int) -> np.ndarray:
+    slot = context + salt
+    slot >>= np.uint64(64 - bits)
+    return slot.view(np.int64)
 
 
 def _decisions(types: np.ndarray, code: Code, slots: bool = True):
@@ -205,7 +242,7 @@ def _decisions(types: np.ndarray, code: Code, slots: bool = True):
         if not len(at):
             return
         node = code.node[byte, depth]
-        yield depth, at, node, code.bit[byte, depth], [_slot(c, node, n) for c, n in zip(contexts, SLOT_BITS)]
+        yield depth, at, node, code.bit[byte, depth], [_slot(c, _salt(node), n) for c, n in zip(contexts, SLOT_BITS)]
 
 
 def _cells(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,8 +252,8 @@ def _cells(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, (at - low).astype(np.float32)
 
 
-def _gate(depth: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (min(depth, DEPTHS - 1) * LEVELS + a.astype(np.int64)) * LEVELS + b
+def _gate(depth: int | np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (np.minimum(depth, DEPTHS - 1) * LEVELS + a.astype(np.int64)) * LEVELS + b
 
 
 def _pairs(types: np.ndarray, code: Code, bits: int):
@@ -355,19 +392,30 @@ def _in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 def shared_pairs(types: np.ndarray, times: np.ndarray, cuts: np.ndarray, code: Code) -> tuple[np.ndarray, np.ndarray]:
     """(pairs, counts) of the contexts whose types ``cuts`` may part, from sorted turned types that occurred."""
-    found, counts = [], []
-    word = _word_bytes(turned(types) >> np.uint64(8))
+    found, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    place = code.rank[(types & np.uint64(255)).astype(np.int64)]
     for size in range(LONGEST):                      # contexts of the longest size are never parted
         shift = np.uint64(8 * (LONGEST - size))
-        heads = np.unique(cuts >> shift) << (shift + np.uint64(8))
-        last = heads | ((np.uint64(1) << (shift + np.uint64(8))) - np.uint64(1))
-        parted = np.concatenate([np.zeros(0, np.int64), *map(np.arange, np.searchsorted(types, heads), np.searchsorted(types, last, "right"))])
         for i, k in enumerate(ORDERS):
-            at = parted[word[parted] == size] if k == WORD else parted if k == size else parted[:0]
-            place = code.rank[(types[at] & np.uint64(255)).astype(np.int64)].astype(np.uint64)
-            codes, own = pd.factorize((_context_ids(turned(types[at]))[i] << np.uint64(8)) | place)
-            found.append(own)
-            counts.append(np.bincount(codes, times[at], len(own)).astype(np.int64))
+            heads = np.unique(cuts >> shift)
+            if k == WORD:                            # a word that the cut is in, after a space or at a text's begin
+                heads = heads[_word_bytes(turned(heads << (shift + np.uint64(8))) >> np.uint64(8)) >= size]
+                low = ((heads << np.uint64(8)) | np.array([[SPACE], [END]], np.uint64)) << shift
+                high = low | ((np.uint64(1) << shift) - np.uint64(1))
+            elif k == size:
+                low = heads[None] << (shift + np.uint64(8))
+                high = low | ((np.uint64(1) << (shift + np.uint64(8))) - np.uint64(1))
+            else:
+                continue
+            begin = np.searchsorted(types, low).ravel()
+            n = np.searchsorted(types, high, "right").ravel() - begin
+            at = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+            head = np.repeat(np.tile(np.arange(len(heads)), len(low)), n)
+            total = np.bincount(head * 256 + place[at], times[at], 256 * len(heads))
+            full = np.flatnonzero(total)
+            context = (turned(heads << (shift + np.uint64(8))) >> np.uint64(8)) * np.uint64(8) + np.uint64(i)
+            found.append((context[full >> 8] << np.uint64(8)) | (full & 255).astype(np.uint64))
+            counts.append(total[full].astype(np.int64))
     return np.concatenate(found), np.concatenate(counts)
 
 
@@ -488,73 +536,140 @@ class Trainer:
     def __init__(self, code: Code):
         self.code = code
         self.counts = [np.zeros(1 << b, np.uint64) for b in SLOT_BITS]       # low half: zeros, high half: ones
+        self.filled = [0] * len(ORDERS)              # slots in use, or more
         self.weights = np.full((len(ORDERS), GATES), 0.3, np.float32)
         self.curve = np.full(GATES, 1.0)
         self.outcomes = np.zeros((2, 256 * CELLS))
+        on_way = np.arange(code.node.shape[1]) < code.length[:, None]
+        self.way_begin = np.cumsum(code.length) - code.length                # each byte's decisions, one after another
+        self.way_gate, self.way_bit = _gate(np.nonzero(on_way)[1], np.zeros(1), np.zeros(1, np.int64)), code.bit[on_way].astype(np.float64)
+        self.way_salt, self.way_cell = _salt(code.node[on_way]), code.node[on_way] * CELLS
+        self.way_unit = np.uint64(1) << (code.bit[on_way].astype(np.uint64) << np.uint64(5))
 
     def learn(self, types: np.ndarray, times: np.ndarray) -> None:
         """Predict a chunk, then learn it: ``types`` with how often each occurs.
 
         The counts move only after the whole chunk is predicted: a context that
         was met a moment ago under another byte would look less certain than it is.
+        So a (context, byte) pair of a section is looked up and counted once.
         """
-        kept = []
-        for a in range(0, len(types), STEP):
-            seen = self._adapt(types[a:a + STEP], times[a:a + STEP])
-            for n, slots in seen:
-                if a < KEPT:                         # so few that they take some 20 MB
-                    kept.append((n, [s.astype(np.uint32) for s in slots]))
-        for n, slots in kept:
-            self._count(n, slots)
-        for a in range(KEPT, len(types), STEP):
-            count = times[a:a + STEP].astype(np.uint64)
-            for _, at, _, bit, slots in _decisions(types[a:a + STEP], self.code):
-                self._count(count[at] << (bit.astype(np.uint64) << np.uint64(5)), slots)
-
-    def _count(self, n: np.ndarray, slots: list[np.ndarray]) -> None:
-        for c, s in zip(self.counts, slots):
-            np.add.at(c, s, n)
+        pairs = []
+        for a in range(0, len(types), SECTION):
+            part, n = types[a:a + SECTION], times[a:a + SECTION]
+            met = []
+            for k, (own, at) in enumerate(_section_pairs(part)):
+                met.append(self._met(k, own, at))
+                pairs.append((k, own, np.bincount(at, n, len(own)).astype(np.uint32)))
+            byte = (part & np.uint64(255)).astype(np.int64)
+            for b in range(0, len(part), STEP):
+                self._adapt([(begin[b:b + STEP], guess, level) for begin, guess, level in met], byte[b:b + STEP], n[b:b + STEP])
+        for k, own, n in pairs:
+            for a, steps, size, slots in self._ways(k, own):
+                np.add.at(self.counts[k], slots, np.repeat(n[a:a + PIECE].astype(np.uint64), size) * self.way_unit.take(steps))
+                self.filled[k] += len(slots)
+
+    def _ways(self, k: int, own: np.ndarray):
+        """For runs of an order's pairs: (where the run begins, place among the code's decisions of each decision on the way to
+        each pair's byte, how many each pair has, their slots)."""
+        for a in range(0, len(own), PIECE):
+            part = own[a:a + PIECE]
+            byte = (part & np.uint64(255)).astype(np.int64)
+            size = self.code.length[byte]
+            ends = np.cumsum(size)
+            steps = np.repeat(self.way_begin[byte] - ends + size, size)
+            steps += np.arange(ends[-1])
+            yield a, steps, size, _slot(np.repeat(mix(_context_id(part, k)), size), self.way_salt.take(steps), SLOT_BITS[k])
+
+    def _met(self, k: int, own: np.ndarray, at: np.ndarray):
+        """What an order's counts say of a section: where each type's decisions begin, prediction of each pair's decisions, and
+        their level (of the last two orders)."""
+        size = self.code.length[(own & np.uint64(255)).astype(np.int64)]
+        ends, done = np.cumsum(size), 0
+        guess = np.empty(ends[-1], np.float32)
+        level = np.empty(ends[-1], np.uint8) if k >= len(ORDERS) - 2 else None
+        for _, _, _, slots in self._ways(k, own):
+            both = self.counts[k].take(slots).view("<u4")
+            n0, n1 = both[::2].astype(np.float32), both[1::2].astype(np.float32)
+            guess[done:done + len(slots)] = np.log((n1 + np.float32(PRIOR)) / (n0 + np.float32(PRIOR)))
+            if level is not None:
+                level[done:done + len(slots)] = _LEVEL[np.minimum(n0 + n1, 63).astype(np.int8)]
+            done += len(slots)
+        return (ends - size).astype(np.int32)[at], guess, level
 
     def renew(self) -> None:
         """Empty the tables once one is half full, so that contexts do not come to share slots; weights and map go on."""
-        if any(2 * np.count_nonzero(c) > len(c) for c in self.counts):
+        for k, c in enumerate(self.counts):
+            if 2 * self.filled[k] > len(c):          # at most so many: only then they are counted
+                self.filled[k] = np.count_nonzero(c)
+        if any(2 * n > len(c) for n, c in zip(self.filled, self.counts)):
             for c in self.counts:
                 c[:] = 0
+            self.filled = [0] * len(ORDERS)
 
     def maps(self):
         """Weights (-1) and outcomes (-2)."""
         yield -1, np.vstack([self.weights * self.curve, self.curve])
         yield -2, self.outcomes
 
-    def _adapt(self, types: np.ndarray, times: np.ndarray):
-        """Predict a step and move the weights; yields what is to be counted later, (count, slots), for each depth."""
-        weight, count = times.astype(np.float32), times.astype(np.uint64)
-        for depth, at, node, bit, slots in _decisions(types, self.code):
-            inputs, levels = [], []
-            for k, s in enumerate(slots):
-                both = self.counts[k][s].view("<u4")
-                n0, n1 = both[::2].astype(np.float32), both[1::2].astype(np.float32)
-                inputs.append(np.log((n1 + np.float32(PRIOR)) / (n0 + np.float32(PRIOR))))
-                if k >= len(slots) - 2:
-                    levels.append(_LEVEL[np.minimum(n0 + n1, 63).astype(np.int8)])
-            gate = _gate(depth, *levels)
-            x = np.zeros(len(at), np.float32)
-            for k, i in enumerate(inputs):
-                x += self.weights[k][gate] * i
-            x = np.clip(x, -SHARPEST, SHARPEST)
-            p = 1 / (1 + np.exp(-x))
-            times_here = weight[at]
-            miss = bit - p
-            error = miss * times_here
-            self.curve += np.bincount(gate, error * miss * sum(i * i for i in inputs), GATES)
-            for k, i in enumerate(inputs):
-                self.weights[k] += (np.bincount(gate, error * i, GATES) / self.curve).astype(np.float32)
-            low, up = _cells(x)
-            cell = node * CELLS + low + (up > 0.5)
-            hits = np.bincount(cell, times_here * bit, 256 * CELLS)
-            self.outcomes[1] += hits
-            self.outcomes[0] += np.bincount(cell, times_here, 256 * CELLS) - hits
-            yield count[at] << (bit.astype(np.uint64) << np.uint64(5)), slots
+    def _adapt(self, met: list, byte: np.ndarray, times: np.ndarray) -> None:
+        """Predict a step and move the weights.
+
+        Depths that have gates of their own do not touch each other's weights, so they are predicted together, type by type;
+        the deepest share gates and follow one by one.
+        """
+        weight, length = times.astype(np.float64), self.code.length[byte]
+        begins, ways = [begin.astype(np.int64) for begin, _, _ in met], self.way_begin[byte]
+        size = np.minimum(length, DEPTHS - 1)
+        ends = np.cumsum(size)
+        *spots, steps = (np.repeat(b - ends + size, size) for b in (*begins, ways))
+        place = np.arange(ends[-1])
+        for s in (*spots, steps):
+            s += place
+        self._refine(*self._move(met, spots, steps, np.repeat(weight, size)))
+        deep, done = np.flatnonzero(length >= DEPTHS), []
+        begins, ways, weight, length = [b[deep] for b in begins], ways[deep], weight[deep], length[deep]
+        for depth in range(DEPTHS - 1, length.max(initial=0)):
+            at = np.flatnonzero(length > depth)
+            done.append(self._move(met, [b[at] + depth for b in begins], ways[at] + depth, weight[at]))
+        if done:
+            self._refine(*map(np.concatenate, zip(*done)))
+
+    def _refine(self, cell: np.ndarray, bit: np.ndarray, times: np.ndarray) -> None:
+        """Count what followed the predictions; a cell belongs to one depth."""
+        hits = np.bincount(cell, times * bit, 256 * CELLS)
+        self.outcomes[1] += hits
+        self.outcomes[0] += np.bincount(cell, times, 256 * CELLS) - hits
+
+    def _move(self, met: list, spots: list[np.ndarray], ways: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Predict decisions and move the weights by their errors: ``spots`` are their places in ``met``, ``ways`` among the code's.
+        Returns their cells of the refining map, bits and times."""
+        inputs = [guess.take(s) for s, (_, guess, _) in zip(spots, met)]
+        gate, levels = self.way_gate.take(ways), [level.take(s) for s, (_, _, level) in zip(spots, met) if level is not None]
+        levels[0] *= np.uint8(LEVELS)
+        levels[0] += levels[1]
+        gate += levels[0]
+        x, squares = self.weights[0].take(gate), inputs[0] * inputs[0]
+        x *= inputs[0]
+        for w, i in zip(self.weights[1:], inputs[1:]):
+            part = w.take(gate)
+            part *= i
+            x += part
+            np.multiply(i, i, out=part)
+            squares += part
+        np.clip(x, -SHARPEST, SHARPEST, out=x)
+        p = np.negative(x)
+        np.exp(p, out=p)
+        p += 1
+        bit = self.way_bit.take(ways)
+        miss = bit - np.divide(1, p, out=p)
+        error = miss * times
+        miss *= error
+        miss *= squares
+        self.curve += np.bincount(gate, miss, GATES)
+        for k, i in enumerate(inputs):
+            self.weights[k] += (np.bincount(gate, np.multiply(error, i, out=miss), GATES) / self.curve).astype(np.float32)
+        low, up = _cells(x)
+        return self.way_cell.take(ways) + low + (up > 0.5), bit, times
 
     def pieces(self):
         """(piece number, values): runs of PIECE slots that hold anything, then weights (-1) and outcomes (-2)."""
@@ -646,6 +761,31 @@ def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return found.take(starts), np.diff(np.append(starts, len(keys))), places
 
 
+def _first_places(keys: np.ndarray) -> np.ndarray:
+    """For each place the first one with the same key.
+
+    A table by hashes keeps the first place of each hash; places whose key is another than that one's go on to a table by
+    other hashes.  Takes much less memory than sorting keys with their places, or a hash table of the keys.
+    """
+    out, at, factor = np.empty(len(keys), np.int32), np.arange(len(keys), dtype=np.int32), 0x9E3779B97F4A7C15
+    while len(at):
+        bits = min(len(at).bit_length(), FIRST_BITS)
+        shift, times = np.uint64(64 - bits), np.uint64(factor)
+        table, other = np.empty(1 << bits, np.int32), []
+        for a in reversed(range(0, len(at), PIECE)):
+            part = at[a:a + PIECE][::-1]
+            table[((keys.take(part) * times) >> shift).view(np.int64)] = part          # the last one written stays
+        for a in range(0, len(at), PIECE):
+            part = at[a:a + PIECE]
+            here = keys.take(part)
+            found = table.take(((here * times) >> shift).view(np.int64))
+            out[part] = found
+            other.append(part[keys.take(found) != here])
+        at = np.concatenate(other)
+        factor = factor * 0xD1342543DE82EF95 % (1 << 64)
+    return out
+
+
 def score_texts(column, model: Model, logs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(log2 probability, bytes) of each text as it is coded, by ``logs`` of its sorted turned types or by the model's slots."""
     keys, begins = type_keys(*stream(column))
@@ -684,9 +824,12 @@ def _train(batches, code: Code):
     def learn(size):
         keys = np.concatenate(held)
         held[:] = [keys[size:].copy()]
-        codes, types = pd.factorize(keys[:size])
-        times = np.bincount(codes)
-        del keys, codes                              # much larger than what is learned
+        keys = keys[:size]
+        first = _first_places(keys)
+        times = np.bincount(first, minlength=size)
+        own = np.flatnonzero(times)                  # in the order of the text
+        types, times = keys.take(own), times.take(own)
+        del keys, first                              # much larger than what is learned
         trainer.renew()
         trainer.learn(types, times)
 

@@ -199,6 +199,91 @@ def test_keys_are_grouped_even_where_their_hashes_meet():
         assert (out == keys).all() and len(types) == len(np.unique(keys))
 
 
+def trained_by_loop(code, chunks):
+    """Weights, evidence, outcomes and counts of ``Trainer``: every decision of every type looked up and counted on its own."""
+    counts = [np.zeros(1 << b, np.uint64) for b in L.SLOT_BITS]
+    weights, curve, outcomes = np.full((len(L.ORDERS), L.GATES), 0.3, np.float32), np.full(L.GATES, 1.0), np.zeros((2, 256 * L.CELLS))
+    for types, times in chunks:
+        for a in range(0, len(types), L.STEP):
+            for depth, at, node, bit, slots in L._decisions(types[a:a + L.STEP], code):
+                n = [c[s].view("<u4").reshape(-1, 2).astype(np.float32) for c, s in zip(counts, slots)]
+                inputs = [np.log((x[:, 1] + np.float32(L.PRIOR)) / (x[:, 0] + np.float32(L.PRIOR))) for x in n]
+                gate = L._gate(depth, *(L._LEVEL[np.minimum(x.sum(1), 63).astype(int)] for x in n[-2:]))
+                x = np.clip(sum(w[gate] * i for w, i in zip(weights, inputs)), -L.SHARPEST, L.SHARPEST)
+                miss, many = bit - 1 / (1 + np.exp(-x)), times[a:a + L.STEP][at]
+                curve += np.bincount(gate, many * miss * miss * sum(i * i for i in inputs), L.GATES)
+                for w, i in zip(weights, inputs):
+                    w += (np.bincount(gate, many * miss * i, L.GATES) / curve).astype(np.float32)
+                low, up = L._cells(x)
+                np.add.at(outcomes, (bit, node * L.CELLS + low + (up > 0.5)), many)
+        for _, at, _, bit, slots in L._decisions(types, code):
+            for c, s in zip(counts, slots):
+                np.add.at(c, s, times[at].astype(np.uint64) << (bit.astype(np.uint64) << np.uint64(5)))
+    return weights, curve, outcomes, counts
+
+
+def chunks_of_text(seed, n):
+    """Types of texts with frequent and rare bytes (codes shorter and longer than the gates tell apart), in the order of the text."""
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9))) for _ in range(2000)] + ["é", "日本", "~", "q#"]
+        keys = L.type_keys(*L.stream(pa.array([" ".join(rng.choice(words) for _ in range(600)) for _ in range(12)] + ["", None])))[0]
+        types, at, times = np.unique(keys, return_index=True, return_counts=True)
+        out.append((types[np.argsort(at)], times[np.argsort(at)]))
+    return L.huffman(sum(np.bincount((k & np.uint64(255)).astype(int), n, 256).astype(int) for k, n in out) ** 4), out
+
+
+def test_training_equals_that_of_every_decision_on_its_own(monkeypatch):
+    monkeypatch.setattr(L, "STEP", 1 << 9)
+    monkeypatch.setattr(L, "SECTION", 1 << 11, raising=False)
+    code, chunks = chunks_of_text(10, 3)
+    assert code.length[(np.concatenate([t for t, _ in chunks]) & np.uint64(255)).astype(int)].max() > L.DEPTHS
+    t = L.Trainer(code)
+    for types, times in chunks:
+        t.learn(types, times)
+    weights, curve, outcomes, counts = trained_by_loop(code, chunks)
+    assert all((a == b).all() for a, b in zip(t.counts, counts))
+    assert np.allclose(t.weights, weights, rtol=1e-5, atol=1e-7) and np.allclose(t.curve, curve) and np.allclose(t.outcomes, outcomes)
+
+
+def test_a_chunk_looks_up_its_pairs_and_not_each_order_of_each_type(monkeypatch):
+    rng = random.Random(11)
+    text = " ".join("".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))) for _ in range(20000))
+    types, times = np.unique(L.type_keys(*L.stream(pa.array([text])))[0], return_counts=True)
+    code = L.huffman(np.bincount((types & np.uint64(255)).astype(int), minlength=256))
+    seen, slot = [], L._slot
+    monkeypatch.setattr(L, "_slot", lambda *a: seen.append(len(a[0])) or slot(*a))
+    L.Trainer(code).learn(types, times)
+    decisions = code.length[(types & np.uint64(255)).astype(int)].sum()
+    assert sum(seen) < 0.8 * len(L.ORDERS) * decisions                                      # predicted and counted
+
+
+def test_first_places_of_keys_even_where_their_hashes_meet(monkeypatch):
+    rng = np.random.default_rng(13)
+    monkeypatch.setattr(L, "FIRST_BITS", 4)                                                 # many keys for each hash
+    for keys in (rng.integers(0, 300, 5000).astype(np.uint64), rng.integers(0, 1 << 56, 90).astype(np.uint64), np.array([5], np.uint64), np.zeros(0, np.uint64)):
+        _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        assert (L._first_places(keys) == first[which]).all()
+
+
+def test_pairs_of_parted_contexts_are_whole():
+    rng = random.Random(12)
+    column = pa.array([" ".join("".join(rng.choice("abé") for _ in range(rng.randint(1, 8))) for _ in range(400)) for _ in range(8)] + ["", None])
+    types, times = L.sorted_types(L.type_keys(*L.stream(column))[0], np.ones(len(L.type_keys(*L.stream(column))[0]), bool))
+    code = L.huffman(np.bincount((types & np.uint64(255)).astype(int), minlength=256))
+    place = code.rank[(types & np.uint64(255)).astype(int)].astype(np.uint64)
+    for cuts in (np.zeros(0, np.uint64), types[1:2] >> np.uint64(8), np.unique(types[::50] >> np.uint64(8))):
+        want, bucket = Counter(), np.searchsorted(cuts, types >> np.uint64(8), "right")
+        for context in L._context_ids(L.turned(types)):
+            for c in np.unique(context):
+                if len(np.unique(bucket[context == c])) > 1:                               # parted: must be there, whole
+                    for p, n in zip(place[context == c], times[context == c]):
+                        want[int(c) << 8 | int(p)] += int(n)
+        pairs, n = L.shared_pairs(types, times, cuts, code)
+        got = dict(zip(pairs.tolist(), n.tolist()))
+        assert len(got) == len(pairs) and all(got[p] == m for p, m in want.items()) and (len(cuts) > 0 or not got)
+
+
 def test_logarithms_are_sent_in_less_than_three_bytes():
     rng = random.Random(9)
     words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
